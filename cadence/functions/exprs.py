@@ -84,3 +84,12 @@ def standardize(c, mu, sd) -> Column:
     if sd is None or sd == 0 or mu is None:
         return F.when(x.isNotNull(), F.lit(0.0))
     return (x - F.lit(float(mu))) / F.lit(float(sd))
+
+
+def sum_of(cols) -> Column:
+    return reduce(lambda a, b: a + b, list(cols))
+
+
+def all_of(preds) -> Column:
+    preds = list(preds)
+    return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)
