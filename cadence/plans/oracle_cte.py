@@ -102,11 +102,11 @@ panel_customer AS (
 
 LONG_INDICATORS = """
 long_indicators AS (
-  UNPIVOT (SELECT entity, entity_no, entity_name, period, gdp_level, fuel_exports_pct, metals_exports_pct,
-                  agri_exports_pct, food_exports_pct, exchange_rate, inflation, trade_openness, investment,
-                  control_corruption, govt_effectiveness, political_stability, regulatory_quality,
-                  rule_of_law, voice_accountability, gdp_growth FROM panel_month)
-  ON COLUMNS(* EXCLUDE (entity, entity_no, entity_name, period)) INTO NAME indicator VALUE value)"""
+  FROM (SELECT entity, entity_no, entity_name, period, gdp_level, fuel_exports_pct, metals_exports_pct,
+               agri_exports_pct, food_exports_pct, exchange_rate, inflation, trade_openness, investment,
+               control_corruption, govt_effectiveness, political_stability, regulatory_quality,
+               rule_of_law, voice_accountability, gdp_growth FROM panel_month)
+  UNPIVOT INCLUDE NULLS (value FOR indicator IN (gdp_level, fuel_exports_pct, metals_exports_pct, agri_exports_pct, food_exports_pct, exchange_rate, inflation, trade_openness, investment, control_corruption, govt_effectiveness, political_stability, regulatory_quality, rule_of_law, voice_accountability, gdp_growth)))"""
 
 
 def with_panel(body: str, *extra: str, month: bool = True) -> str:
