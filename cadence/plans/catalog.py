@@ -44,7 +44,7 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*out)
 
 
-MODULES = ("q_features", "q_clean", "q_summary", "q_sources", "q_rules", "q_evaluate",
+MODULES = ("q_features", "q_clean", "q_summary", "q_sources", "q_rules",
            "q_series", "q_models", "q_unsupervised", "q_workflows")
 
 
