@@ -59,3 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cadence-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` to the session's reliable checkpoint folder and cut its lineage.
+
+    Used before iterative work (model grids, CV folds) so every pass reads the
+    materialised rows instead of recomputing upstream joins, and a lost
+    executor costs a re-read, not a recomputation.  Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
