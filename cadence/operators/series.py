@@ -289,3 +289,222 @@ def pacf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) -> Data
             yield pd.DataFrame(out, columns=[spec.entity, "lag", "pacf", "significant"])
 
     return s.mapInPandas(run, schema)
+
+
+# ------------------------------------------------------------------ ARIMA
+MAX_P = 3
+MAX_Q = 3
+FULL_ORDERS = tuple((p, q) for p in range(MAX_P + 1) for q in range(MAX_Q + 1))
+SHORT_ORDERS = ((0, 1), (1, 0), (1, 1), (2, 1), (1, 2))  # the dashboard's short list
+LONG_AR_MAX = 8
+Z95 = 1.959963984540054
+
+
+def _etype(df: DataFrame, spec: PanelSpec) -> str:
+    return df.schema[spec.entity].dataType.simpleString()
+
+
+def differencing(prep: DataFrame, spec: PanelSpec, adf_result: DataFrame | None = None) -> DataFrame:
+    """d per entity: 0 when the ADF test rejects a unit root at 5 %, else 1."""
+    a = adf_result if adf_result is not None else adf(prep, spec)
+    return a.select(spec.entity, F.when(F.col("p_value") < SIG_LEVEL, 0).otherwise(1).alias("d"))
+
+
+def arima_design(prep: DataFrame, spec: PanelSpec, d: DataFrame) -> DataFrame:
+    """Working series z (level or first difference), its lags, long-AR residual and its lags.
+
+    Step 1 of Hannan-Rissanen: AR(m) by grouped least squares, m = min(8, max(1, n // 5));
+    its residual estimates the innovations used as MA regressors.
+    """
+    w = spec.window()
+    p = _positions(prep, spec).join(d, spec.entity)
+    p = p.withColumn("z", F.when(F.col("d") == 1, F.col("y") - F.lag("y", 1).over(w)).otherwise(F.col("y")))
+    p = p.withColumn("m", F.least(F.lit(LONG_AR_MAX), F.greatest(F.lit(1), F.floor(F.col("n") / 5))).cast("int"))
+    p = p.select("*", *[F.lag("z", j).over(w).alias(f"zl{j}") for j in range(1, LONG_AR_MAX + 1)])
+    regs = [F.lit(1.0)] + [F.when(F.lit(j) <= F.col("m"), F.col(f"zl{j}")).otherwise(F.lit(0.0))
+                           for j in range(1, LONG_AR_MAX + 1)]
+    g = gram_sums(p, [spec.entity], regs, "z", "h", where=F.col("pos") >= F.col("m") + F.col("d"))
+    k = LONG_AR_MAX + 1
+    schema = f"`{spec.entity}` {_etype(prep, spec)}, long_ar array<double>"
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for rec in pdf.to_dict("records"):
+                xtx, xty, yty, n = ST.gram_unpack(rec, k, "h")
+                used = [0] + [j for j in range(1, k) if xtx[j, j] > 0]
+                coef = [0.0] * k
+                if n > len(used):
+                    b = ST.ols_from_gram(xtx[np.ix_(used, used)], xty[used], yty, n)[0]
+                    for i, j in enumerate(used):
+                        coef[j] = float(b[i])
+                out.append({spec.entity: rec[spec.entity], "long_ar": coef})
+            yield pd.DataFrame(out, columns=[spec.entity, "long_ar"])
+
+    ar = g.mapInPandas(solve, schema)
+    p = p.join(ar, spec.entity)
+    fitted = F.element_at("long_ar", 1) + X.sum_of([F.element_at("long_ar", j + 1) * F.coalesce(F.col(f"zl{j}"), F.lit(0.0))
+                                              for j in range(1, LONG_AR_MAX + 1)])
+    p = p.withColumn("ehat", F.when(F.col("pos") >= F.col("m") + F.col("d"), F.col("z") - fitted))
+    return p.select("*", *[F.lag("ehat", j).over(w).alias(f"el{j}") for j in range(1, MAX_Q + 1)])
+
+
+def _order_regs(const: bool):
+    return ([F.when(F.lit(const) & (F.col("d") == 0), F.lit(1.0)).otherwise(F.lit(0.0))]
+            + [F.coalesce(F.col(f"zl{j}"), F.lit(0.0)) for j in range(1, MAX_P + 1)]
+            + [F.coalesce(F.col(f"el{j}"), F.lit(0.0)) for j in range(1, MAX_Q + 1)])
+
+
+def _sample(p_col, q_col):
+    """Rows where every lag the order needs exists."""
+    return ((F.col("pos") >= F.col("d") + p_col) & (F.col("z").isNotNull())
+            & ((q_col == 0) | (F.col("pos") >= F.col("m") + F.col("d") + q_col)))
+
+
+def arima_orders(design: DataFrame, spec: PanelSpec, orders=FULL_ORDERS) -> DataFrame:
+    """Conditional least-squares fit of every (p, q) per entity; aic, bic, coefficients.
+
+    Each design row fans out to the (at most 16) candidate orders; one
+    ``groupBy(entity, p, q)`` of Gram sums; a small solve per group.
+    """
+    ords = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in orders])
+    fan = design.withColumn("o", F.explode(ords)).withColumn("op", F.col("o.p")).withColumn("oq", F.col("o.q"))
+    g = gram_sums(fan, [spec.entity, "d", "op", "oq"], _order_regs(True), "z", "r",
+                  where=_sample(F.col("op"), F.col("oq")))
+    k = 1 + MAX_P + MAX_Q
+    schema = (f"`{spec.entity}` {_etype(design, spec)}, d int, p int, q int, const double, ar array<double>, "
+              "ma array<double>, sigma2 double, n_used long, llf double, aic double, bic double")
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for rec in pdf.to_dict("records"):
+                pp, qq, dd = int(rec["op"]), int(rec["oq"]), int(rec["d"])
+                xtx, xty, yty, n = ST.gram_unpack(rec, k, "r")
+                idx = ([0] if dd == 0 else []) + list(range(1, 1 + pp)) + list(range(1 + MAX_P, 1 + MAX_P + qq))
+                row = {spec.entity: rec[spec.entity], "d": dd, "p": pp, "q": qq, "const": 0.0, "ar": [], "ma": [],
+                       "sigma2": None, "n_used": n, "llf": None, "aic": None, "bic": None}
+                if n > len(idx) + 1:
+                    if idx:
+                        b, ssr = ST.ols_from_gram(xtx[np.ix_(idx, idx)], xty[idx], yty, n)[:2]
+                    else:
+                        b, ssr = np.array([]), yty
+                    b = list(map(float, b))
+                    off = 1 if dd == 0 else 0
+                    sigma2 = ssr / n
+                    if sigma2 > 0:
+                        llf = -0.5 * n * (math.log(2 * math.pi * sigma2) + 1.0)
+                        kpar = len(idx) + 1
+                        row.update(const=b[0] if dd == 0 else 0.0, ar=b[off:off + pp], ma=b[off + pp:],
+                                   sigma2=sigma2, llf=llf, aic=2 * kpar - 2 * llf, bic=kpar * math.log(n) - 2 * llf)
+                out.append(row)
+            yield pd.DataFrame(out, columns=[spec.entity, "d", "p", "q", "const", "ar", "ma", "sigma2", "n_used",
+                                             "llf", "aic", "bic"])
+
+    return g.mapInPandas(solve, schema)
+
+
+def select_order(fits: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The order with the smallest AIC per entity (ties: smaller p, then q)."""
+    ok = fits.filter(F.col("aic").isNotNull())
+    return ok.groupBy(spec.entity).agg(F.min_by(F.struct(*[c for c in fits.columns if c != spec.entity]),
+                                                F.struct("aic", "p", "q")).alias("b")).select(spec.entity, "b.*")
+
+
+def arima_fitted(design: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:
+    """T10 rows: fitted value and residual of the chosen model (level scale)."""
+    j = design.join(best.select(spec.entity, "p", "q", "const", "ar", "ma"), spec.entity)
+    zhat = F.col("const") + X.sum_of(
+        [F.when(F.lit(i) <= F.col("p"), F.element_at("ar", i) * F.coalesce(F.col(f"zl{i}"), F.lit(0.0))).otherwise(0.0)
+         for i in range(1, MAX_P + 1)]
+        + [F.when(F.lit(i) <= F.col("q"), F.element_at("ma", i) * F.coalesce(F.col(f"el{i}"), F.lit(0.0))).otherwise(0.0)
+           for i in range(1, MAX_Q + 1)])
+    w = spec.window()
+    fitted_level = F.when(F.col("d") == 1, F.lag("y", 1).over(w) + zhat).otherwise(zhat)
+    out = j.withColumn("fitted", F.when(_sample(F.col("p"), F.col("q")), fitted_level))
+    return out.select(spec.entity, spec.period, "y", "fitted", (F.col("y") - F.col("fitted")).alias("residual"),
+                      "z", (F.col("z") - F.when(F.col("fitted").isNotNull(), zhat)).alias("innovation"), "pos")
+
+
+def arima_metrics(fitted: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:
+    """T10 summary: order, aic, bic and in-sample rmse, mae, r2 over rows with a fitted value."""
+    r = F.col("residual")
+    m = fitted.filter(F.col("fitted").isNotNull()).groupBy(spec.entity).agg(
+        F.sqrt(F.avg(r * r)).alias("rmse"), F.avg(F.abs(r)).alias("mae"),
+        F.sum(r * r).alias("__ssr"), (F.var_pop("y") * F.count(F.lit(1))).alias("__sst"))
+    r2 = F.when(F.col("__sst") > 0, F.lit(1.0) - F.col("__ssr") / F.col("__sst")).otherwise(F.lit(0.0))
+    return best.select(spec.entity, "p", "d", "q", "aic", "bic", "sigma2").join(m, spec.entity, "left") \
+        .withColumn("r2", r2).drop("__ssr", "__sst")
+
+
+def arima_forecast(fitted: DataFrame, best: DataFrame, spec: PanelSpec, steps: int = 3) -> DataFrame:
+    """H-step forecasts with a 95 % band from psi weights, for every entity.
+
+    The state is bounded per entity: the last 3 working values, the last 3
+    innovations and the last level, gathered with a top-3 window.
+    """
+    w = Window.partitionBy(spec.entity).orderBy(F.col(spec.period).desc())
+    last = fitted.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= max(MAX_P, MAX_Q))
+    state = last.groupBy(spec.entity).agg(
+        F.max(spec.period).alias("last_period"),
+        F.array_sort(F.collect_list(F.struct(F.col("__rn").alias("k"), F.col("z").alias("z"),
+                                             F.coalesce("innovation", F.lit(0.0)).alias("e"),
+                                             F.col("y").alias("y")))).alias("hist"))
+    s = state.join(best.select(spec.entity, "p", "d", "q", "const", "ar", "ma", "sigma2"), spec.entity)
+    schema = (f"`{spec.entity}` {_etype(fitted, spec)}, {spec.period} int, step int, forecast double, "
+              "lower_ci double, upper_ci double")
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for rec in pdf.to_dict("records"):
+                hist = list(rec["hist"])  # k = 1 is the latest row
+                zs = [h["z"] if h["z"] is not None else 0.0 for h in hist]
+                es = [h["e"] for h in hist]
+                ylast = hist[0]["y"]
+                ar = [] if rec["ar"] is None else [float(v) for v in rec["ar"]]
+                ma = [] if rec["ma"] is None else [float(v) for v in rec["ma"]]
+                c = 0.0 if rec["const"] is None else float(rec["const"])
+                d, s2 = int(rec["d"]), (0.0 if rec["sigma2"] is None else float(rec["sigma2"]))
+                zpath, epath = list(zs), list(es)  # index 0 = most recent
+                psi = [1.0]
+                for j in range(1, steps):
+                    v = ma[j - 1] if j - 1 < len(ma) else 0.0
+                    v += sum(ar[i - 1] * psi[j - i] for i in range(1, min(j, len(ar)) + 1))
+                    psi.append(v)
+                if d == 1:
+                    psi = list(np.cumsum(psi))
+                level = ylast
+                for h in range(1, steps + 1):
+                    zf = c + sum(a * (zpath[i] if i < len(zpath) else 0.0) for i, a in enumerate(ar)) \
+                        + sum(b * (epath[i] if i < len(epath) else 0.0) for i, b in enumerate(ma))
+                    zpath.insert(0, zf)
+                    epath.insert(0, 0.0)
+                    level = level + zf if d == 1 else zf
+                    half = Z95 * math.sqrt(s2 * sum(x * x for x in psi[:h]))
+                    out.append({spec.entity: rec[spec.entity], spec.period: int(rec["last_period"]) + h, "step": h,
+                                "forecast": float(level), "lower_ci": float(level - half),
+                                "upper_ci": float(level + half)})
+            yield pd.DataFrame(out, columns=[spec.entity, spec.period, "step", "forecast", "lower_ci", "upper_ci"])
+
+    return s.mapInPandas(run, schema)
+
+
+def series_report(panel: DataFrame, spec: PanelSpec, target: str, min_rows: int = 5,
+                  orders=FULL_ORDERS, steps: int = 3) -> DataFrame:
+    """One row per entity with trend, stationarity, autocorrelation and ARIMA results;
+    entities that cannot be analysed carry an ``error`` instead (no entity is dropped)."""
+    prep = prepare(panel, spec, target, min_rows)
+    tr = trend(prep, spec).select(spec.entity, "slope", "p_value", "trend_direction")
+    ad = adf(prep, spec)
+    design = arima_design(prep, spec, differencing(prep, spec, ad))
+    best = select_order(arima_orders(design, spec, orders), spec)
+    met = arima_metrics(arima_fitted(design, best, spec), best, spec)
+    sig = acf(prep, spec).groupBy(spec.entity).agg(F.count_if("significant").alias("n_significant_acf_lags"))
+    counts = panel.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = (counts.join(tr, spec.entity, "left")
+           .join(ad.select(spec.entity, F.col("p_value").alias("adf_p_value"), "is_stationary"), spec.entity, "left")
+           .join(met, spec.entity, "left").join(sig, spec.entity, "left"))
+    return out.withColumn("error", F.when(F.col("n_rows") < min_rows,
+                                          F.concat(F.lit("Not enough data: need at least "), F.lit(str(min_rows)),
+                                                   F.lit(" periods"))))

@@ -136,3 +136,47 @@ def t8_acf(spark, d):
 @query("t9_pacf")
 def t9_pacf(spark, d):
     return finish(TS.pacf(prep(spark, d), DAY))
+
+
+def _arima(spark, d, orders=TS.FULL_ORDERS):
+    p = prep(spark, d)
+    design = TS.arima_design(p, DAY, TS.differencing(p, DAY))
+    from cadence.session import materialize
+    design = materialize(design)
+    fits = TS.arima_orders(design, DAY, orders)
+    return design, fits, TS.select_order(fits, DAY)
+
+
+@query("t10_arima")
+def t10_arima(spark, d):
+    design, _, best = _arima(spark, d)
+    return finish(TS.arima_metrics(TS.arima_fitted(design, best, DAY), best, DAY))
+
+
+@query("t10_arima_fitted")
+def t10_arima_fitted(spark, d):
+    design, _, best = _arima(spark, d)
+    return finish(TS.arima_fitted(design, best, DAY).select("entity", "period", "y", "fitted", "residual"))
+
+
+@query("t11_order_search")
+def t11_order_search(spark, d):
+    _, fits, _ = _arima(spark, d)
+    return finish(fits.select("entity", "p", "d", "q", "aic", "bic", "n_used"))
+
+
+@query("t11_order_short")
+def t11_order_short(spark, d):
+    _, _, best = _arima(spark, d, TS.SHORT_ORDERS)
+    return finish(best.select("entity", "p", "d", "q", "aic"))
+
+
+@query("t12_forecast")
+def t12_forecast(spark, d):
+    design, _, best = _arima(spark, d)
+    return finish(TS.arima_forecast(TS.arima_fitted(design, best, DAY), best, DAY, 3))
+
+
+@query("t13_series_report")
+def t13_series_report(spark, d):
+    return finish(TS.series_report(panel_day(spark, d), DAY, TARGET))
