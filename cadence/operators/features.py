@@ -152,7 +152,10 @@ def interpolate(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None
     pair = F.when(F.col(col).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(col).alias("v")))
     wo = Window.partitionBy(spec.entity).orderBy("__pos")
     prev = F.last(pair, ignorenulls=True).over(wo.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first(pair, ignorenulls=True).over(wo.rowsBetween(0, Window.unboundedFollowing))
+    # next non-null as a running frame over the reversed order: O(n) per entity
+    # (an unbounded-following frame is re-evaluated per row)
+    wr = Window.partitionBy(spec.entity).orderBy(F.col("__pos").desc())
+    nxt = F.last(pair, ignorenulls=True).over(wr.rowsBetween(Window.unboundedPreceding, 0))
     t = tagged.withColumn("__prev", prev).withColumn("__next", nxt)
     p0, v0, p1, v1 = (F.col("__prev.p"), F.col("__prev.v"), F.col("__next.p"), F.col("__next.v"))
     line = v0 + (v1 - v0) * (F.col("__pos") - p0).cast("double") / (p1 - p0).cast("double")

@@ -9,6 +9,7 @@ from cadence.plans.catalog import finish, query
 from cadence.plans.oracle_cte import (CDI_RAW, FEATURES, GOV_INDEX, INGEST, _W, pad_pct,
                                       roll, rounded, with_panel)
 from cadence.sources.star import panel_month
+from cadence.session import materialize
 from cadence.spec import PanelSpec
 
 SPEC = PanelSpec()
@@ -16,7 +17,9 @@ K = "entity, period"
 
 
 def month(spark, d):
-    return panel_month(spark, d)
+    """The derived panel, materialised once: every later pass (fits, folds,
+    statistics) reads entities x periods rows instead of re-joining lineitem."""
+    return materialize(panel_month(spark, d))
 
 
 def ingested(spark, d):

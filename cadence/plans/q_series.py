@@ -8,6 +8,7 @@ from cadence.operators import series as TS
 from cadence.plans.catalog import finish, query
 from cadence.plans.oracle_cte import PANEL_DAY, rounded, with_panel
 from cadence.sources.star import panel_day
+from cadence.session import materialize
 from cadence.spec import PanelSpec
 
 DAY = PanelSpec(name=None)
@@ -17,7 +18,7 @@ _W = "PARTITION BY entity ORDER BY period"
 
 
 def prep(spark, d):
-    return TS.prepare(panel_day(spark, d), DAY, TARGET)
+    return materialize(TS.prepare(panel_day(spark, d), DAY, TARGET))
 
 
 _PREP = f"""
@@ -141,7 +142,6 @@ def t9_pacf(spark, d):
 def _arima(spark, d, orders=TS.FULL_ORDERS):
     p = prep(spark, d)
     design = TS.arima_design(p, DAY, TS.differencing(p, DAY))
-    from cadence.session import materialize
     design = materialize(design)
     fits = TS.arima_orders(design, DAY, orders)
     return design, fits, TS.select_order(fits, DAY)
