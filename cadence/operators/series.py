@@ -99,8 +99,14 @@ def _positions(prep: DataFrame, spec: PanelSpec) -> DataFrame:
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(spec.entity))))
 
 
+GRID = 2.0 ** -32
+
+
 def _exact_sum(e):
-    return F.sum(e.cast("decimal(38,12)")).cast("double")
+    """Order-independent sum: each term is floored to a multiple of 2^-32
+    (x - pmod(x, 2^-32) is exact), so while partial sums stay below 2^21 every
+    addition is exact and any engine, in any order, returns the same double."""
+    return F.sum(e - F.pmod(e, F.lit(GRID)))
 
 
 def _exact_mean(c: str):
@@ -145,8 +151,8 @@ def decompose(prep: DataFrame, spec: PanelSpec) -> DataFrame:
     in_front = (F.col("pos") >= front) & (F.col("pos") < F.least(front + F.col("p"), back))
     in_back = (F.col("pos") >= F.greatest(front, back - F.col("p"))) & (F.col("pos") < back)
     pos_d = F.col("pos").cast("double")
-    # End lines and phase means use exact decimal sums, so every engine gets
-    # the same doubles (a least-squares line through few points, written out).
+    # End lines and phase means use order-independent exact sums, so every
+    # engine gets the same doubles (a least-squares line through few points).
     ends = p.groupBy(spec.entity).agg(*_line_sums(in_front, "f"), *_line_sums(in_back, "b"))
     t = p.join(ends, spec.entity)
     fs, fi = _line(F.col("f_n"), F.col("f_sx"), F.col("f_sxx"), F.col("f_sy"), F.col("f_sxy"))

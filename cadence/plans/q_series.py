@@ -84,13 +84,13 @@ dr AS (SELECT *, CAST(p / 2 AS INTEGER) AS k,
               WHEN p = 3 THEN (lag(y, 1) OVER ({_W}) + y + lead(y, 1) OVER ({_W})) / 3.0
               ELSE (0.5 * lag(y, 1) OVER ({_W}) + y + 0.5 * lead(y, 1) OVER ({_W})) / 2.0 END AS ma0 FROM dq),
 ds AS (SELECT *, CASE WHEN pos >= k AND pos <= n - 1 - k THEN ma0 END AS ma, k AS front, n - 1 - k AS back FROM dr),
-de AS (SELECT entity, count_if(pos >= front AND pos < LEAST(front + p, back)) AS f_n, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos END) AS DOUBLE) AS f_sx, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos * pos END) AS DOUBLE) AS f_sxx, CAST(sum(CAST(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END AS DECIMAL(38,12))) AS DOUBLE) AS f_sy, CAST(sum(CAST(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) * ma END AS DECIMAL(38,12))) AS DOUBLE) AS f_sxy, count_if(pos >= GREATEST(front, back - p) AND pos < back) AS b_n, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos END) AS DOUBLE) AS b_sx, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos * pos END) AS DOUBLE) AS b_sxx, CAST(sum(CAST(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END AS DECIMAL(38,12))) AS DOUBLE) AS b_sy, CAST(sum(CAST(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) * ma END AS DECIMAL(38,12))) AS DOUBLE) AS b_sxy FROM ds GROUP BY entity),
+de AS (SELECT entity, count_if(pos >= front AND pos < LEAST(front + p, back)) AS f_n, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos END) AS DOUBLE) AS f_sx, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos * pos END) AS DOUBLE) AS f_sxx, sum((CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END) - fmod(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END, 2.3283064365386963e-10)) AS f_sy, sum((CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) * ma END) - fmod(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) * ma END, 2.3283064365386963e-10)) AS f_sxy, count_if(pos >= GREATEST(front, back - p) AND pos < back) AS b_n, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos END) AS DOUBLE) AS b_sx, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos * pos END) AS DOUBLE) AS b_sxx, sum((CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END) - fmod(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END, 2.3283064365386963e-10)) AS b_sy, sum((CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) * ma END) - fmod(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) * ma END, 2.3283064365386963e-10)) AS b_sxy FROM ds GROUP BY entity),
 dt AS (SELECT ds.*, CASE WHEN pos < front THEN ((CAST(f_n AS DOUBLE) * f_sxy - f_sx * f_sy) / NULLIF(CAST(f_n AS DOUBLE) * f_sxx - f_sx * f_sx, 0)) * CAST(pos AS DOUBLE) + ((f_sy - ((CAST(f_n AS DOUBLE) * f_sxy - f_sx * f_sy) / NULLIF(CAST(f_n AS DOUBLE) * f_sxx - f_sx * f_sx, 0)) * f_sx) / CAST(f_n AS DOUBLE))
                          WHEN pos > back THEN ((CAST(b_n AS DOUBLE) * b_sxy - b_sx * b_sy) / NULLIF(CAST(b_n AS DOUBLE) * b_sxx - b_sx * b_sx, 0)) * CAST(pos AS DOUBLE) + ((b_sy - ((CAST(b_n AS DOUBLE) * b_sxy - b_sx * b_sy) / NULLIF(CAST(b_n AS DOUBLE) * b_sxx - b_sx * b_sx, 0)) * b_sx) / CAST(b_n AS DOUBLE)) ELSE ma END AS trend
        FROM ds JOIN de USING (entity)),
 du AS (SELECT *, y - trend AS detrended, pos % p AS phase FROM dt),
-ph AS (SELECT entity, phase, CAST(sum(CAST(detrended AS DECIMAL(38,12))) AS DOUBLE) / count(detrended) AS phase_mean FROM du GROUP BY entity, phase),
-pc AS (SELECT entity, CAST(sum(CAST(phase_mean AS DECIMAL(38,12))) AS DOUBLE) / count(phase_mean) AS phase_center FROM ph GROUP BY entity),
+ph AS (SELECT entity, phase, sum((detrended) - fmod(detrended, 2.3283064365386963e-10)) / count(detrended) AS phase_mean FROM du GROUP BY entity, phase),
+pc AS (SELECT entity, sum((phase_mean) - fmod(phase_mean, 2.3283064365386963e-10)) / count(phase_mean) AS phase_center FROM ph GROUP BY entity),
 dec AS (SELECT du.entity, du.period, du.y AS observed, du.trend, ph.phase_mean - pc.phase_center AS seasonal,
                du.detrended - (ph.phase_mean - pc.phase_center) AS resid, du.p AS period_length
         FROM du JOIN ph USING (entity, phase) JOIN pc USING (entity))"""
