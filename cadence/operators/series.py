@@ -57,14 +57,37 @@ def _t_pvalue_frame(df: DataFrame, t_col: str, df_col: str, out: str = "p_value"
     return df.mapInPandas(run, schema)
 
 
+TREND_GRID = 2.0 ** -24
+
+
+def _grid_sum(e):
+    """Order-independent sum on a 2^-24 grid (exact while partial sums stay below 2^29)."""
+    return F.sum(e - F.pmod(e, F.lit(TREND_GRID)))
+
+
 def trend_stats(prep: DataFrame, spec: PanelSpec) -> DataFrame:
-    """T2/T4 (SQL part): slope, intercept, r2, slope std error, total change per entity."""
-    t, y = F.col(spec.period).cast("double"), F.col("y")
-    g = prep.groupBy(spec.entity).agg(
-        F.count(F.lit(1)).alias("n"), F.regr_slope(y, t).alias("slope"), F.regr_intercept(y, t).alias("intercept"),
-        F.regr_sxx(y, t).alias("sxx"), F.regr_syy(y, t).alias("syy"), F.regr_sxy(y, t).alias("sxy"),
-        F.min(spec.period).alias("first_period"), F.max(spec.period).alias("last_period"))
-    r2 = F.when((F.col("sxx") == 0) | (F.col("syy") == 0), F.lit(0.0)).otherwise(
+    """T2/T4 (SQL part): slope, intercept, r2, slope std error, total change per entity.
+
+    Least squares from sums with the period centred on the entity's first
+    period; every sum is exact and order-independent, so any engine returns
+    the same doubles.
+    """
+    t0 = F.min(spec.period).over(Window.partitionBy(spec.entity))
+    c = prep.withColumn("__t0", t0).withColumn("__tc", (F.col(spec.period) - F.col("__t0")).cast("double"))
+    tc, y = F.col("__tc"), F.col("y")
+    g = c.groupBy(spec.entity).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__t0").alias("first_period"), F.max(spec.period).alias("last_period"),
+        F.sum(tc).alias("stc"), F.sum(tc * tc).alias("stc2"), _grid_sum(y).alias("sy"),
+        _grid_sum(tc * y).alias("stcy"), _grid_sum(y * y).alias("syy2"))
+    n = F.col("n").cast("double")
+    sxx = F.col("stc2") - F.col("stc") * F.col("stc") / n
+    sxy = F.col("stcy") - F.col("stc") * F.col("sy") / n
+    syy = F.col("syy2") - F.col("sy") * F.col("sy") / n
+    g = g.withColumn("sxx", sxx).withColumn("sxy", sxy).withColumn("syy", syy)
+    slope = X.share(F.col("sxy"), F.col("sxx"))
+    g = g.withColumn("slope", slope).withColumn(
+        "intercept", F.col("sy") / n - F.col("slope") * (F.col("first_period").cast("double") + F.col("stc") / n))
+    r2 = F.when((F.col("sxx") == 0) | (F.col("syy") <= 0), F.lit(0.0)).otherwise(
         F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy")))
     se = F.when(F.col("n") > 2, F.sqrt(F.greatest(F.lit(0.0), (F.lit(1.0) - F.col("r2")) * F.col("syy"))
                                        / F.col("sxx") / (F.col("n") - 2)))

@@ -46,16 +46,21 @@ def t1_prepare(spark, d):
 
 
 _TREND = """
+tr0 AS (SELECT entity, period, y, CAST(period - min(period) OVER (PARTITION BY entity) AS DOUBLE) AS tc,
+               min(period) OVER (PARTITION BY entity) AS t0 FROM prep),
+tr1 AS (SELECT entity, count(*) AS n, min(t0) AS first_period, max(period) AS last_period, sum(tc) AS stc,
+               sum(tc * tc) AS stc2, sum((y) - fmod(y, 5.960464477539063e-08)) AS sy, sum((tc * y) - fmod(tc * y, 5.960464477539063e-08)) AS stcy,
+               sum((y * y) - fmod(y * y, 5.960464477539063e-08)) AS syy2 FROM tr0 GROUP BY entity),
+tr2 AS (SELECT *, stc2 - stc * stc / CAST(n AS DOUBLE) AS sxx, stcy - stc * sy / CAST(n AS DOUBLE) AS sxy,
+               syy2 - sy * sy / CAST(n AS DOUBLE) AS syy FROM tr1),
+tr3 AS (SELECT *, sxy / NULLIF(sxx, 0) AS slope FROM tr2),
+tr4 AS (SELECT *, sy / CAST(n AS DOUBLE) - slope * (CAST(first_period AS DOUBLE) + stc / CAST(n AS DOUBLE)) AS intercept,
+               CASE WHEN sxx = 0 OR syy <= 0 THEN 0.0 ELSE sxy * sxy / (sxx * syy) END AS r2 FROM tr3),
 tr AS (
   SELECT entity, n, slope, intercept, r2,
          CASE WHEN n > 2 THEN sqrt(GREATEST(0.0, (1.0 - r2) * syy) / sxx / (n - 2)) END AS std_err,
          slope * (last_period - first_period) AS total_change
-  FROM (SELECT *, CASE WHEN sxx = 0 OR syy = 0 THEN 0.0 ELSE sxy * sxy / (sxx * syy) END AS r2 FROM (
-        SELECT entity, count(*) AS n, regr_slope(y, CAST(period AS DOUBLE)) AS slope,
-               regr_intercept(y, CAST(period AS DOUBLE)) AS intercept, regr_sxx(y, CAST(period AS DOUBLE)) AS sxx,
-               regr_syy(y, CAST(period AS DOUBLE)) AS syy, regr_sxy(y, CAST(period AS DOUBLE)) AS sxy,
-               min(period) AS first_period, max(period) AS last_period
-        FROM prep GROUP BY entity)))"""
+  FROM tr4)"""
 
 
 @query("t2_trend", rounded(_sql("SELECT * FROM tr", _TREND), "entity, n"))
