@@ -284,3 +284,17 @@ def hierarchical(ent_z: DataFrame, zcols: Sequence[str], n_clusters: int = 3, me
     final = {int(summ[i]["leaf"]): order.index(g) for i, g in enumerate(groups)}
     mapping = F.create_map(*[x for lf, g in final.items() for x in (F.lit(lf), F.lit(g))])
     return leaves.select(key, mapping[F.col("leaf")].alias(f"cluster_{method}"))
+
+
+def centroid_distances(ent_z: DataFrame, zcols: Sequence[str], centers: Sequence[Sequence[float]],
+                       key: str = "entity") -> DataFrame:
+    """U10 (re-aimed): Euclidean distance of every entity to every centre, (entity, centre, distance).
+
+    The reference feeds a full entity x entity distance matrix to its linkage;
+    that is quadratic in entities, so distances are taken to k centres (or to
+    the micro-cluster centres of ``hierarchical``) instead.
+    """
+    rows = F.array(*[F.struct(F.lit(i).alias("centre"),
+                              F.sqrt(X.sum_of([(F.col(c) - F.lit(float(ctr[j]))) ** 2 for j, c in enumerate(zcols)]))
+                              .alias("distance")) for i, ctr in enumerate(centers)])
+    return ent_z.select(key, F.explode(rows).alias("r")).select(key, "r.centre", "r.distance")

@@ -318,3 +318,21 @@ _BASE_SQL = ("base AS (SELECT 0.02 * m0 - 0.1 * m1 + 0.01 * m2 + 0.05 * m3 + 0.0
 def x4_explain_rows(spark, d):
     phi, bg = _phi(spark, d)
     return finish(XP.explain_rows(phi, ["entity", "period"], XP.polynomial_base(SCORER, bg)))
+
+
+@query("r3_score")
+def r3_score(spark, d):
+    """Score every entity's latest row with the fitted ridge: fallback chain for the inputs,
+    predicted log volatility, its level (exp, without removing the offset), level class, risk list."""
+    from cadence.operators import rules as RL
+    mf, fit = _ridge(spark, d)
+    feats = featured(spark, d)
+    inputs = RL.fallback_features(feats, SPEC)
+    scored = inputs.withColumn("predicted_log_volatility", fit.prediction()) \
+        .withColumn("predicted_volatility", F.exp("predicted_log_volatility"))
+    scored = RL.volatility_level(scored, "predicted_volatility")
+    latest = RL.latest(feats.select("entity", "period", "cdi_smooth", "inflation", "investment", "governance_index"),
+                       SPEC)
+    flags = RL.risk_flags(latest).select("entity", "risk_factors")
+    return finish(scored.join(flags, "entity").select("entity", "period", *MODEL_FEATURES, "predicted_log_volatility",
+                                                       "predicted_volatility", "volatility_level", "risk_factors"))

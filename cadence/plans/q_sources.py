@@ -211,3 +211,13 @@ def j1_outer_merge(spark, d):
     frames = [li.filter(F.col("indicator") == n).select("entity", "entity_name", "period", F.col("value").alias(n))
               for n in PANEL_NAMES]
     return finish(SL.outer_merge(frames, ["entity", "entity_name", "period"]))
+
+
+_S7_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double"
+
+
+@query("s7_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 49")
+def s7_scan(spark, d):
+    """Declared-schema scan: only the three declared columns are read, the filter reaches the scan."""
+    li = FS.read_table(spark, f"{d}/lineitem.parquet", _S7_SCHEMA, "parquet")
+    return li.filter(F.col("l_quantity") >= 49)

@@ -219,3 +219,13 @@ def u15_loadings(spark, d):
 def u16_pc_interpret(spark, d):
     _, pf = _pca(spark, d)
     return finish(PC.interpret(PC.loadings(spark, pf, 3), PC.scree(spark, pf)))
+
+
+@query("u10_centroid_distances", rounded(with_panel(
+    "SELECT entity, centre, distance FROM (" + " UNION ALL ".join(
+        f"SELECT entity, {i} AS centre, sqrt({_D[i]}) AS distance FROM ez" for i in range(3)) + ")",
+    FEATURES, _ENT, _EZ), "entity, centre"))
+def u10_centroid_distances(spark, d):
+    ent = entity_table(spark, d)
+    z, zcols = CU.scaled(ent, FEATS)
+    return finish(CU.centroid_distances(z, zcols, CENTRES))
