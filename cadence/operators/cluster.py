@@ -16,6 +16,7 @@ population statistics.  Nothing here pairs entities with each other:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -55,20 +56,22 @@ class KMeansFit:
 
 
 def fit_kmeans(ent: DataFrame, features: Sequence[str], k: int = 3, restarts: int = 10, seed: int = 42,
-               minimum: int = 3) -> tuple[DataFrame, KMeansFit]:
+               minimum: int = 3, parallelism: int = 4) -> tuple[DataFrame, KMeansFit]:
     """K-means on z-scored entity features; best of ``restarts`` seeds."""
     feats = present(ent, features)
     if len(feats) < minimum:
         raise ValueError(f"clustering needs at least {minimum} features, found {feats}")
     z, zcols = scaled(ent, feats)
     data = VectorAssembler(inputCols=zcols, outputCol="features").transform(z).cache()
-    best = None
-    for r in range(restarts):
+
+    def run(r):
         m = KMeans(k=k, seed=seed + r, maxIter=300, tol=1e-4, featuresCol="features").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0] - 1e-12:
-            best = (cost, m)
-    cost, model = best
+        return m.summary.trainingCost, r, m
+
+    # restarts are independent jobs: submit them concurrently (as CrossValidator does with parallelism)
+    with ThreadPoolExecutor(max_workers=min(parallelism, restarts)) as pool:
+        fits = list(pool.map(run, range(restarts)))
+    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
     centers = [list(map(float, c)) for c in model.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda i: (centers[i][0], i))
     relabel = {old: new for new, old in enumerate(order)}

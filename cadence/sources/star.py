@@ -93,8 +93,10 @@ def panel_month(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFram
              .withColumn("rev", _dec("l_extendedprice") * (F.lit(1) - _dec("l_discount", 2, 4))))
     lf = of.join(lines, of.o_orderkey == lines.l_orderkey, "left")
     zero = F.lit(0).cast("decimal(24,4)")
-    order_keys = ["o_orderkey", *keys, "price", "urgent", "low_priority", "building"]
-    per_order = lf.groupBy(*order_keys).agg(
+    # order attributes ride along as max() (constant within an order), so the
+    # per-order grouping key stays the single order key
+    per_order = lf.groupBy("o_orderkey").agg(
+        *[F.max(c).alias(c) for c in (*keys, "price", "urgent", "low_priority", "building")],
         F.sum("rev").alias("rev_dec"),
         *[F.sum(F.when(F.col("p_class") == t, F.col("rev")).otherwise(zero)).alias(f"{m}_dec")
           for m, t in COMMODITY_TYPES.items()],
