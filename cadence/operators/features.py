@@ -178,3 +178,27 @@ def zscore(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
                              *[F.stddev_pop(c).alias(f"sd_{c}") for c in cols]))
     return df.select("*", *[X.standardize(c, stats[f"mu_{c}"], stats[f"sd_{c}"]).alias(f"{c}{suffix}")
                             for c in cols])
+
+
+# ---- skew-safe forms: positions + equi-joins instead of one window partition per entity ----------
+def lag_join(df: DataFrame, spec: PanelSpec, cols: Sequence[str], k: int = 1, pos: str = "pos") -> DataFrame:
+    """F9 for a panel whose single entity may hold a large share of the rows.
+
+    ``df`` carries positions (``split.entity_positions``); the lag is an equi-join
+    on (entity, position - k), which hash-distributes a hot entity over tasks.
+    """
+    shifted = df.select(spec.entity, (F.col(pos) + k).alias(pos), *[F.col(c).alias(f"{c}_lag{k}") for c in cols])
+    return df.join(shifted, [spec.entity, pos], "left")
+
+
+def rolling_join(df: DataFrame, spec: PanelSpec, col: str, out: str, size: int, min_periods: int,
+                 stat: str = "std", pos: str = "pos") -> DataFrame:
+    """F2/F5/F6 for a hot entity: every row is copied to the ``size`` positions whose
+    window contains it (bounded fan-out), aggregated by (entity, position), joined back."""
+    copies = (df.select(spec.entity, F.col(col).alias("__v"), F.col(pos).alias("__p"),
+                        F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("__off"))
+              .select(spec.entity, "__v", (F.col("__p") + F.col("__off")).alias(pos)))
+    fn = F.stddev_samp("__v") if stat == "std" else F.avg("__v")
+    agg = copies.groupBy(spec.entity, pos).agg(F.count("__v").alias("__c"), fn.alias("__s"))
+    return (df.join(agg, [spec.entity, pos], "left")
+            .withColumn(out, F.when(F.col("__c") >= min_periods, F.col("__s"))).drop("__c", "__s"))

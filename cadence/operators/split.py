@@ -86,3 +86,26 @@ def add_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
     o = global_ordinal(df, spec)
     return o.withColumn("fold", kfold_expr(F.col("ordinal"), n, k)).withColumn(
         "ts_fold", ts_fold_expr(F.col("ordinal"), n, k))
+
+
+def entity_positions(df: DataFrame, spec: PanelSpec, out: str = "pos", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row inside its entity, with no entity confined to one task.
+
+    Range partitioning on (entity, period) splits even a single huge entity into
+    period slices; each task numbers its sorted rows (``monotonically_increasing_id``
+    is the record index within the task), and a small (slice, entity) count table
+    - about one row per entity plus one per partition boundary - gives every
+    slice its offset inside the entity.  Keys must be unique per (entity, period).
+    """
+    nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(nparts, spec.entity, spec.period)
+              .sortWithinPartitions(spec.entity, spec.period)
+              .withColumn("__pid", F.spark_partition_id())
+              .withColumn("__idx", F.monotonically_increasing_id()))
+    slices = ranged.groupBy("__pid", spec.entity).agg(F.min("__idx").alias("__first"),
+                                                      F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(spec.entity).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    return (ranged.join(slices.select("__pid", spec.entity, "__first", "__offset"), ["__pid", spec.entity])
+            .withColumn(out, F.col("__offset") + F.col("__idx") - F.col("__first"))
+            .drop("__pid", "__idx", "__first", "__offset"))

@@ -166,3 +166,28 @@ _Z = ["inflation", "investment", "trade_openness"]
     " FROM panel_month"), K))
 def f14_zscore(spark, d):
     return finish(FT.zscore(month(spark, d), _Z).select("entity", "period", *[f"{c}_z" for c in _Z]))
+
+
+def _positioned(spark, d):
+    from cadence.operators import split as SP
+    return SP.entity_positions(month(spark, d), SPEC)
+
+
+@query("f6_rolling_std5_skewsafe", rounded(with_panel(
+    f"SELECT entity, period, gdp_growth, {roll('stddev_samp', 'gdp_growth', 5, 3)} AS gdp_volatility "
+    f"FROM panel_month"), K))
+def f6_rolling_std5_skewsafe(spark, d):
+    """F6 through positions and a bounded fan-out aggregate (no per-entity window partition)."""
+    p = FT.rolling_join(_positioned(spark, d), SPEC, "gdp_growth", "gdp_volatility", 5, 3, "std")
+    return finish(p.select("entity", "period", "gdp_growth", "gdp_volatility"))
+
+
+@query("f9_lag_skewsafe", rounded(with_panel(
+    f"SELECT entity, period, lag(inflation) OVER ({_W}) AS inflation_lag1, "
+    f"lag(trade_openness) OVER ({_W}) AS trade_openness_lag1, lag(investment) OVER ({_W}) AS investment_lag1, "
+    f"lag(gdp_growth) OVER ({_W}) AS gdp_growth_lag1 FROM panel_month"), K))
+def f9_lag_skewsafe(spark, d):
+    """F9 through positions and an equi-join on (entity, position - 1)."""
+    p = FT.lag_join(_positioned(spark, d), SPEC, ["inflation", "trade_openness", "investment", "gdp_growth"])
+    return finish(p.select("entity", "period", "inflation_lag1", "trade_openness_lag1", "investment_lag1",
+                           "gdp_growth_lag1"))

@@ -103,3 +103,24 @@ def test_feature_set_shares_one_shuffle(spark):
                                "entity string, period int, cdi_raw double, gdp_growth double, inflation double")
     plan = FT.feature_set(df, SPEC)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_skew_safe_positions_lag_and_rolling(spark):
+    from pyspark.sql import functions as F
+
+    from cadence.operators import split as SP
+    rows = [("HOT", p, float((p * 37) % 11)) for p in range(3000)] + [("B", p, float(p)) for p in range(7)]
+    df = spark.createDataFrame(rows, "entity string, period int, x double")
+    pos = SP.entity_positions(df, SPEC, partitions=12).cache()
+    # the hot entity is spread over several tasks, and positions are exact
+    hot_parts = pos.filter("entity = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot_parts > 1
+    assert all(r["pos"] == r["period"] for r in pos.collect())
+    joined = FT.rolling_join(FT.lag_join(pos, SPEC, ["x"]), SPEC, "x", "v", 5, 3, "std")
+    windowed = FT.rolling_std(FT.add_lags(df, SPEC, ["x"]), SPEC, "x", "v", 5, 3)
+    a = {(r["entity"], r["period"]): (r["x_lag1"], r["v"]) for r in joined.collect()}
+    b = {(r["entity"], r["period"]): (r["x_lag1"], r["v"]) for r in windowed.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0]
+        assert (a[k][1] is None and b[k][1] is None) or a[k][1] == pytest.approx(b[k][1])
