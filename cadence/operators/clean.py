@@ -196,12 +196,18 @@ def quality_score(df: DataFrame, spec: PanelSpec, caution: DataFrame,
                     .otherwise("Low").alias("quality_level")))
 
 
-def quality_summary(scores: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Entities per quality level with the sorted caution entities of each level."""
-    return scores.groupBy("quality_level").agg(
-        F.count(F.lit(1)).alias("n_entities"),
-        F.array_sort(F.collect_list(F.when(F.col("has_caution"), F.col(spec.entity)))).alias("caution_entities"),
+def quality_summary(scores: DataFrame, spec: PanelSpec, examples: int = 5) -> DataFrame:
+    """Entities per quality level, how many carry a caution, and the first ``examples``
+    caution entities (a top-k; the full list is a filter of the score table)."""
+    w = Window.partitionBy("quality_level").orderBy(spec.entity)
+    top = (scores.filter(F.col("has_caution")).withColumn("__rn", F.row_number().over(w))
+           .filter(F.col("__rn") <= examples).groupBy("quality_level")
+           .agg(F.array_sort(F.collect_list(spec.entity)).alias("caution_examples")))
+    agg = scores.groupBy("quality_level").agg(
+        F.count(F.lit(1)).alias("n_entities"), F.count_if("has_caution").alias("n_caution"),
         F.max("quality_score").alias("best_score"))
+    return agg.join(top, "quality_level", "left").withColumn(
+        "caution_examples", F.coalesce(F.col("caution_examples"), F.array().cast("array<string>")))
 
 
 def availability(df: DataFrame, spec: PanelSpec, cols: Sequence[str] = AVAILABILITY_COLS,
