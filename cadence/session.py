@@ -39,14 +39,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only a local-mode session without one (tests, bench) gets a fresh
-    scratch folder.
+    scratch folder.  A Spark Connect session keeps its server-side setting
+    (returns the configured value, or None).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

@@ -17,7 +17,10 @@ from cadence.session import ensure_checkpoint_dir
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    root = ensure_checkpoint_dir(spark)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for stage outputs")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> str:
