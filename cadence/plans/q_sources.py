@@ -32,8 +32,9 @@ def _li(body: str) -> str:
 
 
 def payload_texts(spark, d):
-    li = long_indicators(spark, d)
-    ents = month(spark, d).select("entity").distinct()
+    m = month(spark, d)
+    li = long_indicators(spark, d, m)
+    ents = m.select("entity").distinct()
     return IN.build_payloads(li, IN.catalogue(spark)).unionByName(IN.empty_and_bad_payloads(ents))
 
 
@@ -207,7 +208,7 @@ def p9_numeric_candidates(spark, d):
     "SELECT entity, entity_name, period, " + ", ".join(PANEL_NAMES) + " FROM panel_month WHERE NOT (" +
     " AND ".join(f"{c} IS NULL" for c in PANEL_NAMES) + ")"), "entity, entity_name, period"))
 def j1_outer_merge(spark, d):
-    li = long_indicators(spark, d).filter(F.col("value").isNotNull())
+    li = long_indicators(spark, d, month(spark, d)).filter(F.col("value").isNotNull())
     frames = [li.filter(F.col("indicator") == n).select("entity", "entity_name", "period", F.col("value").alias(n))
               for n in PANEL_NAMES]
     return finish(SL.outer_merge(frames, ["entity", "entity_name", "period"]))

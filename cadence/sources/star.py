@@ -150,9 +150,10 @@ def panel_month(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFram
     return panel.withColumn("gdp_growth", pct_change("gdp_level", w, pad=True))
 
 
-def long_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``panel_month`` unpivoted to (entity, entity_name, period, indicator, value)."""
-    p = panel_month(spark, sf_dir)
+def long_indicators(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
+    """``panel_month`` (or the given, already materialised panel) unpivoted to
+    (entity, entity_name, period, indicator, value)."""
+    p = panel if panel is not None else panel_month(spark, sf_dir)
     measures = list(MONTH_MEASURES) + ["gdp_growth"]
     return p.unpivot(["entity", "entity_no", "entity_name", "period"], measures,
                      "indicator", "value")
