@@ -189,16 +189,22 @@ def m18_train_run(spark, d):
 
 @query("s11_model_roundtrip")
 def s11_model_roundtrip(spark, d):
-    """Persist the forest forecaster and reload it; predictions must agree."""
-    from pyspark.ml.regression import RandomForestRegressionModel
+    """Persist the forest forecaster and the ridge fit, reload both; predictions must agree."""
+    from cadence.sources import models as MS
     fc, _, test = _forecast(spark, d, "rf", n_trees=20)
     path = FS.scratch_path(spark, "forecaster-rf")
-    fc.tree_model.write().overwrite().save(path)
-    before = fc.predict(test, "p_saved")
-    fc.tree_model = RandomForestRegressionModel.load(path)
-    after = fc.predict(before, "p_loaded")
-    return finish(after.select("entity", "period", "p_saved", "p_loaded",
-                               (F.abs(F.col("p_saved") - F.col("p_loaded")) < 1e-12).alias("same")))
+    MS.save_forecaster(spark, fc, path)
+    back = MS.load_forecaster(spark, path)
+    mf, ridge = _ridge(spark, d)
+    rpath = FS.scratch_path(spark, "ridge")
+    MS.save_ridge(spark, ridge, rpath)
+    ridge2 = MS.load_ridge(spark, rpath)
+    trees = back.predict(fc.predict(test, "p_saved"), "p_loaded").select(
+        F.lit("forecaster_rf").alias("model"), "entity", "period", "p_saved", "p_loaded")
+    lin = LN.predict(LN.predict(mf, ridge, "p_saved"), ridge2, "p_loaded").select(
+        F.lit("ridge").alias("model"), "entity", "period", "p_saved", "p_loaded")
+    out = trees.unionByName(lin)
+    return finish(out.withColumn("same", F.abs(F.col("p_saved") - F.col("p_loaded")) < 1e-12))
 
 
 # ---- explanations ----------------------------------------------------------------------------

@@ -178,3 +178,24 @@ def test_model_shapley_enumeration_matches_polynomial(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-10)
+
+
+def test_persistence_round_trips(spark, regression):
+    from cadence.sources import files as FS
+    from cadence.sources import models as MS
+    df, _, _ = regression
+    folded = SP.add_folds(df, SPEC, 5)
+    fit = LN.fit_ridge(folded, ["a", "b", "c", "d"], "y", "fold")
+    path = FS.scratch_path(spark, "t-ridge")
+    MS.save_ridge(spark, fit, path)
+    back = MS.load_ridge(spark, path)
+    assert back.coef == fit.coef and back.alpha == fit.alpha and back.cv_r2 == fit.cv_r2
+    data = df.withColumnRenamed("y", "gdp_growth")
+    prep, feats = FC.prepare(data, SPEC, features=["a", "b", "gdp_growth"])
+    fc = FC.fit(prep, SPEC, feats, model_type="rf", cv_folds=2, n_trees=5)
+    fpath = FS.scratch_path(spark, "t-fc")
+    MS.save_forecaster(spark, fc, fpath)
+    fc2 = MS.load_forecaster(spark, fpath)
+    a = {(r["entity"], r["period"]): r["prediction"] for r in fc.predict(prep).collect()}
+    b = {(r["entity"], r["period"]): r["prediction"] for r in fc2.predict(prep).collect()}
+    assert a == b
