@@ -9,6 +9,7 @@ as the reference does.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Sequence
@@ -85,7 +86,8 @@ def _fit_once(train: DataFrame, model_type: str, zcols: list[str], seed: int, n_
 
 
 def fit(train: DataFrame, spec: PanelSpec, features: Sequence[str], model_type: str = "rf",
-        cv_folds: int = 5, seed: int = 42, n_trees: int = 200, scale: bool = True) -> Forecaster:
+        cv_folds: int = 5, seed: int = 42, n_trees: int = 200, scale: bool = True,
+        parallelism: int = 4) -> Forecaster:
     """M13 fit + M16 CV scores (expanding time-series folds over the training rows)."""
     feats = list(features)
     if scale:
@@ -101,12 +103,16 @@ def fit(train: DataFrame, spec: PanelSpec, features: Sequence[str], model_type:
         fc.ridge = LN.fit_ridge(s, fc.zcols(), TARGET, "fold", scale=False)
     else:
         fc.tree_model = _fit_once(s, model_type, fc.zcols(), seed, n_trees)
-    scores = []
-    for i in range(cv_folds):  # expanding window: train on rows before test block i
-        start = folded.filter(F.col("ts_fold") == i).agg(F.min("ordinal")).first()[0]
-        if start is None:
-            continue
-        tr, te = s.filter(F.col("ordinal") < start), s.filter(F.col("ts_fold") == i)
+    # expanding window: fold i tests block i and trains on every row before it.
+    # Block starts come from one small aggregate; the fold fits are independent
+    # jobs and are submitted concurrently.
+    starts = {r["ts_fold"]: r["s"] for r in folded.filter(F.col("ts_fold").isNotNull())
+              .groupBy("ts_fold").agg(F.min("ordinal").alias("s")).collect()}
+
+    def score(i):
+        if i not in starts:
+            return None
+        tr, te = s.filter(F.col("ordinal") < starts[i]), s.filter(F.col("ts_fold") == i)
         if model_type == "ridge":
             tr_f = SP.add_folds(tr.drop("ordinal", "fold", "ts_fold"), spec, cv_folds)
             rf = LN.fit_ridge(tr_f, fc.zcols(), TARGET, "fold", scale=False)
@@ -115,7 +121,10 @@ def fit(train: DataFrame, spec: PanelSpec, features: Sequence[str], model_type:
             m = _fit_once(tr, model_type, fc.zcols(), seed, n_trees)
             pred = m.transform(BO.assembler(fc.zcols()).transform(te)).withColumnRenamed("prediction", "yhat")
         r = EV.metrics(pred.select(F.lit("cv").alias("model"), F.col(TARGET).alias("y"), "yhat")).first()
-        scores.append(r["r2"] if r is not None and r["r2"] is not None else float("nan"))
+        return r["r2"] if r is not None and r["r2"] is not None else float("nan")
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, cv_folds)) as pool:
+        scores = [v for v in pool.map(score, range(cv_folds)) if v is not None]
     fc.cv_r2 = scores
     folded.unpersist()
     return fc
