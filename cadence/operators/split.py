@@ -97,11 +97,15 @@ def entity_positions(df: DataFrame, spec: PanelSpec, out: str = "pos", partition
     - about one row per entity plus one per partition boundary - gives every
     slice its offset inside the entity.  Keys must be unique per (entity, period).
     """
+    from cadence.session import materialize
+
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(nparts, spec.entity, spec.period)
-              .sortWithinPartitions(spec.entity, spec.period)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__idx", F.monotonically_increasing_id()))
+    # materialised once: the range shuffle is not repeated for the two uses
+    # below, and the record ids are persisted, so a retried task cannot renumber
+    ranged = materialize(df.repartitionByRange(nparts, spec.entity, spec.period)
+                         .sortWithinPartitions(spec.entity, spec.period)
+                         .withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__idx", F.monotonically_increasing_id()))
     slices = ranged.groupBy("__pid", spec.entity).agg(F.min("__idx").alias("__first"),
                                                       F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(spec.entity).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
