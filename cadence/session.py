@@ -14,6 +14,36 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def cluster_conf(input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8,
+                 shuffle_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Scan splits of 512 MB keep ~200k scan tasks for 100 TB; the shuffle
+    partition count is sized so a full shuffle of the input lands near
+    ``shuffle_partition_mb`` per partition (AQE coalesces smaller stages and
+    splits skewed ones); broadcast stays at the default-sized threshold so only
+    genuinely small sides (measured at runtime by AQE) are broadcast.
+    """
+    shuffle_parts = max(2 * executors * cores_per_executor,
+                        int(input_tb * 1024 * 1024 / shuffle_partition_mb))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.shuffle.service.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "cadence") -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "*")
