@@ -92,7 +92,6 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, fold_col: str
     folds.sort(key=lambda t: t[0])
     tot = sum(f[1] for f in folds)
     tot_y = sum(f[2] for f in folds)
-    tot_yy = sum(f[3] for f in folds)
     n_all = sum(f[4] for f in folds)
     path = []
     for a in alphas:
@@ -109,7 +108,6 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, fold_col: str
         sst = yy - gy[0] ** 2 / n
         cv_r2.append(1.0 - _sse(g, gy, yy, b0, coef) / sst if sst > 0 else 0.0)
     b0, coef = _solve(tot, tot_y, n_all, alpha)
-    _ = tot_yy
     return RidgeFit(features, target, mu, sd, alpha, [float(c) for c in coef], float(b0), cv_r2, path, n_all)
 
 

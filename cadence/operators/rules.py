@@ -12,7 +12,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions import exprs as X
 from cadence.spec import PanelSpec, first_present, present
 
 # Fixed values: (lagged feature, current column, default) of the volatility scorer's fallback chain.
