@@ -168,7 +168,7 @@ def d5_quality_score(spark, d):
 
 @query("d6_quality_summary", with_panel(
     "SELECT a.quality_level, a.n_entities, a.n_caution, a.best_score, COALESCE(e.caution_examples, []) AS "
-    "caution_examples FROM (SELECT quality_level, count(*) AS n_entities, count_if(has_caution) AS n_caution, "
+    "caution_examples FROM (SELECT quality_level, count(*) AS n_entities, CAST(count_if(has_caution) AS BIGINT) AS n_caution, "
     "max(quality_score) + 0 AS best_score FROM quality GROUP BY quality_level) a LEFT JOIN (SELECT quality_level, "
     "list_sort(list(entity)) AS caution_examples FROM (SELECT *, row_number() OVER (PARTITION BY quality_level "
     "ORDER BY entity) AS rn FROM quality WHERE has_caution) WHERE rn <= 5 GROUP BY quality_level) e "

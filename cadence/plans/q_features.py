@@ -129,8 +129,8 @@ _KEYF = ["cdi_smooth_lag1", "inflation_lag1", "trade_openness_lag1", "investment
 
 @query("f12_usable_counts", with_panel(
     "SELECT feature, non_null, rows FROM (SELECT " +
-    ", ".join(f"count({c}) AS {c}" for c in _USABLE) + ", count_if(" +
-    " AND ".join(f"{c} IS NOT NULL" for c in _KEYF) + ") AS __all_key_features__, count(*) AS rows FROM features) "
+    ", ".join(f"count({c}) AS {c}" for c in _USABLE) + ", CAST(count_if(" +
+    " AND ".join(f"{c} IS NOT NULL" for c in _KEYF) + ") AS BIGINT) AS __all_key_features__, count(*) AS rows FROM features) "
     "UNPIVOT (non_null FOR feature IN (" + ", ".join(_USABLE) + ", __all_key_features__))", FEATURES))
 def f12_usable_counts(spark, d):
     return FT.usable_counts(featured(spark, d), _USABLE, _KEYF)

@@ -75,7 +75,7 @@ _GK = len(MODEL_FEATURES) + 1
 _FRAME_SQL = ("frame AS (" + _fold_sql(
     "(SELECT entity, period, " + ", ".join(MODEL_FEATURES) + f", {TARGET} FROM features WHERE " +
     " AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES + [TARGET]) + ")") + ")")
-_Z = ["1.0"] + [f"(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ())" for c in MODEL_FEATURES]
+_Z = ["CAST(1.0 AS DOUBLE)"] + [f"(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ())" for c in MODEL_FEATURES]
 _ZSQL = ("zf AS (SELECT fold, " + ", ".join(f"{z} AS z{i}" for i, z in enumerate(_Z)) + f", {TARGET} AS y FROM frame)")
 _GRAM_COLS = (["count(*) AS g_n"] +
               [f"sum(z{i} * z{j}) AS g_{i}_{j}" for i in range(_GK) for j in range(i, _GK)] +
@@ -300,7 +300,7 @@ def x1_shapley_model(spark, d):
 
 @query("x3_shapley_importance", rounded(with_panel(
     "SELECT feature, shap_importance, shap_importance / sum(shap_importance) OVER () * 100.0 AS importance_pct, "
-    "row_number() OVER (ORDER BY shap_importance DESC, feature) AS rank FROM "
+    "CAST(row_number() OVER (ORDER BY shap_importance DESC, feature) AS INTEGER) AS rank FROM "
     "(SELECT feature, avg(abs(phi)) AS shap_importance FROM phi GROUP BY feature)",
     FEATURES, *_XSQL, _PHI_SQL), "feature, rank"))
 def x3_shapley_importance(spark, d):

@@ -137,14 +137,14 @@ def e1_metrics(spark, d):
 
 
 @query("e2_compare_models", rounded(with_panel(
-    "SELECT *, row_number() OVER (ORDER BY rmse ASC NULLS LAST, model) AS rank FROM metrics", _PRED, _METRICS),
+    "SELECT *, CAST(row_number() OVER (ORDER BY rmse ASC NULLS LAST, model) AS INTEGER) AS rank FROM metrics", _PRED, _METRICS),
     "model, n, rank"))
 def e2_compare_models(spark, d):
     return finish(EV.compare(EV.metrics(predictions(spark, d)), "rmse"))
 
 
 @query("e3_eval_report", rounded(with_panel(
-    "SELECT *, rank = 1 AS best FROM (SELECT *, row_number() OVER (ORDER BY r2 DESC NULLS LAST, model) AS rank "
+    "SELECT *, rank = 1 AS best FROM (SELECT *, CAST(row_number() OVER (ORDER BY r2 DESC NULLS LAST, model) AS INTEGER) AS rank "
     "FROM metrics)", _PRED, _METRICS), "model, n, rank, best"))
 def e3_eval_report(spark, d):
     return finish(EV.report(predictions(spark, d), "r2"))

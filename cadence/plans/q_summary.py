@@ -108,7 +108,7 @@ def a10_growth_stats(spark, d):
 
 
 @query("a11_median_split", rounded(with_panel(
-    """SELECT m AS median_split_value, count_if(s > m) AS n_high, count_if(NOT (s > m)) AS n_low,
+    """SELECT m AS median_split_value, CAST(count_if(s > m) AS BIGINT) AS n_high, CAST(count_if(NOT (s > m)) AS BIGINT) AS n_low,
               avg(CASE WHEN s > m THEN o END) AS high_mean, avg(CASE WHEN NOT (s > m) THEN o END) AS low_mean,
               avg(CASE WHEN NOT (s > m) THEN o END) - avg(CASE WHEN s > m THEN o END) AS difference,
               (avg(CASE WHEN NOT (s > m) THEN o END) - avg(CASE WHEN s > m THEN o END)) > 0 AS paradox_confirmed
