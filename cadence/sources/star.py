@@ -94,7 +94,9 @@ def panel_month(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFram
     lf = of.join(lines, of.o_orderkey == lines.l_orderkey, "left")
     zero = F.lit(0).cast("decimal(24,4)")
     # order attributes ride along as max() (constant within an order), so the
-    # per-order grouping key stays the single order key
+    # per-order grouping key stays the single order key; the join output is
+    # already sorted by it, which the (sort-based) aggregate reuses - measured
+    # faster than hashing all eight order attributes as keys
     per_order = lf.groupBy("o_orderkey").agg(
         *[F.max(c).alias(c) for c in (*keys, "price", "urgent", "low_priority", "building")],
         F.sum("rev").alias("rev_dec"),
