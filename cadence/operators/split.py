@@ -32,6 +32,12 @@ def modulo_split(df: DataFrame, expr: Column, modulus: int = 10, train_buckets:
 
 def global_ordinal(df: DataFrame, spec: PanelSpec, out: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """0-based position of every row in (entity, period) order, without a single-task sort."""
+    return _ordinal_and_count(df, spec, out, partitions)[0]
+
+
+def _ordinal_and_count(df: DataFrame, spec: PanelSpec, out: str = "ordinal",
+                       partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``global_ordinal`` plus the row count, which falls out of the partition totals."""
     counts = df.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("__cnt"))
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = counts.repartitionByRange(nparts, spec.entity).withColumn("__pid", F.spark_partition_id())
@@ -48,7 +54,7 @@ def global_ordinal(df: DataFrame, spec: PanelSpec, out: str = "ordinal", partiti
                            .alias("__offset")) if offset_map is not None else local.select(
         spec.entity, F.col("__local").alias("__offset"))
     rank = F.row_number().over(spec.window()) - 1
-    return df.join(offsets, spec.entity).withColumn(out, F.col("__offset") + rank).drop("__offset")
+    return df.join(offsets, spec.entity).withColumn(out, F.col("__offset") + rank).drop("__offset"), acc
 
 
 def ordered_split(df: DataFrame, spec: PanelSpec, test_size: float = 0.2, out: str = "is_train",
@@ -60,9 +66,9 @@ def ordered_split(df: DataFrame, spec: PanelSpec, test_size: float = 0.2, out: s
     if by == "period":
         cut = df.approxQuantile(spec.period, [1.0 - test_size], 0.0)[0]
         return df.withColumn(out, F.col(spec.period) < F.lit(cut))
-    n = df.count()
+    o, n = _ordinal_and_count(df, spec)
     split_idx = int(n * (1.0 - test_size))
-    return global_ordinal(df, spec).withColumn(out, F.col("ordinal") < F.lit(split_idx))
+    return o.withColumn(out, F.col("ordinal") < F.lit(split_idx))
 
 
 def kfold_expr(ordinal: Column, n: int, k: int) -> Column:
@@ -82,8 +88,7 @@ def ts_fold_expr(ordinal: Column, n: int, k: int) -> Column:
 
 def add_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
     """M3: ordinal, contiguous K-fold id and expanding time-series fold id."""
-    n = df.count()
-    o = global_ordinal(df, spec)
+    o, n = _ordinal_and_count(df, spec)
     return o.withColumn("fold", kfold_expr(F.col("ordinal"), n, k)).withColumn(
         "ts_fold", ts_fold_expr(F.col("ordinal"), n, k))
 
