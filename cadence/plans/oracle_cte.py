@@ -56,7 +56,9 @@ oa AS (
   SELECT entity, entity_no, period, SUM(price) AS gdp_dec,
          SUM(CASE WHEN urgent THEN price ELSE 0 END) AS urgent_dec,
          count_if(low_priority) AS n_low, count_if(building) AS n_building, count(*) AS n_orders
-  FROM of GROUP BY entity, entity_no, period),
+  FROM of WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey
+                                JOIN supplier ON l_suppkey = s_suppkey)
+  GROUP BY entity, entity_no, period),
 lf AS (
   SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
          split_part(p_type, ' ', 1) AS p_class, s_nationkey, of.c_nationkey,
@@ -76,7 +78,7 @@ la AS (
 pm_raw AS (
   SELECT entity, entity_no, replace(entity, '_', ' ') AS entity_name, period,
     {_MASKED}
-  FROM oa LEFT JOIN la USING (entity, entity_no, period)),
+  FROM oa JOIN la USING (entity, entity_no, period)),
 panel_month AS (
   SELECT *, (last_value(gdp_level IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
              / NULLIF(last_value(gdp_level IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
