@@ -100,9 +100,11 @@ _PRED = f"""
 preds AS (
   SELECT * FROM (
     SELECT entity, period, lead(gdp_growth) OVER ({_W}) AS y, gdp_growth AS persistence,
-           avg(gdp_growth) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expanding_mean,
-           avg(gdp_growth) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling3
-    FROM panel_month)
+           sum(g) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             / count(g) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expanding_mean,
+           sum(g) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+             / count(g) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling3
+    FROM (SELECT *, gdp_growth - fmod(gdp_growth, 2.3283064365386963e-10) AS g FROM panel_month))
   WHERE y IS NOT NULL AND persistence IS NOT NULL AND expanding_mean IS NOT NULL AND rolling3 IS NOT NULL),
 long_preds AS (FROM preds UNPIVOT (yhat FOR model IN (persistence, expanding_mean, rolling3)))"""
 
@@ -114,7 +116,7 @@ metrics AS (
   FROM (SELECT *, CASE WHEN n < 2 THEN NULL WHEN sst = 0 THEN CASE WHEN ssr = 0 THEN 1.0 ELSE 0.0 END
                        ELSE 1.0 - ssr / sst END AS r2
         FROM (SELECT model, count(*) AS n, sum((y - yhat) * (y - yhat)) AS ssr, var_pop(y) * count(*) AS sst,
-                     avg(abs(y - yhat)) AS mae, CAST(sum(CAST(abs(y - yhat) / GREATEST(abs(y), {EV.EPS}) AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS mape_r,
+                     avg(abs(y - yhat)) AS mae, ((COALESCE(sum(((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625))), 0.0) + COALESCE(sum((((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - ((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625))) - fmod((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - ((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625)), 9.094947017729282e-13))), 0.0)) + CAST(4503599627370496 AS DOUBLE) * (COALESCE(sum(((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625))), 0.0) + COALESCE(sum((((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - ((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625))) - fmod((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - ((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625)), 9.094947017729282e-13))), 0.0))) / count(*) AS mape_r,
                      avg(y - yhat) AS mean_residual, stddev_pop(y - yhat) AS std_residual,
                      max(abs(y - yhat)) AS max_error
               FROM long_preds GROUP BY model)))"""
@@ -123,11 +125,17 @@ PREDICTORS = ["persistence", "expanding_mean", "rolling3"]
 
 
 def predictions(spark, d):
+    """Three column predictors of next-period growth.  Their window sums run on
+    the 2^-32 grid (exact, order-independent), so every engine produces the same
+    doubles - which matters because the percentage error of a zero target
+    scales a prediction's last bit by 2^52."""
     w = SPEC.window()
-    p = month(spark, d).select(
+    g = F.col("gdp_growth") - F.pmod(F.col("gdp_growth"), F.lit(2.0 ** -32))
+    run, last3 = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(-2, 0)
+    p = month(spark, d).withColumn("__g", g).select(
         "entity", "period", F.lead("gdp_growth").over(w).alias("y"), F.col("gdp_growth").alias("persistence"),
-        F.avg("gdp_growth").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("expanding_mean"),
-        F.avg("gdp_growth").over(w.rowsBetween(-2, 0)).alias("rolling3")).na.drop("any")
+        (F.sum("__g").over(run) / F.count("__g").over(run)).alias("expanding_mean"),
+        (F.sum("__g").over(last3) / F.count("__g").over(last3)).alias("rolling3")).na.drop("any")
     return EV.stack_predictions(p, ["entity", "period"], "y", PREDICTORS)
 
 
