@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, chat, packing, syncmers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op6_chat_formatting")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql("""SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+                       AS t(conv_id, turn, role, text)""")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(rows.unionByName(own)))
+
+
+@query("op7_closed_syncmers")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"),
