@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, packing, syncmers
+from . import bpe, chat, mips, packing, syncmers, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op4_warc_capture_index", """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.scan_index(warc.archive_and_index(table(spark, sf_dir, "pages")))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_exact_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.c, d.c) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.c) = len(d.c)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mips.top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
+
+
 @query("op6_chat_formatting")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.sql("""SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')
