@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mips, packing, syncmers, warc
-from .common import table
+from . import bpe, chat, mips, nbsvm, packing, syncmers, toxicity, warc
+from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,7 +68,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> nbsvm.Model | None:
+    sample = nbsvm.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality",
+                                   id_remainder("doc_id", 4) != 2, nbsvm.SAMPLE)
+    return nbsvm.train(sample)
+
+
+@query("op8_nb_svm_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = nbsvm.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), threshold=0.7)
+    return scored.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    sample = nbsvm.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic",
+                                   id_remainder("doc_id", 5) != 0, toxicity.SAMPLE)
+    return toxicity.train(sample)
+
+
+@query("op10_toxicity_grammar")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir), threshold=0.5)
+    return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
