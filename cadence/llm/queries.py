@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mips, nbsvm, packing, syncmers, toxicity, warc
+from . import bpe, chat, mips, nbsvm, ngram_join, packing, syncmers, toxicity, warc
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,27 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_ngram_jaccard_join", """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, unnest(s) AS g FROM s),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (
+  WITH RECURSIVE c(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM n UNION SELECT f.b, c.root FROM c JOIN f ON f.a = c.doc_id AND c.root < f.b)
+  SELECT doc_id, min(root) AS component_id FROM c GROUP BY doc_id)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, component_id FROM n JOIN r USING (doc_id)""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
@@ -44,8 +65,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_exact_top_k", """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.c, d.c) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.c) = len(d.c)),
