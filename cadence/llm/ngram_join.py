@@ -23,7 +23,6 @@ nothing and has a null component; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -33,8 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .common import bounded_batches, doc_text, shuffle_parts, utf8_buffer
+from .common import bounded_batches, doc_text, kept, shuffle_parts, utf8_buffer
 from .components import components
 from .shingles import mix, sets
 
@@ -46,13 +44,6 @@ NODES = "doc_id long, node long, n int, chunk int, task long, counts binary"
 POSTS = "token long, node long, n int, pos int"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: compressed, and its lineage ends there."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def prefix_length(n):
     return n - (3 * n + 3) // 4 + 1
 

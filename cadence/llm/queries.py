@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mips, nbsvm, ngram_join, packing, syncmers, toxicity, warc
+from . import bpe, chat, lm, mips, nbsvm, ngram_join, packing, syncmers, toxicity, warc
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op3_elias_fano_lm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("op4_warc_capture_index", """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
