@@ -47,6 +47,19 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text ``decide`` keeps: Arrow text column (no nulls) to a list of booleans."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(at).cast(pa.string()).fill_null("")
+            yield b.filter(pa.array(decide(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def utf8_buffer(col: pa.Array):
     """Bytes of all texts of an Arrow string column (no nulls) and the offsets between them."""
     import numpy as np

@@ -16,6 +16,7 @@ an empty table gives no rows; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, doc_text, utf8_buffer
+from .common import bounded_batches, doc_text, keep_rows, utf8_buffer
 
 SAMPLE = 8000
 REPEATS = 1 << 17  # after 2^16 bigrams and 2^16 buckets of trigrams: indicators of a word pair that is one word twice
@@ -156,7 +157,7 @@ def train(sample_rows: DataFrame) -> Model | None:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
-        got.sort(key=lambda r: (zlib_hash(r[0]), r[0], r[2]))
+        got.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[2]))
         m = fit([np.frombuffer(r[2], "<i4") for r in got], np.array([r[1] for r in got]))
         yield pa.RecordBatch.from_arrays([pa.array([m.blob()] if m else [], pa.binary())], names=["model"])
 
@@ -165,22 +166,31 @@ def train(sample_rows: DataFrame) -> Model | None:
     return Model.read(bytes(got[0].model)) if got else None
 
 
-def zlib_hash(i: int) -> int:
-    import zlib
-    return zlib.crc32(str(i).encode())
+def scorer(docs: DataFrame, model: Model | None):
+    """A function from an Arrow text column to scores; the model (half a MB, whatever the data) is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.blob() if model else None)
+
+    def scores(texts: pa.Array) -> list[float]:
+        m = Model.read(shared.value) if shared.value else None
+        seen = np.zeros(BUCKETS, bool)
+        data, off = utf8_buffer(texts)
+        return [m.score(features(data[off[i]:off[i + 1]], seen)) if m else 0.5 for i in range(len(texts))]
+    return scores
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
-    """(doc_id, score, predicted) of every row, by the broadcast model (half a MB, whatever the data)."""
+    """(doc_id, score, predicted) of every row."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model.blob() if model else None)
+    scores = scorer(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model.read(shared.value) if shared.value else None
-        seen = np.zeros(BUCKETS, bool)
         for b in batches:
-            data, off = utf8_buffer(b.column(1))
-            s = [m.score(features(data[off[i]:off[i + 1]], seen)) if m else 0.5 for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(b.column(1)), pa.float64())], names=["doc_id", "score"])
 
     return doc_text(docs).mapInArrow(run, SCORES).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
+    """The rows of at least ``threshold``, with all their columns; all of them without a model."""
+    scores = scorer(docs, model)
+    return keep_rows(docs, lambda texts: [s >= threshold for s in scores(texts)]) if model else docs

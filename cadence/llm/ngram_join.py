@@ -253,6 +253,17 @@ def join_documents(docs: DataFrame) -> DataFrame:
     return with_components(docs, nodes, links)
 
 
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of each component's smallest document; of rows that repeat its id the one
+    with the smallest text.  Rows with a null id stay."""
+    stay = join_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
+    key = F.col("doc_id").cast("long")
+    first = Window.partitionBy(key).orderBy("text")
+    own = (docs.join(stay, key == F.col("_stay"), "left_semi").withColumn("_place", F.row_number().over(first))
+           .where("_place = 1").drop("_place"))
+    return own.unionByName(docs.where(key.isNull()))
+
+
 def with_components(docs: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Smallest document of each row's component: nodes joined by links, and by ids that have several texts."""
     own = nodes.where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()

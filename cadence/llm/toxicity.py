@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, doc_text
+from .common import bounded_batches, doc_text, keep_rows
 from .nbsvm import curve
 
 SAMPLE = 8000
@@ -273,16 +273,33 @@ def train(sample_rows: DataFrame) -> Model:
     return Model.load(got[0].model) if got else Model({}, {}, THREATS)
 
 
+def matcher(docs: DataFrame, model: Model):
+    """A function from an Arrow text column to each text's (score, matched clauses); the model, at most ``MOST_ENTRIES``
+    patterns, is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.dump())
+
+    def found(texts: pa.Array) -> list[tuple[float, int]]:
+        m = Model.load(shared.value)
+        clauses = [[c[2] for c in m.matched(t)] for t in texts.to_pylist()]
+        return [(m.score(c), len(c)) for c in clauses]
+    return found
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, score, matched clauses, predicted) of every row; the model has at most ``MOST_ENTRIES`` patterns."""
+    """(doc_id, score, matched clauses, predicted) of every row."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model.dump())
+    found = matcher(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model.load(shared.value)
         for b in batches:
-            found = [[c[2] for c in m.matched(t)] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m.score(f) for f in found], pa.float64()),
-                                              pa.array([len(f) for f in found], pa.int32())], names=["doc_id", "score", "clauses"])
+            got = found(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s for s, _ in got], pa.float64()),
+                                              pa.array([n for _, n in got], pa.int32())], names=["doc_id", "score", "clauses"])
 
     return doc_text(docs).mapInArrow(run, SCORES).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows below ``threshold``, with all their columns."""
+    found = matcher(docs, model)
+    return keep_rows(docs, lambda texts: [s < threshold for s, _ in found(texts)])
