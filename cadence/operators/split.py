@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.session import materialize
 from cadence.spec import PanelSpec
 
 
@@ -37,24 +38,23 @@ def global_ordinal(df: DataFrame, spec: PanelSpec, out: str = "ordinal", partiti
 
 def _ordinal_and_count(df: DataFrame, spec: PanelSpec, out: str = "ordinal",
                        partitions: int | None = None) -> tuple[DataFrame, int]:
-    """``global_ordinal`` plus the row count, which falls out of the partition totals."""
+    """``global_ordinal`` plus the row count, which falls out of the partition totals.
+
+    The range-partitioned counts are materialised once, so partition numbers, local sums and totals are all taken
+    from the same rows; the offsets are a table of one row per partition, joined.
+    """
     counts = df.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("__cnt"))
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(nparts, spec.entity).withColumn("__pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "__local", F.sum("__cnt").over(Window.partitionBy("__pid").orderBy(spec.entity)
-                                       .rowsBetween(Window.unboundedPreceding, 0)) - F.col("__cnt"))
-    totals = {r["__pid"]: r["t"] for r in ranged.groupBy("__pid").agg(F.sum("__cnt").alias("t")).collect()}
-    base, acc = {}, 0
-    for pid in sorted(totals):  # one number per partition: bounded by the partition count
-        base[pid] = acc
-        acc += totals[pid]
-    offset_map = F.create_map(*[x for pid, b in base.items() for x in (F.lit(pid), F.lit(b))]) if base else None
-    offsets = local.select(spec.entity, (F.coalesce(offset_map[F.col("__pid")], F.lit(0)) + F.col("__local"))
-                           .alias("__offset")) if offset_map is not None else local.select(
-        spec.entity, F.col("__local").alias("__offset"))
+    ranged = materialize(counts.repartitionByRange(nparts, spec.entity).withColumn("__pid", F.spark_partition_id()))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__pid").agg(F.sum("__cnt").alias("__t"))
+    bases = totals.select("__pid", F.coalesce(F.sum("__t").over(before.orderBy("__pid")), F.lit(0)).alias("__base"))
+    local = F.coalesce(F.sum("__cnt").over(before.partitionBy("__pid").orderBy(spec.entity)), F.lit(0))
+    offsets = (ranged.withColumn("__local", local).join(bases, "__pid")
+               .select(spec.entity, (F.col("__base") + F.col("__local")).alias("__offset")))
     rank = F.row_number().over(spec.window()) - 1
-    return df.join(offsets, spec.entity).withColumn(out, F.col("__offset") + rank).drop("__offset"), acc
+    n = ranged.agg(F.coalesce(F.sum("__cnt"), F.lit(0))).head()[0]
+    return df.join(offsets, spec.entity).withColumn(out, F.col("__offset") + rank).drop("__offset"), int(n)
 
 
 def ordered_split(df: DataFrame, spec: PanelSpec, test_size: float = 0.2, out: str = "is_train",
