@@ -23,37 +23,19 @@ def z_value(confidence: float) -> float:
     return NormalDist().inv_cdf((1.0 + confidence) / 2.0)
 
 
-HI_GRID, LO_GRID = 2.0 ** -8, 2.0 ** -40
-
-
-def _grid_sum(x):
-    """Order-independent sum of non-negative terms, split exactly into a 2^-8 multiple
-    (sums exact up to 2^45) and a remainder below 2^-8 floored to 2^-40 (sums exact
-    for up to 2^21 terms); the two exact sums are added once."""
-    hi = x - F.pmod(x, F.lit(HI_GRID))
-    lo = (x - hi) - F.pmod(x - hi, F.lit(LO_GRID))
-    return F.coalesce(F.sum(hi), F.lit(0.0)) + F.coalesce(F.sum(lo), F.lit(0.0))
-
-
 def metrics(long_df: DataFrame, model: str = "model", y: str = "y", yhat: str = "yhat",
             p: int = 1) -> DataFrame:
     """r2, rmse, mae, mape (x100), adj_r2, mean/std (population) residual, max error.
 
-    mape = mean(|e| / max(|y|, eps)) with eps = 2^-52.  A zero target makes the
-    term |e| * 2^52 (exact), so the sum is split: ordinary ratios and the |e| of
-    near-zero targets are summed order-independently, and the second sum is
-    scaled by 2^52 - the same double in any engine, in any order.
+    mape = mean(|e| / max(|y|, eps)) with eps = 2^-52, so a zero target makes a term of |e| * 2^52.
     """
     e = F.col(y) - F.col(yhat)
     ay, ae = F.abs(F.col(y)), F.abs(e)
-    small = ay < F.lit(EPS)
     g = long_df.groupBy(model).agg(
         F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("ssr"), (F.var_pop(y) * F.count(F.lit(1))).alias("sst"),
         F.avg(ae).alias("mae"),
-        _grid_sum(F.when(~small, ae / ay)).alias("__mape_normal"),
-        _grid_sum(F.when(small, ae)).alias("__mape_small"),
+        F.avg(ae / F.greatest(ay, F.lit(EPS))).alias("mape_r"),
         F.avg(e).alias("mean_residual"), F.stddev_pop(e).alias("std_residual"), F.max(ae).alias("max_error"))
-    g = g.withColumn("mape_r", (F.col("__mape_normal") + F.lit(2.0 ** 52) * F.col("__mape_small")) / F.col("n"))
     r2 = (F.when(F.col("n") < 2, X.null_double())
           .when(F.col("sst") == 0, F.when(F.col("ssr") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - F.col("ssr") / F.col("sst")))

@@ -57,41 +57,26 @@ def _t_pvalue_frame(df: DataFrame, t_col: str, df_col: str, out: str = "p_value"
     return df.mapInPandas(run, schema)
 
 
-TREND_GRID = 2.0 ** -24
-
-
-def _grid_sum(e):
-    """Order-independent sum on a 2^-24 grid (exact while partial sums stay below 2^29)."""
-    return F.sum(e - F.pmod(e, F.lit(TREND_GRID)))
+#: A share of explained variance this near to 1 is a perfect line: the rest is rounding, whatever the unit of measure.
+PERFECT = 1e-12
 
 
 def trend_stats(prep: DataFrame, spec: PanelSpec) -> DataFrame:
     """T2/T4 (SQL part): slope, intercept, r2, slope std error, total change per entity.
 
-    Least squares from sums with the period centred on the entity's first
-    period; every sum is exact and order-independent, so any engine returns
-    the same doubles.
+    Least squares from centred moments (covariance and variances are updated around running means), so
+    nothing depends on the size of the values.
     """
-    t0 = F.min(spec.period).over(Window.partitionBy(spec.entity))
-    c = prep.withColumn("__t0", t0).withColumn("__tc", (F.col(spec.period) - F.col("__t0")).cast("double"))
-    tc, y = F.col("__tc"), F.col("y")
-    g = c.groupBy(spec.entity).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__t0").alias("first_period"), F.max(spec.period).alias("last_period"),
-        F.sum(tc).alias("stc"), F.sum(tc * tc).alias("stc2"), _grid_sum(y).alias("sy"),
-        _grid_sum(tc * y).alias("stcy"), _grid_sum(y * y).alias("syy2"))
-    n = F.col("n").cast("double")
-    sxx = F.col("stc2") - F.col("stc") * F.col("stc") / n
-    sxy = F.col("stcy") - F.col("stc") * F.col("sy") / n
-    syy = F.col("syy2") - F.col("sy") * F.col("sy") / n
-    g = g.withColumn("sxx", sxx).withColumn("sxy", sxy).withColumn("syy", syy)
-    slope = X.share(F.col("sxy"), F.col("sxx"))
-    g = g.withColumn("slope", slope).withColumn(
-        "intercept", F.col("sy") / n - F.col("slope") * (F.col("first_period").cast("double") + F.col("stc") / n))
-    r2 = F.when((F.col("sxx") == 0) | (F.col("syy") <= 0), F.lit(0.0)).otherwise(
-        F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy")))
-    se = F.when(F.col("n") > 2, F.sqrt(F.greatest(F.lit(0.0), (F.lit(1.0) - F.col("r2")) * F.col("syy"))
-                                       / F.col("sxx") / (F.col("n") - 2)))
-    return (g.withColumn("r2", r2).withColumn("std_err", se)
+    t, y = F.col(spec.period).cast("double"), F.col("y")
+    g = prep.groupBy(spec.entity).agg(
+        F.count(F.lit(1)).alias("n"), F.min(spec.period).alias("first_period"), F.max(spec.period).alias("last_period"),
+        F.avg(t).alias("mt"), F.avg(y).alias("my"), F.var_pop(t).alias("vt"), F.var_pop(y).alias("vy"), F.covar_pop(t, y).alias("c"))
+    slope = X.share(F.col("c"), F.col("vt"))
+    fit = X.share(F.col("c") * F.col("c"), F.col("vt") * F.col("vy"))
+    r2 = (F.when((F.col("vt") == 0) | (F.col("vy") <= 0), F.lit(0.0)).when(fit > 1.0 - PERFECT, F.lit(1.0)).otherwise(fit))
+    g = (g.withColumn("slope", slope).withColumn("intercept", F.col("my") - F.col("slope") * F.col("mt")).withColumn("r2", r2))
+    se = F.when(F.col("n") > 2, F.sqrt((F.lit(1.0) - F.col("r2")) * F.col("vy") / F.col("vt") / (F.col("n") - 2)))
+    return (g.withColumn("std_err", se)
             .select(spec.entity, "n", "slope", "intercept", "r2", "std_err",
                     (F.col("slope") * (F.col("last_period") - F.col("first_period"))).alias("total_change")))
 
@@ -122,33 +107,12 @@ def _positions(prep: DataFrame, spec: PanelSpec) -> DataFrame:
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(spec.entity))))
 
 
-GRID = 2.0 ** -32
-
-
-def _exact_sum(e):
-    """Order-independent sum: each term is floored to a multiple of 2^-32
-    (x - pmod(x, 2^-32) is exact), so while partial sums stay below 2^21 every
-    addition is exact and any engine, in any order, returns the same double."""
-    return F.sum(e - F.pmod(e, F.lit(GRID)))
-
-
-def _exact_mean(c: str):
-    return _exact_sum(F.col(c)) / F.count(F.col(c))
-
-
-def _line_sums(cond, prefix: str):
-    pos = F.col("pos")
-    return [F.count_if(cond).alias(f"{prefix}_n"), F.sum(F.when(cond, pos)).cast("double").alias(f"{prefix}_sx"),
-            F.sum(F.when(cond, pos * pos)).cast("double").alias(f"{prefix}_sxx"),
-            _exact_sum(F.when(cond, F.col("ma"))).alias(f"{prefix}_sy"),
-            _exact_sum(F.when(cond, pos.cast("double") * F.col("ma"))).alias(f"{prefix}_sxy")]
-
-
-def _line(n, sx, sxx, sy, sxy):
-    """Least-squares slope and intercept from sums (NULL when fewer than 2 points)."""
-    n = n.cast("double")
-    slope = X.share(n * sxy - sx * sy, n * sxx - sx * sx)
-    return slope, (sy - slope * sx) / n
+def _line(cond, prefix: str):
+    """Least-squares slope and intercept of the moving average on the position, where ``cond`` holds (NULL for fewer
+    than 2 points)."""
+    y, x = F.when(cond, F.col("ma")), F.when(cond, F.col("pos").cast("double"))
+    enough = F.count(y) >= 2
+    return [F.when(enough, F.regr_slope(y, x)).alias(f"{prefix}_slope"), F.when(enough, F.regr_intercept(y, x)).alias(f"{prefix}_intercept")]
 
 
 def decompose(prep: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -174,18 +138,14 @@ def decompose(prep: DataFrame, spec: PanelSpec) -> DataFrame:
     in_front = (F.col("pos") >= front) & (F.col("pos") < F.least(front + F.col("p"), back))
     in_back = (F.col("pos") >= F.greatest(front, back - F.col("p"))) & (F.col("pos") < back)
     pos_d = F.col("pos").cast("double")
-    # End lines and phase means use order-independent exact sums, so every
-    # engine gets the same doubles (a least-squares line through few points).
-    ends = p.groupBy(spec.entity).agg(*_line_sums(in_front, "f"), *_line_sums(in_back, "b"))
+    ends = p.groupBy(spec.entity).agg(*_line(in_front, "f"), *_line(in_back, "b"))
     t = p.join(ends, spec.entity)
-    fs, fi = _line(F.col("f_n"), F.col("f_sx"), F.col("f_sxx"), F.col("f_sy"), F.col("f_sxy"))
-    bs, bi = _line(F.col("b_n"), F.col("b_sx"), F.col("b_sxx"), F.col("b_sy"), F.col("b_sxy"))
-    trend_v = (F.when(F.col("pos") < front, fs * pos_d + fi)
-               .when(F.col("pos") > back, bs * pos_d + bi).otherwise(F.col("ma")))
+    trend_v = (F.when(F.col("pos") < front, F.col("f_slope") * pos_d + F.col("f_intercept"))
+               .when(F.col("pos") > back, F.col("b_slope") * pos_d + F.col("b_intercept")).otherwise(F.col("ma")))
     t = t.withColumn("trend", trend_v).withColumn("detrended", y - F.col("trend")) \
          .withColumn("phase", F.col("pos") % F.col("p"))
-    phase = t.groupBy(spec.entity, "phase").agg(_exact_mean("detrended").alias("phase_mean"))
-    center = phase.groupBy(spec.entity).agg(_exact_mean("phase_mean").alias("phase_center"))
+    phase = t.groupBy(spec.entity, "phase").agg(F.avg("detrended").alias("phase_mean"))
+    center = phase.groupBy(spec.entity).agg(F.avg("phase_mean").alias("phase_center"))
     seas = phase.join(center, spec.entity).select(
         spec.entity, "phase", (F.col("phase_mean") - F.col("phase_center")).alias("seasonal"))
     out = t.join(seas, [spec.entity, "phase"])

@@ -32,13 +32,18 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
-def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every float/double column (top level) to ``digits`` places."""
+#: Means of numbers of few decimals often lie halfway between two roundings, where the engines' last bits would decide.
+#: Both sides of a comparison add this first.
+SHIFT = 1.3e-8
+
+
+def finish(df: DataFrame, digits: int = DIGITS, shift: float = 0.0) -> DataFrame:
+    """Round every float/double column (top level) to ``digits`` places after adding ``shift``."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # "+ 0.0" turns a negative zero into 0.0 so both engines print the same value
-            out.append((F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name))
+            out.append((F.round(F.col(f"`{f.name}`") + F.lit(shift), digits) + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

@@ -116,9 +116,9 @@ def with_panel(body: str, *extra: str, month: bool = True) -> str:
     return "WITH " + ",".join(parts) + "\n" + body
 
 
-def rounded(inner: str, keep: str, digits: int = 6) -> str:
-    """Round every non-key column of ``inner`` (``keep`` = comma list of columns left as is)."""
-    return (f"SELECT {keep}, round(COLUMNS(* EXCLUDE ({keep})), {digits}) + 0 FROM ({inner}) AS q")
+def rounded(inner: str, keep: str, digits: int = 6, shift: float = 0.0) -> str:
+    """Round every non-key column of ``inner`` (``keep`` = comma list of columns left as is); ``shift`` as in ``finish``."""
+    return (f"SELECT {keep}, round(COLUMNS(* EXCLUDE ({keep})) + {shift!r}, {digits}) + 0 FROM ({inner}) AS q")
 
 
 def _gov_mean(cols=("control_corruption", "govt_effectiveness", "political_stability",

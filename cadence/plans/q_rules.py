@@ -100,23 +100,30 @@ _PRED = f"""
 preds AS (
   SELECT * FROM (
     SELECT entity, period, lead(gdp_growth) OVER ({_W}) AS y, gdp_growth AS persistence,
-           sum(g) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-             / count(g) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expanding_mean,
-           sum(g) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
-             / count(g) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling3
-    FROM (SELECT *, gdp_growth - fmod(gdp_growth, 2.3283064365386963e-10) AS g FROM panel_month))
+           avg(gdp_growth) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expanding_mean,
+           avg(gdp_growth) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling3
+    FROM panel_month)
   WHERE y IS NOT NULL AND persistence IS NOT NULL AND expanding_mean IS NOT NULL AND rolling3 IS NOT NULL),
 long_preds AS (FROM preds UNPIVOT (yhat FOR model IN (persistence, expanding_mean, rolling3)))"""
 
+#: Nine significant digits: a zero target makes a term of 2^52 times the error, whose last digits are rounding.
+_NINE = ("CASE WHEN {x} = 0 THEN 0.0 ELSE CAST(concat(CAST(round({x} / CAST(concat('1e', CAST(floor(log10(abs({x}))) - 8 AS INTEGER)) AS DOUBLE))"
+         " AS BIGINT), 'e', CAST(floor(log10(abs({x}))) - 8 AS INTEGER)) AS DOUBLE) END")
+
+
+def nine_digits(df, c="mape"):
+    return df.withColumn(c, F.expr(_NINE.format(x=c)))
+
+
 _METRICS = f"""
 metrics AS (
-  SELECT model, n, r2, sqrt(ssr / n) AS rmse, mae, mape_r * 100.0 AS mape,
+  SELECT model, n, r2, sqrt(ssr / n) AS rmse, mae, {_NINE.format(x="(mape_r * 100.0)")} AS mape,
          1.0 - (1.0 - r2) * (CAST(n - 1 AS DOUBLE) / NULLIF(CAST(n - 2 AS DOUBLE), 0)) AS adj_r2,
          mean_residual, std_residual, max_error
   FROM (SELECT *, CASE WHEN n < 2 THEN NULL WHEN sst = 0 THEN CASE WHEN ssr = 0 THEN 1.0 ELSE 0.0 END
                        ELSE 1.0 - ssr / sst END AS r2
         FROM (SELECT model, count(*) AS n, sum((y - yhat) * (y - yhat)) AS ssr, var_pop(y) * count(*) AS sst,
-                     avg(abs(y - yhat)) AS mae, ((COALESCE(sum(((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625))), 0.0) + COALESCE(sum((((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - ((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625))) - fmod((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - ((CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END) - fmod(CASE WHEN abs(y) >= {EV.EPS} THEN abs(y - yhat) / abs(y) END, 0.00390625)), 9.094947017729282e-13))), 0.0)) + CAST(4503599627370496 AS DOUBLE) * (COALESCE(sum(((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625))), 0.0) + COALESCE(sum((((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - ((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625))) - fmod((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - ((CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END) - fmod(CASE WHEN abs(y) < {EV.EPS} THEN abs(y - yhat) END, 0.00390625)), 9.094947017729282e-13))), 0.0))) / count(*) AS mape_r,
+                     avg(abs(y - yhat)) AS mae, avg(abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)) AS mape_r,
                      avg(y - yhat) AS mean_residual, stddev_pop(y - yhat) AS std_residual,
                      max(abs(y - yhat)) AS max_error
               FROM long_preds GROUP BY model)))"""
@@ -125,40 +132,35 @@ PREDICTORS = ["persistence", "expanding_mean", "rolling3"]
 
 
 def predictions(spark, d):
-    """Three column predictors of next-period growth.  Their window sums run on
-    the 2^-32 grid (exact, order-independent), so every engine produces the same
-    doubles - which matters because the percentage error of a zero target
-    scales a prediction's last bit by 2^52."""
+    """Three column predictors of next-period growth."""
     w = SPEC.window()
-    g = F.col("gdp_growth") - F.pmod(F.col("gdp_growth"), F.lit(2.0 ** -32))
     run, last3 = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(-2, 0)
-    p = month(spark, d).withColumn("__g", g).select(
+    p = month(spark, d).select(
         "entity", "period", F.lead("gdp_growth").over(w).alias("y"), F.col("gdp_growth").alias("persistence"),
-        (F.sum("__g").over(run) / F.count("__g").over(run)).alias("expanding_mean"),
-        (F.sum("__g").over(last3) / F.count("__g").over(last3)).alias("rolling3")).na.drop("any")
+        F.avg("gdp_growth").over(run).alias("expanding_mean"), F.avg("gdp_growth").over(last3).alias("rolling3")).na.drop("any")
     return EV.stack_predictions(p, ["entity", "period"], "y", PREDICTORS)
 
 
-@query("e1_metrics", rounded(with_panel("SELECT * FROM metrics", _PRED, _METRICS), "model, n"))
+@query("e1_metrics", rounded(with_panel("SELECT * FROM metrics", _PRED, _METRICS), "model, n, mape"))
 def e1_metrics(spark, d):
-    return finish(EV.metrics(predictions(spark, d)))
+    return finish(nine_digits(EV.metrics(predictions(spark, d))))
 
 
 @query("e2_compare_models", rounded(with_panel(
     "SELECT *, CAST(row_number() OVER (ORDER BY rmse ASC NULLS LAST, model) AS INTEGER) AS rank FROM metrics", _PRED, _METRICS),
-    "model, n, rank"))
+    "model, n, rank, mape"))
 def e2_compare_models(spark, d):
-    return finish(EV.compare(EV.metrics(predictions(spark, d)), "rmse"))
+    return finish(nine_digits(EV.compare(EV.metrics(predictions(spark, d)), "rmse")))
 
 
 @query("e3_eval_report", rounded(with_panel(
     "SELECT *, rank = 1 AS best FROM (SELECT *, CAST(row_number() OVER (ORDER BY r2 DESC NULLS LAST, model) AS INTEGER) AS rank "
-    "FROM metrics)", _PRED, _METRICS), "model, n, rank, best"))
+    "FROM metrics)", _PRED, _METRICS), "model, n, rank, best, mape"))
 def e3_eval_report(spark, d):
-    return finish(EV.report(predictions(spark, d), "r2"))
+    return finish(nine_digits(EV.report(predictions(spark, d), "r2")))
 
 
-_Z95 = EV.z_value(0.95)
+_Z95 = 1.959963984540054  # the normal quantile of a 95 % interval
 
 
 @query("e4_pred_interval", rounded(with_panel(

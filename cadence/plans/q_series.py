@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadence.operators import series as TS
-from cadence.plans.catalog import finish, query
+from cadence.plans.catalog import SHIFT, finish, query
 from cadence.plans.oracle_cte import PANEL_DAY, rounded, with_panel
 from cadence.sources.star import panel_day
 from cadence.session import materialize
@@ -46,26 +46,22 @@ def t1_prepare(spark, d):
 
 
 _TREND = """
-tr0 AS (SELECT entity, period, y, CAST(period - min(period) OVER (PARTITION BY entity) AS DOUBLE) AS tc,
-               min(period) OVER (PARTITION BY entity) AS t0 FROM prep),
-tr1 AS (SELECT entity, count(*) AS n, min(t0) AS first_period, max(period) AS last_period, sum(tc) AS stc,
-               sum(tc * tc) AS stc2, sum((y) - fmod(y, 5.960464477539063e-08)) AS sy, sum((tc * y) - fmod(tc * y, 5.960464477539063e-08)) AS stcy,
-               sum((y * y) - fmod(y * y, 5.960464477539063e-08)) AS syy2 FROM tr0 GROUP BY entity),
-tr2 AS (SELECT *, stc2 - stc * stc / CAST(n AS DOUBLE) AS sxx, stcy - stc * sy / CAST(n AS DOUBLE) AS sxy,
-               syy2 - sy * sy / CAST(n AS DOUBLE) AS syy FROM tr1),
-tr3 AS (SELECT *, sxy / NULLIF(sxx, 0) AS slope FROM tr2),
-tr4 AS (SELECT *, sy / CAST(n AS DOUBLE) - slope * (CAST(first_period AS DOUBLE) + stc / CAST(n AS DOUBLE)) AS intercept,
-               CASE WHEN sxx = 0 OR syy <= 0 THEN 0.0 ELSE sxy * sxy / (sxx * syy) END AS r2 FROM tr3),
+tr1 AS (SELECT entity, count(*) AS n, min(period) AS first_period, max(period) AS last_period, avg(CAST(period AS DOUBLE)) AS mt,
+               avg(y) AS my, var_pop(CAST(period AS DOUBLE)) AS vt, var_pop(y) AS vy, covar_pop(CAST(period AS DOUBLE), y) AS c
+        FROM prep GROUP BY entity),
+tr2 AS (SELECT *, c / NULLIF(vt, 0) AS slope, c * c / NULLIF(vt * vy, 0) AS fit FROM tr1),
+tr4 AS (SELECT *, my - slope * mt AS intercept,
+               CASE WHEN vt = 0 OR vy <= 0 THEN 0.0 WHEN fit > 1.0 - 1e-12 THEN 1.0 ELSE fit END AS r2 FROM tr2),
 tr AS (
   SELECT entity, n, slope, intercept, r2,
-         CASE WHEN n > 2 THEN sqrt(GREATEST(0.0, (1.0 - r2) * syy) / sxx / (n - 2)) END AS std_err,
+         CASE WHEN n > 2 THEN sqrt((1.0 - r2) * vy / vt / (n - 2)) END AS std_err,
          slope * (last_period - first_period) AS total_change
   FROM tr4)"""
 
 
-@query("t2_trend", rounded(_sql("SELECT * FROM tr", _TREND), "entity, n"))
+@query("t2_trend", rounded(_sql("SELECT * FROM tr", _TREND), "entity, n", shift=SHIFT))
 def t2_trend(spark, d):
-    return finish(TS.trend_stats(prep(spark, d), DAY))
+    return finish(TS.trend_stats(prep(spark, d), DAY), shift=SHIFT)
 
 
 @query("t2_trend_test")
@@ -74,10 +70,10 @@ def t2_trend_test(spark, d):
 
 
 @query("t3_trend_line", rounded(_sql(
-    "SELECT entity, period, y, slope * period + intercept AS trend FROM prep JOIN tr USING (entity)", _TREND), K))
+    "SELECT entity, period, y, slope * period + intercept AS trend FROM prep JOIN tr USING (entity)", _TREND), K, shift=SHIFT))
 def t3_trend_line(spark, d):
     p = prep(spark, d)
-    return finish(TS.trend_line(p, TS.trend_stats(p, DAY), DAY))
+    return finish(TS.trend_line(p, TS.trend_stats(p, DAY), DAY), shift=SHIFT)
 
 
 _DEC = f"""
@@ -89,21 +85,24 @@ dr AS (SELECT *, CAST(p / 2 AS INTEGER) AS k,
               WHEN p = 3 THEN (lag(y, 1) OVER ({_W}) + y + lead(y, 1) OVER ({_W})) / 3.0
               ELSE (0.5 * lag(y, 1) OVER ({_W}) + y + 0.5 * lead(y, 1) OVER ({_W})) / 2.0 END AS ma0 FROM dq),
 ds AS (SELECT *, CASE WHEN pos >= k AND pos <= n - 1 - k THEN ma0 END AS ma, k AS front, n - 1 - k AS back FROM dr),
-de AS (SELECT entity, count_if(pos >= front AND pos < LEAST(front + p, back)) AS f_n, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos END) AS DOUBLE) AS f_sx, CAST(sum(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN pos * pos END) AS DOUBLE) AS f_sxx, sum((CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END) - fmod(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END, 2.3283064365386963e-10)) AS f_sy, sum((CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) * ma END) - fmod(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) * ma END, 2.3283064365386963e-10)) AS f_sxy, count_if(pos >= GREATEST(front, back - p) AND pos < back) AS b_n, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos END) AS DOUBLE) AS b_sx, CAST(sum(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN pos * pos END) AS DOUBLE) AS b_sxx, sum((CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END) - fmod(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END, 2.3283064365386963e-10)) AS b_sy, sum((CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) * ma END) - fmod(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) * ma END, 2.3283064365386963e-10)) AS b_sxy FROM ds GROUP BY entity),
-dt AS (SELECT ds.*, CASE WHEN pos < front THEN ((CAST(f_n AS DOUBLE) * f_sxy - f_sx * f_sy) / NULLIF(CAST(f_n AS DOUBLE) * f_sxx - f_sx * f_sx, 0)) * CAST(pos AS DOUBLE) + ((f_sy - ((CAST(f_n AS DOUBLE) * f_sxy - f_sx * f_sy) / NULLIF(CAST(f_n AS DOUBLE) * f_sxx - f_sx * f_sx, 0)) * f_sx) / CAST(f_n AS DOUBLE))
-                         WHEN pos > back THEN ((CAST(b_n AS DOUBLE) * b_sxy - b_sx * b_sy) / NULLIF(CAST(b_n AS DOUBLE) * b_sxx - b_sx * b_sx, 0)) * CAST(pos AS DOUBLE) + ((b_sy - ((CAST(b_n AS DOUBLE) * b_sxy - b_sx * b_sy) / NULLIF(CAST(b_n AS DOUBLE) * b_sxx - b_sx * b_sx, 0)) * b_sx) / CAST(b_n AS DOUBLE)) ELSE ma END AS trend
+de AS (SELECT entity, CASE WHEN count(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END) >= 2 THEN regr_slope(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END, CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) END) END AS f_slope,
+               CASE WHEN count(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END) >= 2 THEN regr_intercept(CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN ma END, CASE WHEN pos >= front AND pos < LEAST(front + p, back) THEN CAST(pos AS DOUBLE) END) END AS f_intercept,
+               CASE WHEN count(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END) >= 2 THEN regr_slope(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END, CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) END) END AS b_slope,
+               CASE WHEN count(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END) >= 2 THEN regr_intercept(CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN ma END, CASE WHEN pos >= GREATEST(front, back - p) AND pos < back THEN CAST(pos AS DOUBLE) END) END AS b_intercept FROM ds GROUP BY entity),
+dt AS (SELECT ds.*, CASE WHEN pos < front THEN f_slope * CAST(pos AS DOUBLE) + f_intercept
+                         WHEN pos > back THEN b_slope * CAST(pos AS DOUBLE) + b_intercept ELSE ma END AS trend
        FROM ds JOIN de USING (entity)),
 du AS (SELECT *, y - trend AS detrended, pos % p AS phase FROM dt),
-ph AS (SELECT entity, phase, sum((detrended) - fmod(detrended, 2.3283064365386963e-10)) / count(detrended) AS phase_mean FROM du GROUP BY entity, phase),
-pc AS (SELECT entity, sum((phase_mean) - fmod(phase_mean, 2.3283064365386963e-10)) / count(phase_mean) AS phase_center FROM ph GROUP BY entity),
+ph AS (SELECT entity, phase, avg(detrended) AS phase_mean FROM du GROUP BY entity, phase),
+pc AS (SELECT entity, avg(phase_mean) AS phase_center FROM ph GROUP BY entity),
 dec AS (SELECT du.entity, du.period, du.y AS observed, du.trend, ph.phase_mean - pc.phase_center AS seasonal,
                du.detrended - (ph.phase_mean - pc.phase_center) AS resid, du.p AS period_length
         FROM du JOIN ph USING (entity, phase) JOIN pc USING (entity))"""
 
 
-@query("t5_decompose", rounded(_sql("SELECT * FROM dec", _DEC), "entity, period, period_length"))
+@query("t5_decompose", rounded(_sql("SELECT * FROM dec", _DEC), "entity, period, period_length", shift=SHIFT))
 def t5_decompose(spark, d):
-    return finish(TS.decompose(prep(spark, d), DAY))
+    return finish(TS.decompose(prep(spark, d), DAY), shift=SHIFT)
 
 
 @query("t6_var_share", rounded(_sql(
