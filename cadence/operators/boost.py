@@ -6,7 +6,7 @@ points.  Parameter names map from the reference's grid:
 n_estimators -> maxIter, learning_rate -> stepSize, max_depth -> maxDepth,
 min_samples_leaf -> minInstancesPerNode, subsample -> subsamplingRate
 (min_samples_split has no Spark counterpart).  The default grid is small; the
-reference's 216-point grid is ``REFERENCE_GRID``.
+full 108-point grid (the parameters that Spark's booster has) is ``REFERENCE_GRID``.
 """
 
 from __future__ import annotations

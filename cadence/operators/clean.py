@@ -196,6 +196,11 @@ def quality_score(df: DataFrame, spec: PanelSpec, caution: DataFrame,
                     .otherwise("Low").alias("quality_level")))
 
 
+def caution_rows(scores: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Every entity with a caution, with its level and the reason."""
+    return scores.filter(F.col("has_caution")).select(spec.entity, "quality_level", "caution_reason")
+
+
 def quality_summary(scores: DataFrame, spec: PanelSpec, examples: int = 5) -> DataFrame:
     """Entities per quality level, how many carry a caution, and the first ``examples``
     caution entities (a top-k; the full list is a filter of the score table)."""

@@ -143,6 +143,11 @@ def calinski_harabasz(labeled: DataFrame, zcols: Sequence[str], label: str = "cl
                       X.share(F.col("B") / (F.col("k") - 1), F.col("W") / (F.lit(n) - F.col("k"))).alias("calinski_harabasz"))
 
 
+def members(labeled: DataFrame, label: str = "cluster", key: str = "entity", name: str | None = "entity_name") -> DataFrame:
+    """Every member of every cluster, one row each."""
+    return labeled.select(label, key, *([name] if name and name in labeled.columns else []))
+
+
 def profiles(labeled: DataFrame, features: Sequence[str], label: str = "cluster", key: str = "entity",
              name: str | None = "entity_name", examples: int = 5) -> DataFrame:
     """U4: per cluster: entity count, feature means and the first ``examples`` members (a top-k).

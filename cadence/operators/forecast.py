@@ -140,6 +140,15 @@ def evaluate(fc: Forecaster, test: DataFrame, spark) -> DataFrame:
                     F.lit(float(arr.std()) if arr.size else None).cast("double").alias("std_cv_r2"))
 
 
+def spread(df: DataFrame, members, k: int, out: str = "__std") -> DataFrame:
+    """Population standard deviation of an array of ``k`` values, from differences to their mean."""
+    df = df.withColumn("__members", members)
+    df = df.withColumn("__mean", F.aggregate("__members", F.lit(0.0), lambda a, x: a + x) / F.lit(float(k)))
+    off = F.transform("__members", lambda x: x - F.col("__mean"))
+    return (df.withColumn(out, F.sqrt(F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x) / F.lit(float(k))))
+            .drop("__members", "__mean"))
+
+
 def ensemble_interval(fc: Forecaster, df: DataFrame, confidence: float = 0.95) -> DataFrame:
     """Prediction +- z x population std of the ensemble's member predictions.
 
@@ -163,10 +172,8 @@ def ensemble_interval(fc: Forecaster, df: DataFrame, confidence: float = 0.95) -
             staged.append(acc)
         members = F.array(*staged)
     k = len(names)
-    mean = F.aggregate(members, F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
-    sq = F.aggregate(members, F.lit(0.0), lambda a, x: a + x * x) / F.lit(float(k))
-    std = F.sqrt(F.greatest(F.lit(0.0), sq - mean * mean))
-    out = fc.tree_model.transform(s).withColumn("__std", std)
+    s = spread(s, members, k)
+    out = fc.tree_model.transform(s)
     return (out.withColumn("lower", F.col("prediction") - F.lit(z) * F.col("__std"))
             .withColumn("upper", F.col("prediction") + F.lit(z) * F.col("__std"))
             .drop("features", "__std", *names, *fc.zcols()))

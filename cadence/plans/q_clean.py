@@ -177,6 +177,11 @@ def d6_quality_summary(spark, d):
     return finish(CL.quality_summary(_quality(spark, d), SPEC))
 
 
+@query("d6_caution_rows", with_panel("SELECT entity, quality_level, caution_reason FROM quality WHERE has_caution", FEATURES, _CAUTION, _QUALITY))
+def d6_caution_rows(spark, d):
+    return finish(CL.caution_rows(_quality(spark, d), SPEC))
+
+
 _ANULLS = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in CL.AVAILABILITY_COLS)
 
 

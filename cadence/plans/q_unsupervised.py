@@ -115,6 +115,11 @@ def _profiles(spark, d):
     return lab, CU.profiles(lab, FEATS)
 
 
+@query("u4_members", with_panel("SELECT cluster, entity, entity_name FROM lab", *_PREFIX))
+def u4_members(spark, d):
+    return CU.members(labelled(spark, d)[0])
+
+
 @query("u4_profiles", rounded(with_panel("SELECT * FROM prof", *_PREFIX, _PROF), _PKEEP))
 def u4_profiles(spark, d):
     return finish(_profiles(spark, d)[1])

@@ -37,6 +37,7 @@ def cluster_conf(input_tb: float = 100.0, executors: int = 1000, cores_per_execu
         "spark.sql.files.maxPartitionBytes": "512m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.shuffle.service.enabled": "true",
         "spark.decommission.enabled": "true",
         "spark.storage.decommission.shuffleBlocks.enabled": "true",
@@ -59,6 +60,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CADENCE_DRIVER_MEMORY", "16g"))
