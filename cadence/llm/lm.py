@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, doc_text, kept, shuffle_parts, utf8_buffer
+from .common import bounded_batches, doc_text, kept, pressed, read, shuffle_parts, steps, utf8_buffer
 from .elias_fano import ALPHA, LAMBDA, TrieLevel
 from .shingles import BATCH, words
 
@@ -51,23 +51,6 @@ def rows_of(rows: list[tuple]) -> list[pa.Array]:
     return [pa.array([r[i] if i < len(r) else None for r in rows], t) for i, t in enumerate(TYPES)]
 
 
-def pressed(x: np.ndarray) -> bytes:
-    """Numbers with equal bytes side by side, compressed."""
-    x = np.ascontiguousarray(x)
-    return x.dtype.str.encode() + b":" + zlib.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes(), 1)
-
-
-def read(data: bytes) -> np.ndarray:
-    kind, _, rest = data.partition(b":")
-    t = np.dtype(kind.decode())
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(rest), np.uint8).reshape(t.itemsize, -1).T).view(t).reshape(-1)
-
-
-def steps(x: np.ndarray) -> np.ndarray:
-    """Differences of a non-decreasing sequence."""
-    return np.diff(x, prepend=x[:1] * 0)
-
-
 def held_out(doc: int | None) -> bool:
     return zlib.crc32(b"" if doc is None else str(doc).encode()) % HELD_OUT[0] == HELD_OUT[1]
 

@@ -3,18 +3,19 @@
 Texts with equal shingle sets are one node, known by a 64-bit signature of the set.  Two nodes with similarity of at least 3/4
 share a shingle among the rarest quarter (and one) of each, whatever fixed order "rarest" means, so:
 
-1. one pass over the texts makes signatures and a count sketch of all shingles (a fixed number of counters, added up over
-   tasks in two steps); its logarithms, 4 MB whatever the data, are the order, ties by hash;
+1. one pass over the texts makes signatures and a count sketch of all shingles (2^24 counters, added up over
+   tasks in two steps); its logarithms, 16 MB whatever the data, are the order, ties by hash;
 2. a second pass puts out each text's prefix as postings (shingle, node, set size, position), shuffled by shingle;
-3. chain round: within a shingle's postings, sorted by set size, neighbours are candidates; those that pass the length,
-   positional and suffix filters are verified on the whole sets, once per pair, and linked;
-4. full round: postings whose shingle still joins several components are joined pair by pair, but only across
-   components, filtered and verified the same way.  A pair inside one component needs no check, since only
-   components are asked for; so a group of n near-copies costs about n checks, and no link between components is lost.
+3. chain round: within a shingle's postings, sorted by set size, neighbours are candidates; those that pass the filters are
+   verified on the whole sets, once per pair, and linked;
+4. full round: postings whose shingle still joins several components are joined pair by pair, but only
+   across components, filtered and verified the same way, the best pair of two components first.  A pair inside one
+   component needs no check, since only components are asked for; so a group of n near-copies costs about n
+   checks, and no link between components is lost.
 
-Filters (sizes a, b; needed overlap at least 3 (a + b) / 7):
-length 4 min(a, b) >= 3 max(a, b);  positional: a common shingle at places i, j leaves at most
-min(i, j) + min(a - i, b - j);  suffix: sets divided into ranges of hashes share at most the sum of the smaller counts.
+Filters (sizes a, b; needed overlap at least 3 (a + b) / 7): length 4 min(a, b) >= 3 max(a, b); positional: of a linked pair's first
+common shingle, at places i and j, a - i + 1 and b - j + 1 are at least the needed overlap; suffix: sets divided into ranges of
+hashes share at most the sum of the smaller counts.
 
 Edge cases: a null text, an empty one and one without words have size 0 and are linked with nothing; a text of fewer
 words than a shingle has one; rows that share an id are one document (each row is returned); a null id links with
@@ -23,7 +24,6 @@ nothing and has a null component; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, doc_text, kept, shuffle_parts, utf8_buffer
+from .common import bounded_batches, doc_text, kept, pressed, read, shuffle_parts, steps, utf8_buffer
 from .components import components
 from .shingles import mix, sets
 
 WORDS = 5
-COUNTERS, CHUNKS = 1 << 22, 64
-RANGES = 256  # of the suffix filter
+COUNTERS, CHUNKS = 1 << 24, 128
+COUNTER_SHIFT = np.uint64(40)
+RANGES = 128  # of the suffix filter
+RANGE_SHIFT = np.uint64(57)
 BLOOM_BITS = 1 << 23
-NODES = "doc_id long, node long, n int, chunk int, task long, counts binary"
+SIGNED = "doc_id long, node long, n int, chunk int, task long, data binary, more binary"
 POSTS = "token long, node long, n int, pos int"
 
 
@@ -55,55 +57,67 @@ def signature(h: np.ndarray) -> int:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """A row (doc_id, node, n) per document, and per task rows (chunk, task, counts) of its share of the sketch."""
+    """A row (doc_id, node, n, data: counts of the set's hashes by range) per document, and per task rows (chunk, task, data,
+    more) of its share of the sketch: places and counts of its counters that are not 0."""
+    names = [c.split()[0] for c in SIGNED.split(", ")]
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
         for b in batches:
             data, off = utf8_buffer(b.column(1))
-            node, n = [], []
-            for _, cuts, h in sets(data, off, WORDS):
-                counts += np.bincount((h >> np.uint64(42)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+            ids, rows = b.column(0).to_pylist(), []
+            for a, cuts, h in sets(data, off, WORDS):
+                at, times = np.unique(h >> COUNTER_SHIFT, return_counts=True)
+                counts[at] += times.astype(np.uint32)
                 for i in range(len(cuts) - 1):
                     own = h[cuts[i]:cuts[i + 1]]
-                    n.append(len(own))
-                    node.append(signature(own) if len(own) else None)
-            none = pa.nulls(b.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.binary())],
-                names=["doc_id", "node", "n", "chunk", "task", "counts"])
+                    rows.append((ids[a + i], signature(own), len(own), None, None, pressed(ranges(own)), None) if len(own)
+                                else (ids[a + i], None, 0, None, None, None, None))
+            yield batch(rows)
         task, size = TaskContext.get().partitionId(), COUNTERS // CHUNKS
-        own = [(c, zlib.compress(counts[c * size:(c + 1) * size].tobytes(), 1)) for c in range(CHUNKS) if counts[c * size:(c + 1) * size].any()]
-        none = pa.nulls(len(own))
-        yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), pa.array([c for c, _ in own], pa.int32()),
-             pa.array([task] * len(own), pa.int64()), pa.array([z for _, z in own], pa.binary())],
-            names=["doc_id", "node", "n", "chunk", "task", "counts"])
+        for c in range(CHUNKS):
+            own = counts[c * size:(c + 1) * size]
+            at = np.flatnonzero(own)
+            if len(at):
+                yield batch([(None, None, None, c, task, pressed(steps(at).astype("<u4")), pressed(own[at]))])
 
-    return doc_text(docs).mapInArrow(run, NODES)
+    return doc_text(docs).mapInArrow(run, SIGNED)
+
+
+def ranges(h: np.ndarray) -> np.ndarray:
+    return np.bincount((h >> RANGE_SHIFT).astype(np.int64), minlength=RANGES).astype("<u4")
 
 
 def rarity(rows: DataFrame) -> np.ndarray:
     """Level of each counter: twice the logarithm of the shingles counted there.  Added up in two steps, so a group holds
     about the square root of the tasks."""
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(COUNTERS // CHUNKS, np.uint64)
-        for z in t["counts"]:
-            total += np.frombuffer(zlib.decompress(z.as_py()), np.uint64 if t["step"][0].as_py() else np.uint32)
-        return pa.table({"chunk": t["chunk"][:1], "step": pa.array([1], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
-
-    out = "chunk int, step int, counts binary"
-    tasks = rows.agg(F.max("task")).head()[0] or 0
-    width = max(1, int((tasks + 1) ** 0.5))
-    once = (rows.where("chunk IS NOT NULL").select("chunk", F.lit(0).alias("step"), "counts", (F.col("task") % width).alias("share"))
-            .groupBy("chunk", "share").applyInArrow(add, out))
-    levels = np.zeros(COUNTERS, np.uint8)
     size = COUNTERS // CHUNKS
 
+    def add(t: pa.Table) -> np.ndarray:
+        total = np.zeros(size, np.uint64)
+        for at, count in zip(t["data"], t["more"]):
+            total[np.cumsum(read(at.as_py()))] += read(count.as_py())
+        return total
+
+    def once(t: pa.Table) -> pa.Table:
+        total = add(t)
+        at = np.flatnonzero(total)
+        return pa.table({"chunk": t["chunk"][:1], "data": pa.array([pressed(steps(at).astype("<u4"))], pa.binary()),
+                         "more": pa.array([pressed(total[at])], pa.binary())})
+
     def level(t: pa.Table) -> pa.Table:
-        total = np.frombuffer(zlib.decompress(add(t)["counts"][0].as_py()), np.uint64)
-        return pa.table({"chunk": t["chunk"][:1], "levels": pa.array([np.floor(2 * np.log2(total + 1.0)).astype(np.uint8).tobytes()], pa.binary())})
+        return pa.table({"chunk": t["chunk"][:1], "levels": pa.array([np.floor(2 * np.log2(add(t) + 1.0)).astype(np.uint8).tobytes()], pa.binary())})
 
-    for r in once.groupBy("chunk").applyInArrow(level, "chunk int, levels binary").collect():
+    tasks = rows.agg(F.max("task")).head()[0] or 0
+    width = max(1, int((tasks + 1) ** 0.5))
+    added = (rows.select("chunk", "data", "more", (F.col("task") % width).alias("share"))
+             .groupBy("chunk", "share").applyInArrow(once, "chunk int, data binary, more binary"))
+    levels = np.zeros(COUNTERS, np.uint8)
+    for r in added.groupBy("chunk").applyInArrow(level, "chunk int, levels binary").collect():
         levels[r.chunk * size:(r.chunk + 1) * size] = np.frombuffer(r.levels, np.uint8)
     return levels
 
@@ -118,7 +132,7 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
             for _, cuts, h in sets(data, off, WORDS):
                 count = np.diff(cuts)
                 text = np.repeat(np.arange(len(count)), count)
-                rare = shared.value[(h >> np.uint64(42)).astype(np.int64)]
+                rare = shared.value[h >> COUNTER_SHIFT]
                 order = np.lexsort((h, rare, text))
                 pos = np.arange(len(h)) - np.repeat(cuts[:-1], count) + 1
                 prefix = pos <= prefix_length(count)[text]
@@ -131,14 +145,10 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def may_link(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
-    """Length and positional filter."""
-    low, high = F.least(n1, n2).cast("long"), F.greatest(n1, n2).cast("long")
-    most = F.least(p1, p2) + F.least(n1 - p1, n2 - p2)
-    return (4 * low >= 3 * high) & (7 * most.cast("long") >= 3 * (n1.cast("long") + n2))
-
-
-def candidate_pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    """Length filter, and positional filter of a common shingle that may be a pair's first: from it on, each set must still hold
+    the needed overlap.  Every linked pair's first common shingle passes."""
+    low, high, need = F.least(n1, n2).cast("long"), F.greatest(n1, n2).cast("long"), 3 * (n1.cast("long") + n2)
+    return (4 * low >= 3 * high) & (7 * (n1 - p1 + 1).cast("long") >= need) & (7 * (n2 - p2 + 1).cast("long") >= need)
 
 
 def bloom_filter(ids: DataFrame) -> np.ndarray:
@@ -159,13 +169,13 @@ def bloom_filter(ids: DataFrame) -> np.ndarray:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, n, ranges, hashes) of the nodes in pairs, each from one of its texts.
+    """(node, hashes) of the nodes in pairs, each from one of its texts.
 
     A Bloom filter of these texts' ids keeps the other texts out of the shuffle.
     """
     spark = docs.sparkSession
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = kept(asked.join(nodes.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node"), "asked")
+    asked = kept(asked.join(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node"), "asked")
     shared = spark.sparkContext.broadcast(bloom_filter(asked))
 
     @F.pandas_udf("boolean")
@@ -175,34 +185,47 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
         return pd.Series((shared.value[b >> 3] >> (7 - (b & 7)) & 1).astype(bool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()  # rows that repeat an id meet in one task
         for b in batches:
             data, off = utf8_buffer(b.column(1))
             wanted = b.column(0).to_pylist()
             for a, cuts, h in sets(data, off, WORDS):
                 out = []
                 for i in range(len(cuts) - 1):
-                    own = h[cuts[i]:cuts[i + 1]]
-                    if len(own) and signature(own) == wanted[a + i]:  # an id may have other texts
-                        ranges = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=RANGES).astype("<i4")
-                        out.append((wanted[a + i], len(own), ranges.tobytes(), own.tobytes()))
-                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate(types)], names=["node", "n", "ranges", "hashes"])
+                    own, node = h[cuts[i]:cuts[i + 1]], wanted[a + i]
+                    if node not in done and len(own) and signature(own) == node:  # an id may have other texts
+                        done.add(node)
+                        out.append((node, own.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["node", "hashes"])
 
     texts = doc_text(docs).where(F.col("doc_id").isNotNull()).where(may_be(F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM_BITS))))
-    found = texts.join(asked, "doc_id").select("node", "text").mapInArrow(run, "node long, n int, ranges binary, hashes binary")
-    return kept(found.dropDuplicates(["node"]), "sets")
+    return kept(texts.join(asked, "doc_id").select("node", "text").mapInArrow(run, "node long, hashes binary"), "sets")
 
 
-def verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """(a, b, linked) of the pairs, each checked once: the suffix filter on range counts, then the whole sets."""
-    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_part(pairs: DataFrame, parts: DataFrame, part: str, *more: str) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(parts.select(F.col("node").alias(end), F.col(part).alias(f"{part}_{end}")), end)
+    return pairs.select("a", "b", *more, f"{part}_a", f"{part}_b")
+
+
+def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b, shared) whose sets may overlap enough by their counts in each range of hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), "<i4").reshape(b.num_rows, RANGES) for k in (2, 3))
-            most = np.minimum(x, y).sum(1)
-            keep = pa.array(7 * most.astype(np.int64) >= 3 * (x.sum(1).astype(np.int64) + y.sum(1)))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+            keep = []
+            for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
+                x, y = read(x).astype(np.int64), read(y).astype(np.int64)
+                keep.append(bool(7 * np.minimum(x, y).sum() >= 3 * (x.sum() + y.sum())))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in range(3)], names=["a", "b", "shared"])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    by_node = nodes.groupBy("node").agg(F.first("data").alias("data"))
+    return kept(with_part(pairs, by_node, "data", "shared").mapInArrow(run, "a long, b long, shared long"), "filtered")
+
+
+def verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs whose whole sets are similar enough; each pair is checked once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             linked = []
             for x, y in zip(b.column(2), b.column(3)):
@@ -211,15 +234,14 @@ def verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
                 both.sort(kind="stable")  # two sorted runs: a merge
                 same = int((both[1:] == both[:-1]).sum())
                 linked.append(100 * same >= 75 * (len(p) + len(q) - same))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            linked = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(linked), b.column(1).filter(linked)], names=["a", "b"])
+
+    return with_part(pairs, whole, "hashes").mapInArrow(run, "a long, b long")
 
-    def with_part(df: DataFrame, part: str) -> DataFrame:
-        for end in ("a", "b"):
-            df = df.join(whole.select(F.col("node").alias(end), F.col(part).alias(f"{part}_{end}")), end)
-        return df.select("a", "b", f"{part}_a", f"{part}_b")
 
-    left = kept(with_part(pairs, "ranges").mapInArrow(suffix, "a long, b long"), "filtered")
-    return with_part(left, "hashes").mapInArrow(check, "a long, b long, linked boolean")
+def ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -227,18 +249,19 @@ def join_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     signed = kept(sign(docs), "signed")
-    nodes = signed.where("chunk IS NULL").select("doc_id", "node", "n")
-    posts = postings(docs, rarity(signed.where("chunk IS NOT NULL")))
+    rows = signed.where("chunk IS NULL").select("doc_id", "node", "n", "data")
+    nodes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
+    posts = postings(docs.where(F.col("doc_id").isNotNull()), rarity(signed.where("chunk IS NOT NULL")))
     # neighbours by set size within a shingle; equal sets are one node and stand together
     near = Window.partitionBy("token").orderBy("n", "node")
     beside = (posts.repartition(shuffle_parts(spark), "token")
               .select("*", *(F.lag(c).over(near).alias(f"{c}_0") for c in ("node", "n", "pos")), F.lead("node").over(near).alias("node_1"))
               .where("node_0 <> node OR node_1 <> node").drop("node_1"))
     shared = kept(beside, "posts")
-    chain = kept(candidate_pairs(shared.where("node_0 <> node").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
-                                 .select(F.col("node").alias("x"), F.col("node_0").alias("y"))), "chain")
-    first = kept(verified(chain, whole_sets(docs, nodes, chain)), "links")
-    links = first.where("linked").select("a", "b")
+    chain = (shared.where("node_0 <> node").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
+             .groupBy(*ordered("node", "node_0")).agg(F.count("*").alias("shared")))
+    chain = suffix_filtered(chain, nodes)
+    links = kept(verified(chain.select("a", "b"), whole_sets(docs, nodes, chain)), "links")
     labels = components(links)
     # what still joins several components, pair by pair across them
     rest = (shared.select("token", "node", "n", "pos").distinct().join(labels, "node", "left")
@@ -246,11 +269,40 @@ def join_documents(docs: DataFrame) -> DataFrame:
     several = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
     rest = kept(rest.join(several, "token", "left_semi"), "rest")
     x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "pos", "label"))) for k in "xy")
-    across = x.join(y, "token").where(F.col("label_x") < F.col("label_y")).where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
-    pairs = candidate_pairs(across.select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = kept(pairs, "across")
-    links = links.union(verified(pairs, whole_sets(docs, nodes, pairs)).where("linked").select("a", "b"))
-    return with_components(docs, nodes, links)
+    across = (x.join(y, "token").where(F.col("label_x") < F.col("label_y"))
+              .where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
+              .groupBy(*ordered("node_x", "node_y")).agg(F.count("*").alias("shared"))
+              .join(chain.select("a", "b"), ["a", "b"], "left_anti"))
+    across = suffix_filtered(across, nodes)
+    # first the best pair of each two components, then what still lies across
+    best = kept(labelled(across, labels).groupBy("label_a", "label_b").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
+                .select("p.a", "p.b"), "best")
+    links = kept(links.union(verified(best, whole_sets(docs, nodes, best))), "links")
+    left = kept(labelled(across, components(links)).select("a", "b").join(best, ["a", "b"], "left_anti"), "left")
+    return with_components(rows, links.union(verified(left, whole_sets(docs, nodes, left))))
+
+
+def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs that lie across components, with both labels, the smaller first."""
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}")), end, "left")
+    x, y = F.coalesce("of_a", "a"), F.coalesce("of_b", "b")
+    return pairs.withColumns({"label_a": F.least(x, y), "label_b": F.greatest(x, y)}).where("label_a <> label_b").drop("of_a", "of_b")
+
+
+def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Smallest document of each row's component: nodes joined by links, and by ids that have several texts."""
+    own = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()
+    twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc_id", "a")
+    by_id = own.join(twice, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
+    labels = components(links.union(by_id).distinct())
+    least = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left")
+    label = F.coalesce("label", "node")
+    of_label = least.groupBy(label.alias("label")).agg(F.min("least").alias("component_id"))
+    of_node = least.select("node", label.alias("label")).join(of_label, "label").select("node", "component_id")
+    return (rows.select("doc_id", "node", "n").join(of_node, "node", "left")
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
@@ -262,18 +314,3 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     own = (docs.join(stay, key == F.col("_stay"), "left_semi").withColumn("_place", F.row_number().over(first))
            .where("_place = 1").drop("_place"))
     return own.unionByName(docs.where(key.isNull()))
-
-
-def with_components(docs: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Smallest document of each row's component: nodes joined by links, and by ids that have several texts."""
-    own = nodes.where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()
-    twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc_id", "a")
-    by_id = own.join(twice, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
-    labels = components(links.union(by_id).distinct())
-    least = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left")
-    label = F.coalesce("label", "node")
-    of_label = least.groupBy(label.alias("label")).agg(F.min("least").alias("component_id"))
-    of_node = least.select("node", label.alias("label")).join(of_label, "label").select("node", "component_id")
-    return (nodes.join(of_node, "node", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))

@@ -89,7 +89,7 @@ def test_filters_never_lose_a_link(spark):
         first = min(both)
         i, j = x.index(first) + 1, y.index(first) + 1
         assert i <= nj.prefix_length(len(x)) and j <= nj.prefix_length(len(y))
-        rows += [(len(x), x.index(c) + 1, len(y), y.index(c) + 1) for c in both]
+        rows.append((len(x), i, len(y), j))
     assert rows
     df = spark.createDataFrame(rows, "n1 int, p1 int, n2 int, p2 int")
     assert df.where(~nj.may_link(F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2"))).count() == 0
