@@ -253,21 +253,23 @@ def join_documents(docs: DataFrame) -> DataFrame:
     nodes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
     posts = postings(docs.where(F.col("doc_id").isNotNull()), rarity(signed.where("chunk IS NOT NULL")))
     # neighbours by set size within a shingle; equal sets are one node and stand together
-    near = Window.partitionBy("token").orderBy("n", "node")
+    whole = Window.partitionBy("token")
+    near = whole.orderBy("n", "node")
     beside = (posts.repartition(shuffle_parts(spark), "token")
-              .select("*", *(F.lag(c).over(near).alias(f"{c}_0") for c in ("node", "n", "pos")), F.lead("node").over(near).alias("node_1"))
-              .where("node_0 <> node OR node_1 <> node").drop("node_1"))
+              .select("*", *(F.lag(c).over(near).alias(f"{c}_0") for c in ("node", "n", "pos")),
+                      F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"))
+              .where("low <> high AND (node_0 IS NULL OR node_0 <> node)").drop("low", "high"))
     shared = kept(beside, "posts")
-    chain = (shared.where("node_0 <> node").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
+    chain = (shared.where("node_0 IS NOT NULL").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
              .groupBy(*ordered("node", "node_0")).agg(F.count("*").alias("shared")))
     chain = suffix_filtered(chain, nodes)
     links = kept(verified(chain.select("a", "b"), whole_sets(docs, nodes, chain)), "links")
     labels = components(links)
     # what still joins several components, pair by pair across them
-    rest = (shared.select("token", "node", "n", "pos").distinct().join(labels, "node", "left")
-            .select("token", "node", "n", "pos", F.coalesce("label", "node").alias("label")))
-    several = rest.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    rest = kept(rest.join(several, "token", "left_semi"), "rest")
+    rest = (shared.select("token", "node", "n", "pos").join(labels, "node", "left")
+            .select("token", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
+            .select("*", F.min("label").over(whole).alias("low"), F.max("label").over(whole).alias("high")))
+    rest = kept(rest.where("low <> high").drop("low", "high"), "rest")
     x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "pos", "label"))) for k in "xy")
     across = (x.join(y, "token").where(F.col("label_x") < F.col("label_y"))
               .where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
