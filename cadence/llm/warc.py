@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import bounded_batches, shuffle_parts
+from .common import bounded_batches, kept, shuffle_parts
 
 LEAST_BYTES = 100
 RECORDS_PER_FILE = 2000
@@ -62,15 +62,16 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, folder: str | Non
     """Write a record per page; returns the folder of the .warc files.
 
     Payloads are joined only with their duplicates' smallest id: digests are pre-aggregated and only those of several pages
-    stay, so a payload shared by a third of the pages is one row there (and its pages, a skewed left side, can be split).
+    stay, so a payload shared by a third of the pages is one row there.  That table is written first: its size is known when the
+    join is planned, and while it is below Spark's broadcast threshold no payload is shuffled.
     """
     spark = pages.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body.alias("html"), F.sha2(body.cast("binary"), 256).alias("digest"), F.octet_length(body).alias("size"))
-    first = (rows.where(F.col("size") >= least).groupBy("digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    first = kept(rows.where(F.col("size") >= least).groupBy("digest")
+             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"), "revisited")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
