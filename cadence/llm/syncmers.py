@@ -2,12 +2,14 @@
 
 A k-mer of a text's UTF-8 bytes is an anchor when the smallest hash among its inner s-mers stands at its first or last
 place.  Whether it does depends on the k-mer alone, so an edit changes only anchors that touch
-it.  A fingerprint keeps the anchors of the ``KEPT`` smallest hashes, each with the byte offset where it
-first stands (8 hex digits of hash, 8 of offset, offsets beyond 32 bits as the largest).
-A text shorter than a k-mer is one anchor itself; the empty text has an empty fingerprint.
+it.  A fingerprint keeps every anchor, repeats too, in the order of the text: its 32-bit hash and its byte offset, as the
+step from the anchor before (successive anchors overlap, at most K - S bytes apart, so a step is one byte).  It grows with
+the text.  Of a text of at least 2 K - S bytes, all but at most K - S - 1 at either end lie in an anchor.
+A text without an anchor (all below K bytes, some up to 2 K - S - 2) is one anchor itself; the empty text has an empty
+fingerprint.  ``shown`` writes it as base64: all hashes (4 bytes each, least first), then all steps.
 
-``likeness`` compares fingerprints by position: among the smallest hashes of both, the longest chain of
-common anchors that stand in the same order in both, as a share.  Equal fingerprints: 1.
+``likeness`` compares fingerprints by position: the longest chain of common anchors that stand in the same order
+in both (exactly, see ``chain``), as a share of the anchors of both with the chain counted once.  Equal fingerprints: 1.
 
 Edge cases: a null text is empty; a null id comes before all others; rows with one id are ordered
 by text, so ties and repeated rows have a defined next row; a single row is its own next; an empty table
@@ -16,9 +18,11 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +32,17 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, doc_text, shuffle_parts
 
-K, S, KEPT = 16, 8, 48
+K, S = 16, 8
 WINDOW = 1 << 19  # bytes hashed at a time, which bounds memory for texts of any length
+STRIP = 1 << 12  # anchors compared at a time as the bits of a number
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 LEAST = -(1 << 63)
 
-Fingerprint = list[tuple[int, int]]
+
+class Fingerprint(NamedTuple):
+    hashes: bytes  # 32 bits of each anchor, in the order of the text
+    steps: bytes  # a byte each: its offset less that of the anchor before, the first one's from 0
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -60,7 +68,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprints(texts: list[bytes]) -> list[Fingerprint]:
-    """(hash, offset) of each text's smallest anchors, sorted."""
+    """All anchors of each text."""
     lengths = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(lengths)
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -77,35 +85,69 @@ def fingerprints(texts: list[bytes]) -> list[Fingerprint]:
     cuts = np.searchsorted(at, np.concatenate([[0], ends]))
     out = []
     for i, t in enumerate(texts):
-        if len(t) < K:
-            out.append([(int.from_bytes(hashlib.sha256(t).digest()[:4], "big"), 0)] if t else [])
-            continue
         own, place = h[cuts[i]:cuts[i + 1]], at[cuts[i]:cuts[i + 1]] - (ends[i] - lengths[i])
-        if len(own) > 4 * KEPT:  # repeats aside, the smallest are among these
-            small = own <= np.partition(own, 4 * KEPT)[4 * KEPT]
-            if len(np.unique(own[small])) >= KEPT:
-                own, place = own[small], place[small]
-        value, first = np.unique(own, return_index=True)
-        out.append(list(zip(value[:KEPT].tolist(), np.minimum(place[first[:KEPT]], 0xFFFFFFFF).tolist())))
+        if t and not len(own):
+            out.append(Fingerprint(hashlib.sha256(t).digest()[3::-1], b"\0"))
+        else:
+            out.append(Fingerprint(own.astype("<u4").tobytes(), np.diff(place, prepend=0).astype("u1").tobytes()))
     return out
 
 
+def chain(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest common subsequence, exactly.
+
+    Common ends and what stands in one alone are put aside.  Of the rest, either all pairs of equal places are listed and the
+    longest increasing run taken, or, where repeats make too many pairs, ``x`` is compared in strips of ``STRIP`` bits
+    with all of ``y``, each strip handing its carries to the next.  Memory stays in proportion to the input.
+    """
+    common = 0
+    for _ in range(2):  # from the front, then from the back
+        n = min(len(x), len(y))
+        differ = x[:n] != y[:n]
+        same = int(differ.argmax()) if differ.any() else n
+        common, x, y = common + same, x[same:][::-1], y[same:][::-1]
+    x, y = x[np.isin(x, y)], y[np.isin(y, x)]
+    if not len(x):
+        return common
+    values, y = np.unique(y, return_inverse=True)
+    x, counts = np.searchsorted(values, x), np.bincount(y)
+    if counts[x].sum() <= 2 * len(y) * -(-len(x) // STRIP):
+        order, last = np.argsort(y, kind="stable"), np.cumsum(counts) - 1
+        run: list[int] = []
+        for a in range(0, len(x), STRIP):
+            own = x[a:a + STRIP]
+            n = counts[own]
+            back = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            for at in order[np.repeat(last[own], n) - back].tolist():  # a place's pairs from the last on, so it counts once
+                k = bisect_left(run, at)
+                run[k:k + 1] = [at]
+        return common + len(run)
+    carry, codes = bytearray(len(y)), y.tolist()
+    for a in range(0, len(x), STRIP):
+        places: dict[int, int] = {}
+        own = x[a:a + STRIP].tolist()
+        for j, c in enumerate(own):
+            places[c] = places.get(c, 0) | 1 << j
+        free = full = (1 << len(own)) - 1
+        for i, c in enumerate(codes):
+            hit = free & places.get(c, 0)
+            total = free + hit + carry[i]
+            carry[i] = total >> len(own)
+            free = total & full | free - hit
+        common += len(own) - free.bit_count()
+    return common
+
+
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
     if a == b:
         return 1.0
-    pa_, pb = dict(a), dict(b)
-    sample = sorted(pa_.keys() | pb.keys())[:KEPT]
-    if not pa_ or not pb:
-        return 0.0
-    chain: list[int] = []
-    for _, y in sorted((pa_[h], pb[h]) for h in sample if h in pa_ and h in pb):
-        k = bisect_left(chain, y)
-        chain[k:k + 1] = [y]
-    return len(chain) / len(sample)
+    x, y = np.frombuffer(a.hashes, "<u4"), np.frombuffer(b.hashes, "<u4")
+    common = chain(x, y)
+    return common / (len(x) + len(y) - common)
 
 
 def shown(f: Fingerprint) -> str:
-    return "".join(f"{h:08x}{at:08x}" for h, at in f)
+    return base64.b64encode(f.hashes + f.steps).decode()
 
 
 def edited_text(text: str, after: str) -> str:

@@ -70,3 +70,49 @@ def test_query_against_brute_force(spark, odd_docs, no_docs):
     one = spark.createDataFrame([(9, "only one text stands here")], "doc_id long, text string")
     assert [tuple(r) for r in sy.fingerprint_edits(one).collect()] == brute([(9, "only one text stands here")])
     assert sy.fingerprint_edits(no_docs).collect() == []
+
+
+def test_fingerprints_keep_every_anchor():
+    rng = random.Random(6)
+    for n in (24, 300, 9000):
+        data = bytes(rng.choice(b"abcdefgh ") for _ in range(n)) + b"again " * 40
+        f = sy.fingerprints([data])[0]
+        assert np.cumsum(list(f.steps)).tolist() == plain_anchors(data)
+        assert np.frombuffer(f.hashes, "<u4").tolist() == sy.anchors(np.frombuffer(data, np.uint8))[0].tolist()
+    quiet = [t for t in (bytes(rng.choice(b"abcdefgh ") for _ in range(16)) for _ in range(50)) if not plain_anchors(t)][:2]
+    f = sy.fingerprints(quiet)
+    assert sy.likeness(*f) == 0 and sy.shown(f[0]) != sy.shown(f[1])
+
+
+def test_a_passage_in_a_long_text_always_shows():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(5000)]
+    text = " ".join(rng.choice(words) for _ in range(20000)).encode()
+    own = sy.fingerprints([text])[0]
+    for _ in range(20):
+        at = rng.randrange(len(text) - 300)
+        other = sy.fingerprints([text[:at] + bytes(rng.choice(b"abcdefghijklmnop ") for _ in range(300)) + text[at + 300:]])[0]
+        assert sy.shown(other) != sy.shown(own) and 0.99 < sy.likeness(own, other) < 1
+    passage = text[60000:60400]
+    pair = sy.fingerprints([" ".join(rng.choice(words)[::-1] for _ in range(4000)).encode() + passage for _ in range(2)])
+    assert sy.likeness(*pair) > 0
+
+
+def plain_chain(x, y):
+    line = [0] * (len(y) + 1)
+    for v in x:
+        before, line = line, [0]
+        for j, w in enumerate(y):
+            line.append(before[j] + 1 if v == w else max(before[j + 1], line[-1]))
+    return line[-1]
+
+
+def test_chain_is_the_longest_common_subsequence(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(sy, "STRIP", 16)
+    for _ in range(600):
+        kinds = rng.choice([2, 5, 30, 1000])
+        x = [rng.randrange(kinds) for _ in range(rng.randrange(70))]
+        y = [v for v in x if rng.random() < 0.8] if rng.random() < 0.5 else [rng.randrange(kinds) for _ in range(rng.randrange(70))]
+        got = sy.chain(np.array(x, "<u4"), np.array(y, "<u4"))
+        assert got == plain_chain(x, y)
