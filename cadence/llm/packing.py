@@ -9,15 +9,16 @@ is put down, so nothing is buffered and memory is bounded by ``open_bins``.
 Documents longer than a sequence are cut into whole sequences after a first, shorter
 piece.  Pieces of one Arrow batch are placed longest first.
 
-Edge cases: a null or empty text is the end token alone; a null id stays null; equal rows are
+Edge cases: the tokenizer file's added tokens (here <|endoftext|>) in a text are their own ids; a null or empty text is the end token alone; a null id stays null; equal rows are
 packed each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,7 @@ def byte_ranks(data: str) -> dict[bytes, int]:
 
 
 def tokenizer_cache(data: str, pattern: str) -> ChunkCache:
-    """Encodes by the tokenizer file's vocabulary and merges: its ids grow in the order of its merges, so
+    """Encodes text without added tokens by the tokenizer file's vocabulary and merges: its ids grow in the order of its merges, so
     they serve as ranks, which tiktoken merges faster than the tokenizers library does (a test holds the
     ids equal)."""
     if data not in _caches:
@@ -95,6 +96,27 @@ def tokenizer_cache(data: str, pattern: str) -> ChunkCache:
     return _caches[data]
 
 
+def encoder(data: str, pattern: str) -> Callable[[str], bytes]:
+    """As the tokenizers library does, texts are first split at the file's added tokens (the leftmost, of these the longest),
+    which become their ids; what stands between them is encoded apart."""
+    cache, added = tokenizer_cache(data, pattern), {}
+    for t in json.loads(data)["added_tokens"]:
+        if any(t[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {t['content']!r} is not matched literally")
+        added[t["content"]] = np.array([t["id"]], "<u4").tobytes()
+    if not added:
+        return cache
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> bytes:
+        first, *parts = cut.split(text)
+        if not parts:
+            return cache(first)
+        return cache(first) + b"".join(added[token] + cache(after) for token, after in zip(parts[::2], parts[1::2]))
+
+    return encode
+
+
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, size: int = 1024, end_id: int = 2,
          open_bins: int = OPEN_BINS, with_ids: bool = False) -> DataFrame:
     """One row per piece with its place; ``with_ids`` adds the piece's token ids.
@@ -109,12 +131,12 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, size: int = 1024, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = tokenizer_cache(shared.value, pattern)
+        encode = encoder(shared.value, pattern)
         bins = BestFit(size, open_bins, TaskContext.get().partitionId() << 40)
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = cache(text) + end
+                ids = encode(text) + end
                 for k, (start, length) in enumerate(pieces(len(ids) // 4, size)):
                     part = ids[4 * start:4 * (start + length)]
                     rows.append((doc, k, start, length, zlib.crc32(part), part if with_ids else None))

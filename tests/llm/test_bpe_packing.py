@@ -143,3 +143,19 @@ def test_pack_rows(odd_docs, no_docs):
             at += length
         assert at <= 64
     assert packing.pack(no_docs, path, P.PATTERN).collect() == []
+
+
+def test_added_tokens_are_ids_as_in_the_library(spark):
+    path, end = P.path("byte_bpe_50k.json"), "<|endoftext|>"
+    t, rng = Tokenizer.from_file(path), random.Random(4)
+    with open(path, encoding="utf-8") as f:
+        encode = packing.encoder(f.read(), P.PATTERN)
+    assert np.frombuffer(encode(f"a {end} b"), "<u4").tolist() == [64, 220, 50256, 275]
+    texts = ["", end, end * 3, f" {end} ", f"x{end[:-1]}{end}{end[1:]}", end.upper(),
+             *("".join(rng.choice([end, end[:5], some_text(rng, 8), " "]) for _ in range(rng.randint(0, 9))) for _ in range(1000))]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, P.PATTERN).collect()
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {
+        i: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in
+        ((i, t.encode(text, add_special_tokens=False).ids + [2]) for i, text in enumerate(texts))}
