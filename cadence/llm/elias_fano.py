@@ -107,6 +107,22 @@ ALPHA = np.concatenate([[0.0], 10 ** (ALPHA_DECADES * (np.arange(255) / 254 - 1)
 LAMBDA = np.arange(256) / 255
 
 
+def spread(count: np.ndarray) -> np.ndarray:
+    """How many n-grams have the counts 1, 2, 3 and 4."""
+    return np.array([(count == c).sum() for c in (1, 2, 3, 4)], np.int64)
+
+
+def discounts(n: np.ndarray) -> np.ndarray:
+    """What absolute discounting takes from the counts 0, 1, 2 and more, estimated from the counts of counts ``n``."""
+    n1, n2, n3, n4 = (max(1, int(c)) for c in n)
+    y = n1 / (n1 + 2 * n2)
+    return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.1, 0.2, 0.3], [0, 0.95, 1.5, 2.0])
+
+
+def weight_code(left: np.ndarray) -> np.ndarray:
+    return np.maximum(1, np.round(left * 255)).astype(np.uint8)
+
+
 class TrieLevel:
     """Contexts, pointers to their ranges of successors, and quantised probabilities.
 
@@ -118,23 +134,22 @@ class TrieLevel:
         self.contexts, self.pointers, self.successors, self.alpha, self.weight = contexts, pointers, successors, alpha, weight
 
     @staticmethod
-    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> TrieLevel:
+    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, counts_of_counts: np.ndarray | None = None) -> TrieLevel:
         """From distinct (context, word) pairs sorted by both, with positive counts; probabilities by absolute discounting with
-        a discount for each of the counts 1, 2 and more, estimated from the counts of counts."""
+        a discount for each of the counts 1, 2 and more, estimated from the counts of counts (of all shards; if
+        not given, of these pairs)."""
         ids, first = np.unique(context, return_index=True)
         size = np.diff(np.append(first, len(context)))
         last = word[np.append(first[1:], len(word)) - 1].astype(np.int64) if len(word) else np.zeros(0, np.int64)
         base = np.concatenate([[0], np.cumsum(last + 1)])[:len(ids)]
-        n1, n2, n3, n4 = (max(1, int((count == c).sum())) for c in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        discount = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.1, 0.2, 0.3], [0, 0.95, 1.5, 2.0])
+        discount = discounts(spread(count) if counts_of_counts is None else counts_of_counts)
         off = discount[np.minimum(count, 3)]
         total = np.add.reduceat(count, first).astype(float) if len(first) else np.zeros(0)
         left = np.add.reduceat(off, first) / total if len(first) else np.zeros(0)
         alpha = (count - off) / np.repeat(total, size)
         return TrieLevel(EliasFano.build(ids), EliasFano.build(np.append(first, len(context))),
                          EliasFano.build(word.astype(np.int64) + np.repeat(base, size)), alpha_code(alpha),
-                         np.maximum(1, np.round(left * 255)).astype(np.uint8))
+                         weight_code(left))
 
     def to_bytes(self) -> bytes:
         return self.contexts.to_bytes() + self.pointers.to_bytes() + self.successors.to_bytes() + self.alpha.tobytes() + self.weight.tobytes()
@@ -148,23 +163,29 @@ class TrieLevel:
         return TrieLevel(contexts, pointers, successors, np.frombuffer(data, np.uint8, successors.n, at),
                          np.frombuffer(data, np.uint8, contexts.n, at + successors.n))
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each pair: its place among the pairs (-1 if absent), the code of its probability (0 if absent) and the code of its
-        context's weight for the lower order (255, that is 1, if the context is absent)."""
-        n = len(context)
-        place, alpha, weight = np.full(n, -1, np.int64), np.zeros(n, np.uint8), np.full(n, 255, np.uint8)
-        if not n or not self.contexts.n:
-            return place, alpha, weight
+    def locate(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair: its place among the pairs and its context's among the contexts (-1 if absent)."""
+        place, owner = np.full(len(context), -1, np.int64), np.full(len(context), -1, np.int64)
+        if not len(context) or not self.contexts.n:
+            return place, owner
         c = self.contexts.successor(context)
         known = np.flatnonzero(c < self.contexts.n)
         known = known[self.contexts.get(c[known]) == context[known]]
         c = c[known]
-        weight[known] = self.weight[c]
+        owner[known] = c
         begin, end = self.pointers.get(c), self.pointers.get(c + 1)
         base = np.where(begin > 0, self.successors.get(np.maximum(begin - 1, 0)) + 1, 0)
         at = self.successors.successor(base + word[known])
         hit = np.flatnonzero(at < end)
         hit = hit[self.successors.get(at[hit]) == (base + word[known])[hit]]
         place[known[hit]] = at[hit]
-        alpha[known[hit]] = self.alpha[at[hit]]
+        return place, owner
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each pair: its place among the pairs (-1 if absent), the code of its probability (0 if absent) and the code of its
+        context's weight for the lower order (255, that is 1, if the context is absent)."""
+        place, owner = self.locate(context, word)
+        alpha, weight = np.zeros(len(place), np.uint8), np.full(len(place), 255, np.uint8)
+        alpha[place >= 0] = self.alpha[place[place >= 0]]
+        weight[owner >= 0] = self.weight[owner[owner >= 0]]
         return place, alpha, weight

@@ -7,14 +7,17 @@ lower order's, down to smoothed single words (the base).
 The texts are read once, into blocks of about ``BLOCK`` tokens (the words of a block, and its tokens as numbers of them).  Then each
 order takes one exchange there and one back: every block sends its distinct n-grams with their counts in the training texts,
 already added up, to the shard that the context's number falls in; the shard merges the blocks' counts,
-builds its part of the trie level (see ``elias_fano``) and answers each block by searching that level;
-answers go back to the blocks, which sum up their documents.  So a word or word pair that stands everywhere
-is one row per block, a shard holds a fixed share of the distinct n-grams (their number follows
-``spark.sql.shuffle.partitions``), and nothing of the corpus passes the driver but two totals per shard.
-
-Word numbers grow in the order of the words' hashes over all shards, so contexts and successors are
-monotone without another sort.  ``ORDER`` is 2: here the third order would put the disk use above what the check tool
-allows (README).  ``levels`` writes the trie itself as a table of shards, each a byte string to be mapped.
+builds its part of the trie level (see ``elias_fano``) and answers each block by searching that level: places, counts and
+what the contexts' shares are made of.  The discounts come from the counts of counts of all shards, so scores do not
+depend on their number.  Answers go back to the blocks, which number the next order's contexts by them and send only n-grams
+whose context was learnt; at last they sum up their documents.  An order's answers are written to the shared
+folder, and its exchange is given up before the next.  So an n-gram that stands everywhere is one entry per block, a shard holds a fixed share of the distinct n-grams (their number follows
+``spark.sql.shuffle.partitions``), and nothing of the corpus passes the driver but two totals per shard, and five for each order.
+
+Word numbers grow in the order of the words' hashes over all shards, and an n-gram's number is its place in its level after
+those of the shards before, so contexts and successors are monotone without another sort.  A text's first word has
+the text's start as its only context, its second one the start and the first.  The query learns ``ORDER`` orders; ``score`` takes any
+from 1.  ``levels`` writes an order of the trie itself as a table of shards, each a byte string to be mapped.
 
 Edge cases: a null or empty text is the end token alone; a null id counts as an empty text for its remainder;
 without training texts N and V are 0 and every score is 0; rows that repeat an id are scored each; an empty table
@@ -23,8 +26,10 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, doc_text, kept, pressed, read, shuffle_parts, steps, utf8_buffer
-from .elias_fano import ALPHA, LAMBDA, TrieLevel
+from .elias_fano import ALPHA, LAMBDA, TrieLevel, alpha_code, discounts, spread, weight_code
 from .shingles import BATCH, words
 
-ORDER = 2
+ORDER = 3
 BLOCK = 1 << 20
 END = np.uint64(0x454E440000000001)
 HELD_OUT = (5, 1)  # texts whose id's crc32 leaves this remainder are not learnt from
@@ -104,31 +109,48 @@ class Block:
         # ranks were sent as those of the next learnt word; an unlearnt word has none of its own
         self.number = np.where(self.counts > 0, rank + base[shard], -1)
 
-    def pairs(self, learnt: int) -> None:
-        """Distinct (context, word) pairs after learnt contexts: their numbers, training counts, and each token's place
-        among them.  With ``learnt`` words, that is the number of the context before a text's first
-        word, and the next that of every unlearnt word."""
+    def ngrams(self, context: np.ndarray, learnt: int) -> Ngrams:
+        """Distinct (context, word) pairs by the number of each token's context (-1: not learnt).  With ``learnt`` words,
+        ``learnt + 1`` is the number of every unlearnt word."""
         size = len(self.words)
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.first] = size
         word = np.where(self.number[self.tokens] >= 0, self.tokens, size)
-        contexts, words = np.append(self.number, learnt), np.append(self.number, learnt + 1)
-        own = contexts[before] >= 0
-        key, place = np.unique(before[own] << 32 | word[own], return_inverse=True)
-        self.context, self.word = contexts[key >> 32], words[key & 0xFFFFFFFF]
-        self.pair = np.full(len(self.tokens), -1, np.int64)
-        self.pair[own] = place
-        self.pair_counts = np.bincount(place[self.train[own]], minlength=len(key))
+        own = context >= 0
+        contexts, at = np.unique(context[own], return_inverse=True)
+        key, place = np.unique(at << 32 | word[own], return_inverse=True)
+        token = np.full(len(self.tokens), -1, np.int64)
+        token[own] = place
+        return Ngrams(contexts[key >> 32], np.append(self.number, learnt + 1)[key & 0xFFFFFFFF], token,
+                      np.bincount(place[self.train[own]], minlength=len(key)))
+
+    def contexts(self, number: np.ndarray, start: int) -> np.ndarray:
+        """Each token's context from the numbers at the tokens: the one before, ``start`` for a text's first."""
+        before = np.empty_like(number)
+        before[1:] = number[:-1]
+        before[self.first] = start
+        return before
+
+
+class Ngrams(NamedTuple):
+    context: np.ndarray
+    word: np.ndarray
+    token: np.ndarray  # the place of each token's n-gram among these, -1 if its context was not learnt
+    counts: np.ndarray  # in the block's training texts
 
     def to_shards(self, shards: int) -> list[tuple[int, np.ndarray]]:
-        """The pairs of each shard, by a mix of the context's number."""
+        """The n-grams of each shard, by a mix of the context's number."""
         shard = ((self.context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         return [(s, order[cuts[s]:cuts[s + 1]]) for s in range(shards) if cuts[s] < cuts[s + 1]]
 
 
+def starts(context: np.ndarray) -> np.ndarray:
+    """Where a new context begins among n-grams sorted by context."""
+    new = np.ones(len(context), bool)
+    new[1:] = context[1:] != context[:-1]
+    return new
+
+
 def send_words(df: DataFrame, shards: int) -> DataFrame:
     """Order 1: word hashes (a) and training counts (b), cut at the shards' bounds of the hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,36 +190,51 @@ def by_kind(t: pa.Table) -> dict[int, list[dict]]:
     return out
 
 
-def answer_pairs(t: pa.Table) -> pa.Table:
-    """Order 2 at a shard: merge the counts, build the level, answer by searching it: codes of the discounted
-    share (a) and of the context's weight (b)."""
-    rows = t.to_pylist()
-    level = TrieLevel.open(build_level(rows))
-    out = []
-    for r in rows:
-        context, word = np.cumsum(read(r["a"])), read(r["b"]).astype(np.int64)
-        _, alpha, weight = level.find(context, word)
-        out.append((21, r["block"], r["shard"], None, pressed(alpha), pressed(weight)))
-    return pa.Table.from_arrays(rows_of(out), names=FIELDS)
-
-
-def build_level(rows: list[dict]) -> bytes:
+def answer_ngrams(order: int, numbers: bool) -> Callable[[pa.Table], pa.Table]:
+    """Order ``order`` at a shard: merge the counts, build the level and search it.  Each block gets the n-grams' counts (a), for each of
+    its contexts the training count and how many successors have the counts 1, 2 and more (b), and with ``numbers``
+    differences of the places (c; that of an unlearnt n-gram says nothing); a row with block -1 has the level's size and counts of counts (ids)."""
+    def answer(t: pa.Table) -> pa.Table:
+        rows = t.to_pylist()
+        context, word, count = merged(rows)
+        level = TrieLevel.open(TrieLevel.build(context, word, count).to_bytes())
+        at = np.flatnonzero(starts(context))
+        shares = np.stack([np.add.reduceat(x, at) if len(at) else x for x in (count, *((np.minimum(count, 3) == c).astype(np.int64) for c in (1, 2, 3)))])
+        out = [(10 * order + 1, -1, rows[0]["shard"], [len(count), *spread(count).tolist()])]
+        for r in rows:
+            asked = np.cumsum(read(r["a"]))
+            place, owner = level.locate(asked, read(r["b"]).astype(np.int64))
+            owner = owner[starts(asked)]
+            share = np.where(owner >= 0, shares[:, owner], 0) if len(at) else np.zeros((4, len(owner)), np.int64)
+            found = np.where(place >= 0, count[place], 0) if len(count) else np.zeros(len(place), np.int64)
+            out.append((10 * order + 1, r["block"], r["shard"], None, pressed(small(found)), pressed(small(share.reshape(-1))),
+                        pressed(small(steps(np.maximum.accumulate(np.maximum(place, 0))))) if numbers else None))
+        return pa.Table.from_arrays(rows_of(out), names=FIELDS)
+
+    return answer
+
+
+def small(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in 32 bits if they fit."""
+    return x.astype("<u4" if not len(x) or x.max() < 1 << 32 else "<u8")
+
+
+def merged(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The learnt n-grams of a shard, sorted, with their training counts."""
     context, word, count = (np.concatenate(x) for x in zip(*((np.cumsum(read(r["a"])), read(r["b"]).astype(np.int64), read(r["c"]).astype(np.int64)) for r in rows)))
     learnt = count > 0
     context, word, count = context[learnt], word[learnt], count[learnt]
     order = np.lexsort((word, context))
     context, word, count = context[order], word[order], count[order]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
-    at = np.flatnonzero(new)
-    total = np.add.reduceat(count, at) if len(at) else count
-    return TrieLevel.build(context[at], word[at], total).to_bytes()
+    at = np.flatnonzero(starts(context) | starts(word))
+    return context[at], word[at], np.add.reduceat(count, at) if len(at) else count
 
 
 class Model:
-    """What is known before the second order: blocks, their word numbers, and the totals."""
+    """Blocks, word numbers and totals; then, order by order, the shards' answers."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, order: int = 2):
+        self.order, self.answers, self.bases, self.spread = order, {}, {}, {}
         spark = docs.sparkSession
         bounded_batches(spark)
         self.shards = shuffle_parts(spark)
@@ -209,57 +246,103 @@ class Model:
         self.base = np.cumsum(totals[:, 0]) - totals[:, 0]
         self.vocabulary, self.tokens = (int(x) for x in totals.sum(0))
 
-    def sent_pairs(self) -> DataFrame:
-        """Order 2: differences of contexts (a), words (b), training counts (c)."""
-        shards, base, start = self.shards, self.base, self.vocabulary
-
-        def send(t: pa.Table) -> pa.Table:
+    def known(self, order: int) -> DataFrame:
+        """The blocks and all answers to them up to an order."""
+        df = self.blocks.unionByName(self.words.where("block >= 0"))
+        for k in range(2, order + 1):
+            df = df.unionByName(self.answers[k].where("block >= 0"))
+        return df
+
+    def learn(self, order: int) -> None:
+        """The answers of every order from the second to this one."""
+        for k in range(2, order + 1):
+            if k in self.answers:
+                continue
+            self.answers[k] = kept(self.sent(k).groupBy("shard").applyInArrow(answer_ngrams(k, k < self.order), ROWS), f"lm-{k}")
+            totals = np.zeros((self.shards, 5), np.int64)
+            for r in self.answers[k].where("block = -1").select("shard", "ids").collect():
+                totals[r.shard] = r.ids
+            self.bases[k], self.spread[k] = np.cumsum(totals[:, 0]) - totals[:, 0], totals[:, 1:].sum(0)
+            gc.collect()
+            self.blocks.sparkSession.sparkContext._jvm.System.gc()  # frees the files of the exchanges that are no longer referred to
+
+    def unfolder(self) -> Callable[[pa.Table, int], tuple]:
+        """What turns a block's rows into the block, and the n-grams, counts and context shares (rows: training count, successors of count
+        1, 2 and more) of the orders from the second to a given one, the last without answers if it has none."""
+        shards, base, bases, learnt = self.shards, self.base, dict(self.bases), self.vocabulary
+
+        def unfold(t: pa.Table, last: int) -> tuple[Block, int, list[tuple[Ngrams, np.ndarray, np.ndarray]]]:
             got = by_kind(t)
             b = Block(got[0][0])
             b.numbered(got.get(11, []), base)
-            b.pairs(start)
-            block = got[0][0]["block"]
+            context, out = b.contexts(b.number[b.tokens], learnt), []
+            for k in range(2, last + 1):
+                n = b.ngrams(context, learnt)
+                size = len(n.context)
+                count, share, number = np.zeros(size, np.int64), np.zeros((4, size), np.int64), np.full(size + 1, -1, np.int64)
+                said = {r["shard"]: r for r in got.get(10 * k + 1, [])}
+                for s, own in n.to_shards(shards) if said else []:
+                    count[own] = read(said[s]["a"])
+                    share[:, own] = read(said[s]["b"]).reshape(4, -1)[:, np.cumsum(starts(n.context[own])) - 1]
+                    if said[s]["c"] is not None:
+                        number[own] = np.where(count[own] > 0, bases[k][s] + np.cumsum(read(said[s]["c"]).astype(np.int64)), -1)
+                out.append((n, count, share))
+                context = b.contexts(number[n.token], -1)
+            return b, got[0][0]["block"], out
+
+        return unfold
+
+    def sent(self, order: int) -> DataFrame:
+        """The n-grams of an order: differences of contexts (a), words (b), training counts (c)."""
+        self.learn(order - 1)
+        unfold, shards, wide = self.unfolder(), self.shards, self.vocabulary >= (1 << 32) - 1
+
+        def send(t: pa.Table) -> pa.Table:
+            _, block, orders = unfold(t, order)
+            n = orders[-1][0]
             return pa.Table.from_arrays(rows_of([
-                (20, block, s, None, pressed(steps(b.context[own])), pressed(b.word[own].astype("<u4" if start < 1 << 32 else "<u8")),
-                 pressed(b.pair_counts[own].astype("<u4"))) for s, own in b.to_shards(shards)]), names=FIELDS)
+                (10 * order, block, s, None, pressed(steps(n.context[own])), pressed(n.word[own].astype("<u8" if wide else "<u4")),
+                 pressed(n.counts[own].astype("<u4"))) for s, own in n.to_shards(shards)]), names=FIELDS)
+
+        return self.known(order - 1).groupBy("block").applyInArrow(send, ROWS)
 
-        return self.blocks.unionByName(self.words.where("block >= 0")).groupBy("block").applyInArrow(send, ROWS)
+    def levels(self, order: int = 2) -> DataFrame:
+        """An order's trie level, a row (shard, level) for each shard."""
+        self.learn(order)
+        counts_of_counts = self.spread[order]
 
-    def levels(self) -> DataFrame:
-        """The second order's trie level, a row (shard, level) for each shard."""
         def build(t: pa.Table) -> pa.Table:
             rows = t.to_pylist()
-            return pa.table({"shard": pa.array([rows[0]["shard"]], pa.int32()), "level": pa.array([build_level(rows)], pa.binary())})
+            level = TrieLevel.build(*merged(rows), counts_of_counts).to_bytes()
+            return pa.table({"shard": pa.array([rows[0]["shard"]], pa.int32()), "level": pa.array([level], pa.binary())})
 
-        return self.sent_pairs().groupBy("shard").applyInArrow(build, "shard int, level binary")
+        return self.sent(order).groupBy("shard").applyInArrow(build, "shard int, level binary")
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """Fit on the documents that are not held out and score all."""
-    m = Model(docs)
-    answers = m.sent_pairs().groupBy("shard").applyInArrow(answer_pairs, ROWS)
-    shards, base, total, size = m.shards, m.base, m.tokens, m.vocabulary
+def score(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Fit ``order`` orders on the documents that are not held out and score all, with the levels' quantised probabilities."""
+    m = Model(docs, order)
+    m.learn(order)
+    unfold, total, size = m.unfolder(), m.tokens, m.vocabulary
+    discount = {k: discounts(m.spread[k]) for k in range(2, order + 1)}
 
     def sum_up(t: pa.Table) -> pa.Table:
-        got = by_kind(t)
-        b = Block(got[0][0])
-        b.numbered(got.get(11, []), base)
-        b.pairs(size)
-        alpha, weight = np.zeros(len(b.context)), np.ones(len(b.context))
-        said = {r["shard"]: r for r in got.get(21, [])}
-        for s, own in b.to_shards(shards):
-            alpha[own], weight[own] = ALPHA[read(said[s]["a"])], LAMBDA[read(said[s]["b"])]
+        b, _, orders = unfold(t, order)
         count = b.counts[b.tokens]
         one = (count + 0.5) / (total + 0.5 * (size + 1))
-        both = one.copy()
-        known = b.pair >= 0
-        both[known] = np.minimum(1.0, alpha[b.pair[known]] + weight[b.pair[known]] * one[known])
+        best = one.copy()
+        for k, (n, seen, share) in enumerate(orders, 2):
+            off, of = discount[k], np.maximum(share[0], 1)
+            alpha = np.where(seen > 0, ALPHA[alpha_code((seen - off[np.minimum(seen, 3)]) / of)], 0.0)
+            weight = np.where(share[0] > 0, LAMBDA[weight_code(off[1:] @ share[1:] / of)], 1.0)
+            has = n.token >= 0
+            at = n.token[has]
+            best[has] = np.minimum(1.0, alpha[at] + weight[at] * best[has])
         at = np.concatenate([[0], np.cumsum(b.n)])[:-1]
         add = lambda x: np.add.reduceat(x, at)
         return pa.table({
             "doc_id": pa.array(b.ids, pa.int64()), "held_out": pa.array([held_out(i) for i in b.ids]), "n_tokens": pa.array(b.n),
             "n_known": pa.array(add((count > 0).astype(np.int64))), "train_tokens": pa.array(np.full(len(b.n), total)),
-            "base_score": pa.array(add(np.log10(one))), "score": pa.array(add(np.log10(both)))})
+            "base_score": pa.array(add(np.log10(one))), "score": pa.array(add(np.log10(best)))})
 
-    return (m.blocks.unionByName(m.words.where("block >= 0")).unionByName(answers)
-            .groupBy("block").applyInArrow(sum_up, SCORES))
+    return m.known(order).groupBy("block").applyInArrow(sum_up, SCORES)

@@ -52,7 +52,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_elias_fano_lm")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(spark, sf_dir, "documents"))
+    return lm.score(table(spark, sf_dir, "documents"), lm.ORDER)
 
 
 @query("op4_warc_capture_index", """

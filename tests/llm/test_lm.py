@@ -112,3 +112,80 @@ def test_levels_are_tries(spark):
             w = [*words(r.text), None]
             pairs.update(zip(["", *w[:-1]], w))
     assert sum(x.successors.n for x in rows) == len(pairs)
+
+
+def brute_orders(rows, order):
+    """Interpolation over any number of orders, unquantised; a text's first word has the start as its only context."""
+    learnt = counts(rows, lm.held_out)
+    n, v = sum(learnt.values()), len(learnt)
+    texts = [(i, ["", *words(t), None]) for i, t in rows]
+    grams = [Counter() for _ in range(order + 1)]
+    for k in range(2, order + 1):
+        for i, w in texts:
+            if not lm.held_out(i):
+                grams[k].update(tuple(w[j - k + 1:j + 1]) for j in range(max(1, k - 1), len(w)))
+    off, total, left = {}, {}, {}
+    for k in range(2, order + 1):
+        spread, total[k], left[k] = Counter(grams[k].values()), Counter(), defaultdict(float)
+        n1, n2, n3, n4 = (max(1, spread[c]) for c in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        off[k] = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.1, 0.2, 0.3], [0, 0.95, 1.5, 2.0])
+        for g, c in grams[k].items():
+            total[k][g[:-1]] += c
+            left[k][g[:-1]] += off[k][min(c, 3)]
+    out = {}
+    for i, w in texts:
+        s = 0.0
+        for j in range(1, len(w)):
+            p = (learnt[w[j]] + 0.5) / (n + 0.5 * (v + 1))
+            for k in range(2, min(order, j + 1) + 1):
+                g = tuple(w[j - k + 1:j + 1])
+                if total[k][g[:-1]]:
+                    c = grams[k][g]
+                    p = ((c - off[k][min(c, 3)]) + left[k][g[:-1]] * p) / total[k][g[:-1]] if c else left[k][g[:-1]] * p / total[k][g[:-1]]
+            s += math.log10(p)
+        out.setdefault((i, len(w) - 1), []).append(s)
+    return out
+
+
+@pytest.mark.parametrize("order, shards", [(1, 3), (3, 1), (3, 7), (4, 3)])
+def test_orders_against_brute_force(spark, odd_docs, order, shards):
+    more = [(100 + i, f"the cat sat on the {'mat' if i % 3 else 'hat'} and {'slept' if i % 4 else 'ate'} again {i % 7}") for i in range(60)]
+    docs = (spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(200)
+            .unionByName(odd_docs.select("doc_id", "text")).unionByName(spark.createDataFrame(more, "doc_id long, text string")))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shards))
+    try:
+        got = lm.score(docs.repartition(3), order).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    expect, own = brute_orders(rows, order), {}
+    for r in got:
+        own.setdefault((r.doc_id, r.n_tokens), []).append(r.score)
+    assert own.keys() == expect.keys()
+    for key, e in expect.items():
+        assert sorted(own[key]) == pytest.approx(sorted(e), abs=0.02 * (order - 1) * key[1] + 0.05)
+
+
+def test_scores_do_not_depend_on_the_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for shards in ("1", "6"):
+            spark.conf.set("spark.sql.shuffle.partitions", shards)
+            got.append({r.doc_id: r.score for r in lm.score(docs, lm.ORDER).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == pytest.approx(got[1], rel=1e-9)
+
+
+def test_the_third_order_tells_a_repeated_passage(spark):
+    train = [i for i in range(400) if not lm.held_out(i)][:80]
+    held = [i for i in range(400, 500) if lm.held_out(i)][:2]
+    rows = [(i, "a b c" if i % 2 else "d b e") for i in train] + [(held[0], "a b c"), (held[1], "a b e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    two, three = ({r.doc_id: r.score for r in lm.score(docs, k).collect()} for k in (2, 3))
+    assert two[held[0]] == pytest.approx(two[held[1]], abs=0.3)
+    assert three[held[0]] > three[held[1]] + 0.8
