@@ -142,7 +142,7 @@ def u6_names_alt(spark, d):
 
 @query("u7_choose_k")
 def u7_choose_k(spark, d):
-    return finish(CU.choose_k(entity_table(spark, d), FEATS, max_k=6, restarts=3))
+    return finish(CU.choose_k(entity_table(spark, d), FEATS))
 
 
 @query("u8_peers", with_panel(

@@ -97,3 +97,10 @@ def test_pca_ratios_and_orthonormal_loadings(spark, entities):
     assert pf.ratio == pytest.approx(list(ev / ev.sum()))
     interp = PC.interpret(PC.loadings(spark, pf, 3), PC.scree(spark, pf)).collect()
     assert len(interp) == 3
+
+
+def test_choose_k_query_tries_every_k(spark):
+    from cadence.plans.q_unsupervised import u7_choose_k
+    rows = sorted(u7_choose_k(spark, "/root/testdata/sf0.01").collect())
+    assert [r.k for r in rows] == list(range(2, 11))
+    assert [r.k for r in rows if r.is_best] == [max(rows, key=lambda r: (r.silhouette, -r.k)).k]
