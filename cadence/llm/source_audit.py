@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, kept, shuffle_parts
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 MERGE_ROWS = 1 << 20
 LEAST_DOCS, SMOOTH, ONE, TOP = 30, 5, 1_000_000_000, 50
 MOST = 9_000_000_000  # counts up to here times ONE fit a long
@@ -108,6 +108,7 @@ def count_chunks(docs: DataFrame, slices: int) -> DataFrame:
             if size >= BLOCK_BYTES:
                 yield from block(number, held)
                 number, held, size = number + 1, [], 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield from block(number, held)
 
