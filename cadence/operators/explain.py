@@ -1,17 +1,10 @@
-"""Exact Shapley values against a bounded background sample.
-
-Value of a coalition S for row x: v(S) = mean over background rows b of
-f(x_S, b_rest) (the interventional game KernelSHAP approximates).  With at
-most 7 features the 2^p coalitions are enumerated exactly.
-
-* ``shapley_polynomial``: f is a polynomial (sum of coefficient x product of
-  features).  v(S) needs only background moments E_b[prod b_j], so phi is a
-  column expression per row: no row is paired with the background at all.
-* ``shapley_model``: any fitted scorer.  Each explained row fans out to
-  2^p x |background| mixed rows (both bounded: p <= 7, background <= 100 rows,
-  inlined as literals), the scorer runs JVM-side, coalition values are
-  averaged by ``groupBy``, and phi comes from array higher-order functions.
+"""Exact Shapley values.
+
+* ``shapley_polynomial``: f is a polynomial (sum of coefficient x product of features) and the value of a coalition S for
+  row x is the mean of f(x_S, b_rest) over all background rows b.  That needs only means of products of
+  background columns (``background_moments``: one aggregate over all training rows), so phi is a column expression per row.
 * ``shapley_linear``: the closed form coef_j (x_j - mean_b x_j) (X2).
+* ``shapley_trees``: fitted forests and boosters, path dependent (``trees``): no background, one narrow pass.
 """
 
 from __future__ import annotations
@@ -23,22 +16,31 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions import exprs as X
+from cadence.operators import trees as TR
 
-MAX_BACKGROUND = 100
-MAX_FEATURES = 7
+Moments = dict[tuple[int, ...], float]
 
 
-def background_rows(df: DataFrame, features: Sequence[str], order: Column, n: int = MAX_BACKGROUND) -> list[tuple]:
-    """A deterministic background sample: the first ``n`` rows by ``order`` (a top-k, bounded)."""
-    rows = df.select(*features).orderBy(*([order] if isinstance(order, Column) else order)).limit(n).collect()
-    return [tuple(float(v) for v in r) for r in rows]
+def background_moments(df: DataFrame, columns: Sequence[Column], products: Sequence[Sequence[int]] = ()) -> Moments:
+    """Means over all rows of ``df`` of every column and of every product of columns that is named (and of its sub-products)."""
+    wanted = {(j,) for j in range(len(columns))}
+    for p in products:
+        wanted |= {s for r in range(1, len(set(p)) + 1) for s in itertools.combinations(sorted(set(p)), r)}
+    order = sorted(wanted)
+    means = []
+    for k, idx in enumerate(order):
+        e = F.lit(1.0)
+        for j in idx:
+            e = e * columns[j].cast("double")
+        means.append(F.avg(e).alias(f"m{k}"))
+    row = df.agg(*means).first()  # one number per product
+    return {(): 1.0} | {idx: row[f"m{k}"] for k, idx in enumerate(order)}
 
 
-def _moment(bg: list[tuple], idx: Sequence[int]) -> float:
-    if not idx:
-        return 1.0
-    return sum(math.prod(r[j] for j in idx) for r in bg) / len(bg)
+def sample_moments(rows: Sequence[Sequence[float]]) -> Moments:
+    """The same of a few rows at hand."""
+    n = len(rows[0])
+    return {idx: sum(math.prod(r[j] for j in idx) for r in rows) / len(rows) for k in range(n + 1) for idx in itertools.combinations(range(n), k)}
 
 
 def _long(df: DataFrame, keys: Sequence[str], features: Sequence[str], phis: Sequence[Column]) -> DataFrame:
@@ -47,7 +49,7 @@ def _long(df: DataFrame, keys: Sequence[str], features: Sequence[str], phis: Seq
 
 
 def shapley_polynomial(df: DataFrame, keys: Sequence[str], features: Sequence[str],
-                       terms: Sequence[tuple[float, tuple[int, ...]]], background: list[tuple]) -> DataFrame:
+                       terms: Sequence[tuple[float, tuple[int, ...]]], moments: Moments) -> DataFrame:
     """X1 for polynomial scorers: exact phi per (row, feature) from background moments."""
     x = [F.col(c).cast("double") for c in features]
     phis = [F.lit(0.0) for _ in features]
@@ -63,8 +65,8 @@ def shapley_polynomial(df: DataFrame, keys: Sequence[str], features: Sequence[st
                     prod_s = F.lit(1.0)
                     for j in s:
                         prod_s = prod_s * x[j]
-                    gain = (prod_s * x[i] * F.lit(_moment(background, [j for j in t if j not in with_i]))
-                            - prod_s * F.lit(_moment(background, [j for j in t if j not in s])))
+                    gain = (prod_s * x[i] * F.lit(moments[tuple(j for j in t if j not in with_i)])
+                            - prod_s * F.lit(moments[tuple(j for j in t if j not in s)]))
                     contrib = contrib + F.lit(w) * gain
             phis[i] = phis[i] + F.lit(coef) * contrib
     return _long(df, keys, features, phis)
@@ -80,57 +82,34 @@ def polynomial_value(features: Sequence[str], terms) -> Column:
     return e
 
 
-def polynomial_base(terms, background: list[tuple]) -> float:
-    return sum(c * _moment(background, sorted(set(v))) for c, v in terms)
+def polynomial_base(terms, moments: Moments) -> float:
+    return sum(c * moments[tuple(sorted(set(v)))] for c, v in terms)
 
 
 def shapley_linear(df: DataFrame, keys: Sequence[str], features: Sequence[str], coefs: Sequence[float],
-                   background: list[tuple], transform: Callable[[int], Column] | None = None) -> DataFrame:
+                   moments: Moments, transform: Callable[[int], Column] | None = None) -> DataFrame:
     """phi_j = coef_j (x_j - mean of x_j over the background).
 
     ``transform(j)`` optionally maps feature j first (e.g. the model's z-score);
-    the background is then given in the transformed scale.
+    the moments are then those of the transformed columns.
     """
-    means = [_moment(background, [j]) for j in range(len(features))]
     x = [transform(j) if transform else F.col(c).cast("double") for j, c in enumerate(features)]
-    return _long(df, keys, features, [F.lit(float(c)) * (x[j] - F.lit(means[j])) for j, c in enumerate(coefs)])
-
+    return _long(df, keys, features, [F.lit(float(c)) * (x[j] - F.lit(moments[j,])) for j, c in enumerate(coefs)])
 
-def shapley_model(df: DataFrame, keys: Sequence[str], features: Sequence[str], background: list[tuple],
-                  score: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """X1 for any scorer: exact enumeration of coalitions against the background.
 
-    ``score`` takes a DataFrame with the feature columns and returns it with a
-    ``prediction`` column (e.g. a fitted Spark ML model's ``transform``).
-    """
-    p = len(features)
-    if p > MAX_FEATURES or len(background) > MAX_BACKGROUND:
-        raise ValueError("exact enumeration is bounded to 7 features and 100 background rows")
-    nmask = 1 << p
-    bg = F.array(*[F.struct(*[F.lit(float(v)).alias(f"b{j}") for j, v in enumerate(r)]) for r in background])
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
-    fan = rows.withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit(nmask - 1)))).withColumn("b", F.explode(bg))
-    mixed = fan.select(*keys, "mask", *[F.when((F.col("mask").bitwiseAND(F.lit(1 << j))) != 0, F.col(c))
-                                        .otherwise(F.col(f"b.b{j}")).alias(c) for j, c in enumerate(features)])
-    v = score(mixed).groupBy(*keys, "mask").agg(F.avg("prediction").alias("v"))
-    arr = v.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("mask", "v"))).alias("vs"))  # 2^p per row
-    vals = F.transform(F.col("vs"), lambda s: s["v"])
-    weights = [math.factorial(k) * math.factorial(p - k - 1) / math.factorial(p) for k in range(p)]
-    wlit = F.array(*[F.lit(w) for w in weights])
-    phis = []
-    for j in range(p):
-        bit = 1 << j
-        masks = F.filter(F.sequence(F.lit(0), F.lit(nmask - 1)), lambda s: s.bitwiseAND(F.lit(bit)) == 0)
-        phis.append(F.aggregate(masks, F.lit(0.0), lambda acc, s: acc + F.element_at(wlit, F.bit_count(s) + 1)
-                                * (F.element_at(vals, s.bitwiseOR(F.lit(bit)) + 1) - F.element_at(vals, s + 1))))
-    return _long(arr, keys, features, phis)
+def shapley_trees(df: DataFrame, keys: Sequence[str], features: Sequence[str], explainer: TR.Explainer,
+                  transform: Callable[[int], Column] | None = None) -> DataFrame:
+    """X1 of a fitted forest or booster: (keys, feature, phi) of every row without null features."""
+    x = [transform(j) if transform else F.col(c) for j, c in enumerate(features)]
+    phi = TR.shapley(df.select(*keys, *[e.cast("double").alias(c) for e, c in zip(x, features)]), [F.col(c) for c in features], explainer)
+    return _long(phi, keys, features, [F.get("phi", F.lit(j)) for j in range(len(features))])
 
 
 def importance(phi: DataFrame) -> DataFrame:
     """Mean |phi| per feature, share of the total, rank."""
     g = phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("shap_importance"))
-    total = g.agg(F.sum("shap_importance").alias("t")).first()["t"] or 0.0  # one number
-    return (g.withColumn("importance_pct", F.col("shap_importance") / X.lit_d(total if total else None) * 100.0)
+    total = F.sum("shap_importance").over(Window.partitionBy())  # over one row per feature
+    return (g.withColumn("importance_pct", F.col("shap_importance") / F.when(total != 0, total) * 100.0)
             .withColumn("rank", F.row_number().over(Window.orderBy(F.col("shap_importance").desc(), "feature"))))
 
 
@@ -148,3 +127,28 @@ def explain_rows(phi: DataFrame, keys: Sequence[str], base_value: float, top: in
     return g.select(*keys, F.lit(float(base_value)).alias("base_value"),
                     (F.lit(float(base_value)) + F.col("__sum")).alias("prediction"),
                     *[c for k in range(1, top + 1) for c in (f"top{k}_feature", f"top{k}_phi", f"top{k}_direction")])
+
+
+def report(phi: DataFrame, keys: Sequence[str], base_value: float, top: int = 3) -> DataFrame:
+    """What an explanation run hands over, as rows of one table: ``part`` 'value' (every contribution), 'importance'
+    (mean size and share per feature) and 'driver' (the ``top`` contributions of every row, with base value and prediction)."""
+    phi = phi.select(*keys, "feature", "phi")
+    none = {"value": "double", "pct": "double", "rank": "int", "direction": "string", "base_value": "double", "prediction": "double"}
+    cols = ["part", *keys, "feature", *none]
+
+    def part(name: str, df: DataFrame) -> DataFrame:
+        for k in keys:
+            if k not in df.columns:
+                df = df.withColumn(k, F.lit(None).cast(phi.schema[k].dataType))
+        for c, t in none.items():
+            if c not in df.columns:
+                df = df.withColumn(c, F.lit(None).cast(t))
+        return df.withColumn("part", F.lit(name)).select(*cols)
+
+    imp = importance(phi).select("feature", F.col("shap_importance").alias("value"), F.col("importance_pct").alias("pct"), "rank")
+    w = Window.partitionBy(*keys).orderBy(F.abs("phi").desc(), "feature")
+    ranked = (phi.withColumn("rank", F.row_number().over(w).cast("int")).withColumn("base_value", F.lit(float(base_value)))
+              .withColumn("prediction", F.lit(float(base_value)) + F.sum("phi").over(Window.partitionBy(*keys)))
+              .withColumn("direction", F.when(F.col("phi") > 0, "increases").otherwise("decreases")))
+    return (part("value", phi.withColumnRenamed("phi", "value")).unionByName(part("importance", imp))
+            .unionByName(part("driver", ranked.where(F.col("rank") <= top).withColumnRenamed("phi", "value"))))

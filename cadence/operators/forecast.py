@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Sequence
 
 import numpy as np
@@ -25,6 +24,7 @@ from cadence.operators import evaluate as EV
 from cadence.operators import features as FT
 from cadence.operators import linear as LN
 from cadence.operators import split as SP
+from cadence.operators import trees as TR
 from cadence.spec import PanelSpec, present
 
 FORECAST_FEATURES = ("cdi_smooth", "inflation", "trade_openness", "investment", "governance_index",
@@ -140,40 +140,17 @@ def evaluate(fc: Forecaster, test: DataFrame, spark) -> DataFrame:
                     F.lit(float(arr.std()) if arr.size else None).cast("double").alias("std_cv_r2"))
 
 
-def spread(df: DataFrame, members, k: int, out: str = "__std") -> DataFrame:
-    """Population standard deviation of an array of ``k`` values, from differences to their mean."""
-    df = df.withColumn("__members", members)
-    df = df.withColumn("__mean", F.aggregate("__members", F.lit(0.0), lambda a, x: a + x) / F.lit(float(k)))
-    off = F.transform("__members", lambda x: x - F.col("__mean"))
-    return (df.withColumn(out, F.sqrt(F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x) / F.lit(float(k))))
-            .drop("__members", "__mean"))
-
-
 def ensemble_interval(fc: Forecaster, df: DataFrame, confidence: float = 0.95) -> DataFrame:
     """Prediction +- z x population std of the ensemble's member predictions.
 
     Random forest: per-tree predictions; boosting: the staged (cumulative)
-    predictions, as the reference does; ridge: NULL bounds.
+    predictions, as the reference does; ridge: NULL bounds.  All trees are scored in one pass over
+    the rows (``trees``); rows with a null feature have no prediction.
     """
-    z = EV.z_value(confidence)
     if fc.model_type == "ridge":
         return fc.predict(df).withColumn("lower", X.null_double()).withColumn("upper", X.null_double())
-    s = BO.assembler(fc.zcols()).transform(fc.scaled(df))
-    trees = fc.tree_model.trees
-    names = [f"__m{i}" for i in range(len(trees))]
-    s = reduce(lambda acc, it: it[1].setPredictionCol(names[it[0]]).transform(acc), enumerate(trees), s)
-    members = F.array(*[F.col(n) for n in names])
-    if fc.model_type == "gbr":  # staged predictions: running weighted sums of the trees
-        w = list(fc.tree_model.treeWeights)
-        staged, acc = [], None
-        for i, n in enumerate(names):
-            term = F.lit(float(w[i])) * F.col(n)
-            acc = term if acc is None else acc + term
-            staged.append(acc)
-        members = F.array(*staged)
-    k = len(names)
-    s = spread(s, members, k)
-    out = fc.tree_model.transform(s)
-    return (out.withColumn("lower", F.col("prediction") - F.lit(z) * F.col("__std"))
-            .withColumn("upper", F.col("prediction") + F.lit(z) * F.col("__std"))
-            .drop("features", "__std", *names, *fc.zcols()))
+    flat = TR.flatten(df.sparkSession, fc.tree_model, len(fc.features))
+    z = F.lit(EV.z_value(confidence))
+    out = TR.member_spread(df, [X.standardize(c, fc.mu[j], fc.sd[j]) for j, c in enumerate(fc.features)], flat, fc.model_type == "gbr")
+    return (out.withColumn("lower", F.col("prediction") - z * F.col("__std"))
+            .withColumn("upper", F.col("prediction") + z * F.col("__std")).drop("__std"))

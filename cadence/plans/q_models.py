@@ -12,6 +12,7 @@ from cadence.operators import forecast as FC
 from cadence.operators import linear as LN
 from cadence.operators import select as SL
 from cadence.operators import split as SP
+from cadence.operators import trees as TR
 from cadence.plans.catalog import finish, query
 from cadence.plans.oracle_cte import FEATURES, rounded, with_panel
 from cadence.plans.q_features import SPEC, featured, month
@@ -172,14 +173,18 @@ def m17_forecast_run(spark, d):
     return finish(outs[0].unionByName(outs[1]))
 
 
-@query("m18_train_run")
-def m18_train_run(spark, d):
-    """Model frame (imputed) -> hash split -> ridge and boosting -> ranked test metrics."""
+def _train_test(spark, d):
+    """The imputed model frame, split by a key: training rows with folds, test rows, features."""
     frame, feats = SL.model_frame(featured(spark, d), SPEC)
     frame = frame.join(month(spark, d).select("entity", "period", "entity_no"), ["entity", "period"])
     frame = materialize(SP.modulo_split(frame, F.col("entity_no") * 31 + F.col("period")))
-    train = materialize(SP.add_folds(frame.filter("is_train"), SPEC, 5))
-    test = frame.filter(~F.col("is_train"))
+    return materialize(SP.add_folds(frame.filter("is_train"), SPEC, 5)), frame.filter(~F.col("is_train")), feats
+
+
+@query("m18_train_run")
+def m18_train_run(spark, d):
+    """Model frame (imputed) -> hash split -> ridge and boosting -> ranked test metrics."""
+    train, test, feats = _train_test(spark, d)
     ridge = LN.fit_ridge(train, feats, TARGET, "fold")
     gbt = BO.fit_gbt(train, feats, TARGET, "fold", 5)
     r = LN.predict(test, ridge, "yhat").select(F.lit("ridge").alias("model"), F.col(TARGET).alias("y"), "yhat")
@@ -211,7 +216,6 @@ def s11_model_roundtrip(spark, d):
 X_FEATURES = ["cdi_smooth_lag1", "inflation_lag1", "trade_openness_lag1", "investment_lag1"]
 # Fixed test scorer for the SQL-checked Shapley queries: (coefficient, feature indexes).
 SCORER = [(0.02, (0,)), (-0.1, (1,)), (0.01, (2,)), (0.05, (3,)), (0.001, (0, 1)), (0.0005, (2, 3))]
-_BG_KEY = "(CAST(entity_no AS BIGINT) * 7919 + CAST(period AS BIGINT) * 104729) % 1000003"
 
 
 def _xframe(spark, d):
@@ -221,15 +225,12 @@ def _xframe(spark, d):
 
 
 def _bg(frame):
-    order = [F.pmod(F.col("entity_no").cast("long") * 7919 + F.col("period").cast("long") * 104729, F.lit(1000003)),
-             F.col("entity"),
-             F.col("period")]
-    return XP.background_rows(frame.filter("is_train"), X_FEATURES, order, 100)
+    return XP.background_moments(frame.filter("is_train"), [F.col(c) for c in X_FEATURES], [v for _, v in SCORER])
 
 
 _XSQL = ("xf AS (SELECT entity, entity_no, period, " + ", ".join(X_FEATURES) + f", {SPLIT_KEY} AS is_train "
          "FROM features WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in X_FEATURES) + ")",
-         "bg AS (SELECT * FROM xf WHERE is_train ORDER BY " + _BG_KEY + ", entity, period LIMIT 100)",
+         "bg AS (SELECT * FROM xf WHERE is_train)",
          "mo AS (SELECT avg(cdi_smooth_lag1) AS m0, avg(inflation_lag1) AS m1, avg(trade_openness_lag1) AS m2, "
          "avg(investment_lag1) AS m3, avg(cdi_smooth_lag1 * inflation_lag1) AS m01, "
          "avg(trade_openness_lag1 * investment_lag1) AS m23 FROM bg)")
@@ -276,26 +277,56 @@ def x2_shapley_linear(spark, d):
 
 @query("x2_shapley_ridge")
 def x2_shapley_ridge(spark, d):
-    """Closed-form Shapley of the fitted ridge (z-scored features) on the last fold."""
+    """Closed-form Shapley of the fitted ridge (z-scored features): every row against the means of all training rows."""
     mf, fit = _ridge(spark, d)
-    z = lambda j: fit.z(j)
-    # background: 100 rows of the training folds, in hash order (a bounded top-k), in the model's z scale
-    bg = [tuple(float(v) for v in r) for r in mf.filter(F.col("fold") < 4).orderBy(
-        F.xxhash64("entity", "period", F.lit(42))).limit(100).select(
-        *[z(j).alias(c) for j, c in enumerate(MODEL_FEATURES)]).collect()]
-    test = mf.filter(F.col("fold") == 4)
-    return finish(XP.shapley_linear(test, ["entity", "period"], MODEL_FEATURES, fit.coef, bg, transform=z))
+    moments = XP.background_moments(mf, [fit.z(j) for j in range(len(MODEL_FEATURES))])
+    return finish(XP.shapley_linear(mf, ["entity", "period"], MODEL_FEATURES, fit.coef, moments, transform=fit.z))
+
+
+def _explained(spark, d):
+    """The fitted booster's contributions of every row of the model frame, materialised, with the base value."""
+    mf, fit = _gbt(spark, d)
+    explainer = TR.Explainer.of(TR.flatten(spark, fit.model, len(MODEL_FEATURES)))
+    return mf, fit, materialize(XP.shapley_trees(mf, ["entity", "period"], MODEL_FEATURES, explainer)), explainer.base
 
 
 @query("x1_shapley_model")
 def x1_shapley_model(spark, d):
-    """Exact coalition enumeration for the fitted boosting model (rows check; efficiency in tests)."""
-    mf, fit = _gbt(spark, d)
-    bg = [tuple(float(v) for v in r) for r in mf.filter(F.col("fold") < 4).orderBy(
-        F.xxhash64("entity", "period", F.lit(42))).limit(100).select(*MODEL_FEATURES).collect()]
-    test = mf.filter(F.col("fold") == 4)
-    return finish(XP.shapley_model(test, ["entity", "period"], MODEL_FEATURES, bg,
-                                   lambda df: BO.predict(df, fit)))
+    """Path-dependent Shapley values of the fitted boosting model for every row."""
+    return finish(_explained(spark, d)[2])
+
+
+@query("x1_model_additivity", with_panel(
+    f"SELECT entity, period, {len(MODEL_FEATURES)} AS n_features, TRUE AS additive FROM frame", FEATURES, _FRAME_SQL))
+def x1_model_additivity(spark, d):
+    """Base value plus contributions against the booster's own prediction, for every row."""
+    mf, fit, phi, base = _explained(spark, d)
+    sums = phi.groupBy("entity", "period").agg(F.count("*").cast("int").alias("n_features"), F.sum("phi").alias("s"))
+    both = BO.predict(mf, fit).select("entity", "period", "prediction").join(sums, ["entity", "period"])
+    return both.select("entity", "period", "n_features", (F.abs(F.lit(base) + F.col("s") - F.col("prediction")) < 1e-9).alias("additive"))
+
+
+@query("x3_model")
+def x3_model(spark, d):
+    """Importance by mean size of the fitted booster's contributions."""
+    return finish(XP.importance(_explained(spark, d)[2]))
+
+
+@query("x4_model")
+def x4_model(spark, d):
+    """Every row's prediction by the fitted booster, explained by its three largest contributions."""
+    _, _, phi, base = _explained(spark, d)
+    return finish(XP.explain_rows(phi, ["entity", "period"], base))
+
+
+@query("x5_run")
+def x5_run(spark, d):
+    """The training run's booster explained on its test rows: contributions, importance and drivers in one table."""
+    train, test, feats = _train_test(spark, d)
+    fit = BO.fit_gbt(train, feats, TARGET, "fold", 5)
+    explainer = TR.Explainer.of(TR.flatten(spark, fit.model, len(feats)))
+    phi = materialize(XP.shapley_trees(test, ["entity", "period"], feats, explainer))
+    return finish(XP.report(phi, ["entity", "period"], explainer.base))
 
 
 @query("x3_shapley_importance", rounded(with_panel(

@@ -155,7 +155,7 @@ def test_polynomial_shapley_exact(spark):
     xs = rng.normal(size=(3, 4))
     df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(xs)], "id int, f0 double, f1 double, "
                                "f2 double, f3 double")
-    phi = XP.shapley_polynomial(df, ["id"], ["f0", "f1", "f2", "f3"], terms, bg).collect()
+    phi = XP.shapley_polynomial(df, ["id"], ["f0", "f1", "f2", "f3"], terms, XP.sample_moments(bg)).collect()
 
     def f(v):
         return sum(c * np.prod([v[j] for j in var]) for c, var in terms)
@@ -165,19 +165,12 @@ def test_polynomial_shapley_exact(spark):
         assert sum(got) == pytest.approx(f(list(x)) - np.mean([f(b) for b in bg]))
 
 
-def test_model_shapley_enumeration_matches_polynomial(spark):
-    terms = [(0.5, (0,)), (-1.0, (1,)), (0.25, (0, 1)), (2.0, (2,))]
-    rng = np.random.default_rng(2)
-    bg = [tuple(map(float, r)) for r in rng.normal(size=(5, 3))]
-    xs = rng.normal(size=(4, 3))
-    feats = ["f0", "f1", "f2"]
-    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(xs)], "id int, f0 double, f1 double, f2 double")
-    score = lambda d: d.withColumn("prediction", XP.polynomial_value(feats, terms))
-    a = {(r["id"], r["feature"]): r["phi"] for r in XP.shapley_model(df, ["id"], feats, bg, score).collect()}
-    b = {(r["id"], r["feature"]): r["phi"] for r in XP.shapley_polynomial(df, ["id"], feats, terms, bg).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-10)
+def test_background_moments_are_those_of_all_rows(spark):
+    rows = [tuple(map(float, r)) for r in np.random.default_rng(2).normal(size=(500, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(7)
+    got = XP.background_moments(df, [F.col(c) for c in "abc"], [(0, 1, 2)])
+    want = XP.sample_moments(rows)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
 
 
 def test_persistence_round_trips(spark, regression):

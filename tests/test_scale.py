@@ -42,9 +42,3 @@ def test_small_percentage_errors_are_kept(spark):
     rows = [("m", float(i + 1), float(i + 1) * (1 + 1e-14)) for i in range(50)]
     got = EV.metrics(spark.createDataFrame(rows, "model string, y double, yhat double")).head()
     assert got.mape == pytest.approx(100 * np.mean([abs(a - b) / a for _, a, b in rows]), rel=1e-6) and got.mape > 0
-
-
-def test_spread_of_large_values(spark):
-    from cadence.operators.forecast import spread
-    df = spark.createDataFrame([(1e9, 1e9 + 1, 1e9 + 2, 1e9 + 3)], "a double, b double, c double, d double")
-    assert spread(df, F.array("a", "b", "c", "d"), 4, "std").head()["std"] == pytest.approx(1.25 ** 0.5)
