@@ -6,8 +6,8 @@ a one-row-per-entity table is either broadcast by AQE (small) or split by AQE's
 skew handling when one entity holds a large share of the rows.  Global
 statistics are fitted with one aggregate and applied as literals.
 
-``approx=True`` switches exact medians/quantiles (a value map per group) to
-``percentile_approx`` (a bounded sketch) for very large groups.
+Medians and quartiles are exact, by distributed selection (``quantiles``); ``approx=True`` takes
+``percentile_approx`` (a bounded sketch) instead.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import exprs as X
+from cadence.operators import quantiles as QU
 from cadence.spec import PanelSpec, numeric_columns, present
 
 DROP_KEYS = ("cdi_smooth_lag1", "inflation_lag1", "trade_openness_lag1", "investment_lag1",
@@ -28,10 +29,6 @@ QUALITY_COLS = ("gdp_growth", "cdi_smooth", "cdi_raw", "inflation", "investment"
 AVAILABILITY_COLS = ("gdp_growth", "cdi_smooth", "inflation", "governance_index")
 
 
-def _median(c: str, approx: bool):
-    return F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
-
-
 def _impute_cols(df: DataFrame, spec: PanelSpec, cols: Sequence[str] | None) -> list[str]:
     if cols is not None:
         return present(df, cols)
@@ -48,11 +45,13 @@ def impute(df: DataFrame, spec: PanelSpec, method: str = "median", cols: Sequenc
     """
     cols = _impute_cols(df, spec, cols)
     if method in ("median", "mean"):
-        stat = (lambda c: _median(c, approx)) if method == "median" else F.avg
-        per_entity = df.groupBy(spec.entity).agg(*[stat(c).alias(f"__e_{c}") for c in cols])
+        exact = method == "median" and not approx
+        stat = (lambda c: F.percentile_approx(c, 0.5, 10000)) if method == "median" else F.avg
+        per_entity = QU.medians(df, cols, [spec.entity], "__e_") if exact else df.groupBy(spec.entity).agg(*[stat(c).alias(f"__e_{c}") for c in cols])
         filled = df.join(per_entity, spec.entity, "left").select(
             *[F.coalesce(F.col(c), F.col(f"__e_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns])
-        glob = X.one_row(filled.agg(*[stat(c).alias(c) for c in cols]))
+        glob = ({c: q and q[0] for c, q in QU.of_columns(filled, cols, [0.5]).items()} if exact
+                else X.one_row(filled.agg(*[stat(c).alias(c) for c in cols])))
         out = filled.select(*[F.coalesce(F.col(c), X.lit_d(glob[c])).alias(c) if c in cols else F.col(c)
                               for c in df.columns])
     elif method == "forward_fill":
@@ -82,16 +81,15 @@ def imputation_report(before: DataFrame, after: DataFrame, spec: PanelSpec,
     had = [c for c in cols if nulls.get(c)]
     if not had:
         return after.sparkSession.createDataFrame([], "column string, median double")
-    med = after.agg(*[F.median(c).alias(c) for c in had])
-    return med.unpivot([], had, "column", "median")
+    med = QU.quantiles(after, had, [0.5]).withColumnRenamed("q0", "median")
+    return after.sparkSession.createDataFrame([(c,) for c in had], "column string").join(med, "column", "left")
 
 
 def iqr_cap(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, approx: bool = False) -> DataFrame:
     """Clip each column to [q1 - t*iqr, q3 + t*iqr] with global quartiles; NULL stays NULL."""
     cols = present(df, cols)
-    q = (lambda c: F.percentile_approx(c, [0.25, 0.75], 10000)) if approx else \
-        (lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))))
-    stats = X.one_row(df.agg(*[q(c).alias(c) for c in cols]))
+    stats = (X.one_row(df.agg(*[F.percentile_approx(c, [0.25, 0.75], 10000).alias(c) for c in cols])) if approx
+             else QU.of_columns(df, cols, [0.25, 0.75]))
     out = []
     for c in df.columns:
         if c in cols and stats[c] is not None:

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadence.operators import quantiles as QU
 from cadence.spec import PanelSpec, first_present, present
 
 # Fixed values: (lagged feature, current column, default) of the volatility scorer's fallback chain.
@@ -39,14 +40,14 @@ def fallback_features(df: DataFrame, spec: PanelSpec,
                       chain: Sequence[tuple[str, str, float]] = VOLATILITY_FALLBACKS) -> DataFrame:
     """R2 (first form): per entity, lagged value -> current value -> entity median -> default -> 0.
 
-    One aggregate gives the latest row and the medians together.
+    One aggregate gives the latest row; the medians come by selection (``quantiles``).
     """
     use = [(lag, cur, dflt) for lag, cur, dflt in chain if lag in df.columns or cur in df.columns]
     last_cols = sorted({c for lag, cur, _ in use for c in (lag, cur) if c in df.columns})
     agg = df.groupBy(spec.entity).agg(
         F.max(spec.period).alias(spec.period),
-        F.max_by(F.struct(*last_cols), spec.period).alias("__last"),
-        *[F.median(cur).alias(f"__med_{cur}") for _, cur, _ in use if cur in df.columns])
+        F.max_by(F.struct(*last_cols), spec.period).alias("__last"))
+    agg = agg.join(QU.medians(df, [cur for _, cur, _ in use if cur in df.columns], [spec.entity], "__med_"), spec.entity, "left")
     out = []
     for lag, cur, dflt in use:
         parts = []
@@ -63,8 +64,8 @@ def fallback_current(df: DataFrame, spec: PanelSpec, cols: Sequence[str] = GROWT
     """R2 (second form): latest value -> entity median -> 0."""
     cols = present(df, cols)
     agg = df.groupBy(spec.entity).agg(F.max(spec.period).alias(spec.period),
-                                      F.max_by(F.struct(*cols), spec.period).alias("__last"),
-                                      *[F.median(c).alias(f"__med_{c}") for c in cols])
+                                      F.max_by(F.struct(*cols), spec.period).alias("__last"))
+    agg = agg.join(QU.medians(df, cols, [spec.entity], "__med_"), spec.entity, "left")
     return agg.select(spec.entity, spec.period,
                       *[F.coalesce(F.col(f"__last.{c}"), F.col(f"__med_{c}"), F.lit(0.0)).alias(c) for c in cols])
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.operators import quantiles as QU
 from cadence.session import materialize
 from cadence.spec import PanelSpec
 
@@ -64,8 +65,8 @@ def ordered_split(df: DataFrame, spec: PanelSpec, test_size: float = 0.2, out: s
     ``by='period'`` splits on a period cut-off instead (a true time split).
     """
     if by == "period":
-        cut = df.approxQuantile(spec.period, [1.0 - test_size], 0.0)[0]
-        return df.withColumn(out, F.col(spec.period) < F.lit(cut))
+        cut = QU.of_columns(df, [spec.period], [1.0 - test_size], discrete=True)[spec.period]
+        return df.withColumn(out, F.col(spec.period) < F.lit(cut[0] if cut else None))
     o, n = _ordinal_and_count(df, spec)
     split_idx = int(n * (1.0 - test_size))
     return o.withColumn(out, F.col("ordinal") < F.lit(split_idx))

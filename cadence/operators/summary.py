@@ -1,8 +1,7 @@
 """Aggregations, grouping, top-k, bucketing.
 
-Aggregates combine partially per task before their shuffle; exact quantiles
-(``percentile``/``median``) keep a value map per group, so each has an
-``approx`` switch to the bounded ``percentile_approx`` sketch.  Global cut
+Aggregates combine partially per task before their shuffle; exact quantiles come by distributed
+selection (``quantiles``), with an ``approx`` switch to the bounded ``percentile_approx`` sketch.  Global cut
 points (median split, quartiles, histogram range) are fitted by one
 aggregate and applied as literals, never by a window over the whole table.
 """
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import exprs as X
+from cadence.operators import quantiles as QU
 from cadence.spec import PanelSpec, first_present, present
 
 KEY_VARS = ("cdi_smooth", "gdp_growth", "gdp_volatility", "governance_index", "inflation")
@@ -23,12 +23,6 @@ CLUSTER_FEATURES = ("cdi_smooth", "gdp_volatility", "governance_index", "inflati
 QUARTILE_LABELS = ("Q1 (Low)", "Q2", "Q3", "Q4 (High)")
 
 
-def _pct(c: str, ps: Sequence[float], approx: bool):
-    if approx:
-        return F.percentile_approx(c, list(ps), 10000)
-    return F.percentile(c, F.array(*[F.lit(float(p)) for p in ps]))
-
-
 def overview(df: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
     """A1: rows, distinct entities, first and last period."""
     distinct = F.approx_count_distinct(spec.entity) if approx else F.count_distinct(spec.entity)
@@ -50,27 +44,37 @@ def var_stats(df: DataFrame, cols: Sequence[str] = KEY_VARS) -> DataFrame:
     return _long(agg, cols, ["mean", "std"])
 
 
-def _describe_aggs(c: str, approx: bool, prefix: bool = True):
-    name = (lambda f: f"{f}__{c}") if prefix else (lambda f: f)
-    q = _pct(c, [0.25, 0.5, 0.75], approx)
-    return [F.count(c).alias(name("count")), F.avg(c).alias(name("mean")), F.stddev_samp(c).alias(name("std")),
-            F.min(c).cast("double").alias(name("min")), q[0].alias(name("q25")), q[1].alias(name("q50")),
-            q[2].alias(name("q75")), F.max(c).cast("double").alias(name("max"))]
-
-
 DESCRIBE_FIELDS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def _described(df: DataFrame, by: Sequence[str], cols: Sequence[str], approx: bool) -> DataFrame:
+    """(``by``..., variable, count, mean, ... max) of every column per group."""
+    rows = []
+    for c in cols:
+        q = F.percentile_approx(c, QUARTILES, 10000) if approx else None
+        rows.append(F.struct(F.lit(c).alias("variable"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                             F.min(c).cast("double").alias("min"), *([q[k].cast("double").alias(f"q{k}") for k in range(3)] if approx else []),
+                             F.max(c).cast("double").alias("max")))
+    base = df.groupBy(*by).agg(F.array(*rows).alias("s")).select(*by, F.explode("s").alias("s")).select(*by, "s.*")
+    if not approx:
+        q = QU.quantiles(df, cols, QUARTILES, by).alias("q")
+        same = F.col("b.variable") == F.col("q.column")
+        for k in by:
+            same = same & F.col(f"b.{k}").eqNullSafe(F.col(f"q.{k}"))
+        base = base.alias("b").join(q, same, "left").select("b.*", *[f"q.q{k}" for k in range(3)])
+    named = base.withColumnsRenamed({"q0": "q25", "q1": "q50", "q2": "q75"})
+    return named.select(*by, "variable", *DESCRIBE_FIELDS)
 
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """A3: count, mean, std, min, quartiles, max per column (exact quartiles by default)."""
-    cols = present(df, cols)
-    agg = df.agg(*[a for c in cols for a in _describe_aggs(c, approx)])
-    return _long(agg, cols, DESCRIBE_FIELDS)
+    return _described(df, [], present(df, cols), approx)
 
 
 def grouped_describe(df: DataFrame, by: str, col: str, approx: bool = False) -> DataFrame:
     """A4: ``describe`` of one column per group."""
-    return df.groupBy(by).agg(*_describe_aggs(col, approx, prefix=False))
+    return _described(df, [by], [col], approx).drop("variable")
 
 
 def entity_means(df: DataFrame, spec: PanelSpec, cols: Sequence[str] = CLUSTER_FEATURES,
@@ -135,7 +139,10 @@ def median_split(df: DataFrame, spec: PanelSpec, split_col: str = "cdi_smooth",
                  outcome: str = "gdp_growth", approx: bool = False) -> DataFrame:
     """Entity means, split at their median (high: >, low: <=); low minus high."""
     em = df.groupBy(spec.entity).agg(F.avg(split_col).alias("s"), F.avg(outcome).alias("o")).na.drop("any")
-    med = X.one_row(em.agg((F.percentile_approx("s", 0.5, 10000) if approx else F.median("s")).alias("m")))["m"]
+    if approx:
+        med = X.one_row(em.agg(F.percentile_approx("s", 0.5, 10000).alias("m")))["m"]
+    else:
+        med = (QU.of_columns(em, ["s"], [0.5])["s"] or [None])[0]
     high = F.col("s") > X.lit_d(med)
     out = em.agg(F.count_if(high).alias("n_high"), F.count_if(~high).alias("n_low"),
                  F.avg(F.when(high, F.col("o"))).alias("high_mean"),
@@ -148,7 +155,10 @@ def median_split(df: DataFrame, spec: PanelSpec, split_col: str = "cdi_smooth",
 def quartile_bucket(df: DataFrame, col: str = "cdi_smooth", out: str = "cdi_quartile",
                     labels: Sequence[str] = QUARTILE_LABELS, approx: bool = False) -> DataFrame:
     """Equal-frequency quartile label (right-closed, lowest included); NULL input dropped."""
-    q = X.one_row(df.agg(_pct(col, [0.25, 0.5, 0.75], approx).alias("q")))["q"]
+    ps = [0.25, 0.5, 0.75]
+    q = X.one_row(df.agg(F.percentile_approx(col, ps, 10000).alias("q")))["q"] if approx else QU.of_columns(df, [col], ps)[col]
+    if q is None:  # no values: no rows either
+        q = [None] * 3
     x = F.col(col)
     label = (F.when(x <= q[0], labels[0]).when(x <= q[1], labels[1]).when(x <= q[2], labels[2])
              .otherwise(labels[3]))
