@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import exprs as X
 from cadence.operators import quantiles as QU
+from cadence.operators import slices as SC
 from cadence.spec import PanelSpec, numeric_columns, present
 
 DROP_KEYS = ("cdi_smooth_lag1", "inflation_lag1", "trade_openness_lag1", "investment_lag1",
@@ -55,12 +56,8 @@ def impute(df: DataFrame, spec: PanelSpec, method: str = "median", cols: Sequenc
         out = filled.select(*[F.coalesce(F.col(c), X.lit_d(glob[c])).alias(c) if c in cols else F.col(c)
                               for c in df.columns])
     elif method == "forward_fill":
-        fwd = spec.window().rowsBetween(Window.unboundedPreceding, 0)
-        # backward fill as a running frame on the reversed order: O(n) per entity
-        bwd = (Window.partitionBy(spec.entity).orderBy(F.col(spec.period).desc())
-               .rowsBetween(Window.unboundedPreceding, 0))
-        out = df.select(*[F.coalesce(F.last(c, True).over(fwd), F.last(c, True).over(bwd)).alias(c)
-                          if c in cols else F.col(c) for c in df.columns])
+        out = SC.over(df, spec, lambda d, s: d.select(*[F.coalesce(SC.last_value(s, c), SC.next_value(s, c)).alias(c) if c in cols
+                                                        else F.col(c) for c in d.columns]), carry=cols)
     else:
         raise ValueError(f"unknown method {method!r}")
     if target and target in out.columns:

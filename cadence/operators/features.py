@@ -4,7 +4,8 @@ Every row-based window here uses the same ``spec.window()`` (partition by
 entity, order by period), so a chain of them plans as one Exchange + one
 Sort followed by Window nodes; check with ``explain``.  Windows count rows,
 not periods, as the reference does (gaps widen a window); ``by_range=True``
-switches the rolling frames to a period range.
+switches the rolling frames to a period range.  Entities too long for one task are cut into slices
+with a halo (``slices``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import exprs as X
+from cadence.operators import slices as SC
 from cadence.spec import PanelSpec, present
 
 COMMODITY_COLS = ("fuel_exports_pct", "metals_exports_pct", "agri_exports_pct", "food_exports_pct")
@@ -41,18 +43,24 @@ def capped_sum(df: DataFrame, cols: Sequence[str] = COMMODITY_COLS, out: str = "
     return df.withColumn(out, X.capped_sum(have, cap))
 
 
+def _rolling(df: DataFrame, spec: PanelSpec, col: str, out: str, size: int, min_periods: int, by_range: bool, fn) -> DataFrame:
+    def run(d: DataFrame, s: PanelSpec) -> DataFrame:
+        w = _frame(s, size, by_range)
+        return d.withColumn(out, F.when(F.count(col).over(w) >= min_periods, fn(col).over(w)))
+
+    return SC.over(df, spec, run, before=size - 1)
+
+
 def rolling_mean(df: DataFrame, spec: PanelSpec, col: str, out: str, size: int = 3,
                  min_periods: int = 1, by_range: bool = False) -> DataFrame:
     """mean over the last ``size`` rows of the entity, NULL below ``min_periods`` values."""
-    w = _frame(spec, size, by_range)
-    return df.withColumn(out, F.when(F.count(col).over(w) >= min_periods, F.avg(col).over(w)))
+    return _rolling(df, spec, col, out, size, min_periods, by_range, F.avg)
 
 
 def rolling_std(df: DataFrame, spec: PanelSpec, col: str, out: str, size: int,
                 min_periods: int, by_range: bool = False) -> DataFrame:
     """sample standard deviation over the last ``size`` rows."""
-    w = _frame(spec, size, by_range)
-    return df.withColumn(out, F.when(F.count(col).over(w) >= min_periods, F.stddev_samp(col).over(w)))
+    return _rolling(df, spec, col, out, size, min_periods, by_range, F.stddev_samp)
 
 
 def row_mean(df: DataFrame, cols: Sequence[str] = GOVERNANCE_COLS, out: str = "governance_index",
@@ -68,7 +76,13 @@ def row_mean(df: DataFrame, cols: Sequence[str] = GOVERNANCE_COLS, out: str = "g
 
 def pct_change(df: DataFrame, spec: PanelSpec, col: str, out: str, pad: bool = True) -> DataFrame:
     """per-entity percent change x 100 (zero base -> NULL)."""
-    return df.withColumn(out, X.pct_change(col, spec.window(), pad=pad))
+    def run(d: DataFrame, s: PanelSpec) -> DataFrame:
+        if not pad:
+            return d.withColumn(out, X.pct_change(col, s.window(), pad=False))
+        # the padded series at this row and at the previous row
+        return d.withColumn(out, (X.share(SC.last_value(s, col), SC.last_value(s, col, 1)) - F.lit(1.0)) * F.lit(100.0))
+
+    return SC.over(df, spec, run, before=1, carry=[col] if pad else [])
 
 
 def log_offset(df: DataFrame, col: str = "gdp_volatility", out: str = "log_gdp_volatility",
@@ -86,14 +100,13 @@ def add_lags(df: DataFrame, spec: PanelSpec, cols: Sequence[str] = LAG_FEATURES,
              suffix: str | None = None) -> DataFrame:
     """previous-row value of each present column within the entity."""
     suffix = suffix or f"_lag{k}"
-    w = spec.window()
-    return df.select("*", *[F.lag(c, k).over(w).alias(f"{c}{suffix}") for c in present(df, cols)])
+    return SC.over(df, spec, lambda d, s: d.select("*", *[F.lag(c, k).over(s.window()).alias(f"{c}{suffix}") for c in present(df, cols)]), before=k)
 
 
 def add_lead(df: DataFrame, spec: PanelSpec, col: str = "gdp_growth", out: str = "gdp_growth_next",
              k: int = 1) -> DataFrame:
     """next-row value within the entity (the one-step-ahead target)."""
-    return df.withColumn(out, F.lead(col, k).over(spec.window()))
+    return SC.over(df, spec, lambda d, s: d.withColumn(out, F.lead(col, k).over(s.window())), after=k)
 
 
 def ingest_derivations(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -101,8 +114,11 @@ def ingest_derivations(df: DataFrame, spec: PanelSpec) -> DataFrame:
     volatility, governance index (S5 after the pivot)."""
     out = capped_sum(df)
     if "exchange_rate" in df.columns:
-        out = pct_change(out, spec, "exchange_rate", "exchange_rate_change", pad=True)
-        out = rolling_std(out, spec, "exchange_rate_change", "exchange_rate_volatility", 3, 2)
+        def changes(d: DataFrame, s: PanelSpec) -> DataFrame:
+            d = pct_change(d, s, "exchange_rate", "exchange_rate_change", pad=True)
+            return rolling_std(d, s, "exchange_rate_change", "exchange_rate_volatility", 3, 2)
+
+        out = SC.over(out, spec, changes, before=3, carry=["exchange_rate"])
     return row_mean(out, only_if_absent=False)
 
 
@@ -111,14 +127,15 @@ def feature_set(df: DataFrame, spec: PanelSpec, lags: Sequence[str] = LAG_FEATUR
 
     All windows share one partition/order spec: one shuffle, one sort.
     """
-    out = df
-    if "cdi_raw" in out.columns:
-        out = rolling_mean(out, spec, "cdi_raw", "cdi_smooth", 3, 1)
-    if "gdp_growth" in out.columns:
-        out = rolling_std(out, spec, "gdp_growth", "gdp_volatility", 5, 3)
-        out = log_offset(out)
-    out = row_mean(out, only_if_absent=True)
-    return add_lags(out, spec, lags)
+    def run(out: DataFrame, s: PanelSpec) -> DataFrame:
+        if "cdi_raw" in out.columns:
+            out = rolling_mean(out, s, "cdi_raw", "cdi_smooth", 3, 1)
+        if "gdp_growth" in out.columns:
+            out = rolling_std(out, s, "gdp_growth", "gdp_volatility", 5, 3)
+            out = log_offset(out)
+        return add_lags(row_mean(out, only_if_absent=True), s, lags)
+
+    return SC.over(df, spec, run, before=5)  # a lag of a rolling value
 
 
 def usable_counts(df: DataFrame, features: Sequence[str], key_features: Sequence[str]) -> DataFrame:
@@ -146,24 +163,19 @@ def interpolate(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None
     NULL and, with ``drop_missing``, the row is dropped.
     """
     out = out or col
-    w = spec.window()
-    pos = F.row_number().over(w)
-    tagged = df.withColumn("__pos", pos)
-    pair = F.when(F.col(col).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(col).alias("v")))
-    wo = Window.partitionBy(spec.entity).orderBy("__pos")
-    prev = F.last(pair, ignorenulls=True).over(wo.rowsBetween(Window.unboundedPreceding, 0))
-    # next non-null as a running frame over the reversed order: O(n) per entity
-    # (an unbounded-following frame is re-evaluated per row)
-    wr = Window.partitionBy(spec.entity).orderBy(F.col("__pos").desc())
-    nxt = F.last(pair, ignorenulls=True).over(wr.rowsBetween(Window.unboundedPreceding, 0))
-    t = tagged.withColumn("__prev", prev).withColumn("__next", nxt)
-    p0, v0, p1, v1 = (F.col("__prev.p"), F.col("__prev.v"), F.col("__next.p"), F.col("__next.v"))
-    line = v0 + (v1 - v0) * (F.col("__pos") - p0).cast("double") / (p1 - p0).cast("double")
-    value = (F.when(F.col(col).isNotNull(), F.col(col))
-             .when(F.col("__prev").isNull(), X.null_double())
-             .when(F.col("__next").isNull(), v0)
-             .otherwise(line))
-    res = t.withColumn(out, value).drop("__pos", "__prev", "__next")
+
+    def run(d: DataFrame, s: PanelSpec) -> DataFrame:
+        t = d.withColumn("__at", SC.position(s).cast("long"))
+        t = t.withColumn("__prev", SC.last_pair(s, col, "__at")).withColumn("__next", SC.next_pair(s, col, "__at"))
+        p0, v0, p1, v1 = (F.col("__prev.p"), F.col("__prev.v"), F.col("__next.p"), F.col("__next.v"))
+        line = v0 + (v1 - v0) * (F.col("__at") - p0).cast("double") / (p1 - p0).cast("double")
+        value = (F.when(F.col(col).isNotNull(), F.col(col))
+                 .when(F.col("__prev").isNull(), X.null_double())
+                 .when(F.col("__next").isNull(), v0)
+                 .otherwise(line))
+        return t.withColumn(out, value).drop("__at", "__prev", "__next")
+
+    res = SC.over(df, spec, run, carry=[col])
     return res.filter(F.col(out).isNotNull()) if drop_missing else res
 
 

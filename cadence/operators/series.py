@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 
 from cadence.functions import exprs as X
 from cadence.functions import stats as ST
-from cadence.functions.linalg import gram_sums
+from cadence.functions import lagged as LG
 from cadence.operators import features as FT
+from cadence.operators import slices as SC
+from cadence.session import materialize
 from cadence.spec import PanelSpec
 
 SIG_LEVEL = 0.05
@@ -102,9 +104,8 @@ def trend_line(prep: DataFrame, stats: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def _positions(prep: DataFrame, spec: PanelSpec) -> DataFrame:
-    w = spec.window()
-    return (prep.withColumn("pos", F.row_number().over(w) - 1)
-            .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(spec.entity))))
+    """Rows with the length ``n`` of their series."""
+    return prep.join(prep.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n")), spec.entity)
 
 
 def _line(cond, prefix: str):
@@ -115,23 +116,39 @@ def _line(cond, prefix: str):
     return [F.when(enough, F.regr_slope(y, x)).alias(f"{prefix}_slope"), F.when(enough, F.regr_intercept(y, x)).alias(f"{prefix}_intercept")]
 
 
-def decompose(prep: DataFrame, spec: PanelSpec) -> DataFrame:
-    """T5: additive decomposition, period = min(4, n // 2).
+def decompose(prep: DataFrame, spec: PanelSpec, period: int | None = None) -> DataFrame:
+    """T5: additive decomposition, period = min(4, n // 2), or the one given (at least 2; 2 where the series has less than two of them).
 
     Centred moving average (half weights at the ends for an even period), its
     ends extended by a least-squares line through the first / last ``period``
     trend points, seasonal = per-phase mean of the detrended values minus
     their mean, residual = detrended - seasonal.
     """
-    w = spec.window()
     y = F.col("y")
-    p = _positions(prep, spec).withColumn("p", F.least(F.lit(4), F.floor(F.col("n") / 2)).cast("int"))
-    l1, d1, l2, d2 = (F.lag("y", 1).over(w), F.lead("y", 1).over(w), F.lag("y", 2).over(w), F.lead("y", 2).over(w))
-    ma2 = (F.lit(0.5) * l1 + y + F.lit(0.5) * d1) / F.lit(2.0)
-    ma3 = (l1 + y + d1) / F.lit(3.0)
-    ma4 = (F.lit(0.5) * l2 + l1 + y + d1 + F.lit(0.5) * d2) / F.lit(4.0)
-    p = (p.withColumn("k", (F.col("p") / 2).cast("int"))
-         .withColumn("ma", F.when(F.col("p") == 4, ma4).when(F.col("p") == 3, ma3).otherwise(ma2)))
+    longest = F.floor(F.col("n") / 2)
+    wanted = F.least(F.lit(4), longest) if period is None else F.when(F.lit(period) <= longest, F.lit(period)).otherwise(F.lit(2))
+    p = _positions(prep, spec).withColumn("p", wanted.cast("int")).withColumn("k", F.floor(F.col("p") / 2).cast("int"))
+    half = 2 if period is None else max(1, period // 2)
+
+    def averages(d: DataFrame, s: PanelSpec) -> DataFrame:
+        w = s.window()
+        at = {j: (F.lag("y", -j) if j < 0 else F.lead("y", j)).over(w) if j else y for j in range(-half, half + 1)}
+
+        def mean(length: int):
+            k = length // 2
+            ends = F.lit(0.5) if length % 2 == 0 else F.lit(1.0)
+            total = ends * at[-k]
+            for j in range(1 - k, k):
+                total = total + at[j]
+            return (total + ends * at[k]) / F.lit(float(length))
+
+        lengths = [2, 3, 4] if period is None else sorted({2, period})
+        ma = None
+        for length in lengths:
+            ma = mean(length) if ma is None else F.when(F.col("p") == length, mean(length)).otherwise(ma)
+        return d.withColumn("pos", SC.position(s)).withColumn("ma", ma)
+
+    p = SC.over(p, spec, averages, before=half, after=half)
     p = p.withColumn("ma", F.when((F.col("pos") >= F.col("k")) & (F.col("pos") <= F.col("n") - 1 - F.col("k")),
                                   F.col("ma")))
     front, back = F.col("k"), F.col("n") - 1 - F.col("k")
@@ -163,84 +180,68 @@ def variance_shares(dec: DataFrame, spec: PanelSpec) -> DataFrame:
 # ------------------------------------------------------------------ ADF
 def adf_design(prep: DataFrame, spec: PanelSpec, max_lags: int) -> DataFrame:
     """Rows of the ADF regression: dy_t on y_{t-1} and dy_{t-1..t-max_lags} (NULL where absent)."""
-    w = spec.window()
-    p = _positions(prep, spec)
-    p = p.withColumn("level", F.lag("y", 1).over(w)).withColumn("dy", F.col("y") - F.col("level"))
-    return p.select("*", *[F.lag("dy", j).over(w).alias(f"dl{j}") for j in range(1, max_lags + 1)])
+    def run(p: DataFrame, s: PanelSpec) -> DataFrame:
+        w = s.window()
+        p = p.withColumn("pos", SC.position(s)).withColumn("level", F.lag("y", 1).over(w)).withColumn("dy", F.col("y") - F.col("level"))
+        return p.select("*", *[F.lag("dy", j).over(w).alias(f"dl{j}") for j in range(1, max_lags + 1)])
+
+    return SC.over(_positions(prep, spec), spec, run, before=max_lags + 1)
+
+
+def _adf_rows(ys: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
+    """Regressors (1, y_{t-1}, dy_{t-1}, ...) and dy_t from windows of at least ``lags`` + 2 values."""
+    dy = np.diff(ys, axis=1)
+    return np.column_stack([np.ones(len(ys)), ys[:, -2], dy[:, ::-1][:, 1:lags + 1]]), dy[:, -1]
+
+
+def _head_windows(head: np.ndarray, first: int, back: int) -> np.ndarray:
+    """The windows of the rows ``first``, ... of a series' first values, padded with zeros before its start."""
+    padded = np.concatenate([np.zeros(back), head])
+    rows = np.arange(first, len(head))
+    return padded[rows[:, None] + np.arange(back + 1)]
 
 
 def adf(prep: DataFrame, spec: PanelSpec) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag order by AIC.
 
-    Stage 1: one Gram matrix per entity over the common sample (t > maxlag)
-    with all candidate regressors; every lag order is a leading block of it.
-    Stage 2: the chosen order is refitted on its own full sample.
+    One Gram matrix per entity over the common sample (t > maxlag) with all candidate regressors: every lag order is a
+    leading block of it (``lagged``).  The chosen order is fitted again on its own full sample, the
+    common one and the rows before it.
     """
     n_max = X.one_row(prep.groupBy(spec.entity).count().agg(F.max("count").alias("m")))["m"] or 0
-    big = ST.adf_maxlag(int(n_max))
-    design = adf_design(prep, spec, big)
-    maxlag = F.least(F.lit(big), F.greatest(F.lit(0), F.floor(F.col("n") / 2) - 2),
-                     F.ceil(F.lit(12.0) * F.pow(F.col("n") / F.lit(100.0), F.lit(0.25))).cast("int"))
-    design = design.withColumn("maxlag", maxlag.cast("int"))
-    regs = [F.lit(1.0), F.col("level")] + [F.when(F.lit(j) <= F.col("maxlag"), F.col(f"dl{j}")).otherwise(F.lit(0.0))
-                                           for j in range(1, big + 1)]
-    k = big + 2
-    g1 = gram_sums(design, [spec.entity, "n", "maxlag"], regs, "dy", "a",
-                   where=F.col("pos") >= F.col("maxlag") + 1)
-    schema = f"`{spec.entity}` {prep.schema[spec.entity].dataType.simpleString()}, best_lag int"
-
-    def pick(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                xtx, xty, yty, n = ST.gram_unpack(rec, k, "a")
-                best = None
-                for lag in range(0, int(rec["maxlag"]) + 1):
-                    kk = lag + 2
-                    if n <= kk:
-                        continue
-                    aic = ST.ols_from_gram(xtx[:kk, :kk], xty[:kk], yty, n)[5]
-                    if np.isfinite(aic) and (best is None or aic < best[0]):
-                        best = (aic, lag)
-                out.append({spec.entity: rec[spec.entity], "best_lag": None if best is None else best[1]})
-            yield pd.DataFrame(out, columns=[spec.entity, "best_lag"])
-
-    best = g1.mapInPandas(pick, schema)
-    d2 = design.join(best, spec.entity)
-    regs2 = [F.lit(1.0), F.col("level")] + [F.when(F.lit(j) <= F.col("best_lag"), F.col(f"dl{j}")).otherwise(F.lit(0.0))
-                                            for j in range(1, big + 1)]
-    g2 = gram_sums(d2, [spec.entity, "best_lag"], regs2, "dy", "b", where=F.col("pos") >= F.col("best_lag") + 1)
-    out_schema = (f"`{spec.entity}` {prep.schema[spec.entity].dataType.simpleString()}, adf_statistic double, "
-                  "p_value double, used_lag int, n_obs long, crit_1pct double, crit_5pct double, "
-                  "crit_10pct double, is_stationary boolean")
-
-    def finish_adf(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                lag = rec["best_lag"]
-                xtx, xty, yty, n = ST.gram_unpack(rec, k, "b")
-                kk = int(lag) + 2
-                b, ssr, se, tv, llf, aic = ST.ols_from_gram(xtx[:kk, :kk], xty[:kk], yty, n)
-                stat = float(tv[1]) if np.isfinite(tv[1]) else None
-                pv = ST.adf_pvalue(stat) if stat is not None else None
-                crit = ST.adf_critical(n)
-                out.append({spec.entity: rec[spec.entity], "adf_statistic": stat, "p_value": pv,
-                            "used_lag": int(lag), "n_obs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
-                            "crit_10pct": crit["10%"], "is_stationary": None if pv is None else bool(pv < SIG_LEVEL)})
-            yield pd.DataFrame(out, columns=[spec.entity, "adf_statistic", "p_value", "used_lag", "n_obs",
-                                             "crit_1pct", "crit_5pct", "crit_10pct", "is_stationary"])
-
-    return g2.mapInPandas(finish_adf, out_schema)
+    back = ST.adf_maxlag(int(n_max)) + 1
+    rows = LG.windows(prep, spec, back)
+
+    def finish_adf(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
+        maxlag, best = ST.adf_maxlag(m["n"]), None
+        for lag in range(maxlag + 1):
+            if g[1] > lag + 2:
+                aic = ST.ols_from_gram(*LG.of_block(g, range(lag + 2)))[5]
+                if np.isfinite(aic) and (best is None or aic < best[0]):
+                    best = (aic, lag)
+        if best is None:
+            return []
+        lag = best[1]
+        early = _head_windows(head, lag + 1, maxlag + 1)
+        x, y = _adf_rows(early, maxlag)
+        xtx, xty, yty, n = LG.of_block(LG.plus(g, x, y), range(lag + 2))
+        tv = ST.ols_from_gram(xtx, xty, yty, n)[3]
+        stat = float(tv[1]) if np.isfinite(tv[1]) else None
+        pv, crit = None if stat is None else ST.adf_pvalue(stat), ST.adf_critical(n)
+        return [{"adf_statistic": stat, "p_value": pv, "used_lag": lag, "n_obs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
+                 "crit_10pct": crit["10%"], "is_stationary": None if pv is None else bool(pv < SIG_LEVEL)}]
+
+    return LG.states(rows, spec, ["n"], lambda m: ST.adf_maxlag(m["n"]) + 1, lambda m, ys: _adf_rows(ys, ST.adf_maxlag(m["n"])), finish_adf,
+                     f"`{spec.entity}` {_etype(prep, spec)}, adf_statistic double, p_value double, used_lag int, n_obs long, "
+                     "crit_1pct double, crit_5pct double, crit_10pct double, is_stationary boolean")
 
 
 # ------------------------------------------------------------------ ACF / PACF
 def acov_sums(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) -> DataFrame:
     """Per entity: n, nlags = min(max_lags, n // 2 - 1), and S_k = sum d_t d_{t+k} of the demeaned series."""
-    w = spec.window()
     mean = prep.groupBy(spec.entity).agg(F.avg("y").alias("m"), F.count(F.lit(1)).alias("n"))
     d = prep.join(mean, spec.entity).withColumn("d", F.col("y") - F.col("m"))
-    d = d.select("*", *[F.lead("d", k).over(w).alias(f"d{k}") for k in range(1, max_lags + 1)])
+    d = SC.over(d, spec, lambda x, s: x.select("*", *[F.lead("d", k).over(s.window()).alias(f"d{k}") for k in range(1, max_lags + 1)]), after=max_lags)
     g = d.groupBy(spec.entity).agg(F.first("n").alias("n"), F.sum(F.col("d") * F.col("d")).alias("s0"),
                                    *[F.sum(F.col("d") * F.col(f"d{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
     return g.withColumn("nlags", F.least(F.lit(max_lags), F.floor(F.col("n") / 2) - 1).cast("int"))
@@ -285,7 +286,6 @@ MAX_P = 3
 MAX_Q = 3
 FULL_ORDERS = tuple((p, q) for p in range(MAX_P + 1) for q in range(MAX_Q + 1))
 SHORT_ORDERS = ((0, 1), (1, 0), (1, 1), (2, 1), (1, 2))  # the dashboard's short list
-LONG_AR_MAX = 8
 Z95 = 1.959963984540054
 
 
@@ -299,120 +299,153 @@ def differencing(prep: DataFrame, spec: PanelSpec, adf_result: DataFrame | None
     return a.select(spec.entity, F.when(F.col("p_value") < SIG_LEVEL, 0).otherwise(1).alias("d"))
 
 
+def long_ar_order(n: int, d: int) -> int:
+    """Lags of the first autoregression: they grow with the logarithm of the series' length."""
+    return max(1, min((n - d) // 5, int(round(math.log(max(n, 2)) ** 1.5))))
+
+
+def _working(ys: np.ndarray, d: int) -> np.ndarray:
+    """The working series of windows: the values, or their first differences."""
+    return np.diff(ys, axis=1) if d else ys
+
+
+def _ar_rows(z: np.ndarray, m: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Regressors (constant, m lags) and target of windows of at least m + 1 working values."""
+    return np.column_stack([np.ones(len(z)), z[:, ::-1][:, 1:m + 1]]), z[:, -1]
+
+
+def _innovations(z: np.ndarray, coef: np.ndarray, lags: int) -> np.ndarray:
+    """The long autoregression's residuals of the last value and of the ``lags`` before it, newest first."""
+    m = len(coef) - 1
+    back = z[:, ::-1]
+    return np.stack([back[:, j] - coef[0] - back[:, j + 1:j + 1 + m] @ coef[1:] for j in range(lags + 1)], axis=1)
+
+
+def _order_rows(m: dict, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Regressors (constant, 3 lags, 3 innovations) and target of windows of the series."""
+    z = _working(ys, m["d"])
+    e = _innovations(z, np.array(m["long_ar"]), MAX_Q)[:, 1:]
+    return np.column_stack([np.ones(len(z)), z[:, ::-1][:, 1:MAX_P + 1], e]), z[:, -1]
+
+
+def _start(m: dict) -> int:
+    """The first row for which every lag and innovation of the largest order exists."""
+    return m["d"] + len(m["long_ar"]) - 1 + MAX_Q if "long_ar" in m else m["d"] + long_ar_order(m["n"], m["d"])
+
+
 def arima_design(prep: DataFrame, spec: PanelSpec, d: DataFrame) -> DataFrame:
-    """Working series z (level or first difference), its lags, long-AR residual and its lags.
+    """Rows with their window of values, the differencing ``d`` of the series and its long autoregression.
 
-    Step 1 of Hannan-Rissanen: AR(m) by grouped least squares, m = min(8, max(1, n // 5));
-    its residual estimates the innovations used as MA regressors.
+    Step 1 of Hannan-Rissanen: an autoregression whose order grows with the series' length, by grouped least squares;
+    its residuals estimate the innovations that step 2 uses as regressors.
     """
-    w = spec.window()
-    p = _positions(prep, spec).join(d, spec.entity)
-    p = p.withColumn("z", F.when(F.col("d") == 1, F.col("y") - F.lag("y", 1).over(w)).otherwise(F.col("y")))
-    p = p.withColumn("m", F.least(F.lit(LONG_AR_MAX), F.greatest(F.lit(1), F.floor(F.col("n") / 5))).cast("int"))
-    p = p.select("*", *[F.lag("z", j).over(w).alias(f"zl{j}") for j in range(1, LONG_AR_MAX + 1)])
-    regs = [F.lit(1.0)] + [F.when(F.lit(j) <= F.col("m"), F.col(f"zl{j}")).otherwise(F.lit(0.0))
-                           for j in range(1, LONG_AR_MAX + 1)]
-    g = gram_sums(p, [spec.entity], regs, "z", "h", where=F.col("pos") >= F.col("m") + F.col("d"))
-    k = LONG_AR_MAX + 1
-    schema = f"`{spec.entity}` {_etype(prep, spec)}, long_ar array<double>"
-
-    def solve(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                xtx, xty, yty, n = ST.gram_unpack(rec, k, "h")
-                used = [0] + [j for j in range(1, k) if xtx[j, j] > 0]
-                coef = [0.0] * k
-                if n > len(used):
-                    b = ST.ols_from_gram(xtx[np.ix_(used, used)], xty[used], yty, n)[0]
-                    for i, j in enumerate(used):
-                        coef[j] = float(b[i])
-                out.append({spec.entity: rec[spec.entity], "long_ar": coef})
-            yield pd.DataFrame(out, columns=[spec.entity, "long_ar"])
+    n_max = X.one_row(prep.groupBy(spec.entity).count().agg(F.max("count").alias("m")))["m"] or 0
+    back = long_ar_order(int(n_max), 0) + max(MAX_P, MAX_Q) + 1
+    rows = materialize(LG.windows(prep, spec, back).join(d.select(spec.entity, F.col("d").cast("int").alias("d")), spec.entity))
+
+    def solve(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
+        k = long_ar_order(m["n"], m["d"]) + 1
+        coef = np.zeros(k)
+        if g[1] > k:
+            coef = ST.ols_from_gram(*LG.of_block(g, range(k)))[0]
+        return [{"long_ar": coef.tolist()}]
 
-    ar = g.mapInPandas(solve, schema)
-    p = p.join(ar, spec.entity)
-    fitted = F.element_at("long_ar", 1) + X.sum_of([F.element_at("long_ar", j + 1) * F.coalesce(F.col(f"zl{j}"), F.lit(0.0))
-                                              for j in range(1, LONG_AR_MAX + 1)])
-    p = p.withColumn("ehat", F.when(F.col("pos") >= F.col("m") + F.col("d"), F.col("z") - fitted))
-    return p.select("*", *[F.lag("ehat", j).over(w).alias(f"el{j}") for j in range(1, MAX_Q + 1)])
+    ar = LG.states(rows, spec, ["n", "d"], _start, lambda m, ys: _ar_rows(_working(ys, m["d"]), long_ar_order(m["n"], m["d"]), m["d"]), solve,
+                   f"`{spec.entity}` {_etype(prep, spec)}, long_ar array<double>")
+    return rows.join(ar, spec.entity)
 
 
-def _order_regs(const: bool):
-    return ([F.when(F.lit(const) & (F.col("d") == 0), F.lit(1.0)).otherwise(F.lit(0.0))]
-            + [F.coalesce(F.col(f"zl{j}"), F.lit(0.0)) for j in range(1, MAX_P + 1)]
-            + [F.coalesce(F.col(f"el{j}"), F.lit(0.0)) for j in range(1, MAX_Q + 1)])
+FIT = ("d int, p int, q int, const double, ar array<double>, ma array<double>, sigma2 double, n_used long, llf double, aic double, "
+       "bic double, search_aic double, search_bic double, n_common long")
 
 
-def _sample(p_col, q_col):
-    """Rows where every lag the order needs exists."""
-    return ((F.col("pos") >= F.col("d") + p_col) & (F.col("z").isNotNull())
-            & ((q_col == 0) | (F.col("pos") >= F.col("m") + F.col("d") + q_col)))
+def _fit(g: LG.Gram, p: int, q: int, d: int) -> tuple | None:
+    """Coefficients, variance, log-likelihood, AIC and BIC of one order (no constant after differencing)."""
+    block = ([0] if d == 0 else []) + list(range(1, 1 + p)) + list(range(1 + MAX_P, 1 + MAX_P + q))
+    if g[1] <= len(block) + 1:
+        return None
+    xtx, xty, yty, n = LG.of_block(g, block)
+    b, ssr = ST.ols_from_gram(xtx, xty, yty, n)[:2] if block else (np.zeros(0), yty)
+    if not ssr > 0:
+        return None
+    llf = -0.5 * n * (math.log(2 * math.pi * ssr / n) + 1.0)
+    return b, ssr / n, llf, 2 * (len(block) + 1) - 2 * llf, (len(block) + 1) * math.log(n) - 2 * llf
 
 
 def arima_orders(design: DataFrame, spec: PanelSpec, orders=FULL_ORDERS) -> DataFrame:
-    """Conditional least-squares fit of every (p, q) per entity; aic, bic, coefficients.
+    """Conditional least-squares fit of every (p, q) per entity.
 
-    Each design row fans out to the (at most 16) candidate orders; one
-    ``groupBy(entity, p, q)`` of Gram sums; a small solve per group.
+    One Gram matrix per entity over all regressors of the largest order, on the rows where all of them exist: every order is a
+    block of it, so their ``search_aic`` are compared on the same rows and in any unit of measure.  Coefficients, ``aic`` and
+    ``bic`` are those of the order's own sample: the common one and the rows before it that the order can use.
     """
-    ords = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in orders])
-    fan = design.withColumn("o", F.explode(ords)).withColumn("op", F.col("o.p")).withColumn("oq", F.col("o.q"))
-    g = gram_sums(fan, [spec.entity, "d", "op", "oq"], _order_regs(True), "z", "r",
-                  where=_sample(F.col("op"), F.col("oq")))
-    k = 1 + MAX_P + MAX_Q
-    schema = (f"`{spec.entity}` {_etype(design, spec)}, d int, p int, q int, const double, ar array<double>, "
-              "ma array<double>, sigma2 double, n_used long, llf double, aic double, bic double")
-
-    def solve(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                pp, qq, dd = int(rec["op"]), int(rec["oq"]), int(rec["d"])
-                xtx, xty, yty, n = ST.gram_unpack(rec, k, "r")
-                idx = ([0] if dd == 0 else []) + list(range(1, 1 + pp)) + list(range(1 + MAX_P, 1 + MAX_P + qq))
-                row = {spec.entity: rec[spec.entity], "d": dd, "p": pp, "q": qq, "const": 0.0, "ar": [], "ma": [],
-                       "sigma2": None, "n_used": n, "llf": None, "aic": None, "bic": None}
-                if n > len(idx) + 1:
-                    if idx:
-                        b, ssr = ST.ols_from_gram(xtx[np.ix_(idx, idx)], xty[idx], yty, n)[:2]
-                    else:
-                        b, ssr = np.array([]), yty
-                    b = list(map(float, b))
-                    off = 1 if dd == 0 else 0
-                    sigma2 = ssr / n
-                    if sigma2 > 0:
-                        llf = -0.5 * n * (math.log(2 * math.pi * sigma2) + 1.0)
-                        kpar = len(idx) + 1
-                        row.update(const=b[0] if dd == 0 else 0.0, ar=b[off:off + pp], ma=b[off + pp:],
-                                   sigma2=sigma2, llf=llf, aic=2 * kpar - 2 * llf, bic=kpar * math.log(n) - 2 * llf)
-                out.append(row)
-            yield pd.DataFrame(out, columns=[spec.entity, "d", "p", "q", "const", "ar", "ma", "sigma2", "n_used",
-                                             "llf", "aic", "bic"])
-
-    return g.mapInPandas(solve, schema)
+    def solve(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
+        d, first, k = m["d"], _start(m), len(m["long_ar"]) - 1
+        if not g[1]:
+            g = (np.zeros((2 + MAX_P + MAX_Q,) * 2), 0)
+        early = _head_windows(head, 0, k + MAX_P + MAX_Q + 1)
+        x, y = _order_rows(m, early) if len(early) else (np.zeros((0, 1 + MAX_P + MAX_Q)), np.zeros(0))
+        out = []
+        for p, q in orders:
+            common, at = _fit(g, p, q, d), max(d + p, k + d + q if q else 0)
+            own = _fit(LG.plus(g, x[at:], y[at:]), p, q, d)
+            row = {"d": d, "p": p, "q": q, "const": 0.0, "ar": [], "ma": [], "sigma2": None, "n_used": g[1] + max(0, len(y) - at), "llf": None,
+                   "aic": None, "bic": None, "search_aic": None, "search_bic": None, "n_common": g[1]}
+            if own is not None:
+                b, sigma2, llf, aic, bic = own
+                b, off = [float(v) for v in b], 1 if d == 0 else 0
+                ar = b[off:off + p]
+                row |= {"const": b[0] + m["mean"] * (1.0 - sum(ar)) if d == 0 else 0.0, "ar": ar, "ma": b[off + p:], "sigma2": sigma2, "llf": llf,
+                        "aic": aic, "bic": bic}
+                if common is not None:
+                    row |= {"search_aic": common[3], "search_bic": common[4]}
+            out.append(row)
+        return out
+
+    return LG.states(design, spec, ["n", "mean", "d", "long_ar"], _start, _order_rows, solve, f"`{spec.entity}` {_etype(design, spec)}, {FIT}")
 
 
 def select_order(fits: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The order with the smallest AIC per entity (ties: smaller p, then q)."""
+    """The order with the smallest AIC on the common sample per entity (ties: smaller p, then q; without a common
+    sample the smallest order that can be fitted)."""
     ok = fits.filter(F.col("aic").isNotNull())
-    return ok.groupBy(spec.entity).agg(F.min_by(F.struct(*[c for c in fits.columns if c != spec.entity]),
-                                                F.struct("aic", "p", "q")).alias("b")).select(spec.entity, "b.*")
+    rank = F.struct(F.coalesce(F.col("search_aic"), F.lit(float("inf"))), F.col("p"), F.col("q"))
+    return ok.groupBy(spec.entity).agg(F.min_by(F.struct(*[c for c in fits.columns if c != spec.entity]), rank).alias("b")).select(spec.entity, "b.*")
+
+
+def arima_fixed(design: DataFrame, spec: PanelSpec, p: int, q: int) -> DataFrame:
+    """T10 with a given order: the differencing is the design's."""
+    if not (0 <= p <= MAX_P and 0 <= q <= MAX_Q):
+        raise ValueError(f"orders up to ({MAX_P}, {MAX_Q})")
+    return select_order(arima_orders(design, spec, [(p, q)]), spec)
 
 
 def arima_fitted(design: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:
     """T10 rows: fitted value and residual of the chosen model (level scale)."""
     j = design.join(best.select(spec.entity, "p", "q", "const", "ar", "ma"), spec.entity)
-    zhat = F.col("const") + X.sum_of(
-        [F.when(F.lit(i) <= F.col("p"), F.element_at("ar", i) * F.coalesce(F.col(f"zl{i}"), F.lit(0.0))).otherwise(0.0)
-         for i in range(1, MAX_P + 1)]
-        + [F.when(F.lit(i) <= F.col("q"), F.element_at("ma", i) * F.coalesce(F.col(f"el{i}"), F.lit(0.0))).otherwise(0.0)
-           for i in range(1, MAX_Q + 1)])
-    w = spec.window()
-    fitted_level = F.when(F.col("d") == 1, F.lag("y", 1).over(w) + zhat).otherwise(zhat)
-    out = j.withColumn("fitted", F.when(_sample(F.col("p"), F.col("q")), fitted_level))
-    return out.select(spec.entity, spec.period, "y", "fitted", (F.col("y") - F.col("fitted")).alias("residual"),
-                      "z", (F.col("z") - F.when(F.col("fitted").isNotNull(), zhat)).alias("innovation"), "pos")
+    schema = T.StructType([j.schema[spec.entity], j.schema[spec.period], *T._parse_datatype_string(
+        "y double, fitted double, residual double, z double, innovation double, pos long").fields])
+    entity, period = spec.entity, spec.period
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                d, k, pos, y = int(r["d"]), len(r["long_ar"]) - 1, int(r["pos"]), r["y"]
+                ys = np.concatenate([np.zeros(max(0, k + MAX_P + MAX_Q + 2 - len(r["ys"]))), r["ys"]])[None, :]
+                z = float(_working(ys, d)[0, -1] + (0.0 if d else r["mean"])) if pos >= d else None
+                fitted = None
+                if pos >= max(d + int(r["p"]), k + d + int(r["q"]) if r["q"] else 0):
+                    x = _order_rows({"d": d, "long_ar": r["long_ar"]}, ys)[0][0]
+                    hat = float(np.dot(r["ar"], x[1:1 + int(r["p"])]) + np.dot(r["ma"], x[1 + MAX_P:1 + MAX_P + int(r["q"])]))
+                    # lags are deviations from the mean: the constant of the level scale takes the mean out again
+                    hat += r["const"] + (0.0 if d else r["mean"] * float(np.sum(r["ar"])))
+                    fitted = (y - z + hat) if d else hat
+                out.append((r[entity], r[period], y, fitted, None if fitted is None else y - fitted, z,
+                            None if fitted is None else y - fitted, pos))
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return j.mapInPandas(run, schema)
 
 
 def arima_metrics(fitted: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -79,7 +79,7 @@ def t3_trend_line(spark, d):
 _DEC = f"""
 dp AS (SELECT *, row_number() OVER ({_W}) - 1 AS pos, count(*) OVER (PARTITION BY entity) AS n FROM prep),
 dq AS (SELECT *, CAST(LEAST(4, floor(n / 2)) AS INTEGER) AS p FROM dp),
-dr AS (SELECT *, CAST(p / 2 AS INTEGER) AS k,
+dr AS (SELECT *, CAST(floor(p / 2) AS INTEGER) AS k,
          CASE WHEN p = 4 THEN (0.5 * lag(y, 2) OVER ({_W}) + lag(y, 1) OVER ({_W}) + y + lead(y, 1) OVER ({_W})
                                + 0.5 * lead(y, 2) OVER ({_W})) / 4.0
               WHEN p = 3 THEN (lag(y, 1) OVER ({_W}) + y + lead(y, 1) OVER ({_W})) / 3.0
@@ -145,9 +145,8 @@ def t9_pacf(spark, d):
 
 def _arima(spark, d, orders=TS.FULL_ORDERS):
     p = prep(spark, d)
-    design = TS.arima_design(p, DAY, TS.differencing(p, DAY))
-    design = materialize(design)
-    fits = TS.arima_orders(design, DAY, orders)
+    design = materialize(TS.arima_design(p, DAY, TS.differencing(p, DAY)))
+    fits = materialize(TS.arima_orders(design, DAY, orders))
     return design, fits, TS.select_order(fits, DAY)
 
 
@@ -166,13 +165,47 @@ def t10_arima_fitted(spark, d):
 @query("t11_order_search")
 def t11_order_search(spark, d):
     _, fits, _ = _arima(spark, d)
-    return finish(fits.select("entity", "p", "d", "q", "aic", "bic", "n_used"))
+    return finish(fits.select("entity", "p", "d", "q", F.col("search_aic").alias("aic"), F.col("search_bic").alias("bic"),
+                              F.col("n_common").alias("n_used")))
 
 
 @query("t11_order_short")
 def t11_order_short(spark, d):
     _, _, best = _arima(spark, d, TS.SHORT_ORDERS)
-    return finish(best.select("entity", "p", "d", "q", "aic"))
+    return finish(best.select("entity", "p", "d", "q", F.col("search_aic").alias("aic")))
+
+
+@query("t10_ar1", rounded(_sql("""
+    SELECT entity, CAST(n AS BIGINT) AS n_used, const, ar1, ssr / n AS sigma2, n * (ln(2 * pi() * ssr / n) + 1) + 6 AS aic,
+           n * (ln(2 * pi() * ssr / n) + 1) + 3 * ln(n) AS bic
+    FROM (SELECT entity, count(*) AS n, regr_intercept(y, x) AS const, regr_slope(y, x) AS ar1,
+                 regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x) AS ssr
+          FROM (SELECT entity, y, lag(y) OVER (PARTITION BY entity ORDER BY period) AS x FROM prep) WHERE x IS NOT NULL GROUP BY entity)
+    WHERE n > 3 AND ssr > 1e-9"""), "entity, n_used"))
+def t10_ar1(spark, d):
+    """The fixed order (1, 0, 0) for every series: regression on the value before."""
+    p = prep(spark, d)
+    level = p.select("entity").distinct().withColumn("d", F.lit(0))
+    best = TS.arima_fixed(TS.arima_design(p, DAY, level), DAY, 1, 0).where(F.col("sigma2") * F.col("n_used") > 1e-9)
+    return finish(best.select("entity", "n_used", "const", F.get("ar", F.lit(0)).alias("ar1"), "sigma2", "aic", "bic"))
+
+
+@query("t7_adf_design", rounded(_sql("""
+    SELECT entity, period, pos, level, y - level AS dy, lag(y - level) OVER w AS dl1, lag(y - level, 2) OVER w AS dl2
+    FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period) - 1 AS pos, lag(y) OVER (PARTITION BY entity ORDER BY period) AS level
+          FROM prep) WINDOW w AS (PARTITION BY entity ORDER BY period)"""), "entity, period, pos"))
+def t7_adf_design(spark, d):
+    """Rows of the unit-root regression with two lags."""
+    return finish(TS.adf_design(prep(spark, d), DAY, 2).select("entity", "period", F.col("pos").cast("long").alias("pos"), "level", "dy", "dl1", "dl2"))
+
+
+_CYCLE = _DEC.replace("CAST(LEAST(4, floor(n / 2)) AS INTEGER) AS p", "CASE WHEN 3 <= floor(n / 2) THEN 3 ELSE 2 END AS p")
+
+
+@query("t5_decompose_period", rounded(_sql("SELECT * FROM dec", _CYCLE), "entity, period, period_length", shift=SHIFT))
+def t5_decompose_period(spark, d):
+    """Decomposition with a given period of 3."""
+    return finish(TS.decompose(prep(spark, d), DAY, 3), shift=SHIFT)
 
 
 @query("t12_forecast")

@@ -24,14 +24,16 @@ class PanelSpec:
     period: str = "period"
     name: str | None = "entity_name"
     measures: tuple[str, ...] = field(default_factory=tuple)
+    slice: str | None = None  # column that cuts long entities (``operators.slices``)
 
     @property
     def keys(self) -> list[str]:
         return [self.entity, self.period]
 
-    def window(self):
+    def window(self, descending: bool = False):
         """The per-entity ordered window every row-based derivation shares."""
-        return Window.partitionBy(self.entity).orderBy(self.period)
+        by = [self.entity] if self.slice is None else [self.entity, self.slice]
+        return Window.partitionBy(*by).orderBy(F.col(self.period).desc() if descending else F.col(self.period))
 
     def with_measures(self, measures: Iterable[str]) -> "PanelSpec":
         return replace(self, measures=tuple(measures))

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadence.functions import stats as ST
 from cadence.operators import series as TS
@@ -174,6 +175,65 @@ def test_arima_recovers_ar1_and_forecast_band(spark):
     assert all(w > 0 for w in widths) and widths[0] < widths[2]
 
 
+def _orders(spark, series):
+    prep = TS.prepare(_frame(spark, series), SPEC, "value")
+    d = prep.select("entity").distinct().withColumn("d", F.lit(0))
+    return {r["entity"]: r for r in TS.select_order(TS.arima_orders(TS.arima_design(prep, SPEC, d), SPEC), SPEC).collect()}
+
+
+def test_order_search_does_not_depend_on_the_unit(spark):
+    rng = np.random.default_rng(11)
+    noise = {f"n{k}": rng.normal(size=120) for k in range(12)}
+    small, plain, large = ({k: v * s + t for k, v in noise.items()} for s, t in ((1e-3, 0.0), (1.0, 5.0), (1e3, 1e6)))
+    got = [_orders(spark, x) for x in (small, plain, large)]
+    assert all((a["p"], a["q"]) == (got[1][k]["p"], got[1][k]["q"]) for g in got for k, a in g.items())
+    assert sum((r["p"], r["q"]) == (0, 0) for r in got[1].values()) >= 6  # mostly no terms for white noise
+
+
+def test_orders_against_least_squares_on_the_common_sample(spark):
+    x = _rw(90, 5, 0.6) + 3.0
+    prep = TS.prepare(_frame(spark, {"A": x}), SPEC, "value")
+    d = spark.createDataFrame([("A", 0)], "entity string, d int")
+    design = TS.arima_design(prep, SPEC, d)
+    fits = {(r["p"], r["q"]): r for r in TS.arima_orders(design, SPEC).collect()}
+    n, m = len(x), TS.long_ar_order(90, 0)
+
+    def solve(cols, t):
+        A = np.column_stack(cols)
+        b = np.linalg.lstsq(A, x[t], rcond=None)[0]
+        return b, float(np.sum((x[t] - A @ b) ** 2))
+
+    t = np.arange(m, n)
+    long_ar = solve([np.ones(n - m)] + [x[t - j] for j in range(1, m + 1)], t)[0]
+    e = np.full(n, np.nan)
+    e[m:] = x[m:] - long_ar[0] - sum(long_ar[j] * x[t - j] for j in range(1, m + 1))
+    for (p, q), r in fits.items():
+        for start, aic in ((m + 3, r["search_aic"]), (max(p, m + q if q else 0), r["aic"])):
+            t = np.arange(start, n)
+            b, ssr = solve([np.ones(len(t))] + [x[t - j] for j in range(1, p + 1)] + [e[t - j] for j in range(1, q + 1)], t)
+            assert aic == pytest.approx(2 * (p + q + 2) + len(t) * (math.log(2 * math.pi * ssr / len(t)) + 1), rel=1e-6), (p, q)
+        assert [r["const"], *r["ar"], *r["ma"]] == pytest.approx(list(b), rel=1e-5, abs=1e-6)
+    best = TS.arima_fixed(design, SPEC, 2, 1)
+    fitted = {r["period"]: r for r in TS.arima_fitted(design, best, SPEC).collect()}
+    r = fits[2, 1]
+    periods = sorted(fitted)
+    for t in range(m + 1, n):
+        hat = r["const"] + r["ar"][0] * x[t - 1] + r["ar"][1] * x[t - 2] + r["ma"][0] * e[t - 1]
+        assert fitted[periods[t]]["fitted"] == pytest.approx(hat, rel=1e-6)
+    assert fitted[periods[m]]["fitted"] is None or m + 1 <= m
+    with pytest.raises(ValueError):
+        TS.arima_fixed(design, SPEC, 9, 0)
+
+
+def test_decompose_with_a_given_period(spark):
+    x = np.tile([1.0, 5.0, 0.0, 2.0, -8.0], 8) + np.arange(40)
+    prep = TS.prepare(_frame(spark, {"A": x, "S": x[:7]}), SPEC, "value")
+    out = TS.decompose(prep, SPEC, 5).orderBy("entity", "period").collect()
+    a = [r for r in out if r["entity"] == "A"]
+    assert [r["seasonal"] for r in a[:5]] == pytest.approx([1.0, 5.0, 0.0, 2.0, -8.0], abs=1e-9)
+    assert all(abs(r["resid"]) < 1e-9 for r in a) and {r["period_length"] for r in out if r["entity"] == "S"} == {2}
+
+
 def test_series_report_keeps_short_entities_with_error(spark):
     df = _frame(spark, {"A": list(_rw(30, 4, 0.5)), "S": [1.0, 2.0]})
     out = {r["entity"]: r for r in TS.series_report(df, SPEC, "value", orders=[(1, 0), (0, 1)]).collect()}
