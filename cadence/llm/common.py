@@ -46,7 +46,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: compressed, and its lineage ends there."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table.kept_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables of ``kept`` that nothing will read again: all that was made of them is written itself."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.kept_at)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
@@ -103,7 +113,7 @@ class ChunkCache:
 
     CUT = re.compile(r" (?=\S)")
 
-    def __init__(self, encode, limit: int = 800_000):
+    def __init__(self, encode, limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self.head: dict[str, bytes] = {}
         self.tail: dict[str, bytes] = {}

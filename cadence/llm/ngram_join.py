@@ -6,9 +6,11 @@ share a shingle among the rarest quarter (and one) of each, whatever fixed order
 1. one pass over the texts makes signatures and a count sketch of all shingles (2^24 counters, added up over
    tasks in two steps); its logarithms, 16 MB whatever the data, are the order, ties by hash;
 2. a second pass puts out each text's prefix as postings (shingle, node, set size, position), shuffled by shingle;
-3. chain round: within a shingle's postings, sorted by set size, neighbours are candidates; those that pass the filters are
+3. star round: within a shingle's postings the smallest set is a candidate with every other one.  Most of a group's
+   shingles have the same smallest set, so a group of n copies has a few pairs per copy.  Pairs that pass the filters are
    verified on the whole sets, once per pair, and linked;
-4. full round: postings whose shingle still joins several components are joined pair by pair, but only
+4. chain round: neighbours by set size that are not in one component yet, filtered, verified and linked alike;
+5. full round: postings whose shingle still joins several components are joined pair by pair, but only
    across components, filtered and verified the same way, the best pair of two components first.  A pair inside one
    component needs no check, since only components are asked for; so a group of n near-copies costs about n
    checks, and no link between components is lost.
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, doc_text, kept, pressed, read, shuffle_parts, steps, utf8_buffer
+from .common import bounded_batches, doc_text, forget, kept, pressed, read, shuffle_parts, steps, utf8_buffer
 from .components import components
 from .shingles import mix, sets
 
@@ -199,7 +201,9 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["node", "hashes"])
 
     texts = doc_text(docs).where(F.col("doc_id").isNotNull()).where(may_be(F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM_BITS))))
-    return kept(texts.join(asked, "doc_id").select("node", "text").mapInArrow(run, "node long, hashes binary"), "sets")
+    own = kept(texts.join(asked, "doc_id").select("node", "text").mapInArrow(run, "node long, hashes binary"), "sets")
+    forget(asked)
+    return own
 
 
 def with_part(pairs: DataFrame, parts: DataFrame, part: str, *more: str) -> DataFrame:
@@ -257,31 +261,46 @@ def join_documents(docs: DataFrame) -> DataFrame:
     near = whole.orderBy("n", "node")
     beside = (posts.repartition(shuffle_parts(spark), "token")
               .select("*", *(F.lag(c).over(near).alias(f"{c}_0") for c in ("node", "n", "pos")),
-                      F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"))
+                      F.first(F.struct("node", "n", "pos")).over(near).alias("first"), F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"))
               .where("low <> high AND (node_0 IS NULL OR node_0 <> node)").drop("low", "high"))
     shared = kept(beside, "posts")
+    first = (F.col("first.n"), F.col("first.pos"))
+    star = (shared.where("first.node <> node").where(may_link(F.col("n"), F.col("pos"), *first)).withColumn("node_1", F.col("first.node"))
+            .groupBy(*ordered("node", "node_1")).agg(F.count("*").alias("shared")))
+    star = suffix_filtered(star, nodes)
+    links = linked(docs, nodes, star)
     chain = (shared.where("node_0 IS NOT NULL").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
-             .groupBy(*ordered("node", "node_0")).agg(F.count("*").alias("shared")))
-    chain = suffix_filtered(chain, nodes)
-    links = kept(verified(chain.select("a", "b"), whole_sets(docs, nodes, chain)), "links")
+             .groupBy(*ordered("node", "node_0")).agg(F.count("*").alias("shared")).join(star.select("a", "b"), ["a", "b"], "left_anti"))
+    chain = suffix_filtered(labelled(chain, components(links)).select("a", "b", "shared"), nodes)
+    links = kept(links.union(linked(docs, nodes, chain)), "links")
     labels = components(links)
     # what still joins several components, pair by pair across them
     rest = (shared.select("token", "node", "n", "pos").join(labels, "node", "left")
             .select("token", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
             .select("*", F.min("label").over(whole).alias("low"), F.max("label").over(whole).alias("high")))
     rest = kept(rest.where("low <> high").drop("low", "high"), "rest")
+    forget(shared)
     x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "pos", "label"))) for k in "xy")
     across = (x.join(y, "token").where(F.col("label_x") < F.col("label_y"))
               .where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
               .groupBy(*ordered("node_x", "node_y")).agg(F.count("*").alias("shared"))
-              .join(chain.select("a", "b"), ["a", "b"], "left_anti"))
+              .join(star.union(chain).select("a", "b"), ["a", "b"], "left_anti"))
     across = suffix_filtered(across, nodes)
     # first the best pair of each two components, then what still lies across
     best = kept(labelled(across, labels).groupBy("label_a", "label_b").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
                 .select("p.a", "p.b"), "best")
-    links = kept(links.union(verified(best, whole_sets(docs, nodes, best))), "links")
+    links = kept(links.union(linked(docs, nodes, best)), "links")
     left = kept(labelled(across, components(links)).select("a", "b").join(best, ["a", "b"], "left_anti"), "left")
-    return with_components(rows, links.union(verified(left, whole_sets(docs, nodes, left))))
+    forget(rest, star, chain, across, best)
+    return with_components(rows, links.union(linked(docs, nodes, left)))
+
+
+def linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs that are similar enough, written."""
+    own = whole_sets(docs, nodes, pairs)
+    links = kept(verified(pairs.select("a", "b"), own), "links")
+    forget(own)
+    return links
 
 
 def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -302,17 +321,19 @@ def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
     label = F.coalesce("label", "node")
     of_label = least.groupBy(label.alias("label")).agg(F.min("least").alias("component_id"))
     of_node = least.select("node", label.alias("label")).join(of_label, "label").select("node", "component_id")
-    return (rows.select("doc_id", "node", "n").join(of_node, "node", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+    rows = rows.select("doc_id", "node", "n")
+    # rows without words have no node: they stay where they are instead of meeting in one task
+    named = (rows.where("node IS NOT NULL").join(of_node, "node", "left")
+             .unionByName(rows.where("node IS NULL").withColumn("component_id", F.lit(None).cast("long"))))
+    return (named.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, of each component's smallest document; of rows that repeat its id the one
-    with the smallest text.  Rows with a null id stay."""
-    stay = join_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    key = F.col("doc_id").cast("long")
-    first = Window.partitionBy(key).orderBy("text")
-    own = (docs.join(stay, key == F.col("_stay"), "left_semi").withColumn("_place", F.row_number().over(first))
-           .where("_place = 1").drop("_place"))
-    return own.unionByName(docs.where(key.isNull()))
+    """The rows, with all their columns (of any names), of each component's smallest document; of rows that repeat its id
+    the one with the smallest text.  Rows with a null id stay."""
+    own = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("body"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    stay = join_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    # of rows that repeat an id the smallest text, by an aggregate that combines in the tasks
+    smallest = own.where("id IS NOT NULL").join(stay, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.struct("body", "row")).alias("row"))
+    return smallest.select("row.*").unionByName(own.where("id IS NULL").select("row.*"))

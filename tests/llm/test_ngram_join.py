@@ -105,3 +105,16 @@ def test_components(spark):
     edges = [e for e in edges if e[0] != e[1]]
     got = dict(joined(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {x: parent[x] for e in edges for x in e}
+
+
+def test_stage_keeps_columns_of_any_name(spark):
+    """Columns named like the operator's own, repeated ids, null ids, no rows."""
+    schema = "doc_id long, text string, id long, body string, row string, _place int, _stay long, node long, label string"
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 7, "b", "r", 1, 1, 1, "l"), (2, text, 8, "b", "r", 1, 1, 1, "l"), (2, "z " + text, 8, "c", None, 2, 2, 2, "l"), (3, "other words here", 9, None, "r", 3, 3, 3, None),
+            (4, None, 1, "b", "r", 1, 1, 1, "l"), (None, text, 2, "b", "r", 1, 1, 1, "l"), (5, "", 3, "b", "r", 1, 1, 1, "l"), (3, "other words here", 9, None, "r", 3, 3, 3, None)]
+    docs = spark.createDataFrame(rows, schema)
+    got = ngram_join.one_of_each_group(docs)
+    assert got.schema == docs.schema
+    assert sorted((r.doc_id or -1, r.id) for r in got.collect()) == [(-1, 2), (1, 7), (3, 9), (4, 1), (5, 3)]
+    assert ngram_join.one_of_each_group(docs.limit(0)).collect() == []
