@@ -6,11 +6,10 @@ share a shingle among the rarest quarter (and one) of each, whatever fixed order
 1. one pass over the texts makes signatures and a count sketch of all shingles (2^24 counters, added up over
    tasks in two steps); its logarithms, 16 MB whatever the data, are the order, ties by hash;
 2. a second pass puts out each text's prefix as postings (shingle, node, set size, position), shuffled by shingle;
-3. star round: within a shingle's postings the smallest set is a candidate with every other one.  Most of a group's
-   shingles have the same smallest set, so a group of n copies has a few pairs per copy.  Pairs that pass the filters are
-   verified on the whole sets, once per pair, and linked;
-4. chain round: neighbours by set size that are not in one component yet, filtered, verified and linked alike;
-5. full round: postings whose shingle still joins several components are joined pair by pair, but only
+3. first round: within a shingle's postings, sorted by set size, the smallest set is a candidate with every other one, and of its
+   neighbours each set's best.  Most of a group's shingles have the same smallest set, so a group of n copies has a
+   few pairs per copy.  Pairs that pass the filters are verified on the whole sets, once per pair, and linked;
+4. full round: postings whose shingle still joins several components are joined pair by pair, but only
    across components, filtered and verified the same way, the best pair of two components first.  A pair inside one
    component needs no check, since only components are asked for; so a group of n near-copies costs about n
    checks, and no link between components is lost.
@@ -256,23 +255,20 @@ def join_documents(docs: DataFrame) -> DataFrame:
     rows = signed.where("chunk IS NULL").select("doc_id", "node", "n", "data")
     nodes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
     posts = postings(docs.where(F.col("doc_id").isNotNull()), rarity(signed.where("chunk IS NOT NULL")))
-    # neighbours by set size within a shingle; equal sets are one node and stand together
+    # by set size within a shingle; equal sets are one node and stand together
     whole = Window.partitionBy("token")
     near = whole.orderBy("n", "node")
     beside = (posts.repartition(shuffle_parts(spark), "token")
-              .select("*", *(F.lag(c).over(near).alias(f"{c}_0") for c in ("node", "n", "pos")),
-                      F.first(F.struct("node", "n", "pos")).over(near).alias("first"), F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"))
-              .where("low <> high AND (node_0 IS NULL OR node_0 <> node)").drop("low", "high"))
+              .select("*", F.lag(F.struct("node", "n", "pos")).over(near).alias("before"), F.first(F.struct("node", "n", "pos")).over(near).alias("first"),
+                      F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"))
+              .where("low <> high AND (before IS NULL OR before.node <> node)").drop("low", "high"))
     shared = kept(beside, "posts")
-    first = (F.col("first.n"), F.col("first.pos"))
-    star = (shared.where("first.node <> node").where(may_link(F.col("n"), F.col("pos"), *first)).withColumn("node_1", F.col("first.node"))
-            .groupBy(*ordered("node", "node_1")).agg(F.count("*").alias("shared")))
-    star = suffix_filtered(star, nodes)
-    links = linked(docs, nodes, star)
-    chain = (shared.where("node_0 IS NOT NULL").where(may_link(F.col("n"), F.col("pos"), F.col("n_0"), F.col("pos_0")))
-             .groupBy(*ordered("node", "node_0")).agg(F.count("*").alias("shared")).join(star.select("a", "b"), ["a", "b"], "left_anti"))
-    chain = suffix_filtered(labelled(chain, components(links)).select("a", "b", "shared"), nodes)
-    links = kept(links.union(linked(docs, nodes, chain)), "links")
+    star, near = (shared_with(shared, other) for other in ("first", "before"))
+    # of its neighbours, each node's with the most shared shingles
+    own = near.select(F.explode(F.array("a", "b")).alias("node"), F.struct("shared", "a", "b").alias("pair"))
+    near = own.groupBy("node").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b", "pair.shared")
+    some = suffix_filtered(star.union(near).distinct(), nodes)
+    links = linked(docs, nodes, some)
     labels = components(links)
     # what still joins several components, pair by pair across them
     rest = (shared.select("token", "node", "n", "pos").join(labels, "node", "left")
@@ -284,17 +280,23 @@ def join_documents(docs: DataFrame) -> DataFrame:
     across = (x.join(y, "token").where(F.col("label_x") < F.col("label_y"))
               .where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
               .groupBy(*ordered("node_x", "node_y")).agg(F.count("*").alias("shared"))
-              .join(star.union(chain).select("a", "b"), ["a", "b"], "left_anti"))
+              .join(some.select("a", "b"), ["a", "b"], "left_anti"))
     across = suffix_filtered(across, nodes)
     # first the best pair of each two components, then what still lies across
     best = kept(labelled(across, labels).groupBy("label_a", "label_b").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
                 .select("p.a", "p.b"), "best")
     links = kept(links.union(linked(docs, nodes, best)), "links")
     left = kept(labelled(across, components(links)).select("a", "b").join(best, ["a", "b"], "left_anti"), "left")
-    forget(rest, star, chain, across, best)
+    forget(rest, some, across, best)
     return with_components(rows, links.union(linked(docs, nodes, left)))
 
 
+def shared_with(posts: DataFrame, other: str) -> DataFrame:
+    """Pairs (a, b, shared: shingles) of postings with the one in column ``other`` that may link."""
+    with_other = posts.where(f"{other}.node <> node").where(may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos")))
+    return (with_other.withColumn("of", F.col(f"{other}.node")).groupBy(*ordered("node", "of")).agg(F.count("*").alias("shared")))
+
+
 def linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs that are similar enough, written."""
     own = whole_sets(docs, nodes, pairs)

@@ -114,7 +114,7 @@ def test_stage_keeps_columns_of_any_name(spark):
     rows = [(1, text, 7, "b", "r", 1, 1, 1, "l"), (2, text, 8, "b", "r", 1, 1, 1, "l"), (2, "z " + text, 8, "c", None, 2, 2, 2, "l"), (3, "other words here", 9, None, "r", 3, 3, 3, None),
             (4, None, 1, "b", "r", 1, 1, 1, "l"), (None, text, 2, "b", "r", 1, 1, 1, "l"), (5, "", 3, "b", "r", 1, 1, 1, "l"), (3, "other words here", 9, None, "r", 3, 3, 3, None)]
     docs = spark.createDataFrame(rows, schema)
-    got = ngram_join.one_of_each_group(docs)
+    got = nj.one_of_each_group(docs)
     assert got.schema == docs.schema
     assert sorted((r.doc_id or -1, r.id) for r in got.collect()) == [(-1, 2), (1, 7), (3, 9), (4, 1), (5, 3)]
-    assert ngram_join.one_of_each_group(docs.limit(0)).collect() == []
+    assert nj.one_of_each_group(docs.limit(0)).collect() == []
