@@ -16,7 +16,7 @@ from typing import Sequence
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +30,20 @@ REFERENCE_GRID = {"maxIter": [100, 200, 300], "maxDepth": [3, 4, 5], "stepSize":
 class BoostFit:
     features: list[str]
     target: str
-    cv_model: CrossValidatorModel
+    cv_model: CrossValidatorModel | None
     grid: list[dict]
+    loaded: GBTRegressionModel | None = None  # of a fit that was read back: the best model alone
 
     @property
     def model(self):
-        return self.cv_model.bestModel
+        return self.loaded if self.cv_model is None else self.cv_model.bestModel
+
+    @property
+    def best(self) -> dict:
+        """Parameters of the best grid point."""
+        if self.cv_model is None:
+            return self.grid[0]
+        return self.grid[min(range(len(self.grid)), key=lambda i: self.cv_model.avgMetrics[i])]
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:

@@ -194,7 +194,7 @@ def m18_train_run(spark, d):
 
 @query("s11_model_roundtrip")
 def s11_model_roundtrip(spark, d):
-    """Persist the forest forecaster and the ridge fit, reload both; predictions must agree."""
+    """Persist the forest forecaster, the ridge and the boosting fit, reload them; predictions must agree."""
     from cadence.sources import models as MS
     fc, _, test = _forecast(spark, d, "rf", n_trees=20)
     path = FS.scratch_path(spark, "forecaster-rf")
@@ -208,7 +208,12 @@ def s11_model_roundtrip(spark, d):
         F.lit("forecaster_rf").alias("model"), "entity", "period", "p_saved", "p_loaded")
     lin = LN.predict(LN.predict(mf, ridge, "p_saved"), ridge2, "p_loaded").select(
         F.lit("ridge").alias("model"), "entity", "period", "p_saved", "p_loaded")
-    out = trees.unionByName(lin)
+    _, boost = _gbt(spark, d)
+    bpath = FS.scratch_path(spark, "boost")
+    MS.save_boost(spark, boost, bpath)
+    boosted = BO.predict(BO.predict(mf, boost, "p_saved"), MS.load_boost(spark, bpath), "p_loaded").select(
+        F.lit("boost").alias("model"), "entity", "period", "p_saved", "p_loaded")
+    out = trees.unionByName(lin).unionByName(boosted)
     return finish(out.withColumn("same", F.abs(F.col("p_saved") - F.col("p_loaded")) < 1e-12))
 
 

@@ -12,6 +12,7 @@ import json
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import SparkSession
 
+from cadence.operators.boost import BoostFit
 from cadence.operators.forecast import Forecaster
 from cadence.operators.linear import RidgeFit
 
@@ -36,6 +37,17 @@ def load_ridge(spark: SparkSession, path: str) -> RidgeFit:
                     m.get("cv_r2", []), [], m.get("n", 0))
 
 
+def save_boost(spark: SparkSession, fit: BoostFit, path: str) -> None:
+    """The best model of a boosting fit, its parameters, features and target."""
+    fit.model.write().overwrite().save(f"{path}/trees")
+    _write_meta(spark, f"{path}/meta", {"kind": "boost", "features": fit.features, "target": fit.target, "best": fit.best})
+
+
+def load_boost(spark: SparkSession, path: str) -> BoostFit:
+    m = _read_meta(spark, f"{path}/meta")
+    return BoostFit(m["features"], m["target"], None, [m["best"]], GBTRegressionModel.load(f"{path}/trees"))
+
+
 def save_forecaster(spark: SparkSession, fc: Forecaster, path: str) -> None:
     meta = {"kind": "forecaster", "model_type": fc.model_type, "features": fc.features, "mu": fc.mu, "sd": fc.sd,
             "cv_r2": fc.cv_r2}

@@ -120,6 +120,14 @@ def test_gbt_grid_and_importance(spark, regression):
     assert sum(r["importance_pct"] for r in imp) == pytest.approx(100.0)
     assert sorted(r["rank"] for r in imp) == [1, 2, 3, 4]
     assert BO.grid_results(spark, fit).count() == 2
+    from cadence.sources import files as FS
+    from cadence.sources import models as MS
+    path = FS.scratch_path(spark, "t-boost")
+    MS.save_boost(spark, fit, path)
+    back = MS.load_boost(spark, path)
+    assert (back.features, back.target, back.best) == (fit.features, fit.target, fit.best)
+    both = BO.predict(BO.predict(df, fit, "a1"), back, "a2").where("a1 <> a2")
+    assert both.count() == 0
 
 
 def test_forecaster_interval_and_persistence(spark, regression):
