@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 BATCH_ROWS = 4096
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 ROW_GROUP_BYTES = 16 << 20
 
 
@@ -23,11 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes too, so very long texts do not pile up in a worker, and the row groups that a task's
-    Parquet writer holds until they are full."""
+    """Limit Arrow batches by bytes too, so very long texts do not pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
 
 
 def doc_text(docs: DataFrame, *more: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,6 +63,7 @@ def forget(*tables: DataFrame) -> None:
 def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text ``decide`` keeps: Arrow text column (no nulls) to a list of booleans."""
     bounded_batches(docs.sparkSession)
+    docs.sparkSession.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))  # whole rows: a writer holds a row group until it is full
     at = docs.columns.index(text_col)
 
     def run(batches):
