@@ -10,7 +10,8 @@ The model is fitted in one task on at most ``sample`` labelled rows (those of th
 ids), a fixed bound; every text is scored whole in a narrow pass.
 
 Edge cases: a null or empty text has no features and gets the model's intercept; without labels of both classes every
-score is 0.5; labels that are null or not 0/1 are not used; an id with several labels or texts counts each pair;
+score is 0.5; labels that are null or not 0/1 are not used; an id with both labels counts for both, of
+rows that repeat an id the least text is learnt from, once;
 an empty table gives no rows; columns other than id and text are not read.
 """
 
@@ -122,6 +123,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model | None:
 
     def model(own: np.ndarray) -> tuple[np.ndarray, float]:
         w, b = descend([rows[i] for i in own], y[own], ratio, cost[own])
+        w[np.abs(w) < 1e-10 * np.abs(w).max(initial=0.0)] = 0.0  # steps that cancelled: what rounding left has no sign
         w = MIX * w + (1 - MIX) * np.abs(w).mean() * np.sign(w)
         return w * ratio, b
 
@@ -140,11 +142,14 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model | None:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``sample`` labelled ids that ``learn`` allows: a bounded set, so it is broadcast to the documents."""
+    """(doc_id, text, label) of at most ``sample`` labelled ids that ``learn`` allows: a bounded set, so it is broadcast to the documents.
+
+    Of rows that repeat an id the least text counts, once; an id with both labels is two rows of the sample."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & learn)
+              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & learn).distinct()
               .orderBy(F.xxhash64("doc_id"), "label").limit(sample))
-    return doc_text(docs).join(F.broadcast(chosen), "doc_id")
+    return (doc_text(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+            .select("doc_id", "text", "label"))
 
 
 def train(sample_rows: DataFrame) -> Model | None:

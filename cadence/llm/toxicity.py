@@ -14,8 +14,8 @@ curve of the sum over its matched clauses, fitted on the same sample.
 Only clauses with an insult or threat are run: one multi-pattern search over the text finds them.
 
 Edge cases: a null or empty text has weight 0; without labels of both classes the curve's fixed
-defaults hold; labels that are null or not 0/1 are not used; an id with several labels or texts counts each pair; a text of
-any length is searched in one pass; an empty table gives no rows; columns other than id and text are not read.
+defaults hold; labels that are null or not 0/1 are not used; an id with both labels counts for both, of rows
+that repeat an id the least text is learnt from, once; a text of any length is searched in one pass; an empty table gives no rows; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -171,7 +171,8 @@ class Model:
         low, out, end = text.lower(), [], 0
         for m in self.search.finditer(low):
             if m.start() >= end:
-                begin = max(low.rfind(c, 0, m.start()) for c in ".!?;\n") + 1
+                # from the mark that ended the last clause on, so that all searches together read the text once a mark
+                begin = max(end, max(low.rfind(c, end, m.start()) for c in ".!?;\n") + 1)
                 clause = CLAUSE.match(low, begin)
                 end = clause.end()
                 w = self.clause_weight(clause.group())

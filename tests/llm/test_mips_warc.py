@@ -34,6 +34,21 @@ def test_top_k(spark, monkeypatch):
     assert mips.top_k(df.limit(0)).collect() == []
 
 
+def test_products_beyond_floats_and_longs(spark):
+    rows = [(0, [1.0, 1.0]), (1, [5e9, 1.0]), (2, [1.0, 2.0]), (50, [2.0 ** 31, 2.0 ** 31]), (51, [2.0 ** 31, 2.0 ** 31 - 1]),
+            (52, [2.0 ** 31, -2.0 ** 31]), (100, [1e200, -1e200]), (101, [1e200, -1e200]), (102, [-1e200, 1e200]), (150, [1.7e308, 0.0])]
+    clip = lambda x: max(-mips.LONG, min(mips.LONG, x))
+    whole = lambda x: math.floor(256 * x) if abs(x) < 1e300 else int(min(mips.LARGEST, 256 * x))
+    own = [(i, [whole(x) for x in v]) for i, v in rows]
+    expect = []
+    for q, a in own:
+        if q % 50 == 0:
+            s = sorted((-clip(sum(x * y for x, y in zip(a, b))), i) for i, b in own if i != q)
+            expect += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s[:3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, mips.top_k(df, 3, 50).collect())) == sorted(expect)
+
+
 ODD_PAGES = [(1, "http://Www.Example.com:80/A b?q#f", "x" * 100), (2, "https://example.com/", "x" * 100), (3, None, "x" * 100), (4, "", None), (5, "http://a.b.c", ""),
              (6, "http://a.b.c/é\r\nInjected: 1", "short"), (7, "http://a.b.c", "short"), (8, "http://z/1", "WARC/1.1\r\n\r\n\r\n\r\nWARC/1.1 " * 30),
              (9, "http://z/2", "WARC/1.1\r\n\r\n\r\n\r\nWARC/1.1 " * 30), (None, "http://n", "y" * 200), (10, "http://n", "y" * 200)]
