@@ -3,8 +3,9 @@
 Input is one row per entity (``summary.entity_means``), z-scored with
 population statistics.  Nothing here pairs entities with each other:
 
-* k-means is Spark ML ``KMeans`` (restarts keep the lowest cost; cluster ids
-  are relabelled by ascending first-feature centre so they are reproducible);
+* k-means runs all restarts (and, for U7, all k) in shared rounds of one scan each
+  (``lloyd``); the lowest cost is kept and cluster ids follow the ascending
+  first-feature centre so they are reproducible;
 * the silhouette uses squared Euclidean distance, whose mean from a point to a
   cluster is exact from the cluster's count, centre and mean squared norm -
   no pair of entities is formed (the Euclidean variant needs every pair and
@@ -16,7 +17,6 @@ population statistics.  Nothing here pairs entities with each other:
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import exprs as X
+from cadence.operators import lloyd as LL
+from cadence.session import materialize
 from cadence.spec import first_present, present
 
 MAX_LEAVES = 500
@@ -51,34 +53,21 @@ class KMeansFit:
     zcols: list[str]
     centers: list[list[float]]
     cost: float
-    relabel: dict[int, int]
-    model: object
 
 
 def fit_kmeans(ent: DataFrame, features: Sequence[str], k: int = 3, restarts: int = 10, seed: int = 42,
-               minimum: int = 3, parallelism: int = 4) -> tuple[DataFrame, KMeansFit]:
-    """K-means on z-scored entity features; best of ``restarts`` seeds."""
+               minimum: int = 3, key: str = "entity") -> tuple[DataFrame, KMeansFit]:
+    """K-means on z-scored entity features; best of ``restarts`` starts.  Rows with a null feature take no part."""
     feats = present(ent, features)
     if len(feats) < minimum:
         raise ValueError(f"clustering needs at least {minimum} features, found {feats}")
     z, zcols = scaled(ent, feats)
-    data = VectorAssembler(inputCols=zcols, outputCol="features").transform(z).cache()
-
-    def run(r):
-        m = KMeans(k=k, seed=seed + r, maxIter=300, tol=1e-4, featuresCol="features").fit(data)
-        return m.summary.trainingCost, r, m
-
-    # restarts are independent jobs: submit them concurrently (as CrossValidator does with parallelism)
-    with ThreadPoolExecutor(max_workers=min(parallelism, restarts)) as pool:
-        fits = list(pool.map(run, range(restarts)))
-    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
-    centers = [list(map(float, c)) for c in model.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda i: (centers[i][0], i))
-    relabel = {old: new for new, old in enumerate(order)}
-    mapping = F.create_map(*[x for o, n in relabel.items() for x in (F.lit(o), F.lit(n))])
-    out = model.transform(data).withColumn("cluster", mapping[F.col("prediction")]).drop("prediction", "features")
-    data.unpersist()
-    return out, KMeansFit(feats, zcols, [centers[o] for o in order], float(cost), relabel, model)
+    z = materialize(z.na.drop("any", subset=zcols))
+    found = LL.search(z, key, zcols, [k], restarts, seed)
+    if not found:
+        raise ValueError("clustering needs at least one row without null features")
+    centers = sorted(found[k].centers.tolist())
+    return assign(z, zcols, centers), KMeansFit(feats, zcols, centers, found[k].cost)
 
 
 def assign(ent_z: DataFrame, zcols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
@@ -187,16 +176,19 @@ def dashboard_names(prof: DataFrame, label: str = "cluster") -> DataFrame:
                            .otherwise(F.concat(F.lit("Cluster "), (F.col(label) + 1).cast("string"))))
 
 
-def choose_k(ent: DataFrame, features: Sequence[str], max_k: int = 10, restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Inertia and silhouette for k = 2 .. min(max_k, n - 1); flag the best silhouette."""
-    n = ent.count()
-    rows = []
-    for k in range(2, min(max_k + 1, n)):
-        lab, fit = fit_kmeans(ent, features, k, restarts, seed)
-        rows.append((k, fit.cost, float(silhouette_score(lab, fit.zcols))))
-    spark = ent.sparkSession
-    df = spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+def choose_k(ent: DataFrame, features: Sequence[str], max_k: int = 10, restarts: int = 10, seed: int = 42,
+             key: str = "entity") -> DataFrame:
+    """Inertia and silhouette for k = 2 .. min(max_k, n - 1); flag the best silhouette.
+
+    One scaled table; all k and restarts move in the same rounds of one scan each, then one scan gives the silhouettes."""
+    z, zcols = scaled(ent, present(ent, features))
+    z = materialize(z.select(key, *zcols).na.drop("any", subset=zcols))
+    ks = list(range(2, min(max_k + 1, z.count())))
+    fits = LL.search(z, key, zcols, ks, restarts, seed)
+    score = LL.silhouettes(z, zcols, fits) if fits else {}
+    rows = [(k, f.cost, score[k]) for k, f in fits.items()]
     best = max(rows, key=lambda r: (r[2], -r[0]))[0] if rows else None
+    df = ent.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
     return df.withColumn("is_best", F.col("k") == F.lit(best))
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from cadence.operators import cluster as CU
+from cadence.operators import lloyd as LL
 from cadence.operators import pca as PC
 
 
@@ -104,3 +105,41 @@ def test_choose_k_query_tries_every_k(spark):
     rows = sorted(u7_choose_k(spark, "/root/testdata/sf0.01").collect())
     assert [r.k for r in rows] == list(range(2, 11))
     assert [r.k for r in rows if r.is_best] == [max(rows, key=lambda r: (r.silhouette, -r.k)).k]
+
+
+def _lloyd(z, centers, rounds=300):
+    for _ in range(rounds):
+        d = ((z[:, None, :] - centers[None]) ** 2).sum(-1)
+        near = d.argmin(1)
+        means = np.array([z[near == j].mean(0) if (near == j).any() else c for j, c in enumerate(centers)])
+        if ((means - centers) ** 2).sum(1).max() <= LL.TOL ** 2:
+            break
+        centers = means
+    return centers, float(d.min(1).sum())
+
+
+def test_fused_rounds_equal_separate_fits(spark):
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(c, 1.0, (400, 3)) for c in ((0, 0, 0), (4, 0, 1), (0, 5, 2), (6, 6, 6))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)] + [(9999, None, 1.0, 1.0)],
+                               "entity long, a double, b double, c double").repartition(7)
+    got = LL.search(df, "entity", ["a", "b", "c"], [2, 3, 4, 5], 4, seed=1)
+    sample = [r[1:] for r in df.na.drop().selectExpr("xxhash64(entity, 1)", "a", "b", "c").orderBy("`xxhash64(entity, 1)`").collect()]
+    assert len(sample) == 1600 < LL.SEEDS
+    for k, f in got.items():
+        alone = [_lloyd(pts, LL.first_centers(np.array(sample), k, np.random.default_rng((1, k, r)))) for r in range(4)]
+        centers, cost = min(alone, key=lambda t: t[1])
+        assert f.cost == pytest.approx(cost) and f.centers == pytest.approx(centers)
+        assert f.counts.sum() == 1600
+    scores = LL.silhouettes(df, ["a", "b", "c"], got)
+    for k, f in got.items():
+        lab = CU.assign(df.na.drop(), ["a", "b", "c"], f.centers.tolist())
+        assert scores[k] == pytest.approx(CU.silhouette_score(lab, ["a", "b", "c"]))
+
+
+def test_search_of_equal_rows_and_of_none(spark):
+    same = spark.createDataFrame([(i, 1.0, 2.0) for i in range(20)], "entity long, a double, b double")
+    got = LL.search(same, "entity", ["a", "b"], [3], 2)
+    assert got[3].cost == 0 and got[3].counts.tolist() == [20, 0, 0]
+    assert LL.silhouettes(same, ["a", "b"], got) == {3: 0.0}
+    assert LL.search(same.limit(0), "entity", ["a", "b"], [3], 2) == {}
