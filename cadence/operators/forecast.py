@@ -25,6 +25,7 @@ from cadence.operators import features as FT
 from cadence.operators import linear as LN
 from cadence.operators import split as SP
 from cadence.operators import trees as TR
+from cadence.session import materialize
 from cadence.spec import PanelSpec, present
 
 FORECAST_FEATURES = ("cdi_smooth", "inflation", "trade_openness", "investment", "governance_index",
@@ -97,36 +98,26 @@ def fit(train: DataFrame, spec: PanelSpec, features: Sequence[str], model_type:
     else:
         mu, sd = [0.0] * len(feats), [1.0] * len(feats)
     fc = Forecaster(model_type, feats, mu, sd)
-    folded = SP.add_folds(train, spec, cv_folds).cache()
-    s = fc.scaled(folded)
+    numbered, n = SP.ordinal_and_count(train, spec)
     if model_type == "ridge":
-        fc.ridge = LN.fit_ridge(s, fc.zcols(), TARGET, "fold", scale=False)
-    else:
-        fc.tree_model = _fit_once(s, model_type, fc.zcols(), seed, n_trees)
-    # expanding window: fold i tests block i and trains on every row before it.
-    # Block starts come from one small aggregate; the fold fits are independent
+        fc.ridge, fc.cv_r2 = LN.expanding_ridge(fc.scaled(numbered), fc.zcols(), TARGET, n, cv_folds)
+        return fc
+    s = materialize(fc.scaled(numbered))
+    fc.tree_model = _fit_once(s, model_type, fc.zcols(), seed, n_trees)
+
+    # expanding window: fold i tests block i and trains on every row before it; the fold fits are independent
     # jobs and are submitted concurrently.
-    starts = {r["ts_fold"]: r["s"] for r in folded.filter(F.col("ts_fold").isNotNull())
-              .groupBy("ts_fold").agg(F.min("ordinal").alias("s")).collect()}
-
-    def score(i):
-        if i not in starts:
-            return None
-        tr, te = s.filter(F.col("ordinal") < starts[i]), s.filter(F.col("ts_fold") == i)
-        if model_type == "ridge":
-            tr_f = SP.add_folds(tr.drop("ordinal", "fold", "ts_fold"), spec, cv_folds)
-            rf = LN.fit_ridge(tr_f, fc.zcols(), TARGET, "fold", scale=False)
-            pred = te.withColumn("yhat", rf.prediction())
-        else:
-            m = _fit_once(tr, model_type, fc.zcols(), seed, n_trees)
-            pred = m.transform(BO.assembler(fc.zcols()).transform(te)).withColumnRenamed("prediction", "yhat")
+    def score(block):
+        lo, hi = block
+        tr, te = s.filter(F.col("ordinal") < lo), s.filter((F.col("ordinal") >= lo) & (F.col("ordinal") < hi))
+        m = _fit_once(tr, model_type, fc.zcols(), seed, n_trees)
+        pred = m.transform(BO.assembler(fc.zcols()).transform(te)).withColumnRenamed("prediction", "yhat")
         r = EV.metrics(pred.select(F.lit("cv").alias("model"), F.col(TARGET).alias("y"), "yhat")).first()
         return r["r2"] if r is not None and r["r2"] is not None else float("nan")
 
+    starts = SP.ts_fold_starts(n, cv_folds)
     with ThreadPoolExecutor(max_workers=min(parallelism, cv_folds)) as pool:
-        scores = [v for v in pool.map(score, range(cv_folds)) if v is not None]
-    fc.cv_r2 = scores
-    folded.unpersist()
+        fc.cv_r2 = list(pool.map(score, zip(starts, starts[1:])))
     return fc
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cadence.functions import exprs as X
 from cadence.functions.linalg import gram_sums
 from cadence.functions.stats import gram_unpack
+from cadence.operators import split as SP
 
 ALPHAS = tuple(float(a) for a in np.logspace(-2, 3, 50))
 
@@ -83,27 +84,29 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, fold_col: str
               alphas: Sequence[float] = ALPHAS, scale: bool = True) -> RidgeFit:
     """M4/M5: alpha by k-fold mean squared error, final fit on all rows, CV R2 at the best alpha."""
     features = list(features)
-    k = len(features) + 1
     grams, mu, sd = fold_grams(df, features, target, fold_col, scale)
-    folds = []
-    for row in grams.collect():  # one row per fold: k small matrices
-        g, gy, yy, n = gram_unpack(row.asDict(), k)
-        folds.append((row[fold_col], g, gy, yy, n))
-    folds.sort(key=lambda t: t[0])
-    tot = sum(f[1] for f in folds)
-    tot_y = sum(f[2] for f in folds)
-    n_all = sum(f[4] for f in folds)
+    got = grams.collect()  # one row per fold: k small matrices
+    got.sort(key=lambda r: r[fold_col])
+    return ridge_of_grams([gram_unpack(r.asDict(), len(features) + 1) for r in got], features, target, mu, sd, alphas)
+
+
+def ridge_of_grams(folds: Sequence[tuple], features: list[str], target: str, mu: list[float], sd: list[float],
+                   alphas: Sequence[float] = ALPHAS) -> RidgeFit:
+    """The search and the final fit from (X'X, X'y, y'y, n) of each fold."""
+    tot = sum(f[0] for f in folds)
+    tot_y = sum(f[1] for f in folds)
+    n_all = sum(f[3] for f in folds)
     path = []
     for a in alphas:
         mses = []
-        for _, g, gy, yy, n in folds:
+        for g, gy, yy, n in folds:
             b0, coef = _solve(tot - g, tot_y - gy, n_all - n, a)
             mses.append(_sse(g, gy, yy, b0, coef) / n)
         path.append((float(a), float(np.mean(mses))))
     best = min(range(len(path)), key=lambda i: (path[i][1], i))
     alpha = path[best][0]
     cv_r2 = []
-    for _, g, gy, yy, n in folds:
+    for g, gy, yy, n in folds:
         b0, coef = _solve(tot - g, tot_y - gy, n_all - n, alpha)
         sst = yy - gy[0] ** 2 / n
         cv_r2.append(1.0 - _sse(g, gy, yy, b0, coef) / sst if sst > 0 else 0.0)
@@ -111,6 +114,41 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, fold_col: str
     return RidgeFit(features, target, mu, sd, alpha, [float(c) for c in coef], float(b0), cv_r2, path, n_all)
 
 
+def expanding_ridge(df: DataFrame, features: Sequence[str], target: str, n: int, k: int = 5,
+                    ordinal: str = "ordinal") -> tuple[RidgeFit, list[float]]:
+    """M4 and M16 in one pass: the ridge on all ``n`` rows and its R2 on each of ``k`` expanding time-series folds.
+
+    The rows before each test block are cut into that block's own folds.  All these cuts are known from ``n``, so one aggregate
+    sums the Gram matrices between neighbouring cuts (at most k x k + 3 k segments), and every training set, fold and test
+    block is a run of segments.  ``features`` are used as they are (scaled before)."""
+    features, tests = list(features), SP.ts_fold_starts(n, k)
+    wanted = [SP.kfold_starts(n, k)] + [SP.kfold_starts(t, k) for t in tests[:-1]]
+    cuts = sorted({c for w in wanted for c in w} | set(tests))
+    segment = X.sum_of([(F.col(ordinal) >= c).cast("int") for c in cuts])
+    p = len(features) + 1
+    grams, _, _ = fold_grams(df.withColumn("__segment", segment), features, target, "__segment", False)
+    sums = {cuts[r["__segment"] - 1]: gram_unpack(r.asDict(), p) for r in grams.collect()}
+
+    def between(lo: int, hi: int) -> tuple:
+        own = [sums[c] for c in cuts if lo <= c < hi and c in sums]
+        return tuple(sum(s[j] for s in own) for j in range(4)) if own else (np.zeros((p, p)), np.zeros(p), 0.0, 0)
+
+    def fit(starts: list[int]) -> RidgeFit:
+        folds = [between(lo, hi) for lo, hi in zip(starts, starts[1:])]
+        return ridge_of_grams([f for f in folds if f[3]], features, target, [], [])
+
+    scores = []
+    for lo, hi, starts in zip(tests, tests[1:], wanted[1:]):
+        g, gy, yy, rows = between(lo, hi)
+        if rows < 2 or between(0, lo)[3] < 2:
+            scores.append(float("nan"))
+            continue
+        m = fit(starts)
+        sse, sst = _sse(g, gy, yy, m.intercept, np.array(m.coef)), yy - gy[0] ** 2 / rows
+        scores.append(1.0 - sse / sst if sst > 1e-12 * yy else float(sse <= 1e-12 * yy))
+    return fit(wanted[0]), scores
+
+
 def predict(df: DataFrame, fit: RidgeFit, out: str = "prediction") -> DataFrame:
     return df.withColumn(out, fit.prediction())
 

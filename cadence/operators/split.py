@@ -34,10 +34,10 @@ def modulo_split(df: DataFrame, expr: Column, modulus: int = 10, train_buckets:
 
 def global_ordinal(df: DataFrame, spec: PanelSpec, out: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """0-based position of every row in (entity, period) order, without a single-task sort."""
-    return _ordinal_and_count(df, spec, out, partitions)[0]
+    return ordinal_and_count(df, spec, out, partitions)[0]
 
 
-def _ordinal_and_count(df: DataFrame, spec: PanelSpec, out: str = "ordinal",
+def ordinal_and_count(df: DataFrame, spec: PanelSpec, out: str = "ordinal",
                        partitions: int | None = None) -> tuple[DataFrame, int]:
     """``global_ordinal`` plus the row count, which falls out of the partition totals.
 
@@ -67,7 +67,7 @@ def ordered_split(df: DataFrame, spec: PanelSpec, test_size: float = 0.2, out: s
     if by == "period":
         cut = QU.of_columns(df, [spec.period], [1.0 - test_size], discrete=True)[spec.period]
         return df.withColumn(out, F.col(spec.period) < F.lit(cut[0] if cut else None))
-    o, n = _ordinal_and_count(df, spec)
+    o, n = ordinal_and_count(df, spec)
     split_idx = int(n * (1.0 - test_size))
     return o.withColumn(out, F.col("ordinal") < F.lit(split_idx))
 
@@ -80,6 +80,18 @@ def kfold_expr(ordinal: Column, n: int, k: int) -> Column:
         (F.lit(r) + ((ordinal - big) / F.lit(max(q, 1))).cast("int")))
 
 
+def kfold_starts(n: int, k: int) -> list[int]:
+    """First ordinal of each contiguous fold of ``kfold_expr``, and ``n`` at the end."""
+    q, r = n // k, n % k
+    return [j * q + min(j, r) for j in range(k)] + [n]
+
+
+def ts_fold_starts(n: int, k: int) -> list[int]:
+    """First ordinal of each test block of ``ts_fold_expr``, and ``n`` at the end; none when there are too few rows."""
+    size = n // (k + 1)
+    return [n - (k - i) * size for i in range(k)] + [n] if size else []
+
+
 def ts_fold_expr(ordinal: Column, n: int, k: int) -> Column:
     """Expanding-window test block (0..k-1) of each row; NULL for rows only ever trained on."""
     size = n // (k + 1)
@@ -89,7 +101,7 @@ def ts_fold_expr(ordinal: Column, n: int, k: int) -> Column:
 
 def add_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
     """M3: ordinal, contiguous K-fold id and expanding time-series fold id."""
-    o, n = _ordinal_and_count(df, spec)
+    o, n = ordinal_and_count(df, spec)
     return o.withColumn("fold", kfold_expr(F.col("ordinal"), n, k)).withColumn(
         "ts_fold", ts_fold_expr(F.col("ordinal"), n, k))
 

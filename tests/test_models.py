@@ -200,3 +200,40 @@ def test_persistence_round_trips(spark, regression):
     a = {(r["entity"], r["period"]): r["prediction"] for r in fc.predict(prep).collect()}
     b = {(r["entity"], r["period"]): r["prediction"] for r in fc2.predict(prep).collect()}
     assert a == b
+
+
+def test_expanding_ridge_equals_refits(spark):
+    """All expanding folds from one aggregate: the same scores as a refit with its own ordinals and folds for each."""
+    rng = np.random.default_rng(8)
+    n, k = 203, 4
+    x = rng.normal(size=(n, 3))
+    y = x @ [1.0, -2.0, 0.5] + rng.normal(0, 2.0, n)
+    df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))],
+                               "ordinal long, a double, b double, c double, y double")
+    fit, scores = LN.expanding_ridge(df, ["a", "b", "c"], "y", n, k)
+
+    def plain(m):
+        from cadence.operators import split as SP
+        own = df.filter(F.col("ordinal") < m).withColumn("fold", SP.kfold_expr(F.col("ordinal"), m, k))
+        return LN.fit_ridge(own, ["a", "b", "c"], "y", "fold", scale=False)
+
+    whole = plain(n)
+    assert fit.alpha == whole.alpha and fit.coef == pytest.approx(whole.coef) and fit.cv_r2 == pytest.approx(whole.cv_r2)
+    size = n // (k + 1)
+    for i, got in enumerate(scores):
+        lo = n - (k - i) * size
+        m = plain(lo)
+        e = y[lo:lo + size] - (m.intercept + x[lo:lo + size] @ np.array(m.coef))
+        assert got == pytest.approx(1 - (e ** 2).sum() / ((y[lo:lo + size] - y[lo:lo + size].mean()) ** 2).sum())
+    assert len(scores) == k
+    assert LN.expanding_ridge(df.filter("ordinal < 4"), ["a"], "y", 4, k)[1] == []
+
+
+def test_fold_starts_match_the_expressions(spark):
+    from cadence.operators import split as SP
+    for n, k in ((23, 5), (4, 5), (30, 3), (7, 6)):
+        rows = spark.range(n).select("id", SP.kfold_expr(F.col("id"), n, k).alias("f"), SP.ts_fold_expr(F.col("id"), n, k).alias("t")).collect()
+        starts, tests = SP.kfold_starts(n, k), SP.ts_fold_starts(n, k)
+        assert all(starts[r.f] <= r.id < starts[r.f + 1] for r in rows)
+        if tests:
+            assert all((r.t is None and r.id < tests[0]) or (r.t is not None and tests[r.t] <= r.id < tests[r.t + 1]) for r in rows)
