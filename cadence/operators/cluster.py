@@ -1,4 +1,4 @@
-"""Clustering of the entity-level table.
+"""Clustering of the entity-level table.
 
 Input is one row per entity (``summary.entity_means``), z-scored with
 population statistics.  Nothing here pairs entities with each other:
@@ -10,9 +10,9 @@ population statistics.  Nothing here pairs entities with each other:
   cluster is exact from the cluster's count, centre and mean squared norm -
   no pair of entities is formed (the Euclidean variant needs every pair and
   is not offered);
-* Calinski-Harabasz, profiles and names are per-cluster aggregates;
-* hierarchical clustering agglomerates at most ``MAX_LEAVES`` weighted
-  micro-cluster summaries (exact when entities <= MAX_LEAVES).
+* Calinski-Harabasz, profiles and names are per-cluster aggregates.
+
+Hierarchical clustering (U9) is not offered: its linkage needs every pair of entities.
 """
 
 from __future__ import annotations
@@ -20,9 +20,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +28,6 @@ from cadence.operators import lloyd as LL
 from cadence.session import materialize
 from cadence.spec import first_present, present
 
-MAX_LEAVES = 500
 # Cluster naming rules of the library (U5) and of the dashboard.
 LIBRARY_NAMES = (("Resource Curse", "High commodity dependence + Weak governance = High volatility"),
                  ("Managed Resource Wealth", "High commodity dependence but better governance"),
@@ -202,6 +198,12 @@ def peers(labeled: DataFrame, named: DataFrame, label: str = "cluster", key: str
         .withColumn("n_similar", F.col("n_entities") - 1).drop("n_entities")
 
 
+def similar(labeled: DataFrame, entity, label: str = "cluster", key: str = "entity") -> DataFrame:
+    """U8: the other entities of one entity's cluster, a row each (none for an unknown entity)."""
+    own = labeled.filter(F.col(key) == F.lit(entity)).select(label).distinct()
+    return labeled.join(own, label, "left_semi").filter(F.col(key) != F.lit(entity)).select(key, label)
+
+
 def highlights(labeled_named: DataFrame, key: str = "entity", examples: int = 5) -> DataFrame:
     """Entities in 'Curse' clusters and in 'Diversified'/'Green' clusters, count and examples."""
     kinds = F.when(F.col("cluster_name").contains("Curse"), "resource_curse").when(
@@ -213,79 +215,6 @@ def highlights(labeled_named: DataFrame, key: str = "entity", examples: int = 5)
     return t.groupBy("kind").agg(F.count(F.lit(1)).alias("n_entities")).join(ex, "kind")
 
 
-# ---------------------------------------------------------------- hierarchical
-def _lance_williams(sizes: np.ndarray, centers: np.ndarray, sse: np.ndarray, n_clusters: int, method: str):
-    """Agglomerate weighted leaves; returns the final group of every leaf."""
-    m = len(sizes)
-    groups = list(range(m))
-    size = sizes.astype(float).copy()
-    cen = centers.astype(float).copy()
-    diff = cen[:, None, :] - cen[None, :, :]
-    d = np.sqrt((diff ** 2).sum(-1))
-    if method == "ward":
-        w = size[:, None] * size[None, :] / (size[:, None] + size[None, :])
-        d = np.sqrt(2.0 * w) * d
-    np.fill_diagonal(d, np.inf)
-    active = np.ones(m, dtype=bool)
-    label = np.arange(m)
-    for _ in range(m - n_clusters):
-        sub = np.where(active[:, None] & active[None, :], d, np.inf)
-        i, j = np.unravel_index(np.argmin(sub), sub.shape)
-        i, j = min(i, j), max(i, j)
-        ni, nj = size[i], size[j]
-        for t in np.where(active)[0]:
-            if t in (i, j):
-                continue
-            if method == "single":
-                nd = min(d[i, t], d[j, t])
-            elif method == "complete":
-                nd = max(d[i, t], d[j, t])
-            elif method == "average":
-                nd = (ni * d[i, t] + nj * d[j, t]) / (ni + nj)
-            else:  # ward
-                nt = size[t]
-                nd = np.sqrt(((ni + nt) * d[i, t] ** 2 + (nj + nt) * d[j, t] ** 2 - nt * d[i, j] ** 2)
-                             / (ni + nj + nt))
-            d[i, t] = d[t, i] = nd
-        size[i] = ni + nj
-        active[j] = False
-        d[j, :] = d[:, j] = np.inf
-        label[label == j] = i
-    roots = sorted(set(label.tolist()))
-    return [roots.index(l) for l in label]
-
-
-def hierarchical(ent_z: DataFrame, zcols: Sequence[str], n_clusters: int = 3, method: str = "ward",
-                 key: str = "entity", max_leaves: int = MAX_LEAVES, seed: int = 42) -> DataFrame:
-    """Agglomerative clustering (ward, complete, average, single).
-
-    Up to ``max_leaves`` entities every entity is a leaf and the result is the
-    exact linkage.  Beyond it, Spark k-means first reduces the entities to
-    ``max_leaves`` weighted micro-clusters (count, centre) and the linkage runs
-    on those; each entity takes its micro-cluster's group.
-    """
-    n = ent_z.count()
-    if n <= max_leaves:
-        leaves = ent_z.select(key, *zcols).withColumn("leaf", F.dense_rank().over(Window.orderBy(key)) - 1)
-    else:
-        data = VectorAssembler(inputCols=list(zcols), outputCol="features").transform(ent_z)
-        km = KMeans(k=max_leaves, seed=seed, featuresCol="features", predictionCol="leaf").fit(data)
-        leaves = km.transform(data).drop("features")
-    summ = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in zcols]).collect()
-    summ.sort(key=lambda r: r["leaf"])  # at most max_leaves rows
-    sizes = np.array([r["n"] for r in summ])
-    centers = np.array([[r[c] for c in zcols] for r in summ])
-    groups = _lance_williams(sizes, centers, np.zeros(len(sizes)), n_clusters, method)
-    # relabel groups by ascending first-feature mean for reproducible ids
-    gm = {}
-    for leaf_i, g in enumerate(groups):
-        gm.setdefault(g, []).append((centers[leaf_i][0], sizes[leaf_i]))
-    order = sorted(gm, key=lambda g: sum(c * s for c, s in gm[g]) / sum(s for _, s in gm[g]))
-    final = {int(summ[i]["leaf"]): order.index(g) for i, g in enumerate(groups)}
-    mapping = F.create_map(*[x for lf, g in final.items() for x in (F.lit(lf), F.lit(g))])
-    return leaves.select(key, mapping[F.col("leaf")].alias(f"cluster_{method}"))
-
-
 def centroid_distances(ent_z: DataFrame, zcols: Sequence[str], centers: Sequence[Sequence[float]],
                        key: str = "entity") -> DataFrame:
     """U10 (re-aimed): Euclidean distance of every entity to every centre, (entity, centre, distance).

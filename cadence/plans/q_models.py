@@ -378,3 +378,14 @@ def r3_score(spark, d):
     flags = RL.risk_flags(latest).select("entity", "risk_factors")
     return finish(scored.join(flags, "entity").select("entity", "period", *MODEL_FEATURES, "predicted_log_volatility",
                                                        "predicted_volatility", "volatility_level", "risk_factors"))
+
+
+@query("r3_growth")
+def r3_growth(spark, d):
+    """Score every entity's latest row with the fitted growth forecaster: fallback chain for the inputs, forecast of
+    the next period, its outlook class and its difference from the entity's own history (R2, R3, R6, R7)."""
+    from cadence.operators import rules as RL
+    fc, _, _ = _forecast(spark, d, "ridge")
+    feats = featured(spark, d)
+    scored = fc.predict(RL.fallback_current(feats, SPEC, fc.features), "forecast")
+    return finish(RL.versus_history(RL.outlook(scored, "forecast"), feats, SPEC, "forecast"))

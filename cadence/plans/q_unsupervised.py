@@ -153,23 +153,30 @@ def u8_peers(spark, d):
     return CU.peers(lab, CU.library_names(prof))
 
 
-@query("u9_hierarchical")
-def u9_hierarchical(spark, d):
-    ent = entity_table(spark, d)
-    z, zcols = CU.scaled(ent, FEATS)
-    out = CU.hierarchical(z, zcols, 3, "ward")
-    for m in ("complete", "average", "single"):
-        out = out.join(CU.hierarchical(z, zcols, 3, m), "entity")
-    return out
+@query("u8_similar", with_panel(
+    "SELECT l.entity, l.cluster FROM lab l JOIN (SELECT cluster, entity AS own FROM lab WHERE entity = (SELECT min(entity) "
+    "FROM lab)) o USING (cluster) WHERE l.entity <> o.own", *_PREFIX))
+def u8_similar(spark, d):
+    """The peers of one entity, here the first by name."""
+    lab, _ = labelled(spark, d)
+    return CU.similar(lab, lab.agg(F.min("entity")).head()[0])
 
 
-@query("u9_hierarchical_customers")
-def u9_hierarchical_customers(spark, d):
-    """Ward linkage over every customer: k-means micro-clusters first (more entities than leaves)."""
-    ent = materialize(SM.entity_means(panel_customer(spark, d), PanelSpec(name=None),
-                                      ["n_orders", "spend", "urgent_pct"], minimum=3))
-    z, zcols = CU.scaled(ent, ["n_orders", "spend", "urgent_pct"])
-    return CU.hierarchical(z, zcols, 3, "ward", max_leaves=200)
+def _fitted(spark, d):
+    lab, _ = CU.fit_kmeans(entity_table(spark, d), FEATS, 3, 10)
+    lab = materialize(lab)
+    return lab, CU.dashboard_names(CU.library_names(CU.profiles(lab, FEATS)))
+
+
+@query("u5_fitted_names")
+def u5_fitted_names(spark, d):
+    """Profiles with both kinds of names of the clusters that k-means found."""
+    return finish(_fitted(spark, d)[1])
+
+
+@query("u8_fitted_peers")
+def u8_fitted_peers(spark, d):
+    return CU.peers(*_fitted(spark, d))
 
 
 @query("u12_highlights", with_panel(

@@ -64,17 +64,6 @@ def test_calinski_harabasz_matches_numpy(spark, entities):
     assert CU.calinski_harabasz(lab, fit.zcols).first()["calinski_harabasz"] == pytest.approx(ref)
 
 
-def test_hierarchical_exact_small_and_microclusters(spark, entities):
-    df, _ = entities
-    z, zcols = CU.scaled(df, ["a", "b", "c"])
-    for method in ("ward", "complete", "average", "single"):
-        g = {r["entity"]: r[f"cluster_{method}"] for r in CU.hierarchical(z, zcols, 3, method).collect()}
-        for block in range(3):
-            assert len({g[f"E{i:02d}"] for i in range(block * 10, block * 10 + 10)}) == 1
-    g = CU.hierarchical(z, zcols, 3, "ward", max_leaves=9).collect()  # micro-cluster path
-    assert len({r["cluster_ward"] for r in g}) == 3
-
-
 def test_profiles_names_and_peers(spark, entities):
     df, _ = entities
     lab, _ = CU.fit_kmeans(df, ["a", "b", "c"], 3, 2)
@@ -86,6 +75,8 @@ def test_profiles_names_and_peers(spark, entities):
     assert {r["cluster_name"] for r in named.collect()} <= {n for n, _ in CU.LIBRARY_NAMES}
     peers = CU.peers(lab, named).collect()
     assert all(r["n_similar"] == 9 for r in peers)
+    assert {r.entity for r in CU.similar(lab, "E03").collect()} == {f"E{i:02d}" for i in range(10)} - {"E03"}
+    assert CU.similar(lab, "nobody").collect() == []
 
 
 def test_pca_ratios_and_orthonormal_loadings(spark, entities):
@@ -143,3 +134,19 @@ def test_search_of_equal_rows_and_of_none(spark):
     assert got[3].cost == 0 and got[3].counts.tolist() == [20, 0, 0]
     assert LL.silhouettes(same, ["a", "b"], got) == {3: 0.0}
     assert LL.search(same.limit(0), "entity", ["a", "b"], [3], 2) == {}
+
+
+def test_names_and_peers_of_fitted_clusters(spark):
+    from cadence.plans import q_unsupervised as Q
+    lab, named = Q._fitted(spark, "/root/testdata/sf0.001")
+    rows, prof = lab.toPandas(), {r.cluster: r for r in named.collect()}
+    assert set(prof) == set(rows.cluster)
+    for c, own in rows.groupby("cluster"):
+        r = prof[c]
+        assert r.n_entities == len(own) and r.examples == sorted(own.entity)[:5]
+        cdi, vol, gov = (own[x].mean() for x in ("cdi_smooth", "gdp_volatility", "governance_index"))
+        assert (r.avg_cdi_smooth, r.avg_governance_index) == pytest.approx((cdi, gov))
+        name = ("Resource Curse" if gov < -0.3 else "Managed Resource Wealth") if cdi > 60 else "Diversified & Stable" if vol < 2 else "Transitional"
+        assert r.cluster_name == name
+    peers = Q.CU.peers(lab, named).collect()
+    assert {r.entity: r.n_similar for r in peers} == {e: (rows.cluster == c).sum() - 1 for e, c in zip(rows.entity, rows.cluster)}

@@ -237,3 +237,22 @@ def test_fold_starts_match_the_expressions(spark):
         assert all(starts[r.f] <= r.id < starts[r.f + 1] for r in rows)
         if tests:
             assert all((r.t is None and r.id < tests[0]) or (r.t is not None and tests[r.t] <= r.id < tests[r.t + 1]) for r in rows)
+
+
+def test_growth_scores_of_latest_rows(spark):
+    """Forecast, outlook and difference from history, each from the panel and the fitted coefficients by hand."""
+    from cadence.plans import q_models as Q
+    d = "/root/testdata/sf0.001"
+    fc, _, _ = Q._forecast(spark, d, "ridge")
+    panel = Q.featured(spark, d).select("entity", "period", *fc.features).toPandas().sort_values("period")
+    got = {r.entity: r for r in Q.r3_growth(spark, d).collect()}
+    assert set(got) == set(panel.entity)
+    for e, own in panel.groupby("entity"):
+        last, med = own.iloc[-1], own[fc.features].median().fillna(0.0)
+        x = np.array([last[c] if last[c] == last[c] else med[c] for c in fc.features], float)
+        y = fc.ridge.intercept + ((x - fc.mu) / fc.sd) @ np.array(fc.ridge.coef)
+        r, mean = got[e], own.gdp_growth.mean()
+        assert r.forecast == pytest.approx(y, abs=1e-5) and r.difference == pytest.approx(y - mean, abs=1e-5)
+        assert r.position == ("above" if y > mean else "below")
+        assert r.outlook == ("Strong growth" if y > 5 else "Moderate growth" if y > 2 else "Slow growth" if y > 0
+                             else "Slight contraction" if y > -2 else "Recession risk")
