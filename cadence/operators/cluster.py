@@ -220,8 +220,7 @@ def centroid_distances(ent_z: DataFrame, zcols: Sequence[str], centers: Sequence
     """U10 (re-aimed): Euclidean distance of every entity to every centre, (entity, centre, distance).
 
     The reference feeds a full entity x entity distance matrix to its linkage;
-    that is quadratic in entities, so distances are taken to k centres (or to
-    the micro-cluster centres of ``hierarchical``) instead.
+    that is quadratic in entities, so distances are taken to k centres instead.
     """
     rows = F.array(*[F.struct(F.lit(i).alias("centre"),
                               F.sqrt(X.sum_of([(F.col(c) - F.lit(float(ctr[j]))) ** 2 for j, c in enumerate(zcols)]))
