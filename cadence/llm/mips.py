@@ -129,7 +129,7 @@ def top_k(rows: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "vec
     # the bucket of the longest vectors that fills k places gives the first thresholds
     lead = buckets.where(F.col("size") > k).groupBy("dim").agg(F.max(F.struct("longest", "part")).alias("top")).select("dim", "top.part")
     # one number of components may be that of all rows: its blocks are dealt out over shares, the small side to each
-    shares = shuffle_parts(rows.sparkSession)
+    shares = max(1, min(shuffle_parts(rows.sparkSession), blocks.count()))
     share = F.pmod(F.xxhash64("block"), F.lit(shares)).alias("share")
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share")
     leading = buckets.join(lead, ["dim", "part"], "left_semi").select("*", each)
