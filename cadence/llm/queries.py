@@ -65,7 +65,7 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captures = warc.scan_index(warc.archive_and_index(table(spark, sf_dir, "pages")))
+    captures = warc.resolved(warc.archive_and_index(table(spark, sf_dir, "pages")))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

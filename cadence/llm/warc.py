@@ -5,27 +5,37 @@ line separator), so any Hadoop file system takes them and a lost executor's file
 payloads of at least ``least`` bytes the one with the smallest id is the response and the others are
 revisit records that name it; every other page is a response.
 
-``read_archives`` parses the files record by record by their Content-Length.  ``build_index`` sorts the
-captures by reversed-host URL key into compressed blocks and keeps a sparse directory of each block's first
-key; ``lookup`` finds keys' blocks by binary search in the directory, then in the block, and ``read_record`` reads just the
-record's byte range.
-
-Edge cases: a null html is an empty payload; a null or empty url has the key ``)/``; characters that would break a header are
+``read_archives`` streams through each file, one record at a time, by its Content-Length.  ``build_index`` sorts the
+captures by reversed-host URL key and page into compressed blocks and keeps a sparse directory of each block's first and last
+key.  ``resolved`` follows every revisit to its response inside tasks: the distinct targets find their block by binary
+search in the directory (broadcast: its entries and the length of a key are bounded), meet the block, find their capture by binary
+search there, and read just its byte range; payload bytes and digest of a revisit come from that payload, which has to
+be what the revisit says.  A response that a third of the pages repeat is one target.  ``lookup`` and ``read_record`` do the same
+for a few URL keys from the driver.
+
+Tasks open archives through Arrow's file systems (a shared mount, HDFS, object stores), since Spark's own binary source
+reads whole files, 2 GB at most.
+
+Edge cases: a null html is an empty payload; a null or empty url has the key ``)/``; a key beyond ``KEY_CHARS`` characters ends in
+a digest of its whole; characters that would break a header are
 percent-encoded; a null page id is written as ``null``; rows that repeat an id are separate records
-(those that share the smallest id of equal payloads are all responses); an empty table gives
-empty archives and an empty index; other columns are not read.
+(those that share the smallest id of equal payloads are all responses); a payload may be as long as Spark's strings, and a
+task holds one; an empty table gives empty archives and an empty index; other columns are not read.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import io
 import json
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +47,21 @@ RECORDS_PER_FILE = 2000
 BLOCK_LINES = 3000
 #: Entries of the directory at most: blocks grow beyond BLOCK_LINES where there are more captures.
 DIRECTORY_ENTRIES = 1 << 16
+KEY_CHARS = 256
 END = "\r\n\r\n"
+RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+           "refers_url string, file string, offset long, length long")
 CAPTURES = ("url_key string, page_id long, url string, payload_bytes long, payload_digest string, "
-            "record_type string, refers_to long, file string, offset long, length long")
-BLOCKS = "first_key string, last_key string, captures int, block binary"
+            "record_type string, refers_to long, refers_key string, file string, offset long, length long")
+BLOCKS = "number long, first_key string, first_page long, last_key string, last_page long, captures int, block binary"
+TARGETS = "refers_key string, refers_to long, payload_digest string, payload_bytes long"
+NAMES = [c.split()[0] for c in CAPTURES.split(", ")]
+ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def rows_of(rows: list, schema: str) -> pa.Table:
+    columns = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], ARROW[kind]) for i, (name, kind) in enumerate(columns)})
 
 
 def url_key(url: Column) -> Column:
@@ -50,7 +71,8 @@ def url_key(url: Column) -> Column:
     host = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"^www\d*\.|:(80|443)?$", "")
     rest = F.lower(F.regexp_replace(u, r"^[^/?]*", ""))
     path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), path)
+    key = F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), path)
+    return F.when(F.length(key) > KEY_CHARS, F.concat(F.substring(key, 1, KEY_CHARS - 41), F.lit("#"), F.sha1(key))).otherwise(key)
 
 
 def safe(c: Column) -> Column:
@@ -71,7 +93,7 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, folder: str | Non
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body.alias("html"), F.sha2(body.cast("binary"), 256).alias("digest"), F.octet_length(body).alias("size"))
     first = kept(rows.where(F.col("size") >= least).groupBy("digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"), "revisited")
+             .agg(F.min("page_id").alias("first_id"), F.min_by("url", "page_id").alias("first_url"), F.count("*").alias("n")).where("n > 1").drop("n"), "revisited")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
@@ -82,6 +104,7 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, folder: str | Non
         line("WARC-Record-ID", ident(F.col("page_id"))),
         F.when(F.col("url").isNull(), F.lit("")).otherwise(line("WARC-Target-URI", safe(F.col("url")))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
+        F.when(revisit & F.col("first_url").isNotNull(), line("WARC-Refers-To-Target-URI", safe(F.col("first_url")))).otherwise(F.lit("")),
         F.when(revisit, F.concat(line("WARC-Refers-To", ident(F.col("first_id"))),
                                  line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))))
         .otherwise(F.lit("")),
@@ -92,83 +115,101 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, folder: str | Non
     return folder
 
 
-def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of every record of an archive."""
+def records(data: bytes | io.BufferedIOBase) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, length, headers, block) of every record of an archive, given as bytes or a stream."""
+    stream = io.BytesIO(data) if isinstance(data, bytes) else data
     at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode().split("\r\n")
-        if head[0] != "WARC/1.1":
+    while first := stream.readline():
+        if first != b"WARC/1.1\r\n":
             raise ValueError(f"no record at {at}")
-        fields = dict(h.split(": ", 1) for h in head[1:])
-        stop = end + 4 + int(fields["Content-Length"])
-        if data[stop:stop + 4] != b"\r\n\r\n":
+        fields, length = {}, len(first) + 2
+        while (line := stream.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"record at {at} ends in its headers")
+            name, _, value = line[:-2].decode().partition(": ")
+            fields[name] = value
+            length += len(line)
+        size = int(fields["Content-Length"])
+        block = stream.read(size)
+        if stream.read(4) != b"\r\n\r\n":
             raise ValueError(f"record at {at} does not end where its length says")
-        yield at, stop - at, fields, data[end + 4:stop]
-        at = stop + 4
+        yield at, length + size, fields, block
+        at += length + size + 4
 
 
 def page_of(ident: str | None) -> int | None:
     return None if ident is None or ident == "<urn:page:null>" else int(ident[len("<urn:page:"):-1])
 
 
+def content(head: dict[str, str], block: bytes) -> tuple[int, str]:
+    """Size and digest of a record's payload: of a response those of what is stored, which has to be undamaged; of a revisit the stated ones."""
+    http, _, payload = block.partition(b"\r\n\r\n")
+    said = head["WARC-Payload-Digest"].removeprefix("sha256:")
+    if head["WARC-Type"] != "response":
+        return int(http.rpartition(b": ")[2]), said
+    if hashlib.sha256(payload).hexdigest() != said:
+        raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
+    return len(payload), said
+
+
+def open_archive(path: str) -> pa.NativeFile:
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
+def archive_files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path")
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the archives; payload digests are computed from the stored payload where there is one."""
     bounded_batches(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "file", "offset", "length")
-        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
         for b in batches:
-            for path, content in zip(b.column(0), b.column(1)):
+            for path in b.column(0).to_pylist():
                 out = []
-                for at, length, head, block in records(content.as_py()):
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    said = head["WARC-Payload-Digest"].removeprefix("sha256:")
-                    if head["WARC-Type"] == "response":
-                        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
-                        if digest != said:
-                            raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
-                    else:
-                        size, digest = int(http.rpartition(b": ")[2]), said
-                    out.append((page_of(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), size, digest, head["WARC-Type"],
-                                page_of(head.get("WARC-Refers-To")), path.as_py(), at, length))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=list(names))
-
-    read = files.mapInArrow(run, CAPTURES.removeprefix("url_key string, "))
-    return read.withColumn("url_key", url_key(F.col("url"))).select(*(c.split()[0] for c in CAPTURES.split(", ")))
+                with io.BufferedReader(open_archive(path), 1 << 20) as stream:
+                    for at, length, head, block in records(stream):
+                        out.append((page_of(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), *content(head, block), head["WARC-Type"],
+                                    page_of(head.get("WARC-Refers-To")), head.get("WARC-Refers-To-Target-URI"), path, at, length))
+                yield from rows_of(out, RECORDS).to_batches()
+
+    read = archive_files(spark, folder).mapInArrow(run, RECORDS)
+    return (read.withColumn("url_key", url_key(F.col("url")))
+            .withColumn("refers_key", F.when(F.col("record_type") == "revisit", url_key(F.col("refers_url"))))
+            .select(*NAMES))
 
 
 def build_index(captures: DataFrame, n_captures: int) -> DataFrame:
-    """Blocks of captures in key order: the upper level is each block's first and last key.
+    """Blocks of captures in key order, numbered in that order: the upper level is each block's first and last key.
 
-    Range partitions by key (and file and offset, which split a hot key) are sorted and cut into compressed blocks.
+    Range partitions by key and page (and file and offset, which split a page that is repeated) are sorted and cut into compressed blocks.
     """
     spark = captures.sparkSession
     lines = max(BLOCK_LINES, -(-n_captures // DIRECTORY_ENTRIES))
-    names = captures.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         held: list[list] = []
         for b in batches:
             held += map(list, zip(*(c.to_pylist() for c in b.columns)))
             while len(held) >= lines:
-                yield _block(held[:lines])
-                held = held[lines:]
+                yield from _block(number, held[:lines])
+                number, held = number + 1, held[lines:]
         if held:
-            yield _block(held)
+            yield from _block(number, held)
 
-    order = ["url_key", "file", "offset"]
-    return (captures.select(*names).repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order)
+    order = ["url_key", "page_id", "file", "offset"]
+    return (captures.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order)
             .mapInArrow(run, BLOCKS))
 
 
-def _block(rows: list[list]) -> pa.RecordBatch:
+def _block(number: int, rows: list[list]) -> list[pa.RecordBatch]:
     packed = zlib.compress("\n".join(json.dumps(r) for r in rows).encode(), 6)
-    return pa.RecordBatch.from_arrays([pa.array([rows[0][0]], pa.string()), pa.array([rows[-1][0]], pa.string()),
-                                       pa.array([len(rows)], pa.int32()), pa.array([packed], pa.binary())],
-                                      names=["first_key", "last_key", "captures", "block"])
+    return rows_of([(number, *rows[0][:2], *rows[-1][:2], len(rows), packed)], BLOCKS).to_batches()
 
 
 def unpack(block: bytes) -> list[list]:
@@ -178,33 +219,102 @@ def unpack(block: bytes) -> list[list]:
 def scan_index(blocks: DataFrame) -> DataFrame:
     """Every capture of the index, block by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-        names = [c.split()[0] for c in CAPTURES.split(", ")]
         for b in batches:
             for packed in b.column(0):
-                rows = unpack(packed.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+                yield from rows_of(unpack(packed.as_py()), CAPTURES).to_batches()
 
     return blocks.select("block").mapInArrow(run, CAPTURES)
 
 
-def lookup(blocks: DataFrame, keys: list[str]) -> list[dict]:
-    """Captures of a few URL keys: binary search in the sparse directory, then in the one or more blocks it names.
+def place(key: str, page: int | None) -> tuple[str, int]:
+    """The index's order: by key, then page, nulls first."""
+    return key, -(1 << 63) - 1 if page is None else page
+
+
+class Directory:
+    """The upper level: ``DIRECTORY_ENTRIES`` entries and one for each partition at most, of keys of ``KEY_CHARS`` at most."""
+
+    def __init__(self, blocks: DataFrame):
+        rows = sorted(map(tuple, blocks.select("number", "first_key", "first_page", "last_key", "last_page").collect()), key=lambda r: r[0])
+        self.numbers = [r[0] for r in rows]
+        self.first = [place(*r[1:3]) for r in rows]
+        self.last = [place(*r[3:]) for r in rows]
+
+    def blocks(self, low: tuple[str, int], high: tuple[str, int]) -> list[int]:
+        """The blocks that may hold captures between two places."""
+        return self.numbers[bisect.bisect_left(self.last, low):bisect.bisect_right(self.first, high)]
+
+
+def fetch(found: list[tuple]) -> Iterator[tuple]:
+    """Read the byte range of each (file, offset, length, target): the target with the size and digest of the payload there."""
+    at, stream = None, None
+    for file, offset, length, target in sorted(found, key=lambda f: f[:2]):
+        if file != at:
+            if stream is not None:
+                stream.close()
+            at, stream = file, open_archive(file)
+        stream.seek(offset)
+        (_, _, head, block), = records(stream.read(length) + END.encode())
+        size, digest = content(head, block)
+        if page_of(head["WARC-Record-ID"]) != target[1] or digest != target[2]:
+            raise ValueError(f"record at {offset} of {file} is not what its revisits refer to")
+        yield (*target[:2], digest, size)
+    if stream is not None:
+        stream.close()
 
-    The directory has ``DIRECTORY_ENTRIES`` entries and one for each partition at most; only the named blocks are read.
-    """
-    directory = sorted((r.first_key, r.last_key) for r in blocks.select("first_key", "last_key").collect())
-    firsts = [d[0] for d in directory]
-    wanted = {directory[i] for k in keys for i in range(max(0, bisect.bisect_left(firsts, k) - 1), bisect.bisect_right(firsts, k))
-              if directory[i][0] <= k <= directory[i][1]}
-    if not wanted:
-        return []
-    found, names = [], [c.split()[0] for c in CAPTURES.split(", ")]
-    for row in blocks.where(F.col("first_key").isin([w[0] for w in wanted])).select("block").collect():
+
+def targets(blocks: DataFrame, captures: DataFrame) -> DataFrame:
+    """The responses that revisits refer to, once each, found through the directory, their block and a range read."""
+    directory = blocks.sparkSession.sparkContext.broadcast(Directory(blocks))
+    asked = captures.where("record_type = 'revisit'").select("refers_key", "refers_to", "payload_digest").distinct()
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for key, page, digest in zip(*(c.to_pylist() for c in b.columns)):
+                at = place(key, page)
+                rows += [(n, key, page, digest) for n in directory.value.blocks(at, at)]
+            yield from rows_of(rows, "number long, refers_key string, refers_to long, payload_digest string").to_batches()
+
+    def probe(wanted: pa.Table, held: pa.Table) -> pa.Table:
+        found = []
+        if wanted.num_rows:
+            rows = unpack(held["block"][0].as_py())
+            own = [place(*r[:2]) for r in rows]
+            for key, page, digest in zip(*(wanted[c].to_pylist() for c in ("refers_key", "refers_to", "payload_digest"))):
+                at = place(key, page)
+                own_page = (dict(zip(NAMES, r)) for r in rows[bisect.bisect_left(own, at):bisect.bisect_right(own, at)])
+                hit = next((r for r in own_page if r["record_type"] == "response" and r["payload_digest"] == digest), None)
+                if hit:
+                    found.append((hit["file"], hit["offset"], hit["length"], (key, page, digest)))
+        return rows_of(list(fetch(found)), TARGETS)
+
+    routed = asked.mapInArrow(route, "number long, refers_key string, refers_to long, payload_digest string")
+    read = routed.groupBy("number").cogroup(blocks.select("number", "block").groupBy("number")).applyInArrow(probe, TARGETS)
+    return read.distinct()  # a page that is repeated may stand in two blocks
+
+
+def resolved(blocks: DataFrame) -> DataFrame:
+    """Every capture of the index, the revisits with payload size and digest of the response found for them."""
+    captures = scan_index(blocks)
+    again = captures.where("record_type = 'revisit'").withColumnRenamed("payload_bytes", "stated")
+    again = again.join(targets(blocks, captures), ["refers_key", "refers_to", "payload_digest"], "left")
+    lost = F.raise_error(F.concat(F.lit("no such response for the revisit of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    size = F.when(F.col("payload_bytes") == F.col("stated"), F.col("payload_bytes")).otherwise(lost.cast("long"))
+    return captures.where("record_type = 'response'").unionByName(again.withColumn("payload_bytes", size).drop("stated"))
+
+
+def lookup(blocks: DataFrame, keys: list[str]) -> list[dict]:
+    """Captures of a few URL keys: binary search in the directory, then in the blocks it names; only these are read."""
+    directory = Directory(blocks)
+    span = {k: (place(k, None), (k, 1 << 63)) for k in set(keys)}
+    wanted = sorted({n for low, high in span.values() for n in directory.blocks(low, high)})
+    found = []
+    for row in blocks.where(F.col("number").isin(wanted)).select("block").collect() if wanted else []:
         rows = unpack(row.block)
-        own = [r[0] for r in rows]
-        for k in sorted(set(keys)):
-            found += [dict(zip(names, r)) for r in rows[bisect.bisect_left(own, k):bisect.bisect_right(own, k)]]
+        own = [place(*r[:2]) for r in rows]
+        for low, high in span.values():
+            found += [dict(zip(NAMES, r)) for r in rows[bisect.bisect_left(own, low):bisect.bisect_right(own, high)]]
     return found
 
 
@@ -232,4 +342,4 @@ def archive_and_index(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
 
 def sum_records(spark: SparkSession, folder: str) -> int:
     """An upper bound of the records written, from the number of files."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path").count() * RECORDS_PER_FILE
+    return archive_files(spark, folder).count() * RECORDS_PER_FILE

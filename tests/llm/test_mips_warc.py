@@ -72,8 +72,9 @@ def test_archives_and_index(spark, monkeypatch):
     folder = warc.write_archives(df)
     captures = warc.read_archives(spark, folder)
     blocks = warc.build_index(captures, len(ODD_PAGES)).cache()
-    got = warc.scan_index(blocks).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
-    assert sorted(map(tuple, got), key=repr) == expected(ODD_PAGES)
+    for read in (warc.scan_index, warc.resolved):
+        got = read(blocks).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+        assert sorted(map(tuple, got), key=repr) == expected(ODD_PAGES)
     assert all(r.captures <= 3 for r in blocks.collect())
     keys = {r.page_id: r.url_key for r in captures.collect()}
     assert keys[1] == "com,example)/a b?q" or keys[1] == "com,example)/a%20b?q"
@@ -90,7 +91,36 @@ def test_archives_and_index(spark, monkeypatch):
 
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
-    assert warc.scan_index(warc.archive_and_index(df)).collect() == []
+    assert warc.resolved(warc.archive_and_index(df)).collect() == []
+
+
+def test_revisits_are_followed(spark, monkeypatch):
+    """Hot url, hot payload, repeated ids, long urls and a payload of some megabytes; blocks of three captures."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    long = "http://long.example/" + "p" * 3000
+    rows = [(i, None if i % 3 else f"http://h{i % 5}.example/{i % 7}", ("same " * 40) if i % 2 else f"own {i // 4} " * 30) for i in range(60)]
+    rows += [(100, long + "a", "z" * 150), (101, long + "b", "z" * 150), (102, long + "a", "y" * 5_000_000), (103, None, "y" * 5_000_000)]
+    rows += [(1, "http://again.example", "same " * 40), (1, "http://again.example", "other " * 40), (200, "http://x", "other " * 40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    blocks = warc.archive_and_index(df)
+    got = warc.resolved(blocks).collect()
+    assert sorted((tuple(r[c] for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) for r in got), key=repr) == expected(rows)
+    assert max(len(r.url_key) for r in got) == warc.KEY_CHARS and len({r.url_key for r in got if r.page_id in (100, 101)}) == 2
+    asked = {(r.refers_key, r.refers_to, r.payload_digest) for r in got if r.record_type == "revisit"}
+    found = warc.targets(blocks, warc.scan_index(blocks)).collect()
+    assert sorted(tuple(r)[:3] for r in found) == sorted(asked)
+
+
+def test_a_changed_response_is_seen(spark, tmp_path):
+    df = spark.createDataFrame([(1, "http://a", "x" * 200), (2, "http://b", "x" * 200)], "page_id long, url string, html string").coalesce(1)
+    folder = warc.write_archives(df, folder=str(tmp_path / "w"))
+    blocks = warc.build_index(warc.read_archives(spark, folder), 2).persist()
+    assert warc.resolved(blocks).count() == 2
+    for part in (tmp_path / "w").glob("part-*"):
+        part.write_bytes(part.read_bytes().replace(b"x" * 200, b"x" * 199 + b"y"))
+    with pytest.raises(Exception, match="damaged"):
+        warc.resolved(blocks).collect()
+    blocks.unpersist()
 
 
 def test_damage_is_seen():
