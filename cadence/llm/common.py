@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,13 +77,13 @@ def keep_rows(docs: DataFrame, decide, text_col: str = "text") -> DataFrame:
 def pressed(x: np.ndarray) -> bytes:
     """Numbers with equal bytes side by side, compressed."""
     x = np.ascontiguousarray(x)
-    return x.dtype.str.encode() + b":" + zlib.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes(), 1)
+    return x.dtype.str.encode() + b":" + zstandard.ZstdCompressor(1).compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
 
 
 def read(data: bytes) -> np.ndarray:
     kind, _, rest = data.partition(b":")
     t = np.dtype(kind.decode())
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(rest), np.uint8).reshape(t.itemsize, -1).T).view(t).reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(rest), np.uint8).reshape(t.itemsize, -1).T).view(t).reshape(-1)
 
 
 def steps(x: np.ndarray) -> np.ndarray:

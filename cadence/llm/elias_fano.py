@@ -52,13 +52,14 @@ class EliasFano:
         rest = k - counts[w]
         word = self.high[w] if one else ~self.high[w]
         place = w * 64
-        for _ in range(7):
-            c = ONES[(word & np.uint64(255)).astype(np.int64)]
+        for bits in (32, 16, 8):  # the half that holds the bit, down to a byte
+            low = word & np.uint64((1 << bits) - 1)
+            c = np.bitwise_count(low).astype(np.int64)
             on = rest >= c
             rest = np.where(on, rest - c, rest)
-            word = np.where(on, word >> np.uint64(8), word)
-            place = place + 8 * on
-        return place + PLACE[(word & np.uint64(255)).astype(np.int64), rest]
+            word = np.where(on, word >> np.uint64(bits), low)
+            place = place + bits * on
+        return place + PLACE[word.astype(np.int64), rest]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i), np.int64)
@@ -138,18 +139,26 @@ class TrieLevel:
         """From distinct (context, word) pairs sorted by both, with positive counts; probabilities by absolute discounting with
         a discount for each of the counts 1, 2 and more, estimated from the counts of counts (of all shards; if
         not given, of these pairs)."""
-        ids, first = np.unique(context, return_index=True)
+        first = np.unique(context, return_index=True)[1]
         size = np.diff(np.append(first, len(context)))
-        last = word[np.append(first[1:], len(word)) - 1].astype(np.int64) if len(word) else np.zeros(0, np.int64)
-        base = np.concatenate([[0], np.cumsum(last + 1)])[:len(ids)]
         discount = discounts(spread(count) if counts_of_counts is None else counts_of_counts)
         off = discount[np.minimum(count, 3)]
         total = np.add.reduceat(count, first).astype(float) if len(first) else np.zeros(0)
         left = np.add.reduceat(off, first) / total if len(first) else np.zeros(0)
         alpha = (count - off) / np.repeat(total, size)
+        level = TrieLevel.index(context, word)
+        level.alpha, level.weight = alpha_code(alpha), weight_code(left)
+        return level
+
+    @staticmethod
+    def index(context: np.ndarray, word: np.ndarray) -> TrieLevel:
+        """The searchable part alone, from distinct pairs sorted by both."""
+        ids, first = np.unique(context, return_index=True)
+        last = word[np.append(first[1:], len(word)) - 1].astype(np.int64) if len(word) else np.zeros(0, np.int64)
+        base = np.concatenate([[0], np.cumsum(last + 1)])[:len(ids)]
+        none = np.zeros(0, np.uint8)
         return TrieLevel(EliasFano.build(ids), EliasFano.build(np.append(first, len(context))),
-                         EliasFano.build(word.astype(np.int64) + np.repeat(base, size)), alpha_code(alpha),
-                         weight_code(left))
+                         EliasFano.build(word.astype(np.int64) + np.repeat(base, np.diff(np.append(first, len(context))))), none, none)
 
     def to_bytes(self) -> bytes:
         return self.contexts.to_bytes() + self.pointers.to_bytes() + self.successors.to_bytes() + self.alpha.tobytes() + self.weight.tobytes()
@@ -168,16 +177,22 @@ class TrieLevel:
         place, owner = np.full(len(context), -1, np.int64), np.full(len(context), -1, np.int64)
         if not len(context) or not self.contexts.n:
             return place, owner
-        c = self.contexts.successor(context)
-        known = np.flatnonzero(c < self.contexts.n)
-        known = known[self.contexts.get(c[known]) == context[known]]
-        c = c[known]
-        owner[known] = c
-        begin, end = self.pointers.get(c), self.pointers.get(c + 1)
-        base = np.where(begin > 0, self.successors.get(np.maximum(begin - 1, 0)) + 1, 0)
-        at = self.successors.successor(base + word[known])
-        hit = np.flatnonzero(at < end)
-        hit = hit[self.successors.get(at[hit]) == (base + word[known])[hit]]
+        new = np.append(True, context[1:] != context[:-1])  # a context that is asked for in a row is searched for once
+        asked, group = context[new], np.cumsum(new) - 1
+        c = self.contexts.successor(asked)
+        inside = np.flatnonzero(c < self.contexts.n)
+        inside = inside[self.contexts.get(c[inside]) == asked[inside]]
+        own, end, base = np.full(len(asked), -1, np.int64), *np.zeros((2, len(asked)), np.int64)
+        own[inside] = c = c[inside]
+        first, end[inside] = self.pointers.get(c), self.pointers.get(c + 1)
+        base[inside] = np.where(first > 0, self.successors.get(np.maximum(first - 1, 0)) + 1, 0)
+        owner = own[group]
+        known = np.flatnonzero(owner >= 0)
+        group = group[known]
+        wanted = base[group] + word[known]
+        at = self.successors.successor(wanted)
+        hit = np.flatnonzero(at < end[group])
+        hit = hit[self.successors.get(at[hit]) == wanted[hit]]
         place[known[hit]] = at[hit]
         return place, owner
 

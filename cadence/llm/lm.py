@@ -95,7 +95,9 @@ class Block:
 
     def __init__(self, row: dict):
         self.ids, self.n = row["ids"], read(row["a"])
-        self.words, self.tokens = read(row["b"]), read(row["c"]).astype(np.int64)
+        self.words = None if row["b"] is None else read(row["b"])  # the hashes are only needed for the first order
+        self.tokens = read(row["c"]).astype(np.int64)
+        self.size = int(self.tokens.max()) + 1
         self.train = np.repeat(~np.array([held_out(i) for i in self.ids], bool), self.n)
         self.first = np.zeros(len(self.tokens), bool)
         self.first[np.concatenate([[0], np.cumsum(self.n)[:-1]])] = True
@@ -112,14 +114,16 @@ class Block:
     def ngrams(self, context: np.ndarray, learnt: int) -> Ngrams:
         """Distinct (context, word) pairs by the number of each token's context (-1: not learnt).  With ``learnt`` words,
         ``learnt + 1`` is the number of every unlearnt word."""
-        size = len(self.words)
-        word = np.where(self.number[self.tokens] >= 0, self.tokens, size)
-        own = context >= 0
-        contexts, at = np.unique(context[own], return_inverse=True)
-        key, place = np.unique(at << 32 | word[own], return_inverse=True)
+        word = np.where(self.number[self.tokens] >= 0, self.tokens, self.size)
+        own, bits = context >= 0, self.size.bit_length()
+        contexts, at = None, context[own]
+        if len(at) and int(at.max()) >> (63 - bits):  # context and word in one key, if need be by the context's place in the block
+            contexts, at = np.unique(at, return_inverse=True)
+        key, place = np.unique(at << bits | word[own], return_inverse=True)
         token = np.full(len(self.tokens), -1, np.int64)
         token[own] = place
-        return Ngrams(contexts[key >> 32], np.append(self.number, learnt + 1)[key & 0xFFFFFFFF], token,
+        context = key >> bits
+        return Ngrams(context if contexts is None else contexts[context], np.append(self.number, learnt + 1)[key & (1 << bits) - 1], token,
                       np.bincount(place[self.train[own]], minlength=len(key)))
 
     def contexts(self, number: np.ndarray, start: int) -> np.ndarray:
@@ -152,7 +156,7 @@ def starts(context: np.ndarray) -> np.ndarray:
 
 
 def send_words(df: DataFrame, shards: int) -> DataFrame:
-    """Order 1: word hashes (a) and training counts (b), cut at the shards' bounds of the hash."""
+    """Order 1: differences of word hashes (a) and training counts (b), cut at the shards' bounds of the hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -161,7 +165,7 @@ def send_words(df: DataFrame, shards: int) -> DataFrame:
                 shard = ((b.words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
                 yield pa.RecordBatch.from_arrays(rows_of([
-                    (10, row["block"], s, None, b.words[cuts[s]:cuts[s + 1]].astype("<u8").tobytes(), pressed(counts[cuts[s]:cuts[s + 1]]))
+                    (10, row["block"], s, None, pressed(steps(b.words[cuts[s]:cuts[s + 1]].astype("<u8"))), pressed(counts[cuts[s]:cuts[s + 1]]))
                     for s in range(shards) if cuts[s] < cuts[s + 1]]), names=FIELDS)
 
     return df.mapInArrow(run, ROWS)
@@ -171,7 +175,7 @@ def answer_words(t: pa.Table) -> pa.Table:
     """Order 1 at a shard: differences of ranks (a) and counts (b) for each block; and a row for the shard
     with block -1: learnt words and tokens (ids)."""
     rows = t.to_pylist()
-    keys = [np.frombuffer(r["a"], "<u8") for r in rows]
+    keys = [np.cumsum(read(r["a"])) for r in rows]
     own, place = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.bincount(place, np.concatenate([read(r["b"]) for r in rows]), len(own)).astype(np.int64)
     rank = np.cumsum(counts > 0) - (counts > 0)
@@ -191,24 +195,24 @@ def by_kind(t: pa.Table) -> dict[int, list[dict]]:
 
 
 def answer_ngrams(order: int, numbers: bool) -> Callable[[pa.Table], pa.Table]:
-    """Order ``order`` at a shard: merge the counts, build the level and search it.  Each block gets the n-grams' counts (a), for each of
+    """Order ``order`` at a shard: merge the counts, build the level and search it once for each n-gram asked about.  Each block gets the n-grams' counts (a), for each of
     its contexts the training count and how many successors have the counts 1, 2 and more (b), and with ``numbers``
     differences of the places (c; that of an unlearnt n-gram says nothing); a row with block -1 has the level's size and counts of counts (ids)."""
     def answer(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
-        context, word, count = merged(rows)
-        level = TrieLevel.open(TrieLevel.build(context, word, count).to_bytes())
-        at = np.flatnonzero(starts(context))
-        shares = np.stack([np.add.reduceat(x, at) if len(at) else x for x in (count, *((np.minimum(count, 3) == c).astype(np.int64) for c in (1, 2, 3)))])
-        out = [(10 * order + 1, -1, rows[0]["shard"], [len(count), *spread(count).tolist()])]
-        for r in rows:
-            asked = np.cumsum(read(r["a"]))
-            place, owner = level.locate(asked, read(r["b"]).astype(np.int64))
-            owner = owner[starts(asked)]
-            share = np.where(owner >= 0, shares[:, owner], 0) if len(at) else np.zeros((4, len(owner)), np.int64)
-            found = np.where(place >= 0, count[place], 0) if len(count) else np.zeros(len(place), np.int64)
-            out.append((10 * order + 1, r["block"], r["shard"], None, pressed(small(found)), pressed(small(share.reshape(-1))),
-                        pressed(small(steps(np.maximum.accumulate(np.maximum(place, 0))))) if numbers else None))
+        context, word, count, asked = distinct(rows)
+        learnt = count > 0
+        level, known = TrieLevel.index(context[learnt], word[learnt]), count[learnt]
+        at = np.flatnonzero(starts(context[learnt]))
+        shares = np.stack([np.add.reduceat(x, at) if len(at) else x for x in (known, *((np.minimum(known, 3) == c).astype(np.int64) for c in (1, 2, 3)))])
+        place, owner = level.locate(context, word)
+        found = np.where(place >= 0, known[place], 0) if len(known) else np.zeros(len(place), np.int64)
+        out = [(10 * order + 1, -1, rows[0]["shard"], [len(known), *spread(known).tolist()])]
+        for r, own in zip(rows, asked):
+            o = owner[own[starts(context[own])]]
+            share = np.where(o >= 0, shares[:, o], 0) if len(at) else np.zeros((4, len(o)), np.int64)
+            out.append((10 * order + 1, r["block"], r["shard"], None, pressed(small(found[own])), pressed(small(share.reshape(-1))),
+                        pressed(small(steps(np.maximum.accumulate(np.maximum(place[own], 0))))) if numbers else None))
         return pa.Table.from_arrays(rows_of(out), names=FIELDS)
 
     return answer
@@ -219,15 +223,24 @@ def small(x: np.ndarray) -> np.ndarray:
     return x.astype("<u4" if not len(x) or x.max() < 1 << 32 else "<u8")
 
 
+def distinct(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The n-grams that the blocks ask a shard about, sorted, with their training counts; and each row's places among them."""
+    parts = [np.cumsum(read(r["a"])) for r in rows]
+    context, word, count = np.concatenate(parts), *(np.concatenate([read(r[c]).astype(np.int64) for r in rows]) for c in "bc")
+    low, bits = context - context.min(), int(word.max()).bit_length()
+    whole = not int(low.max()) >> (63 - bits)
+    order = np.argsort(low << bits | word, kind="stable") if whole else np.lexsort((word, context))  # merges the rows, each in order
+    new = starts(context[order]) | starts(word[order])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    at = np.flatnonzero(new)
+    return context[order[at]], word[order[at]], np.add.reduceat(count[order], at), np.split(place, np.cumsum([len(x) for x in parts])[:-1])
+
+
 def merged(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The learnt n-grams of a shard, sorted, with their training counts."""
-    context, word, count = (np.concatenate(x) for x in zip(*((np.cumsum(read(r["a"])), read(r["b"]).astype(np.int64), read(r["c"]).astype(np.int64)) for r in rows)))
-    learnt = count > 0
-    context, word, count = context[learnt], word[learnt], count[learnt]
-    order = np.lexsort((word, context))
-    context, word, count = context[order], word[order], count[order]
-    at = np.flatnonzero(starts(context) | starts(word))
-    return context[at], word[at], np.add.reduceat(count, at) if len(at) else count
+    context, word, count, _ = distinct(rows)
+    return context[count > 0], word[count > 0], count[count > 0]
 
 
 class Model:
@@ -247,8 +260,8 @@ class Model:
         self.vocabulary, self.tokens = (int(x) for x in totals.sum(0))
 
     def known(self, order: int) -> DataFrame:
-        """The blocks and all answers to them up to an order."""
-        df = self.blocks.unionByName(self.words.where("block >= 0"))
+        """The blocks, without their words' hashes, and all answers to them up to an order."""
+        df = self.blocks.withColumn("b", F.lit(None).cast("binary")).unionByName(self.words.where("block >= 0"))
         for k in range(2, order + 1):
             df = df.unionByName(self.answers[k].where("block >= 0"))
         return df
