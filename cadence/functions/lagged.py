@@ -3,7 +3,8 @@
 ``windows`` gives every row of a series its last values as one array, so a plan has the same width for any number of lags.
 ``states`` then reduces rows to one state per series: tasks build each series' regression matrix from the arrays and add up
 its Gram matrix, per batch, before anything is shuffled; a series' few first rows, which only shorter regressions can
-use, go along as plain values.  A finishing function gets the whole state: every order of a search is a block of one
+use, go along as plain values.  A finishing function gets the whole states of many series at a time (as many as ``BLOCK_BYTES``
+hold), so that it can solve those of one shape together: every order of a search is a block of one
 Gram matrix, over one common sample, and the chosen order can be fitted again on all its rows without another pass.
 """
 
@@ -22,6 +23,8 @@ from cadence.operators import slices as SC
 from cadence.spec import PanelSpec
 
 Gram = tuple[np.ndarray, int]  # products of all columns of [x, y], and the number of rows
+State = tuple[dict, Gram, np.ndarray]  # of one series: its meta, Gram matrix and first values
+BLOCK_SERIES, BLOCK_BYTES = 2048, 16 << 20  # finished at a time
 
 
 def windows(prep: DataFrame, spec: PanelSpec, back: int) -> DataFrame:
@@ -41,22 +44,31 @@ def gram(x: np.ndarray, y: np.ndarray) -> Gram:
     return both.T @ both, len(y)
 
 
-def of_block(g: Gram, block: Sequence[int]) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """x'x, x'y, y'y and rows of some of the regressors."""
-    m, n = g
-    b = list(block)
-    return m[np.ix_(b, b)], m[b, -1], float(m[-1, -1]), n
+def alike(items: Sequence, key: Callable) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The items' places by key."""
+    groups: dict[tuple, list[int]] = {}
+    for i, item in enumerate(items):
+        groups.setdefault(key(item), []).append(i)
+    for k, at in groups.items():
+        yield k, np.array(at)
 
 
-def plus(g: Gram, x: np.ndarray, y: np.ndarray) -> Gram:
-    m, n = gram(x, y)
-    return g[0] + m, g[1] + n
+def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Gram matrices of many series' rows: x (series, rows, regressors), y (series, rows)."""
+    both = np.concatenate([x, y[..., None]], axis=-1)
+    return np.swapaxes(both, -1, -2) @ both
+
+
+def of_block(m: np.ndarray, block: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """x'x, x'y and y'y of some of the regressors, from many series' Gram matrices."""
+    b = np.array(block, int)
+    return m[:, b[:, None], b[None, :]], m[:, b, -1], m[:, -1, -1]
 
 
 def states(rows: DataFrame, spec: PanelSpec, meta: Sequence[str], start: Callable[[dict], int],
-           matrix: Callable[[dict, np.ndarray], tuple[np.ndarray, np.ndarray]], finish: Callable[[dict, Gram, np.ndarray], list[dict]],
+           matrix: Callable[[dict, np.ndarray], tuple[np.ndarray, np.ndarray]], finish: Callable[[list[State]], list[list[dict]]],
            schema: str) -> DataFrame:
-    """One call of ``finish(meta, gram, head)`` per series; its dicts are rows of ``schema``.
+    """``finish`` gets blocks of series, each with its (meta, gram, head), and gives each one's rows of ``schema`` as dicts.
 
     ``start(meta)``: the first position of the common sample.  ``matrix(meta, ys)``: regressors and target of rows with
     equally long windows, one per row of ``ys``.  ``head``: the values (deviations) before ``start``.
@@ -91,20 +103,46 @@ def states(rows: DataFrame, spec: PanelSpec, meta: Sequence[str], start: Callabl
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for f, c in zip(sent, made)], schema=sent)
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # these hints choose the form that streams
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[State]:
+        """The series of sorted partial states, one after the other."""
         m, total, n, head = None, None, 0, {}
+
+        def state() -> State:
+            side = 0 if total is None else int(round(len(total) ** 0.5))
+            return m, (np.zeros((0, 0)) if total is None else total.reshape(side, side), n), np.array([head[k] for k in sorted(head)])
+
         for b in batches:
             for r in b.to_pylist():
-                m = m or {c: r[c] for c in cols}
+                if m is None or r[entity] != m[entity]:
+                    if m is not None:
+                        yield state()
+                    m, total, n, head = {c: r[c] for c in cols}, None, 0, {}
                 n += r["__n"]
                 if r["__gram"] is not None:
                     g = np.frombuffer(r["__gram"])
                     total = g if total is None else total + g
                 head.update(zip(np.frombuffer(r["__pos"], "<i8").tolist(), np.frombuffer(r["__head"]).tolist()))
-        side = 0 if total is None else int(round(len(total) ** 0.5))
-        found = finish(m, (np.zeros((0, 0)) if total is None else total.reshape(side, side), n), np.array([head[k] for k in sorted(head)]))
-        if found:
-            yield pa.RecordBatch.from_pylist([{entity: m[entity], **r} for r in found], arrow)
-
-    shown = rows.select(*cols, "pos", "ys")
-    return shown.mapInArrow(add_up, partial).groupBy(entity).applyInArrow(merge, out_type)
+        if m is not None:
+            yield state()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, size = [], 0
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            rows = [{entity: m[entity], **r} for (m, _, _), found in zip(own, finish(own)) for r in found]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, arrow)
+
+        for s in whole(batches):
+            own.append(s)
+            size += s[1][0].nbytes + s[2].nbytes
+            if len(own) >= BLOCK_SERIES or size >= BLOCK_BYTES:
+                yield from finished()
+                own, size = [], 0
+        if own:
+            yield from finished()
+
+    # a given number of partitions: the states are small, but finishing them is work, which must not be drawn together in a few tasks
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partials = rows.select(*cols, "pos", "ys").mapInArrow(add_up, partial)
+    return partials.repartition(parts, entity).sortWithinPartitions(entity).mapInArrow(merge, out_type)

@@ -134,6 +134,37 @@ def ols_from_gram(xtx: np.ndarray, xty: np.ndarray, yty: float, n: int, ridge: f
     return b, ssr, se, tv, llf, aic
 
 
+def solve_many(a: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Solutions of many equal-sized systems a (n, k, k), y (n, k); singular ones by least squares."""
+    out, single = np.empty_like(y), np.linalg.slogdet(a)[0] == 0
+    if not single.all():
+        try:
+            out[~single] = np.linalg.solve(a[~single], y[~single][..., None])[..., 0]
+        except np.linalg.LinAlgError:
+            single[:] = True
+    for i in np.flatnonzero(single):
+        try:
+            out[i] = np.linalg.solve(a[i], y[i])
+        except np.linalg.LinAlgError:
+            out[i] = np.linalg.lstsq(a[i], y[i], rcond=None)[0]
+    return out
+
+
+def ols_many(xtx: np.ndarray, xty: np.ndarray, yty: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients and sums of squared residuals of many regressions with as many regressors each."""
+    if not xtx.shape[-1]:
+        return xty, yty
+    b = solve_many(xtx, xty)
+    row, col = b[:, None, :], xty[..., None]
+    ssr = yty - (2.0 * row @ col)[:, 0, 0] + (row @ xtx @ b[..., None])[:, 0, 0]
+    return b, np.where(ssr < 0.0, 0.0, ssr)
+
+
+def log_likelihood(ssr: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of many regressions with positive sums of squared residuals."""
+    return np.array([-0.5 * m * (math.log(2 * math.pi * s / m) + 1.0) for s, m in zip(ssr.tolist(), n.tolist())])
+
+
 def gram_unpack(row, k: int, prefix: str = "g"):
     """Rebuild (X'X, X'y, y'y, n) from the flat sums produced by ``linalg.gram_sums``."""
     xtx = np.empty((k, k))

@@ -12,9 +12,11 @@ Yule-Walker, small least-squares solves) inside ``mapInPandas``.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,16 +191,42 @@ def adf_design(prep: DataFrame, spec: PanelSpec, max_lags: int) -> DataFrame:
 
 
 def _adf_rows(ys: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
-    """Regressors (1, y_{t-1}, dy_{t-1}, ...) and dy_t from windows of at least ``lags`` + 2 values."""
-    dy = np.diff(ys, axis=1)
-    return np.column_stack([np.ones(len(ys)), ys[:, -2], dy[:, ::-1][:, 1:lags + 1]]), dy[:, -1]
-
-
-def _head_windows(head: np.ndarray, first: int, back: int) -> np.ndarray:
-    """The windows of the rows ``first``, ... of a series' first values, padded with zeros before its start."""
-    padded = np.concatenate([np.zeros(back), head])
-    rows = np.arange(first, len(head))
-    return padded[rows[:, None] + np.arange(back + 1)]
+    """Regressors (1, y_{t-1}, dy_{t-1}, ...) and dy_t from windows (last axis) of at least ``lags`` + 2 values."""
+    dy = np.diff(ys, axis=-1)
+    return np.concatenate([np.ones((*ys.shape[:-1], 1)), ys[..., -2:-1], dy[..., ::-1][..., 1:lags + 1]], axis=-1), dy[..., -1]
+
+
+def _head_windows(heads: np.ndarray, first: int, back: int) -> np.ndarray:
+    """The windows of the rows ``first``, ... of many series' first values (a row each), padded with zeros before their start."""
+    padded = np.concatenate([np.zeros((len(heads), back)), heads], axis=1)
+    rows = np.arange(first, heads.shape[1])
+    return padded[:, rows[:, None] + np.arange(back + 1)]
+
+
+def _adf_lags(grams: np.ndarray, n: np.ndarray, maxlag: int) -> np.ndarray:
+    """The lag order with the smallest AIC (-1: none can be fitted) of series with the same bound."""
+    aic = np.full((len(n), maxlag + 1), np.inf)
+    for lag in range(maxlag + 1):
+        own = np.flatnonzero(n > lag + 2)
+        if len(own):
+            ssr = ST.ols_many(*LG.of_block(grams[own], range(lag + 2)))[1]
+            own, ssr = own[ssr > 0], ssr[ssr > 0]
+            aic[own, lag] = -2.0 * ST.log_likelihood(ssr, n[own]) + 2.0 * (lag + 2)
+    aic[~np.isfinite(aic)] = np.inf
+    return np.where(np.isfinite(aic).any(axis=1), aic.argmin(axis=1), -1)
+
+
+def _level_t(grams: np.ndarray, n: np.ndarray, lag: int) -> np.ndarray:
+    """t value of the level of many series' regressions (NaN: it has none)."""
+    xtx, xty, yty = LG.of_block(grams, range(lag + 2))
+    b, ssr = ST.ols_many(xtx, xty, yty)
+    dof, out = n - (lag + 2), np.full(len(n), np.nan)
+    own = np.flatnonzero((dof > 0) & (ssr > 0) & (np.linalg.slogdet(xtx)[0] != 0))
+    if len(own):
+        var = np.linalg.inv(xtx[own])[:, 1, 1] * (ssr[own] / dof[own])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[own] = b[own, 1] / np.sqrt(np.maximum(var, 0.0))
+    return out
 
 
 def adf(prep: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -212,24 +240,26 @@ def adf(prep: DataFrame, spec: PanelSpec) -> DataFrame:
     back = ST.adf_maxlag(int(n_max)) + 1
     rows = LG.windows(prep, spec, back)
 
-    def finish_adf(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
-        maxlag, best = ST.adf_maxlag(m["n"]), None
-        for lag in range(maxlag + 1):
-            if g[1] > lag + 2:
-                aic = ST.ols_from_gram(*LG.of_block(g, range(lag + 2)))[5]
-                if np.isfinite(aic) and (best is None or aic < best[0]):
-                    best = (aic, lag)
-        if best is None:
-            return []
-        lag = best[1]
-        early = _head_windows(head, lag + 1, maxlag + 1)
-        x, y = _adf_rows(early, maxlag)
-        xtx, xty, yty, n = LG.of_block(LG.plus(g, x, y), range(lag + 2))
-        tv = ST.ols_from_gram(xtx, xty, yty, n)[3]
-        stat = float(tv[1]) if np.isfinite(tv[1]) else None
+    def row(stat: float, lag: int, n: int) -> dict:
+        stat = stat if np.isfinite(stat) else None
         pv, crit = None if stat is None else ST.adf_pvalue(stat), ST.adf_critical(n)
-        return [{"adf_statistic": stat, "p_value": pv, "used_lag": lag, "n_obs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
-                 "crit_10pct": crit["10%"], "is_stationary": None if pv is None else bool(pv < SIG_LEVEL)}]
+        return {"adf_statistic": stat, "p_value": pv, "used_lag": lag, "n_obs": n, "crit_1pct": crit["1%"], "crit_5pct": crit["5%"],
+                "crit_10pct": crit["10%"], "is_stationary": None if pv is None else bool(pv < SIG_LEVEL)}
+
+    def finish_adf(series: list[LG.State]) -> list[list[dict]]:
+        out: list[list[dict]] = [[] for _ in series]
+        fitting = [(i, s) for i, s in enumerate(series) if s[1][1] > 2]
+        for (maxlag, _), places in LG.alike(fitting, lambda x: (ST.adf_maxlag(x[1][0]["n"]), len(x[1][2]))):
+            own = [fitting[k] for k in places]
+            grams, n, heads = np.stack([s[1][0] for _, s in own]), np.array([s[1][1] for _, s in own]), np.stack([s[2] for _, s in own])
+            lags = _adf_lags(grams, n, maxlag)
+            for lag in np.unique(lags[lags >= 0]).tolist():
+                at = np.flatnonzero(lags == lag)
+                x, y = _adf_rows(_head_windows(heads[at], lag + 1, maxlag + 1), maxlag)
+                used = n[at] + y.shape[1]
+                for k, stat, m in zip(at, _level_t(grams[at] + LG.products(x, y), used, lag).tolist(), used.tolist()):
+                    out[own[k][0]].append(row(stat, lag, m))
+        return out
 
     return LG.states(rows, spec, ["n"], lambda m: ST.adf_maxlag(m["n"]) + 1, lambda m, ys: _adf_rows(ys, ST.adf_maxlag(m["n"])), finish_adf,
                      f"`{spec.entity}` {_etype(prep, spec)}, adf_statistic double, p_value double, used_lag int, n_obs long, "
@@ -305,27 +335,28 @@ def long_ar_order(n: int, d: int) -> int:
 
 
 def _working(ys: np.ndarray, d: int) -> np.ndarray:
-    """The working series of windows: the values, or their first differences."""
-    return np.diff(ys, axis=1) if d else ys
+    """The working series of windows (last axis): the values, or their first differences."""
+    return np.diff(ys, axis=-1) if d else ys
 
 
-def _ar_rows(z: np.ndarray, m: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+def _ar_rows(z: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
     """Regressors (constant, m lags) and target of windows of at least m + 1 working values."""
     return np.column_stack([np.ones(len(z)), z[:, ::-1][:, 1:m + 1]]), z[:, -1]
 
 
 def _innovations(z: np.ndarray, coef: np.ndarray, lags: int) -> np.ndarray:
-    """The long autoregression's residuals of the last value and of the ``lags`` before it, newest first."""
-    m = len(coef) - 1
-    back = z[:, ::-1]
-    return np.stack([back[:, j] - coef[0] - back[:, j + 1:j + 1 + m] @ coef[1:] for j in range(lags + 1)], axis=1)
+    """The long autoregression's residuals of the last value and of the ``lags`` before it, newest first.  Windows lie along the
+    last axis; ``coef`` is one autoregression, or one for each place of the first axis."""
+    m = coef.shape[-1] - 1
+    back = z[..., ::-1]
+    return np.stack([back[..., j] - coef[..., :1] - (back[..., j + 1:j + 1 + m] @ coef[..., 1:, None])[..., 0] for j in range(lags + 1)], axis=-1)
 
 
-def _order_rows(m: dict, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _order_rows(d: int, coef: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Regressors (constant, 3 lags, 3 innovations) and target of windows of the series."""
-    z = _working(ys, m["d"])
-    e = _innovations(z, np.array(m["long_ar"]), MAX_Q)[:, 1:]
-    return np.column_stack([np.ones(len(z)), z[:, ::-1][:, 1:MAX_P + 1], e]), z[:, -1]
+    z = _working(ys, d)
+    e = _innovations(z, coef, MAX_Q)[..., 1:]
+    return np.concatenate([np.ones((*z.shape[:-1], 1)), z[..., ::-1][..., 1:MAX_P + 1], e], axis=-1), z[..., -1]
 
 
 def _start(m: dict) -> int:
@@ -343,14 +374,18 @@ def arima_design(prep: DataFrame, spec: PanelSpec, d: DataFrame) -> DataFrame:
     back = long_ar_order(int(n_max), 0) + max(MAX_P, MAX_Q) + 1
     rows = materialize(LG.windows(prep, spec, back).join(d.select(spec.entity, F.col("d").cast("int").alias("d")), spec.entity))
 
-    def solve(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
-        k = long_ar_order(m["n"], m["d"]) + 1
-        coef = np.zeros(k)
-        if g[1] > k:
-            coef = ST.ols_from_gram(*LG.of_block(g, range(k)))[0]
-        return [{"long_ar": coef.tolist()}]
-
-    ar = LG.states(rows, spec, ["n", "d"], _start, lambda m, ys: _ar_rows(_working(ys, m["d"]), long_ar_order(m["n"], m["d"]), m["d"]), solve,
+    def solve(series: list[LG.State]) -> list[list[dict]]:
+        orders = [long_ar_order(m["n"], m["d"]) + 1 for m, _, _ in series]
+        found = [np.zeros(k) for k in orders]
+        enough = [i for i, s in enumerate(series) if s[1][1] > orders[i]]
+        for (k,), places in LG.alike(enough, lambda i: (orders[i],)):
+            own = [enough[j] for j in places]
+            coef = ST.ols_many(*LG.of_block(np.stack([series[i][1][0] for i in own]), range(k)))[0]
+            for i, b in zip(own, coef):
+                found[i] = b
+        return [[{"long_ar": b.tolist()}] for b in found]
+
+    ar = LG.states(rows, spec, ["n", "d"], _start, lambda m, ys: _ar_rows(_working(ys, m["d"]), long_ar_order(m["n"], m["d"])), solve,
                    f"`{spec.entity}` {_etype(prep, spec)}, long_ar array<double>")
     return rows.join(ar, spec.entity)
 
@@ -359,17 +394,15 @@ FIT = ("d int, p int, q int, const double, ar array<double>, ma array<double>, s
        "bic double, search_aic double, search_bic double, n_common long")
 
 
-def _fit(g: LG.Gram, p: int, q: int, d: int) -> tuple | None:
-    """Coefficients, variance, log-likelihood, AIC and BIC of one order (no constant after differencing)."""
+def _fit(grams: np.ndarray, n: np.ndarray, p: int, q: int, d: int) -> tuple[np.ndarray, ...]:
+    """Places of the series that one order can be fitted to, and their coefficients, variance, log-likelihood, AIC and BIC (no
+    constant after differencing)."""
     block = ([0] if d == 0 else []) + list(range(1, 1 + p)) + list(range(1 + MAX_P, 1 + MAX_P + q))
-    if g[1] <= len(block) + 1:
-        return None
-    xtx, xty, yty, n = LG.of_block(g, block)
-    b, ssr = ST.ols_from_gram(xtx, xty, yty, n)[:2] if block else (np.zeros(0), yty)
-    if not ssr > 0:
-        return None
-    llf = -0.5 * n * (math.log(2 * math.pi * ssr / n) + 1.0)
-    return b, ssr / n, llf, 2 * (len(block) + 1) - 2 * llf, (len(block) + 1) * math.log(n) - 2 * llf
+    own = np.flatnonzero(n > len(block) + 1)
+    b, ssr = ST.ols_many(*LG.of_block(grams[own], block))
+    own, b, ssr = own[ssr > 0], b[ssr > 0], ssr[ssr > 0]
+    llf, k = ST.log_likelihood(ssr, n[own]), len(block) + 1
+    return own, b, ssr / n[own], llf, 2 * k - 2 * llf, k * np.array([math.log(m) for m in n[own].tolist()]) - 2 * llf
 
 
 def arima_orders(design: DataFrame, spec: PanelSpec, orders=FULL_ORDERS) -> DataFrame:
@@ -379,30 +412,37 @@ def arima_orders(design: DataFrame, spec: PanelSpec, orders=FULL_ORDERS) -> Data
     block of it, so their ``search_aic`` are compared on the same rows and in any unit of measure.  Coefficients, ``aic`` and
     ``bic`` are those of the order's own sample: the common one and the rows before it that the order can use.
     """
-    def solve(m: dict, g: LG.Gram, head: np.ndarray) -> list[dict]:
-        d, first, k = m["d"], _start(m), len(m["long_ar"]) - 1
-        if not g[1]:
-            g = (np.zeros((2 + MAX_P + MAX_Q,) * 2), 0)
-        early = _head_windows(head, 0, k + MAX_P + MAX_Q + 1)
-        x, y = _order_rows(m, early) if len(early) else (np.zeros((0, 1 + MAX_P + MAX_Q)), np.zeros(0))
-        out = []
-        for p, q in orders:
-            common, at = _fit(g, p, q, d), max(d + p, k + d + q if q else 0)
-            own = _fit(LG.plus(g, x[at:], y[at:]), p, q, d)
-            row = {"d": d, "p": p, "q": q, "const": 0.0, "ar": [], "ma": [], "sigma2": None, "n_used": g[1] + max(0, len(y) - at), "llf": None,
-                   "aic": None, "bic": None, "search_aic": None, "search_bic": None, "n_common": g[1]}
-            if own is not None:
-                b, sigma2, llf, aic, bic = own
-                b, off = [float(v) for v in b], 1 if d == 0 else 0
-                ar = b[off:off + p]
-                row |= {"const": b[0] + m["mean"] * (1.0 - sum(ar)) if d == 0 else 0.0, "ar": ar, "ma": b[off + p:], "sigma2": sigma2, "llf": llf,
-                        "aic": aic, "bic": bic}
-                if common is not None:
-                    row |= {"search_aic": common[3], "search_bic": common[4]}
-            out.append(row)
+    def shape(s: LG.State) -> tuple[int, int, int]:
+        return s[0]["d"], len(s[0]["long_ar"]) - 1, len(s[2])
+
+    def solve(series: list[LG.State]) -> list[list[dict]]:
+        out: list[list[dict]] = [[] for _ in series]
+        side = 2 + MAX_P + MAX_Q
+        for (d, k, _), places in LG.alike(series, shape):
+            own = [series[i] for i in places]
+            grams = np.stack([g[0] if g[1] else np.zeros((side, side)) for _, g, _ in own])
+            n, mean, coef = np.array([g[1] for _, g, _ in own]), [m["mean"] for m, _, _ in own], np.array([m["long_ar"] for m, _, _ in own])
+            x, y = _order_rows(d, coef, _head_windows(np.stack([h for _, _, h in own]), 0, k + MAX_P + MAX_Q + 1))
+            off, starts = 1 if d == 0 else 0, [max(d + p, k + d + q if q else 0) for p, q in orders]
+            sums = {at: grams + LG.products(x[:, at:], y[:, at:]) for at in set(starts)}
+            for (p, q), at in zip(orders, starts):
+                used = n + max(0, y.shape[1] - at)
+                rows = [{"d": d, "p": p, "q": q, "const": 0.0, "ar": [], "ma": [], "sigma2": None, "n_used": u, "llf": None, "aic": None, "bic": None,
+                         "search_aic": None, "search_bic": None, "n_common": c} for u, c in zip(used.tolist(), n.tolist())]
+                common = _fit(grams, n, p, q, d)
+                search = dict(zip(common[0].tolist(), zip(common[4].tolist(), common[5].tolist())))
+                for i, b, sigma2, llf, aic, bic in zip(*(v.tolist() for v in _fit(sums[at], used, p, q, d))):
+                    ar = b[off:off + p]
+                    rows[i] |= {"const": b[0] + mean[i] * (1.0 - sum(ar)) if d == 0 else 0.0, "ar": ar, "ma": b[off + p:], "sigma2": sigma2, "llf": llf,
+                                "aic": aic, "bic": bic}
+                    if i in search:
+                        rows[i] |= dict(zip(("search_aic", "search_bic"), search[i]))
+                for i, r in zip(places, rows):
+                    out[i].append(r)
         return out
 
-    return LG.states(design, spec, ["n", "mean", "d", "long_ar"], _start, _order_rows, solve, f"`{spec.entity}` {_etype(design, spec)}, {FIT}")
+    return LG.states(design, spec, ["n", "mean", "d", "long_ar"], _start, lambda m, ys: _order_rows(m["d"], np.array(m["long_ar"]), ys), solve,
+                     f"`{spec.entity}` {_etype(design, spec)}, {FIT}")
 
 
 def select_order(fits: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -420,32 +460,48 @@ def arima_fixed(design: DataFrame, spec: PanelSpec, p: int, q: int) -> DataFrame
     return select_order(arima_orders(design, spec, [(p, q)]), spec)
 
 
+def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place and length of every row's list, and the values of all of them."""
+    c = b.column(name)
+    at = c.offsets.to_numpy()
+    return at[:-1], np.diff(at), np.concatenate([c.values.to_numpy(zero_copy_only=False), [0.0]])
+
+
+def _padded(lists: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray, width: int, last: bool = False) -> np.ndarray:
+    """The first ``width`` values of the rows' lists, zeros after shorter ones; or the last values, zeros before."""
+    start, length, values = (lists[0][rows], lists[1][rows], lists[2])
+    place = np.arange(width) + (length - width)[:, None] if last else np.broadcast_to(np.arange(width), (len(rows), width))
+    there = (place >= 0) & (place < length[:, None])
+    return np.where(there, values[np.where(there, start[:, None] + place, 0)], 0.0)
+
+
 def arima_fitted(design: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:
     """T10 rows: fitted value and residual of the chosen model (level scale)."""
     j = design.join(best.select(spec.entity, "p", "q", "const", "ar", "ma"), spec.entity)
+    names = [spec.entity, spec.period, "y", "fitted", "residual", "z", "innovation", "pos"]
     schema = T.StructType([j.schema[spec.entity], j.schema[spec.period], *T._parse_datatype_string(
         "y double, fitted double, residual double, z double, innovation double, pos long").fields])
-    entity, period = spec.entity, spec.period
 
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                d, k, pos, y = int(r["d"]), len(r["long_ar"]) - 1, int(r["pos"]), r["y"]
-                ys = np.concatenate([np.zeros(max(0, k + MAX_P + MAX_Q + 2 - len(r["ys"]))), r["ys"]])[None, :]
-                z = float(_working(ys, d)[0, -1] + (0.0 if d else r["mean"])) if pos >= d else None
-                fitted = None
-                if pos >= max(d + int(r["p"]), k + d + int(r["q"]) if r["q"] else 0):
-                    x = _order_rows({"d": d, "long_ar": r["long_ar"]}, ys)[0][0]
-                    hat = float(np.dot(r["ar"], x[1:1 + int(r["p"])]) + np.dot(r["ma"], x[1 + MAX_P:1 + MAX_P + int(r["q"])]))
-                    # lags are deviations from the mean: the constant of the level scale takes the mean out again
-                    hat += r["const"] + (0.0 if d else r["mean"] * float(np.sum(r["ar"])))
-                    fitted = (y - z + hat) if d else hat
-                out.append((r[entity], r[period], y, fitted, None if fitted is None else y - fitted, z,
-                            None if fitted is None else y - fitted, pos))
-            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
-
-    return j.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d, p, q, pos, y, mean, const = (b.column(c).to_numpy(zero_copy_only=False) for c in ("d", "p", "q", "pos", "y", "mean", "const"))
+            ys, long_ar, ar, ma = (_lists(b, c) for c in ("ys", "long_ar", "ar", "ma"))
+            k, z, hat = long_ar[1] - 1, np.full(len(y), np.nan), np.full(len(y), np.nan)
+            for d_, k_ in {*zip(d.tolist(), k.tolist())}:
+                own = np.flatnonzero((d == d_) & (k == k_))
+                x, last = _order_rows(d_, _padded(long_ar, own, k_ + 1), _padded(ys, own, k_ + MAX_P + MAX_Q + 2, True)[:, None, :])
+                weights = np.concatenate([_padded(ar, own, MAX_P), _padded(ma, own, MAX_Q)], axis=1)
+                # lags are deviations from the mean: the constant of the level scale takes the mean out again
+                level = const[own] + (0.0 if d_ else mean[own] * _padded(ar, own, MAX_P).sum(axis=1))
+                z[own] = last[:, 0] + (0.0 if d_ else mean[own])
+                hat[own] = (x[:, 0, 1:] * weights).sum(axis=1) + level
+            z[pos < d] = np.nan
+            fitted = np.where(d > 0, y - z + hat, hat)
+            fitted[pos < np.maximum(d + p, np.where(q > 0, k + d + q, 0))] = np.nan
+            made = [pa.array(c, pa.float64(), from_pandas=True) for c in (fitted, y - fitted, z, y - fitted)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:3]), *made, pa.array(pos.astype(np.int64))], names=names)
+
+    return j.mapInArrow(run, schema)
 
 
 def arima_metrics(fitted: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:

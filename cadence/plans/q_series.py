@@ -147,7 +147,7 @@ def _arima(spark, d, orders=TS.FULL_ORDERS):
     p = prep(spark, d)
     design = materialize(TS.arima_design(p, DAY, TS.differencing(p, DAY)))
     fits = materialize(TS.arima_orders(design, DAY, orders))
-    return design, fits, TS.select_order(fits, DAY)
+    return design, fits, materialize(TS.select_order(fits, DAY))
 
 
 @query("t10_arima")

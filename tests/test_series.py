@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cadence.functions import lagged as LG
 from cadence.functions import stats as ST
 from cadence.operators import series as TS
 from cadence.spec import PanelSpec
@@ -239,3 +240,45 @@ def test_series_report_keeps_short_entities_with_error(spark):
     out = {r["entity"]: r for r in TS.series_report(df, SPEC, "value", orders=[(1, 0), (0, 1)]).collect()}
     assert out["S"]["error"] is not None and out["A"]["error"] is None
     assert out["A"]["aic"] is not None
+
+
+def _mixed(n=60):
+    """Series of many lengths, among them constant, linear and alternating ones (singular regressions)."""
+    rng = np.random.default_rng(21)
+    own = {f"s{k:03d}": np.cumsum(rng.normal(size=5 + k % 29)) if k % 2 else rng.normal(size=5 + k % 29) for k in range(n)}
+    return own | {"t0": [3.0] * 12, "t1": list(range(15)), "t2": [1.0, -1.0] * 9, "t3": [1.0, 2.0, 4.0, 8.0, 16.0]}
+
+
+def test_series_are_finished_in_blocks_over_all_partitions(spark):
+    prep = TS.prepare(_frame(spark, _mixed()), SPEC, "value")
+    got = LG.states(LG.windows(prep, SPEC, 3), SPEC, ["n"], lambda m: 3, lambda m, ys: (ys[:, :-1], ys[:, -1]),
+                    lambda series: [[{"block": len(series), "rows": s[1][1] + len(s[2]), "n": s[0]["n"]}] for s in series],
+                    "entity string, block int, rows long, n long").withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 64 and all(r["rows"] == r["n"] for r in got)
+    tasks = {r["task"]: r["block"] for r in got}
+    assert len(tasks) > 1 and sum(tasks.values()) == 64  # one block of all its series in each of several tasks
+
+
+def test_a_series_does_not_depend_on_those_beside_it(spark):
+    series = _mixed(24)
+
+    def results(x):
+        prep = TS.prepare(_frame(spark, x), SPEC, "value")
+        ad = {r["entity"]: r.asDict() for r in TS.adf(prep, SPEC).collect()}
+        design = TS.arima_design(prep, SPEC, prep.select("entity").distinct().withColumn("d", F.when(F.col("entity") < "s010", 1).otherwise(0)))
+        return ad, {(r["entity"], r["p"], r["q"]): r.asDict() for r in TS.arima_orders(design, SPEC).collect()}
+
+    ad, fits = results(series)
+    assert len(fits) == 28 * 16
+    assert {k[0] for k in fits} == set(series)
+
+    def same(x, y):
+        assert x.keys() == y.keys()
+        for c in x:
+            assert x[c] == pytest.approx(y[c], rel=1e-6, abs=1e-9) if isinstance(x[c], (float, list)) else x[c] == y[c], c
+
+    for e in ("s003", "s017"):
+        alone, own = results({e: series[e]})
+        same(alone[e], ad[e])
+        for k, v in own.items():
+            same(v, fits[k])
