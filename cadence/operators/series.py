@@ -572,11 +572,12 @@ def series_report(panel: DataFrame, spec: PanelSpec, target: str, min_rows: int
                   orders=FULL_ORDERS, steps: int = 3) -> DataFrame:
     """One row per entity with trend, stationarity, autocorrelation and ARIMA results;
     entities that cannot be analysed carry an ``error`` instead (no entity is dropped)."""
-    prep = prepare(panel, spec, target, min_rows)
+    panel = materialize(panel.select(spec.entity, spec.period, target))  # every part below reads these rows, and none makes another's again
+    prep = materialize(prepare(panel, spec, target, min_rows))
     tr = trend(prep, spec).select(spec.entity, "slope", "p_value", "trend_direction")
-    ad = adf(prep, spec)
-    design = arima_design(prep, spec, differencing(prep, spec, ad))
-    best = select_order(arima_orders(design, spec, orders), spec)
+    ad = materialize(adf(prep, spec))
+    design = materialize(arima_design(prep, spec, differencing(prep, spec, ad)))
+    best = materialize(select_order(arima_orders(design, spec, orders), spec))
     met = arima_metrics(arima_fitted(design, best, spec), best, spec)
     sig = acf(prep, spec).groupBy(spec.entity).agg(F.count_if("significant").alias("n_significant_acf_lags"))
     counts = panel.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))

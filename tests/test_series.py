@@ -282,3 +282,16 @@ def test_a_series_does_not_depend_on_those_beside_it(spark):
         same(alone[e], ad[e])
         for k, v in own.items():
             same(v, fits[k])
+
+
+def test_the_report_reads_its_panel_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = _frame(spark, {"A": _rw(30, 4, 0.5), "B": _rw(25, 6), "S": [1.0, 2.0]})
+    report = TS.series_report(df.mapInArrow(count, df.schema), SPEC, "value").collect()
+    assert len(report) == 3 and seen.value == 57
