@@ -67,7 +67,11 @@ def m3_folds(spark, d):
 
 def model_frame(spark, d):
     """Complete rows of the six lagged features and the log-volatility target, with folds."""
-    f = featured(spark, d).select("entity", "entity_no", "period", *MODEL_FEATURES, TARGET)
+    return _frame_of(featured(spark, d))
+
+
+def _frame_of(features):
+    f = features.select("entity", "entity_no", "period", *MODEL_FEATURES, TARGET)
     f = SL.drop_any(f, MODEL_FEATURES + [TARGET])
     return materialize(SP.add_folds(f, SPEC, 5))
 
@@ -91,9 +95,13 @@ def m4_ridge_gram(spark, d):
     return finish(grams, 4)
 
 
+def _fit_ridge(mf):
+    return LN.fit_ridge(mf, MODEL_FEATURES, TARGET, "fold")
+
+
 def _ridge(spark, d):
     mf = model_frame(spark, d)
-    return mf, LN.fit_ridge(mf, MODEL_FEATURES, TARGET, "fold")
+    return mf, _fit_ridge(mf)
 
 
 @query("m4_ridge_predict")
@@ -114,9 +122,13 @@ def m6_ridge_coef(spark, d):
     return finish(LN.coefficients(spark, fit))
 
 
+def _fit_gbt(mf):
+    return BO.fit_gbt(mf, MODEL_FEATURES, TARGET, "fold", 5)
+
+
 def _gbt(spark, d):
     mf = model_frame(spark, d)
-    return mf, BO.fit_gbt(mf, MODEL_FEATURES, TARGET, "fold", 5)
+    return mf, _fit_gbt(mf)
 
 
 @query("m9_gbt")
@@ -137,12 +149,15 @@ def m12_grid_results(spark, d):
     return finish(BO.grid_results(spark, fit))
 
 
-def _forecast(spark, d, model_type="rf", n_trees=50):
-    data, feats = FC.prepare(featured(spark, d), SPEC)
+def _forecast_split(features):
+    data, feats = FC.prepare(features, SPEC)
     data = materialize(SP.ordered_split(data, SPEC, 0.2))
-    train, test = data.filter("is_train"), data.filter(~F.col("is_train"))
-    fc = FC.fit(train, SPEC, feats, model_type=model_type, n_trees=n_trees)
-    return fc, train, test
+    return data.filter("is_train"), data.filter(~F.col("is_train")), feats
+
+
+def _forecast(spark, d, model_type="rf", n_trees=50):
+    train, test, feats = _forecast_split(featured(spark, d))
+    return FC.fit(train, SPEC, feats, model_type=model_type, n_trees=n_trees), train, test
 
 
 @query("m13_forecaster")
@@ -166,17 +181,16 @@ def m15_forecast_importance(spark, d):
 @query("m17_forecast_run")
 def m17_forecast_run(spark, d):
     """Data -> ordered split -> fit -> evaluate, for the ridge and forest forecasters."""
-    outs = []
-    for mt in ("ridge", "rf"):
-        fc, _, test = _forecast(spark, d, mt)
-        outs.append(FC.evaluate(fc, test, spark))
+    train, test, feats = _forecast_split(featured(spark, d))
+    outs = [FC.evaluate(FC.fit(train, SPEC, feats, model_type=mt, n_trees=50), test, spark) for mt in ("ridge", "rf")]
     return finish(outs[0].unionByName(outs[1]))
 
 
 def _train_test(spark, d):
-    """The imputed model frame, split by a key: training rows with folds, test rows, features."""
-    frame, feats = SL.model_frame(featured(spark, d), SPEC)
-    frame = frame.join(month(spark, d).select("entity", "period", "entity_no"), ["entity", "period"])
+    """The imputed model frame, split by a key: training rows with folds, test rows, features.  The panel is built once."""
+    features = materialize(featured(spark, d))
+    frame, feats = SL.model_frame(features, SPEC)
+    frame = frame.join(features.select("entity", "period", "entity_no"), ["entity", "period"])
     frame = materialize(SP.modulo_split(frame, F.col("entity_no") * 31 + F.col("period")))
     return materialize(SP.add_folds(frame.filter("is_train"), SPEC, 5)), frame.filter(~F.col("is_train")), feats
 
@@ -196,11 +210,14 @@ def m18_train_run(spark, d):
 def s11_model_roundtrip(spark, d):
     """Persist the forest forecaster, the ridge and the boosting fit, reload them; predictions must agree."""
     from cadence.sources import models as MS
-    fc, _, test = _forecast(spark, d, "rf", n_trees=20)
+    features = materialize(featured(spark, d))
+    train, test, feats = _forecast_split(features)
+    fc = FC.fit(train, SPEC, feats, model_type="rf", n_trees=20)
     path = FS.scratch_path(spark, "forecaster-rf")
     MS.save_forecaster(spark, fc, path)
     back = MS.load_forecaster(spark, path)
-    mf, ridge = _ridge(spark, d)
+    mf = _frame_of(features)
+    ridge = _fit_ridge(mf)
     rpath = FS.scratch_path(spark, "ridge")
     MS.save_ridge(spark, ridge, rpath)
     ridge2 = MS.load_ridge(spark, rpath)
@@ -208,7 +225,7 @@ def s11_model_roundtrip(spark, d):
         F.lit("forecaster_rf").alias("model"), "entity", "period", "p_saved", "p_loaded")
     lin = LN.predict(LN.predict(mf, ridge, "p_saved"), ridge2, "p_loaded").select(
         F.lit("ridge").alias("model"), "entity", "period", "p_saved", "p_loaded")
-    _, boost = _gbt(spark, d)
+    boost = _fit_gbt(mf)
     bpath = FS.scratch_path(spark, "boost")
     MS.save_boost(spark, boost, bpath)
     boosted = BO.predict(BO.predict(mf, boost, "p_saved"), MS.load_boost(spark, bpath), "p_loaded").select(

@@ -256,3 +256,29 @@ def test_growth_scores_of_latest_rows(spark):
         assert r.position == ("above" if y > mean else "below")
         assert r.outlook == ("Strong growth" if y > 5 else "Moderate growth" if y > 2 else "Slow growth" if y > 0
                              else "Slight contraction" if y > -2 else "Recession risk")
+
+
+def _made_panel(spark, calls):
+    """A panel of made-up indicators in place of the one from the tables; notes when it is built."""
+    from cadence.sources import star
+
+    def panel(*_):
+        calls.append(1)
+        rng = np.random.default_rng(8)
+        rows = [(f"N{e}", e, f"N{e}", 100 + t, *map(float, rng.uniform(1, 9, len(star.MONTH_MEASURES) + 1))) for e in range(6) for t in range(40)]
+        names = ["entity", "entity_no", "entity_name", "period", *star.MONTH_MEASURES, "gdp_growth"]
+        return spark.createDataFrame(rows, names).withColumn("entity_no", F.col("entity_no").cast("int")).withColumn("period", F.col("period").cast("int"))
+
+    return panel
+
+
+def test_runs_build_the_panel_once(spark, monkeypatch):
+    from cadence.plans import q_features as QF
+    from cadence.plans import q_models as QM
+
+    calls = []
+    monkeypatch.setattr(QF, "panel_month", _made_panel(spark, calls))
+    train, test, feats = QM._train_test(spark, "nowhere")
+    assert len(calls) == 1 and train.count() + test.count() > 200 and len(feats) == 6
+    assert train.where("(entity_no * 31 + period) % 10 >= 8").count() == 0 and test.where("(entity_no * 31 + period) % 10 < 8").count() == 0
+    assert sorted(r["model"] for r in QM.m17_forecast_run(spark, "nowhere").collect()) == ["rf", "ridge"] and len(calls) == 2
