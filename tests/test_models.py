@@ -282,3 +282,13 @@ def test_runs_build_the_panel_once(spark, monkeypatch):
     assert len(calls) == 1 and train.count() + test.count() > 200 and len(feats) == 6
     assert train.where("(entity_no * 31 + period) % 10 >= 8").count() == 0 and test.where("(entity_no * 31 + period) % 10 < 8").count() == 0
     assert sorted(r["model"] for r in QM.m17_forecast_run(spark, "nowhere").collect()) == ["rf", "ridge"] and len(calls) == 2
+
+
+def test_the_explained_run_builds_the_panel_once(spark, monkeypatch):
+    from cadence.plans import q_features as QF
+    from cadence.plans import q_models as QM
+
+    calls = []
+    monkeypatch.setattr(QF, "panel_month", _made_panel(spark, calls))
+    parts = {r["part"]: r["count"] for r in QM.x5_run(spark, "nowhere").groupBy("part").count().collect()}
+    assert len(calls) == 1 and parts["importance"] == 6 and parts["value"] > 6 and parts["driver"] > 3
