@@ -9,10 +9,13 @@ share a shingle among the rarest quarter (and one) of each, whatever fixed order
 3. first round: within a shingle's postings, sorted by set size, the smallest set is a candidate with every other one, and of its
    neighbours each set's best.  Most of a group's shingles have the same smallest set, so a group of n copies has a
    few pairs per copy.  Pairs that pass the filters are verified on the whole sets, once per pair, and linked;
-4. full round: postings whose shingle still joins several components are joined pair by pair, but only
-   across components, filtered and verified the same way, the best pair of two components first.  A pair inside one
-   component needs no check, since only components are asked for; so a group of n near-copies costs about n
-   checks, and no link between components is lost.
+4. full round: postings whose shingle still joins several components are gathered by their shingle's smallest set.  Groups
+   of few nodes are joined pair by pair across components, filtered and verified the same way.  Of larger
+   groups, tasks take blocks (two chunks of bounded size; all nodes of the largest component stay apart, since a pair inside one
+   component needs no check): first with the counts by range of hashes, which tell the nodes that can still link with
+   one of another component, then, of those alone, with the whole sets, whose overlaps are one matrix product.  A block
+   puts out a spanning forest of its links, so a group of n near-copies gives about n rows, whatever its pairs are, and no link
+   between components is lost.
 
 Filters (sizes a, b; needed overlap at least 3 (a + b) / 7): length 4 min(a, b) >= 3 max(a, b); positional: of a linked pair's first
 common shingle, at places i and j, a - i + 1 and b - j + 1 are at least the needed overlap; suffix: sets divided into ranges of
@@ -40,9 +43,10 @@ from .shingles import mix, sets
 WORDS = 5
 COUNTERS, CHUNKS = 1 << 24, 128
 COUNTER_SHIFT = np.uint64(40)
-RANGES = 128  # of the suffix filter
-RANGE_SHIFT = np.uint64(57)
+RANGE_BITS = 7, 12  # of the suffix filter: 128 to 4096 ranges
 BLOOM_BITS = 1 << 23
+FEW = 8  # nodes of a group that is joined pair by pair
+CHUNK, NODE = 1 << 18, 500  # shingles in a chunk of a larger group, a node counting as so many more
 SIGNED = "doc_id long, node long, n int, chunk int, task long, data binary, more binary"
 POSTS = "token long, node long, n int, pos int"
 
@@ -90,7 +94,15 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def ranges(h: np.ndarray) -> np.ndarray:
-    return np.bincount((h >> RANGE_SHIFT).astype(np.int64), minlength=RANGES).astype("<u4")
+    """Counts of a set's hashes by range, of which there are enough for about 4 in each: fuller ones tell no large sets apart."""
+    low, high = RANGE_BITS
+    bits = min(high, max(low, (len(h) - 1).bit_length() - 2))
+    return np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4")
+
+
+def folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """The counts of fewer, wider ranges."""
+    return counts.reshape(width, -1).sum(1, dtype=np.int64)
 
 
 def rarity(rows: DataFrame) -> np.ndarray:
@@ -169,13 +181,12 @@ def bloom_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, hashes) of the nodes in pairs, each from one of its texts.
+def whole_sets(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """(node, hashes) of the nodes asked for, each from one of its texts.
 
     A Bloom filter of these texts' ids keeps the other texts out of the shuffle.
     """
     spark = docs.sparkSession
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = kept(asked.join(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node"), "asked")
     shared = spark.sparkContext.broadcast(bloom_filter(asked))
 
@@ -217,7 +228,9 @@ def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in batches:
             keep = []
             for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
-                x, y = read(x).astype(np.int64), read(y).astype(np.int64)
+                x, y = read(x), read(y)
+                width = min(len(x), len(y))
+                x, y = folded(x, width), folded(y, width)
                 keep.append(bool(7 * np.minimum(x, y).sum() >= 3 * (x.sum() + y.sum())))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in range(3)], names=["a", "b", "shared"])
@@ -268,49 +281,128 @@ def join_documents(docs: DataFrame) -> DataFrame:
     own = near.select(F.explode(F.array("a", "b")).alias("node"), F.struct("shared", "a", "b").alias("pair"))
     near = own.groupBy("node").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b", "pair.shared")
     some = suffix_filtered(star.union(near).distinct(), nodes)
-    links = linked(docs, nodes, some)
+    own = whole_sets(docs, nodes, ends(some).distinct())
+    links = kept(verified(some.select("a", "b"), own), "links")
+    forget(own)
     labels = components(links)
-    # what still joins several components, pair by pair across them
-    rest = (shared.select("token", "node", "n", "pos").join(labels, "node", "left")
-            .select("token", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
+    # what still joins several components, by the smallest set of each shingle
+    rest = (shared.select("token", "node", "n", "pos", F.coalesce("first.node", "node").alias("hub")).join(labels, "node", "left")
+            .select("token", "node", "n", "pos", "hub", F.coalesce("label", "node").alias("label"))
             .select("*", F.min("label").over(whole).alias("low"), F.max("label").over(whole).alias("high")))
     rest = kept(rest.where("low <> high").drop("low", "high"), "rest")
-    forget(shared)
-    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "pos", "label"))) for k in "xy")
+    forget(shared, some)
+    members = kept(rest.groupBy("hub", "node").agg(F.first("label").alias("label"), F.first("n").alias("n")), "members")
+    large = members.groupBy("hub").count().where(F.col("count") > FEW).select("hub")
+    x, y = (rest.join(large, "hub", "left_anti").select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "pos", "label"))) for k in "xy")
     across = (x.join(y, "token").where(F.col("label_x") < F.col("label_y"))
               .where(may_link(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y")))
-              .groupBy(*ordered("node_x", "node_y")).agg(F.count("*").alias("shared"))
-              .join(some.select("a", "b"), ["a", "b"], "left_anti"))
+              .groupBy(*ordered("node_x", "node_y")).agg(F.count("*").alias("shared")))
     across = suffix_filtered(across, nodes)
-    # first the best pair of each two components, then what still lies across
-    best = kept(labelled(across, labels).groupBy("label_a", "label_b").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
-                .select("p.a", "p.b"), "best")
-    links = kept(links.union(linked(docs, nodes, best)), "links")
-    left = kept(labelled(across, components(links)).select("a", "b").join(best, ["a", "b"], "left_anti"), "left")
-    forget(rest, some, across, best)
-    return with_components(rows, links.union(linked(docs, nodes, left)))
+    members = members.join(large, "hub", "left_semi")
+    near = kept(in_blocks(members, nodes.groupBy("node").agg(F.first("data").alias("data")), may_reach, "node long").distinct(), "near")
+    own = whole_sets(docs, nodes, ends(across).union(near).distinct())
+    in_large = in_blocks(members.join(near, "node", "left_semi"), own.withColumnRenamed("hashes", "data"), forest, "a long, b long")
+    links = kept(links.union(verified(across.select("a", "b"), own)).union(in_large).distinct(), "links")
+    forget(rest, across, near, own)
+    return with_components(rows, links)
 
 
-def shared_with(posts: DataFrame, other: str) -> DataFrame:
-    """Pairs (a, b, shared: shingles) of postings with the one in column ``other`` that may link."""
-    with_other = posts.where(f"{other}.node <> node").where(may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos")))
-    return (with_other.withColumn("of", F.col(f"{other}.node")).groupBy(*ordered("node", "of")).agg(F.count("*").alias("shared")))
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
 
-def linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs that are similar enough, written."""
-    own = whole_sets(docs, nodes, pairs)
-    links = kept(verified(pairs.select("a", "b"), own), "links")
-    forget(own)
-    return links
+def in_blocks(members: DataFrame, of_node: DataFrame, work, schema: str) -> DataFrame:
+    """What ``work`` makes of blocks of rows (label, n, node, data), in which all pairs of a hub's members
+    meet that have different labels.
 
+    Members are dealt over chunks of bounded size, those of the hub's largest label over chunks of their own, of which no two meet.
+    A hub whose members all fit in a chunk is one block.
+    """
+    weight = F.sum(F.col("n").cast("long") + NODE)
+    by_label = members.groupBy("hub", "label").agg(F.count("*").alias("k"), weight.alias("w"))
+    by_hub = (by_label.groupBy("hub").agg(F.max_by(F.struct("label", "w"), F.struct("k", "label")).alias("main"), F.sum("w").alias("w"),
+                                          F.count("*").alias("labels")).where("labels > 1"))
+    chunks = (by_hub.withColumn("whole", F.col("w") <= CHUNK)
+              .select("hub", F.when(~F.col("whole"), F.col("main.label")).alias("main"),
+                      F.when(F.col("whole"), F.lit(1)).otherwise(F.ceil((F.col("w") - F.col("main.w")) / CHUNK)).cast("int").alias("others"),
+                      F.when(F.col("whole"), F.lit(0)).otherwise(F.ceil(F.col("main.w") / CHUNK)).cast("int").alias("mains")))
+    is_main, hashed = F.coalesce(F.col("label") == F.col("main"), F.lit(False)), F.xxhash64("node")
+    dealt = (members.join(chunks, "hub")
+             .withColumn("chunk", F.when(is_main, F.col("others") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("others"))).cast("int"))
+             .withColumn("last", F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)
+             .select("hub", "node", "label", "n", "chunk", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+             .select("hub", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "label", "n"))
+
+    def run(t: pa.Table) -> pa.Table:
+        return work(t["label"].to_numpy(), t["n"].to_numpy(), t["node"].to_numpy(), t["data"].to_pylist())
+
+    return dealt.join(of_node, "node").groupBy("hub", "i", "j").applyInArrow(run, schema)
+
+
+def may_reach(labels: np.ndarray, n: np.ndarray, nodes: np.ndarray, data: list[bytes]) -> pa.Table:
+    """The nodes of a block that may link with one of another label, by length and the counts in each range of hashes."""
+    counts, n = [read(d) for d in data], n.astype(np.int64)
+    width, reach = np.array([len(c) for c in counts]), np.zeros(len(nodes), bool)
+    for w in np.unique(width):
+        at = np.flatnonzero((width == w) | (width == 2 * w))  # sets of other widths differ too much in size
+        own, size, label = np.array([folded(counts[i], w) for i in at]), n[at], labels[at]
+        for i in np.flatnonzero(width[at] == w):
+            other = np.flatnonzero((label != label[i]) & (4 * np.minimum(size, size[i]) >= 3 * np.maximum(size, size[i])))
+            near = other[7 * np.minimum(own[other], own[i]).sum(1) >= 3 * (size[other] + size[i])]
+            if len(near):
+                reach[at[near]] = reach[at[i]] = True
+    return pa.table({"node": pa.array(nodes[reach], pa.int64())})
+
+
+def forest(labels: np.ndarray, n: np.ndarray, nodes: np.ndarray, data: list[bytes]) -> pa.Table:
+    """Links that join all of a block's nodes that links join, nodes of one label taken as joined."""
+    n = n.astype(np.int64)
+    same = overlaps([np.frombuffer(d, np.uint64) for d in data])
+    linked = 100 * same >= 75 * (n[:, None] + n - same)
+    alike = labels[:, None] == labels
+    joined, left, pairs = linked | alike, np.ones(len(nodes), bool), []
+    for root in range(len(nodes)):
+        todo = [root] if left[root] else []
+        left[root] = False
+        while todo:
+            i = todo.pop()
+            found = np.flatnonzero(joined[i] & left)
+            left[found] = False
+            todo += found.tolist()
+            pairs += [(i, j) for j in found[~alike[i, found]].tolist()]
+    a, b = nodes[[i for i, _ in pairs]], nodes[[j for _, j in pairs]]
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of hashes that each two of the sets share: products of 0-1 matrices for hashes of many sets, pair by pair for those of few."""
+    k = len(sets)
+    h, at = np.concatenate(sets), np.repeat(np.arange(k), [len(s) for s in sets])
+    order = np.argsort(h, kind="stable")
+    h, at = h[order], at[order]
+    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    times = np.diff(start, append=len(h))
+    out, few = np.zeros((k, k), np.int64), max(8, k // 8)
+    rare = np.repeat(times <= few, times)
+    x, rank = at[rare], (np.arange(len(h)) - np.repeat(start, times))[rare]
+    for d in range(1, few):  # a hash's sets stand together, in rising order
+        low, high = x[:-d][rank[d:] >= d], x[d:][rank[d:] >= d]
+        if not len(low):
+            break
+        out += np.bincount(low * k + high, minlength=k * k).reshape(k, k)
+    often, number = at[~rare], np.repeat(np.arange((times > few).sum()), times[times > few])
+    for c in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
+        lo, hi = np.searchsorted(number, [c, c + 4096])
+        there = np.zeros((k, 4096), np.float32)
+        there[often[lo:hi], number[lo:hi] - c] = 1
+        out += np.triu(there @ there.T, 1).astype(np.int64)  # sums of at most 4096 ones are exact
+    return out + out.T
 
-def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that lie across components, with both labels, the smaller first."""
-    for end in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}")), end, "left")
-    x, y = F.coalesce("of_a", "a"), F.coalesce("of_b", "b")
-    return pairs.withColumns({"label_a": F.least(x, y), "label_b": F.greatest(x, y)}).where("label_a <> label_b").drop("of_a", "of_b")
+
+def shared_with(posts: DataFrame, other: str) -> DataFrame:
+    """Pairs (a, b, shared: shingles) of postings with the one in column ``other`` that may link."""
+    with_other = posts.where(f"{other}.node <> node").where(may_link(F.col("n"), F.col("pos"), F.col(f"{other}.n"), F.col(f"{other}.pos")))
+    return (with_other.withColumn("of", F.col(f"{other}.node")).groupBy(*ordered("node", "of")).agg(F.count("*").alias("shared")))
 
 
 def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:

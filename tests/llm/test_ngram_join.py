@@ -118,3 +118,64 @@ def test_stage_keeps_columns_of_any_name(spark):
     assert got.schema == docs.schema
     assert sorted((r.doc_id or -1, r.id) for r in got.collect()) == [(-1, 2), (1, 7), (3, 9), (4, 1), (5, 3)]
     assert nj.one_of_each_group(docs.limit(0)).collect() == []
+
+
+def near_copies(seed, count=60, size=130):
+    """Copies of a text with several words changed, about half of the pairs below the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(size)]
+    texts = []
+    for k in range(count):
+        own = list(base)
+        for at in rng.sample(range(size), rng.randint(1, 5)):
+            own[at] = f"x{k}_{at}"
+        texts.append(" ".join(own))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("chunk", [nj.CHUNK, 3000])
+def test_large_group_of_near_copies(spark, monkeypatch, chunk):
+    """Blocks of one chunk and of several find all links of a group, and put out a few rows per node, not one per pair."""
+    monkeypatch.setattr(nj, "CHUNK", chunk)
+    rows, made = near_copies(4), []
+    in_blocks = nj.in_blocks
+
+    def counted(members, of_node, work, schema):
+        out = in_blocks(members, of_node, work, schema)
+        if work is nj.forest:
+            made.append((out.count(), members.select("node").distinct().count()))
+        return out
+
+    monkeypatch.setattr(nj, "in_blocks", counted)
+    assert same(nj.join_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect(), components(rows))
+    (links, members), = made
+    assert members > nj.FEW and 0 < links < 4 * members < members * (members - 1) / 4
+
+
+def test_overlaps_and_block_work_against_sets():
+    rng = np.random.default_rng(5)
+    hashes = lambda k: rng.integers(0, 1 << 64, k, dtype=np.uint64)
+    sets, labels = [], []
+    for size in (6, 90, 700, 2500):
+        base = hashes(size)
+        for _ in range(12):
+            sets.append(np.unique(np.concatenate([base[rng.random(size) > 0.08], hashes(1 + size // 20)])))
+            labels.append(int(rng.integers(0, 20)))
+    n, labels, nodes = np.array([len(s) for s in sets], np.int32), np.array(labels), np.arange(len(sets))
+    true = [[len(set(s.tolist()) & set(t.tolist())) for t in sets] for s in sets]
+    got = nj.overlaps(sets)
+    assert all(got[i, j] == true[i][j] for i in nodes for j in nodes if i != j)
+    linked = {(i, j) for i in nodes.tolist() for j in nodes.tolist() if i < j and labels[i] != labels[j] and 7 * true[i][j] >= 3 * (int(n[i]) + int(n[j]))}
+    reach = set(nj.may_reach(labels, n, nodes, [nj.pressed(nj.ranges(s)) for s in sets])["node"].to_pylist())
+    assert {x for p in linked for x in p} <= reach
+    tree = nj.forest(labels, n, nodes, [s.tobytes() for s in sets])
+    pairs = set(zip(tree["a"].to_pylist(), tree["b"].to_pylist()))
+    assert pairs <= linked and len(pairs) < len(sets)
+
+
+def test_ranges_tell_large_sets_apart():
+    """128 ranges let two sets of 8,000 hashes without a common one pass as similar."""
+    rng = np.random.default_rng(6)
+    x, y = (nj.ranges(rng.integers(0, 1 << 64, 8000, dtype=np.uint64)) for _ in range(2))
+    assert 7 * np.minimum(nj.folded(x, 128), nj.folded(y, 128)).sum() >= 3 * 16000
+    assert 7 * np.minimum(x, y).sum() < 3 * 16000
