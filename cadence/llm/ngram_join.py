@@ -71,13 +71,13 @@ def sign(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.uint32)
+        counts = np.zeros(COUNTERS, np.uint16)  # of a task: more than 65535 texts with a shingle count as that
         for b in batches:
             data, off = utf8_buffer(b.column(1))
             ids, rows = b.column(0).to_pylist(), []
             for a, cuts, h in sets(data, off, WORDS):
                 at, times = np.unique(h >> COUNTER_SHIFT, return_counts=True)
-                counts[at] += times.astype(np.uint32)
+                counts[at] = np.minimum(counts[at] + times, 65535)
                 for i in range(len(cuts) - 1):
                     own = h[cuts[i]:cuts[i + 1]]
                     rows.append((ids[a + i], signature(own), len(own), None, None, pressed(ranges(own)), None) if len(own)
@@ -210,8 +210,9 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame
                         out.append((node, own.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["node", "hashes"])
 
+    # never by broadcast: the filter above and the sets below in one task would keep two Python workers for each core
     texts = doc_text(docs).where(F.col("doc_id").isNotNull()).where(may_be(F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM_BITS))))
-    own = kept(texts.join(asked, "doc_id").select("node", "text").mapInArrow(run, "node long, hashes binary"), "sets")
+    own = kept(texts.join(asked.hint("merge"), "doc_id").select("node", "text").mapInArrow(run, "node long, hashes binary"), "sets")
     forget(asked)
     return own
 

@@ -10,7 +10,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 BASE = 0x9E3779B97F4A7C15
 CHAIN = np.uint64(0xD6E8FEB86659FD93)
-BATCH = 1 << 20  # bytes worked on at a time; one longer text is worked on alone
+BATCH = 1 << 18  # bytes worked on at a time; one longer text is worked on alone
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -179,3 +179,17 @@ def test_ranges_tell_large_sets_apart():
     x, y = (nj.ranges(rng.integers(0, 1 << 64, 8000, dtype=np.uint64)) for _ in range(2))
     assert 7 * np.minimum(nj.folded(x, 128), nj.folded(y, 128)).sum() >= 3 * 16000
     assert 7 * np.minimum(x, y).sum() < 3 * 16000
+
+
+def test_sets_are_read_by_one_python_worker_a_task(spark, monkeypatch):
+    """Filter and sets of whole texts never share a stage, even if the asked nodes could be broadcast."""
+    plans, kept = [], nj.kept
+
+    def seen(df, name):
+        if name == "sets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(nj, "kept", seen)
+    nj.join_documents(spark.createDataFrame(near_copies(7, 12), "doc_id long, text string")).collect()
+    assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
