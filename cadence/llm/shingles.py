@@ -10,7 +10,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 BASE = 0x9E3779B97F4A7C15
 CHAIN = np.uint64(0xD6E8FEB86659FD93)
-BATCH = 1 << 18  # bytes worked on at a time; one longer text is worked on alone
+BATCH = 1 << 20  # bytes worked on at a time; one longer text is worked on alone
+SETS_BATCH = 1 << 18  # for sets, whose sorting takes more memory a byte
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -77,7 +78,7 @@ def sets(data: np.ndarray, off: np.ndarray, size: int):
     text ``first + i`` having ``hashes[cuts[i]:cuts[i + 1]]``."""
     a = 0
     while a < len(off) - 1:
-        b = max(a + 1, int(np.searchsorted(off, off[a] + BATCH, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(off, off[a] + SETS_BATCH, "right")) - 1)
         text, h = shingles(data[off[a]:off[b]], off[a:b + 1] - off[a], size)
         order = np.lexsort((h, text))
         text, h = text[order], h[order]
