@@ -6,8 +6,9 @@ before any window work happens, so every downstream operator works on a
 table whose size is entities x periods, not lines.
 
 Scale notes
-* Money is summed as DECIMAL so the sums are exact and order-free; shares are
-  a double division of two exact sums (identical in any engine).
+* Money is summed exactly, so the sums are order-free; shares are a double
+  division of two exact sums (identical in any engine).  ``panel_month`` sums
+  whole hundredths in two long parts and makes DECIMALs of the totals only.
 * ``nation`` (25 rows, fixed by the schema) is the only side broadcast by
   hint.  ``part`` and ``supplier`` grow with the data; their join strategy is
   left to AQE, which broadcasts them only when their measured size is under
@@ -19,6 +20,8 @@ Scale notes
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,7 @@ COMMODITY_TYPES = {"fuel_exports_pct": "STANDARD", "metals_exports_pct": "ECONOM
 GOVERNANCE = ("control_corruption", "govt_effectiveness", "political_stability",
               "regulatory_quality", "rule_of_law", "voice_accountability")
 MASK_MODULUS = 13
+LIMB = 30  # bits of the lower part of an exact sum
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,20 +55,52 @@ def _dec(c: str, scale: int = 2, precision: int = 18):
     return F.col(c).cast(f"decimal({precision},{scale})")
 
 
+def _units(c: str, precision: int = 18):
+    """Hundredths of ``c`` as a long, rounded as a cast to decimal(precision, 2) rounds.
+
+    A double that is the nearest one to a number of two decimals needs no decimal arithmetic; any other value
+    (more decimals, too large, not finite) takes the cast."""
+    k = F.rint(F.col(c) * F.lit(100.0))
+    near = (k / F.lit(100.0) == F.col(c)) & (F.abs(k) < F.lit(float(min(10 ** precision, 10 ** 15))))
+    return F.when(near, k.cast("long")).otherwise((_dec(c, 2, precision) * F.lit(100)).cast("long"))
+
+
+def _limbs(c: str, out: str, times: str | None = None):
+    """The long ``c`` (times a long of at most 15 bits) as two columns: ``out``_hi * 2^30 + ``out``_lo, exactly.  Both can be
+    summed as longs over 2^33 rows (``_hi``: up to totals of 2^93), which costs a fraction of a sum of wide decimals."""
+    hi, lo = F.shiftright(F.col(c), LIMB), F.col(c).bitwiseAND(F.lit(2 ** LIMB - 1))
+    if times is not None:
+        lo = lo * F.col(times)
+        hi, lo = hi * F.col(times) + F.shiftright(lo, LIMB), lo.bitwiseAND(F.lit(2 ** LIMB - 1))
+    return [hi.alias(f"{out}_hi"), lo.alias(f"{out}_lo")]
+
+
+def _total(name: str, unit: str):
+    """The exact decimal that the summed limbs of ``name`` stand for, in units of ``unit``."""
+    hi, lo = F.col(f"{name}_hi").cast("decimal(19,0)"), F.col(f"{name}_lo").cast("decimal(19,0)")
+    return (hi * F.lit(Decimal(2 ** LIMB)) + lo) * F.lit(Decimal(unit))
+
+
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations with a number per name, in the order of the names (null: null)."""
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rank = F.dense_rank().over(Window.orderBy("n_name"))  # 25 rows, fixed by the schema
+    return nation.withColumn("name_no", F.when(F.col("n_name").isNotNull(), rank))
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its customer nation and month."""
+    """One row per order with its customer nation (``name_no``: the number of its name) and month."""
     orders = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = F.broadcast(read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = F.broadcast(nations(spark, sf_dir).select("n_nationkey", "name_no"))
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
-                "o_orderkey", "c_nationkey",
-                F.col("n_name").alias("entity"),
+                "o_orderkey", "c_nationkey", "name_no",
                 F.col("n_nationkey").alias("entity_no"),
                 (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("int").alias("period"),
-                _dec("o_totalprice").alias("price"),
+                _units("o_totalprice").alias("price"),
                 F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("urgent"),
                 (F.col("o_orderpriority") == "5-LOW").alias("low_priority"),
                 (F.col("c_mktsegment") == "BUILDING").alias("building"),
@@ -82,47 +118,61 @@ def panel_month(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFram
     once in the order-level measures; orders without lines do not appear.
     """
     of = order_facts(spark, sf_dir)
-    keys = ["entity", "entity_no", "period"]
+    keys = ["name_no", "entity_no", "period"]
+    # lines are narrowed to numbers and flags before their first shuffle
     line = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    part = read(spark, sf_dir, "part").select(
-        "p_partkey", F.substring_index("p_type", " ", 1).alias("p_class"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+        _units("l_extendedprice").alias("ext"), (F.lit(100) - _units("l_discount", 4)).alias("kept"),
+        _units("l_tax", 4).alias("tax"),
+        (F.col("l_returnflag") == "N").alias("flag_n"), (F.col("l_linestatus") == "F").alias("status_f"),
+        (F.col("l_discount") <= 0.05).alias("low_disc"), (F.col("l_quantity") > 25).alias("big_qty"))
+    p_class = F.substring_index("p_type", " ", 1)
+    class_no = F.lit(None).cast("int")
+    for k, t in enumerate(COMMODITY_TYPES.values()):
+        class_no = F.when(p_class == t, F.lit(k)).otherwise(class_no)
+    part = read(spark, sf_dir, "part").select("p_partkey", class_no.alias("class_no"))
     supplier = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = (line.join(part, line.l_partkey == part.p_partkey)
-             .join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
-             .withColumn("rev", _dec("l_extendedprice") * (F.lit(1) - _dec("l_discount", 2, 4))))
-    lf = of.join(lines, of.o_orderkey == lines.l_orderkey)
-    zero = F.lit(0).cast("decimal(24,4)")
+             .join(supplier, F.col("l_suppkey") == supplier.s_suppkey))
+    lf = of.join(lines, of.o_orderkey == lines.l_orderkey).select(
+        "o_orderkey", "l_orderkey", *keys, "price", "urgent", "low_priority", "building", "l_quantity", "tax", "class_no",
+        "flag_n", "status_f", "low_disc", "big_qty", (F.col("s_nationkey") != F.col("c_nationkey")).alias("foreign"),
+        *_limbs("ext", "rev", "kept"), *_limbs("ext", "ext"))
+
+    def rev_where(cond, out: str) -> list:
+        return [F.sum(F.when(cond, F.col(f"rev_{h}")).otherwise(F.lit(0))).alias(f"{out}_{h}") for h in ("hi", "lo")]
+
     # order attributes ride along as max() (constant within an order), so the
-    # per-order grouping key stays the single order key; the join output is
-    # already sorted by it, which the (sort-based) aggregate reuses - measured
-    # faster than hashing all eight order attributes as keys
+    # per-order grouping key stays the single order key; all buffers are plain
+    # numbers, so the aggregate hashes (a max of strings would sort, row by row)
     per_order = lf.groupBy("o_orderkey").agg(
         *[F.max(c).alias(c) for c in (*keys, "price", "urgent", "low_priority", "building")],
-        F.sum("rev").alias("rev_dec"),
-        *[F.sum(F.when(F.col("p_class") == t, F.col("rev")).otherwise(zero)).alias(f"{m}_dec")
-          for m, t in COMMODITY_TYPES.items()],
-        F.sum(F.when(F.col("s_nationkey") != F.col("c_nationkey"), F.col("rev")).otherwise(zero)).alias("foreign_dec"),
-        F.sum(_dec("l_extendedprice")).alias("ext_dec"),
+        *[F.sum(f"{c}_{h}").alias(f"{c}_{h}") for c in ("rev", "ext") for h in ("hi", "lo")],
+        *[e for k, m in enumerate(COMMODITY_TYPES) for e in rev_where(F.col("class_no") == k, m)],
+        *rev_where(F.col("foreign"), "foreign"),
         F.sum("l_quantity").alias("qty"),
-        F.sum(_dec("l_tax", 2, 4)).alias("tax_dec"),
+        F.sum("tax").alias("tax"),
         F.count("l_orderkey").alias("n_lines"),
-        F.count_if(F.col("l_returnflag") == "N").alias("n_flag_n"),
-        F.count_if(F.col("l_linestatus") == "F").alias("n_status_f"),
-        F.count_if(F.col("l_discount") <= 0.05).alias("n_low_disc"),
-        F.count_if(F.col("l_quantity") > 25).alias("n_big_qty"),
+        F.count_if("flag_n").alias("n_flag_n"),
+        F.count_if("status_f").alias("n_status_f"),
+        F.count_if("low_disc").alias("n_low_disc"),
+        F.count_if("big_qty").alias("n_big_qty"),
     )
-    line_sums = ["rev_dec", *[f"{m}_dec" for m in COMMODITY_TYPES], "foreign_dec", "ext_dec", "qty", "tax_dec",
-                 "n_lines", "n_flag_n", "n_status_f", "n_low_disc", "n_big_qty"]
-    j = per_order.groupBy(*keys).agg(
-        F.sum("price").alias("gdp_dec"),
-        F.sum(F.when(F.col("urgent"), F.col("price")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("urgent_dec"),
+    exact = {"rev": "0.0001", **{m: "0.0001" for m in COMMODITY_TYPES}, "foreign": "0.0001", "ext": "0.01",
+             "gdp": "0.01", "urgent": "0.01"}
+    line_sums = [*[f"{c}_{h}" for c in exact if c not in ("gdp", "urgent") for h in ("hi", "lo")],
+                 "qty", "tax", "n_lines", "n_flag_n", "n_status_f", "n_low_disc", "n_big_qty"]
+    j = (per_order.select("*", *_limbs("price", "price")).groupBy(*keys).agg(
+        *[F.sum(f"price_{h}").alias(f"gdp_{h}") for h in ("hi", "lo")],
+        *[F.sum(F.when(F.col("urgent"), F.col(f"price_{h}")).otherwise(F.lit(0))).alias(f"urgent_{h}") for h in ("hi", "lo")],
         F.count_if("low_priority").alias("n_low"),
         F.count_if("building").alias("n_building"),
         F.count(F.lit(1)).alias("n_orders"),
         *[F.sum(c).alias(c) for c in line_sums],
-    )
+    ).withColumns({f"{c}_dec": _total(c, u) for c, u in exact.items()})
+        .withColumn("tax_dec", F.col("tax") * F.lit(Decimal("0.01"))))
+    names = nations(spark, sf_dir).select("name_no", F.col("n_name").alias("entity")).where("name_no IS NOT NULL").distinct()
+    j = j.join(F.broadcast(names), "name_no", "left")
     gov = lambda n, d: F.lit(5.0) * share(n, d) - F.lit(2.5)
     values = {
         "gdp_level": F.col("gdp_dec").cast("double") / F.lit(1000000.0),
