@@ -162,7 +162,7 @@ def decompose(prep: DataFrame, spec: PanelSpec, period: int | None = None) -> Da
     trend_v = (F.when(F.col("pos") < front, F.col("f_slope") * pos_d + F.col("f_intercept"))
                .when(F.col("pos") > back, F.col("b_slope") * pos_d + F.col("b_intercept")).otherwise(F.col("ma")))
     t = t.withColumn("trend", trend_v).withColumn("detrended", y - F.col("trend")) \
-         .withColumn("phase", F.col("pos") % F.col("p"))
+         .withColumn("phase", F.try_mod(F.col("pos"), F.col("p")))  # a series of one value has no period
     phase = t.groupBy(spec.entity, "phase").agg(F.avg("detrended").alias("phase_mean"))
     center = phase.groupBy(spec.entity).agg(F.avg("phase_mean").alias("phase_center"))
     seas = phase.join(center, spec.entity).select(
@@ -277,9 +277,9 @@ def acov_sums(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) ->
     return g.withColumn("nlags", F.least(F.lit(max_lags), F.floor(F.col("n") / 2) - 1).cast("int"))
 
 
-def acf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) -> DataFrame:
+def acf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS, sums: DataFrame | None = None) -> DataFrame:
     """Autocorrelation per lag 0..nlags (entities with nlags >= 2), band 1.96/sqrt(n)."""
-    s = acov_sums(prep, spec, max_lags).filter(F.col("nlags") >= 2)
+    s = (sums if sums is not None else acov_sums(prep, spec, max_lags)).filter(F.col("nlags") >= 2)
     ci = F.lit(ACF_Z) / F.sqrt(F.col("n").cast("double"))
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"),
                                         (F.lit(1.0) if k == 0 else X.share(F.col(f"s{k}"), F.col("s0"))).alias("acf"))
@@ -289,9 +289,9 @@ def acf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) -> DataF
     return out.withColumn("significant", (F.col("lag") > 0) & (F.abs(F.col("acf")) > F.col("conf_band")))
 
 
-def pacf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS) -> DataFrame:
+def pacf(prep: DataFrame, spec: PanelSpec, max_lags: int = MAX_ACF_LAGS, sums: DataFrame | None = None) -> DataFrame:
     """Partial autocorrelation by Yule-Walker (adjusted), from the same sums as T8."""
-    s = acov_sums(prep, spec, max_lags).filter(F.col("nlags") >= 2)
+    s = (sums if sums is not None else acov_sums(prep, spec, max_lags)).filter(F.col("nlags") >= 2)
     etype = prep.schema[spec.entity].dataType.simpleString()
     schema = f"`{spec.entity}` {etype}, lag int, pacf double, significant boolean"
 
@@ -540,6 +540,7 @@ def arima_forecast(fitted: DataFrame, best: DataFrame, spec: PanelSpec, steps: i
                 zs = [h["z"] if h["z"] is not None else 0.0 for h in hist]
                 es = [h["e"] for h in hist]
                 ylast = hist[0]["y"]
+                last_period = None if pd.isna(rec["last_period"]) else int(rec["last_period"])
                 ar = [] if rec["ar"] is None else [float(v) for v in rec["ar"]]
                 ma = [] if rec["ma"] is None else [float(v) for v in rec["ma"]]
                 c = 0.0 if rec["const"] is None else float(rec["const"])
@@ -560,7 +561,7 @@ def arima_forecast(fitted: DataFrame, best: DataFrame, spec: PanelSpec, steps: i
                     epath.insert(0, 0.0)
                     level = level + zf if d == 1 else zf
                     half = Z95 * math.sqrt(s2 * sum(x * x for x in psi[:h]))
-                    out.append({spec.entity: rec[spec.entity], spec.period: int(rec["last_period"]) + h, "step": h,
+                    out.append({spec.entity: rec[spec.entity], spec.period: None if last_period is None else last_period + h, "step": h,
                                 "forecast": float(level), "lower_ci": float(level - half),
                                 "upper_ci": float(level + half)})
             yield pd.DataFrame(out, columns=[spec.entity, spec.period, "step", "forecast", "lower_ci", "upper_ci"])
@@ -568,22 +569,59 @@ def arima_forecast(fitted: DataFrame, best: DataFrame, spec: PanelSpec, steps: i
     return s.mapInPandas(run, schema)
 
 
+def _listed(rows: DataFrame, spec: PanelSpec, name: str, *cols: str) -> DataFrame:
+    """One list of structs per entity, sorted by the first of ``cols``."""
+    return rows.groupBy(spec.entity).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+
+
+def _lags(corr: DataFrame, spec: PanelSpec, value: str) -> DataFrame:
+    """Per entity the correlations in order of their lags, and the lags that are significant."""
+    return corr.groupBy(spec.entity).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("lag", value))), lambda r: r[value]).alias(value),
+        F.array_sort(F.collect_list(F.when(F.col("significant"), F.col("lag")))).alias(f"significant_{value}_lags"))
+
+
 def series_report(panel: DataFrame, spec: PanelSpec, target: str, min_rows: int = 5,
-                  orders=FULL_ORDERS, steps: int = 3) -> DataFrame:
-    """One row per entity with trend, stationarity, autocorrelation and ARIMA results;
-    entities that cannot be analysed carry an ``error`` instead (no entity is dropped)."""
+                  orders=FULL_ORDERS, steps: int = 3, values: bool = True) -> DataFrame:
+    """One row per entity with what every step finds: the prepared series, trend, stationarity, autocorrelation and partial
+    autocorrelation, decomposition, ARIMA and its forecast of ``steps`` periods, and the summary text; entities that cannot be
+    analysed carry an ``error`` instead (no entity is dropped).
+
+    The values that T3, T5 and T10 give every row of a series are lists in order of its periods; without ``values`` they are left
+    to those operators, for series too long to be one row.
+    """
     panel = materialize(panel.select(spec.entity, spec.period, target))  # every part below reads these rows, and none makes another's again
     prep = materialize(prepare(panel, spec, target, min_rows))
-    tr = trend(prep, spec).select(spec.entity, "slope", "p_value", "trend_direction")
+    tr = materialize(trend(prep, spec))
     ad = materialize(adf(prep, spec))
+    sums = materialize(acov_sums(prep, spec))
+    dec = materialize(decompose(prep, spec))
     design = materialize(arima_design(prep, spec, differencing(prep, spec, ad)))
     best = materialize(select_order(arima_orders(design, spec, orders), spec))
-    met = arima_metrics(arima_fitted(design, best, spec), best, spec)
-    sig = acf(prep, spec).groupBy(spec.entity).agg(F.count_if("significant").alias("n_significant_acf_lags"))
-    counts = panel.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))
-    out = (counts.join(tr, spec.entity, "left")
-           .join(ad.select(spec.entity, F.col("p_value").alias("adf_p_value"), "is_stationary"), spec.entity, "left")
-           .join(met, spec.entity, "left").join(sig, spec.entity, "left"))
-    return out.withColumn("error", F.when(F.col("n_rows") < min_rows,
-                                          F.concat(F.lit("Not enough data: need at least "), F.lit(str(min_rows)),
-                                                   F.lit(" periods"))))
+    fitted = materialize(arima_fitted(design, best, spec))
+    parts = [
+        prep.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_obs"), F.min(spec.period).alias("first_period"), F.max(spec.period).alias("last_period")),
+        tr.select(spec.entity, "slope", "intercept", F.col("r2").alias("trend_r2"), "p_value", "std_err", "trend_direction", "total_change", "is_significant"),
+        ad.select(spec.entity, "adf_statistic", F.col("p_value").alias("adf_p_value"), F.col("used_lag").alias("adf_used_lag"),
+                  F.col("n_obs").alias("adf_n_obs"), "crit_1pct", "crit_5pct", "crit_10pct", "is_stationary"),
+        sums.filter(F.col("nlags") >= 2).select(spec.entity, "nlags", (F.lit(ACF_Z) / F.sqrt(F.col("n").cast("double"))).alias("conf_band")),
+        _lags(acf(prep, spec, sums=sums), spec, "acf").withColumn("n_significant_acf_lags", F.size("significant_acf_lags").cast("long")),
+        _lags(pacf(prep, spec, sums=sums), spec, "pacf"),
+        dec.groupBy(spec.entity).agg(F.first("period_length").alias("period_length")),
+        variance_shares(dec, spec),
+        arima_metrics(fitted, best, spec),
+        _listed(arima_forecast(fitted, best, spec, steps), spec, "forecast", "step", spec.period, "forecast", "lower_ci", "upper_ci"),
+    ]
+    if values:
+        parts += [_listed(trend_line(prep, tr, spec), spec, "trend_line", spec.period, "y", "trend"),
+                  _listed(dec, spec, "decomposition", spec.period, "observed", "trend", "seasonal", "resid"),
+                  _listed(fitted, spec, "fitted", spec.period, "y", "fitted", "residual")]
+    out = panel.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n_rows"))
+    for part in parts:
+        out = out.join(part, spec.entity, "left")
+    text = F.format_string("\nTIME SERIES ANALYSIS REPORT: %s\nTarget: %s\nPeriod: %s - %s\nObservations: %s\nTrend: %s\n", F.col(spec.entity).cast("string"),
+                           F.lit(target), *[F.col(c).cast("string") for c in ("first_period", "last_period", "n_obs", "trend_direction")])
+    return (out.withColumn("report", F.when(F.col("n_obs") > 0, text))
+            .withColumn("error", F.when(F.col("n_rows") < min_rows,
+                                        F.concat(F.lit("Not enough data: need at least "), F.lit(str(min_rows)), F.lit(" periods")))
+                        .when(F.col("n_obs").isNull(), F.lit("Nothing to analyse"))))

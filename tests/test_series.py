@@ -295,3 +295,75 @@ def test_the_report_reads_its_panel_once(spark):
     df = _frame(spark, {"A": _rw(30, 4, 0.5), "B": _rw(25, 6), "S": [1.0, 2.0]})
     report = TS.series_report(df.mapInArrow(count, df.schema), SPEC, "value").collect()
     assert len(report) == 3 and seen.value == 57
+
+
+def test_the_report_holds_every_step(spark):
+    rng = np.random.default_rng(8)
+    series = {"A": np.tile([1.0, 5.0, 0.0, -6.0], 8) + np.arange(32), "B": _rw(41, 6), "C": 4.0 + rng.normal(size=23)}
+    df = _frame(spark, series)
+    report = {r["entity"]: r.asDict(True) for r in TS.series_report(df, SPEC, "value", steps=4).collect()}
+    prep = TS.prepare(df, SPEC, "value")
+    ad = TS.adf(prep, SPEC)
+    design = TS.arima_design(prep, SPEC, TS.differencing(prep, SPEC, ad))
+    best = TS.select_order(TS.arima_orders(design, SPEC), SPEC)
+    fitted = TS.arima_fitted(design, best, SPEC)
+
+    def rows(d, *cols):
+        own = {e: [] for e in series}
+        for r in d.orderBy("entity", cols[0]).collect():
+            own[r["entity"]].append({c: r[c] for c in cols})
+        return own
+
+    def same(got, want):
+        assert len(got) == len(want) and want
+        for g, w in zip(got, want):
+            assert g == {c: v if v is None else pytest.approx(v, rel=1e-6, abs=1e-9) for c, v in w.items()}
+
+    dec = rows(TS.decompose(prep, SPEC), "period", "observed", "trend", "seasonal", "resid")
+    ahead = rows(TS.arima_forecast(fitted, best, SPEC, 4), "step", "period", "forecast", "lower_ci", "upper_ci")
+    fits = rows(fitted, "period", "y", "fitted", "residual")
+    partial, tests = rows(TS.pacf(prep, SPEC), "lag", "pacf", "significant"), rows(ad, "adf_statistic", "used_lag", "n_obs", "crit_5pct")
+    shares = rows(TS.variance_shares(TS.decompose(prep, SPEC), SPEC), "trend_var_pct", "seasonal_var_pct", "resid_var_pct")
+    for e, y in series.items():
+        r, n = report[e], len(y)
+        assert r["error"] is None and (r["n_rows"], r["n_obs"], r["first_period"], r["last_period"]) == (n, n, 0, n - 1)
+        slope, intercept = np.polyfit(np.arange(n), y, 1)
+        assert (r["slope"], r["intercept"], r["total_change"]) == pytest.approx((slope, intercept, slope * (n - 1)))
+        assert [v["trend"] for v in r["trend_line"]] == pytest.approx(slope * np.arange(n) + intercept)
+        dev = y - y.mean()
+        acf = [(dev[k:] * dev[:n - k]).sum() / (dev * dev).sum() for k in range(r["nlags"] + 1)]
+        assert r["nlags"] == min(10, n // 2 - 1) and r["acf"] == pytest.approx(acf) and r["conf_band"] == pytest.approx(1.96 / n ** 0.5)
+        assert r["significant_acf_lags"] == [k for k, v in enumerate(acf) if k and abs(v) > 1.96 / n ** 0.5]
+        assert r["n_significant_acf_lags"] == len(r["significant_acf_lags"])
+        assert r["pacf"] == pytest.approx([v["pacf"] for v in partial[e]])
+        assert r["significant_pacf_lags"] == [v["lag"] for v in partial[e] if v["significant"]]
+        assert (r["adf_statistic"], r["adf_used_lag"], r["adf_n_obs"], r["crit_5pct"]) == pytest.approx(tuple(tests[e][0].values()))
+        assert r["period_length"] == 4
+        same([{c: r[c] for c in shares[e][0]}], shares[e])
+        same(r["decomposition"], dec[e])
+        same(r["fitted"], fits[e])
+        same(r["forecast"], ahead[e])
+        assert [v["period"] for v in r["forecast"]] == [n, n + 1, n + 2, n + 3]
+        assert all(v["lower_ci"] < v["forecast"] < v["upper_ci"] for v in r["forecast"])
+        assert r["report"] == (f"\nTIME SERIES ANALYSIS REPORT: {e}\nTarget: value\nPeriod: 0 - {n - 1}\nObservations: {n}\n"
+                               f"Trend: {r['trend_direction']}\n")
+    assert [v["seasonal"] for v in report["A"]["decomposition"][:4]] == pytest.approx([1.0, 5.0, 0.0, -6.0], abs=1e-9)
+    bounded = TS.series_report(df, SPEC, "value", orders=[(1, 0)], values=False).columns
+    assert {"forecast", "seasonal_var_pct", "pacf"} <= set(bounded) and not {"trend_line", "decomposition", "fitted"} & set(bounded)
+
+
+def test_the_report_survives_series_that_a_step_cannot_take(spark):
+    own = {"A": _rw(30, 4, 0.5).tolist(), "one": [None] * 5 + [3.0], "none": [None] * 6, "same": [2.0] * 12, "short": [1.0, 2.0],
+           "gaps": [1.0, None, 3.0, 2.0, None, 8.0, 1.0, 4.0, None]}
+    rows = [(e, i, v) for e, vals in own.items() for i, v in enumerate(vals)] + [("undated", None, float(v)) for v in _rw(9, 2)]
+    df = spark.createDataFrame(rows, "entity string, period int, value double")
+    out = {r["entity"]: r.asDict(True) for r in TS.series_report(df, SPEC, "value", orders=[(1, 0), (0, 1)]).collect()}
+    assert set(out) == {*own, "undated"}
+    assert {e: r["error"] for e, r in out.items() if r["error"]} == {
+        "none": "Nothing to analyse", "short": "Not enough data: need at least 5 periods"}
+    assert all(out[e][c] is None for e in ("none", "short") for c in ("n_obs", "slope", "decomposition", "forecast", "report"))
+    assert out["one"]["n_obs"] == 1 and out["one"]["decomposition"] is None and out["one"]["forecast"] is None
+    assert [v["seasonal"] for v in out["same"]["decomposition"]] == [0.0] * 12 and out["same"]["forecast"] is None
+    assert [v["observed"] for v in out["gaps"]["decomposition"]] == [1.0, 2.0, 3.0, 2.0, 5.0, 8.0, 1.0, 4.0, 4.0]
+    assert [v["period"] for v in out["A"]["forecast"]] == [30, 31, 32]
+    assert [v["period"] for v in out["undated"]["forecast"]] == [None] * 3 and len(out["undated"]["decomposition"]) == 9
